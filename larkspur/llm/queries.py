@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import secrets
+from . import pieces, secrets
 from .workspace import documents_of
 
 
@@ -14,11 +14,23 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents_of(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def _tokenizer(name: str) -> str:
+    """Path of a public vocabulary file; the package that has them is installed on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(_docs(spark, sf_dir), _tokenizer("piece_bpe_32k.model"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_docs(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_piece_round_trip": op3_piece_round_trip,
     "op5_secret_scan": op5_secret_scan,
 }
 
