@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import pieces, secrets
+from . import idfile, pieces, secrets, tokencounts
 from .workspace import documents_of
 
 
@@ -29,9 +30,24 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_docs(spark, sf_dir))
 
 
+def op6_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return idfile.round_trip(_docs(spark, sf_dir), _tokenizer("word_bpe_49k.json"), end_id=2)
+
+
+#: Tokens beyond which a document does not fit a training context.
+CONTEXT = 4096
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = tokencounts.count_tokens(_docs(spark, sf_dir), _tokenizer("piece_bpe_32k.model"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > CONTEXT)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_piece_round_trip": op3_piece_round_trip,
     "op5_secret_scan": op5_secret_scan,
+    "op6_token_id_files": op6_token_id_files,
+    "op7_token_counts": op7_token_counts,
 }
 
 ORACLE_SQL: dict[str, str] = {}
