@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import idfile, pieces, secrets, tokencounts
+from . import idfile, pieces, secrets, tokencounts, toxicity
 from .workspace import documents_of
 
 
@@ -43,11 +43,24 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > CONTEXT)
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _docs(spark, sf_dir)
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), folds=5)
+    scored = toxicity.score(docs, model)
+    return scored.select(
+        "doc_id",
+        toxicity.held_out(5).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_piece_round_trip": op3_piece_round_trip,
     "op5_secret_scan": op5_secret_scan,
     "op6_token_id_files": op6_token_id_files,
     "op7_token_counts": op7_token_counts,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {}
