@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import idfile, pieces, secrets, tokencounts, toxicity
+from . import idfile, mixing, pieces, secrets, tokencounts, toxicity
 from .workspace import documents_of
 
 
@@ -22,6 +22,83 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+#: The number at the end of a source's name places it in a domain; names without one are "other".
+DOMAINS = ("web", "books", "code", "reference")
+
+
+def domain_of(source: Column) -> Column:
+    number = F.regexp_extract(source, r"([0-9]+)$", 1)
+    out = F.lit("other")
+    for k, name in enumerate(DOMAINS):
+        out = F.when((number != "") & (number.try_cast("long") % len(DOMAINS) == k), F.lit(name)).otherwise(out)
+    return out
+
+
+def mixture(**changes) -> mixing.Mix:
+    settings = {
+        "levels": [("domain", domain_of(F.col("source"))), ("lang", F.col("lang")), ("source", F.col("source"))],
+        "weights": {"domain": {"web": 4, "books": 3, "code": 2, "reference": 1}, "lang": {"en": 5, "fr": 2, "de": 2, "es": 2}},
+        "budget": (3, 4),
+        "max_epochs": 4,
+        "seed": "mix-1",
+    }
+    return mixing.Mix(**(settings | changes))
+
+
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.plan(spark.read.parquet(f"{sf_dir}/documents.parquet"), mixture())
+
+
+def _fill_sql(given: str, nodes: str, parent: str, name: str) -> str:
+    """CTEs that divide ``budget`` of each parent in ``nodes`` among its children as ``given``."""
+    over = f"PARTITION BY {parent}" if parent else ""
+    rank = f"{over} ORDER BY CASE WHEN weight > 0 THEN cap::DOUBLE / weight END ASC NULLS LAST, {name}"
+    return f"""
+{given}_a AS (SELECT *, cap::HUGEINT * sum(weight) OVER ({rank} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+    <= (budget - (sum(cap) OVER ({rank} ROWS UNBOUNDED PRECEDING) - cap)) * weight AS is_full FROM {nodes}),
+{given}_b AS (SELECT *, budget - coalesce(sum(CASE WHEN is_full THEN cap END) OVER ({over}), 0) AS rest,
+    coalesce(sum(CASE WHEN NOT is_full THEN weight END) OVER ({over}), 0) AS open_w FROM {given}_a),
+{given}_c AS (SELECT *, CASE WHEN is_full OR open_w = 0 THEN 0 ELSE (rest * weight) // open_w END AS share FROM {given}_b),
+{given}_d AS (SELECT *, rest - sum(share) OVER ({over}) AS left_over, row_number() OVER ({over}
+    ORDER BY CASE WHEN NOT is_full THEN rest * weight - share * open_w END DESC NULLS LAST, {name}) AS turn FROM {given}_c),
+{given} AS (SELECT * EXCLUDE (budget), CASE WHEN is_full THEN cap
+    ELSE share + CASE WHEN open_w > 0 AND turn <= left_over THEN 1 ELSE 0 END END::BIGINT AS given FROM {given}_d)"""
+
+
+_NUMBER = "try_cast(regexp_extract(source, '([0-9]+)$', 1) AS BIGINT)"
+OP1_SQL = f"""
+WITH units AS (
+  SELECT doc_id, CASE {_NUMBER} % 4 WHEN 0 THEN 'web' WHEN 1 THEN 'books' WHEN 2 THEN 'code' WHEN 3 THEN 'reference' ELSE 'other' END AS domain,
+    coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    sum(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0))::BIGINT AS n_tokens
+  FROM documents GROUP BY ALL),
+leaves AS (
+  SELECT domain, lang, source, sum(n_tokens)::BIGINT AS avail, 4 * sum(n_tokens)::BIGINT AS cap,
+    CASE domain WHEN 'web' THEN 4 WHEN 'books' THEN 3 WHEN 'code' THEN 2 ELSE 1 END::BIGINT AS w1,
+    CASE lang WHEN 'en' THEN 5 WHEN 'fr' THEN 2 WHEN 'de' THEN 2 WHEN 'es' THEN 2 ELSE 1 END::BIGINT AS w2
+  FROM units GROUP BY domain, lang, source),
+total AS (SELECT (coalesce(sum(avail), 0)::BIGINT * 3 // 4)::HUGEINT AS budget FROM leaves),
+n1 AS (SELECT domain, sum(cap)::HUGEINT AS cap, max(w1)::HUGEINT AS weight, any_value(budget) AS budget FROM leaves, total GROUP BY domain),
+{_fill_sql("g1", "n1", "", "domain")},
+n2 AS (SELECT l.domain, l.lang, sum(l.cap)::HUGEINT AS cap, max(w2)::HUGEINT AS weight, any_value(g.given)::HUGEINT AS budget
+  FROM leaves l JOIN g1 g USING (domain) GROUP BY l.domain, l.lang),
+{_fill_sql("g2", "n2", "domain", "lang")},
+n3 AS (SELECT l.domain, l.lang, l.source, l.cap::HUGEINT AS cap, 1::HUGEINT AS weight, g.given::HUGEINT AS budget
+  FROM leaves l JOIN g2 g USING (domain, lang)),
+{_fill_sql("g3", "n3", "domain, lang", "source")},
+planned AS (SELECT domain, lang, source, CASE WHEN avail = 0 THEN 0 ELSE given // avail END::BIGINT AS epochs,
+    CASE WHEN avail = 0 THEN given ELSE given % avail END::BIGINT AS prefix
+  FROM leaves JOIN g3 USING (domain, lang, source)),
+placed AS (SELECT u.*, p.epochs, p.prefix,
+    sum(n_tokens) OVER (PARTITION BY domain, lang, source
+      ORDER BY md5(concat('mix-1:', p.epochs, ':', coalesce(doc_id::VARCHAR, 'null'))), doc_id, n_tokens ROWS UNBOUNDED PRECEDING) - n_tokens AS first_at
+  FROM units u JOIN planned p USING (domain, lang, source))
+SELECT doc_id, domain, lang, source, n_tokens, epochs,
+  greatest(0, least(n_tokens, prefix - first_at))::BIGINT AS prefix_tokens,
+  (epochs + CASE WHEN first_at < prefix THEN 1 ELSE 0 END)::BIGINT AS copies
+FROM placed"""
+
+
 def op3_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(_docs(spark, sf_dir), _tokenizer("piece_bpe_32k.model"))
 
@@ -56,6 +133,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mix_sources": op1_mix_sources,
     "op3_piece_round_trip": op3_piece_round_trip,
     "op5_secret_scan": op5_secret_scan,
     "op6_token_id_files": op6_token_id_files,
@@ -63,4 +141,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op1_mix_sources": OP1_SQL}
