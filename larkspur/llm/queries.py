@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import idfile, mixing, pieces, secrets, tokencounts, toxicity
+from . import idfile, mixing, ngramjoin, pieces, secrets, tokencounts, toxicity
 from .workspace import documents_of
 
 
@@ -99,6 +99,10 @@ SELECT doc_id, domain, lang, source, n_tokens, epochs,
 FROM placed"""
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.join_components(_docs(spark, sf_dir), k=5, percent=75)
+
+
 def op3_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(_docs(spark, sf_dir), _tokenizer("piece_bpe_32k.model"))
 
@@ -134,6 +138,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_piece_round_trip": op3_piece_round_trip,
     "op5_secret_scan": op5_secret_scan,
     "op6_token_id_files": op6_token_id_files,
