@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import idfile, mixing, ngramjoin, pieces, secrets, tokencounts, toxicity
+from . import ann, idfile, mixing, ngramjoin, pieces, secrets, tokencounts, toxicity, vecdedup
 from .workspace import documents_of
 
 
@@ -124,6 +124,14 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > CONTEXT)
 
 
+def op8_permutation_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 100 == 0, k=10)
+
+
+def op9_vector_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vecdedup.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), cosine=0.93)
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _docs(spark, sf_dir)
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), folds=5)
@@ -143,6 +151,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_secret_scan": op5_secret_scan,
     "op6_token_id_files": op6_token_id_files,
     "op7_token_counts": op7_token_counts,
+    "op8_permutation_ann": op8_permutation_ann,
+    "op9_vector_near_dups": op9_vector_near_dups,
     "op10_toxicity": op10_toxicity,
 }
 
