@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, idfile, mixing, ngramjoin, pieces, secrets, tokencounts, toxicity, vecdedup
+from . import ann, idfile, mixing, ngramjoin, ngramlm, pieces, secrets, tokencounts, toxicity, vecdedup
 from .workspace import documents_of
 
 
@@ -107,6 +107,10 @@ def op3_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(_docs(spark, sf_dir), _tokenizer("piece_bpe_32k.model"))
 
 
+def op4_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramlm.train_and_score(_docs(spark, sf_dir), folds=10)
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_docs(spark, sf_dir))
 
@@ -148,6 +152,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_piece_round_trip": op3_piece_round_trip,
+    "op4_ngram_lm": op4_ngram_lm,
     "op5_secret_scan": op5_secret_scan,
     "op6_token_id_files": op6_token_id_files,
     "op7_token_counts": op7_token_counts,
