@@ -15,7 +15,7 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents_of(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
-def _tokenizer(name: str) -> str:
+def tokenizer(name: str) -> str:
     """Path of a public vocabulary file; the package that has them is installed on every machine."""
     import public_tokenizers
 
@@ -104,7 +104,7 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.round_trip(_docs(spark, sf_dir), _tokenizer("piece_bpe_32k.model"))
+    return pieces.round_trip(_docs(spark, sf_dir), tokenizer("piece_bpe_32k.model"))
 
 
 def op4_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,7 +116,7 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return idfile.round_trip(_docs(spark, sf_dir), _tokenizer("word_bpe_49k.json"), end_id=2)
+    return idfile.round_trip(_docs(spark, sf_dir), tokenizer("word_bpe_49k.json"), end_id=2)
 
 
 #: Tokens beyond which a document does not fit a training context.
@@ -124,7 +124,7 @@ CONTEXT = 4096
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = tokencounts.count_tokens(_docs(spark, sf_dir), _tokenizer("piece_bpe_32k.model"))
+    counts = tokencounts.count_tokens(_docs(spark, sf_dir), tokenizer("piece_bpe_32k.model"))
     return counts.withColumn("over_limit", F.col("n_tokens") > CONTEXT)
 
 
