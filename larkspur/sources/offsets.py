@@ -1,0 +1,85 @@
+"""A stream reader over message files that are addressed by partition and offset.
+
+``<root>/<partition>.jsonl`` holds a partition's messages, one a line; the offset is
+the line's number.  A query assigns itself every partition with number modulo
+replicas equal to its ordinal, and reads at most ``limit`` messages of each at a time.
+"""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import SparkSession
+from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
+
+
+class _Range(InputPartition):
+    def __init__(self, path: str, partition: int, start: int, end: int):
+        self.path, self.partition, self.start, self.end = path, partition, start, end
+
+
+class _Reader(DataSourceStreamReader):
+    def __init__(self, options):
+        self.root = options["path"]
+        self.limit = int(options.get("limit", 1_000_000))
+        self.replicas, self.ordinal = int(options.get("replicas", 1)), int(options.get("ordinal", 0))
+        self.reset = options.get("startingoffsets", "earliest")
+        if self.reset not in ("earliest", "latest"):
+            raise ValueError("startingOffsets is earliest or latest")
+        if not self._files():
+            raise ValueError("no partition is assigned")
+
+    def _files(self) -> dict[int, str]:
+        found = {int(n[:-6]): os.path.join(self.root, n) for n in os.listdir(self.root) if n.endswith(".jsonl") and n[:-6].isdigit()}
+        return {p: f for p, f in found.items() if p % self.replicas == self.ordinal}
+
+    def _high(self) -> dict[str, int]:
+        out = {}
+        for p, f in self._files().items():
+            with open(f, "rb") as s:
+                out[str(p)] = sum(chunk.count(b"\n") for chunk in iter(lambda: s.read(1 << 20), b""))
+        return out
+
+    def initialOffset(self) -> dict:
+        self._at = {p: 0 if self.reset == "earliest" else h for p, h in self._high().items()}
+        return self._at
+
+    def latestOffset(self) -> dict:
+        return self._high()
+
+    def partitions(self, start: dict, end: dict):
+        files = self._files()
+        out = []
+        for p, h in end.items():
+            a = start.get(p, 0)
+            while a < h:  # large ranges are several tasks
+                b = min(h, a + self.limit)
+                out.append(_Range(files[int(p)], int(p), a, b))
+                a = b
+        return out
+
+    def read(self, part: _Range):
+        with open(part.path, "rb") as s:
+            for i, line in enumerate(s):
+                if i >= part.end:
+                    break
+                if i >= part.start:
+                    yield "messages", part.partition, i, line.rstrip(b"\n")
+
+
+class MessageFiles(DataSource):
+    """Format ``message_files``; options ``path``, ``limit``, ``replicas``, ``ordinal``, ``startingOffsets``."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "message_files"
+
+    def schema(self) -> str:
+        return "topic string, partition int, offset long, value binary"
+
+    def streamReader(self, schema) -> DataSourceStreamReader:
+        return _Reader(self.options)
+
+
+def register(spark: SparkSession) -> None:
+    spark.dataSource.register(MessageFiles)
