@@ -91,7 +91,7 @@ def concat(frames: Sequence[DataFrame]) -> DataFrame:
             name, kind = seen.setdefault(f.name, (f.name, f.dataType))
             if kind != f.dataType:
                 raise TypeError(f"column {f.name!r} is {kind.simpleString()} in one batch and {f.dataType.simpleString()} in another")
-    out = frames[0]
+    out = frames[0].select("*")
     for df in frames[1:]:
         out = out.unionByName(df, allowMissingColumns=True)
     return out

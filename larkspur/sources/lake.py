@@ -175,7 +175,8 @@ class LakeTable:
                 raise TableRecreated(self.root)
             if key and key in s.keys:
                 return 0
-            schema, added, widened, _ = evolve.plan(s.schema, df.schema)
+            # only what the reader can widen in older files
+            schema, added, widened, _ = evolve.plan(s.schema, df.schema, evolve.PROMOTIONS)
             change = {"schema": schema.jsonValue()} if added or widened else {}
             adds = self._stage(df, schema, s, codec, level)
             try:
@@ -226,8 +227,8 @@ class LakeTable:
         paths = [f"{self.root}/{p}" for p, f in s.files.items() if keep_file is None or keep_file(f)]
         if not paths:
             return self.spark.createDataFrame([], s.schema)
-        got = self.spark.read.option("mergeSchema", "true").parquet(*paths)
-        return evolve.align(got, s.schema)
+        # the reader widens what older files hold, and gives nulls for what they lack
+        return evolve.align(self.spark.read.schema(s.schema).parquet(*paths), s.schema)
 
     def file_rows(self) -> list[tuple]:
         """Every file there ever was: ``path, begin_snapshot, end_snapshot, bytes, rows, values``."""
@@ -255,7 +256,7 @@ class LakeTable:
         """Rewrites each group of live files as one write; a group that fails leaves the others."""
         s, done = self.snapshot(), 0
         for group in groups:
-            df = self.spark.read.option("mergeSchema", "true").parquet(*[f"{self.root}/{p}" for p in group])
+            df = self.spark.read.schema(s.schema).parquet(*[f"{self.root}/{p}" for p in group])
             folder = f"data/{uuid.uuid4().hex}"
             keys, _ = presort.sort_keys(df, s.sort)
             small = df.coalesce(1)
