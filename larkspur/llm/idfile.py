@@ -34,8 +34,6 @@ PERCENTILE = 98
 AT_ONCE = 4096
 NULL_ID = -(1 << 63)
 
-_BITS = np.arange(32, dtype=np.uint32)
-
 
 def _width(x: np.ndarray) -> np.ndarray:
     """Bit length of each value."""
@@ -47,6 +45,24 @@ def _width(x: np.ndarray) -> np.ndarray:
     return out + (x > 0)
 
 
+def _pack(d: np.ndarray, w: int) -> np.ndarray:
+    """The w low bits of each of a block's values, least significant first; w * BLOCK / 8 bytes a row."""
+    kind = "<u2" if w <= 16 else "<u4"
+    full = np.dtype(kind).itemsize * 8
+    low = d & np.uint32((1 << w) - 1)
+    bits = np.unpackbits(np.ascontiguousarray(low.astype(kind)).view(np.uint8), axis=1, bitorder="little")
+    return np.packbits(bits.reshape(len(d), BLOCK, full)[:, :, :w].reshape(len(d), -1), axis=1, bitorder="little")
+
+
+def _unpack(raw: np.ndarray, w: int) -> np.ndarray:
+    kind = "<u2" if w <= 16 else "<u4"
+    full = np.dtype(kind).itemsize * 8
+    bits = np.zeros((len(raw), BLOCK, full), dtype=np.uint8)
+    if w:
+        bits[:, :, :w] = np.unpackbits(raw, axis=1, bitorder="little").reshape(len(raw), BLOCK, w)
+    return np.packbits(bits.reshape(len(raw), -1), axis=1, bitorder="little").view(kind).astype(np.uint32)
+
+
 def pack_blocks(ids: np.ndarray, percentile: int = PERCENTILE) -> list[bytes]:
     """Encoded blocks of a stream of uint32; the last block is padded with its first value."""
     out: list[bytes] = []
@@ -64,13 +80,21 @@ def pack_blocks(ids: np.ndarray, percentile: int = PERCENTILE) -> list[bytes]:
         for w in np.unique(width).tolist():
             rows = np.flatnonzero(width == w)
             d = diff[rows]
-            packed = np.packbits(((d[:, :, None] >> _BITS[:w]) & 1).astype(np.uint8).reshape(len(rows), -1), axis=1, bitorder="little")
+            packed = _pack(d, w)
             over = d >> np.uint32(w) > 0 if w < 32 else np.zeros(d.shape, dtype=bool)
-            for j, r in enumerate(rows.tolist()):
-                at = np.flatnonzero(over[j])
-                blocks[r] = b"".join(
-                    (struct.pack("<IBB", int(least[r]), w, len(at)), packed[j].tobytes(), at.astype(np.uint8).tobytes(), d[j][at].astype("<u4").tobytes())
-                )
+            row, col = np.nonzero(over)
+            n = np.bincount(row, minlength=len(rows))
+            head = np.empty((len(rows), 6), dtype=np.uint8)
+            head[:, :4] = least[rows].astype("<u4").view(np.uint8).reshape(-1, 4)
+            head[:, 4], head[:, 5] = w, n
+            head = np.concatenate([head, packed], axis=1)
+            size, body = head.shape[1], head.tobytes()
+            at, value = col.astype(np.uint8).tobytes(), d[row, col].astype("<u4").tobytes()
+            hi = np.cumsum(n).tolist()
+            lo_ = 0
+            for j, (r, end) in enumerate(zip(rows.tolist(), hi)):
+                blocks[r] = body[j * size : (j + 1) * size] + at[lo_:end] + value[4 * lo_ : 4 * end]
+                lo_ = end
         out += blocks
     return out
 
@@ -86,15 +110,12 @@ def unpack_blocks(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
         rows = np.flatnonzero(width == w)
         size = BLOCK // 8 * w
         raw = data[starts[rows][:, None] + 6 + np.arange(size)]
-        bits = np.unpackbits(raw, axis=1, bitorder="little").reshape(len(rows), BLOCK, w)
-        value = np.zeros((len(rows), BLOCK), dtype=np.uint32)
-        for k in range(w):
-            value |= bits[:, :, k].astype(np.uint32) << np.uint32(k)
-        out[rows] = value
-    for r in np.flatnonzero(extra).tolist():
-        at = int(starts[r]) + 6 + BLOCK // 8 * int(width[r])
-        m = int(extra[r])
-        out[r, data[at : at + m]] = np.frombuffer(data[at + m : at + 5 * m].tobytes(), dtype="<u4")
+        out[rows] = _unpack(raw, w)
+    at = starts + 6 + BLOCK // 8 * width
+    row = np.repeat(np.arange(n), extra)
+    k = np.arange(len(row)) - np.repeat(np.cumsum(extra) - extra, extra)
+    value = data[(at[row] + extra[row] + 4 * k)[:, None] + np.arange(4)].copy().view("<u4")[:, 0]
+    out[row, data[at[row] + k]] = value
     return (out + least[:, None]).reshape(-1)
 
 

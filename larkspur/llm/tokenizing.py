@@ -8,13 +8,52 @@ without such cuts the whole text is one part and nothing is kept.
 
 from __future__ import annotations
 
+import contextlib
+import gc
 import hashlib
 import os
 import re
 from array import array
 
-#: Distinct parts that a worker keeps before it starts anew.
-PARTS = 500_000
+#: Distinct parts in a generation of a worker's memo; the one before it stays readable.
+PARTS = 300_000
+
+
+@contextlib.contextmanager
+def _no_gc():
+    """Memos and parts are many objects without cycles; scanning them costs more than encoding."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
+class Memo(dict):
+    """Two generations of entries: what is still in use moves on when a generation is full."""
+
+    def __init__(self):
+        super().__init__()
+        self.before: dict = {}
+
+    def learn(self, wanted: set, make) -> None:
+        """Sees to it that all of ``wanted`` are entries."""
+        new = wanted.difference(self)
+        if not new:
+            return
+        if len(self) + len(new) > PARTS and len(self) > 0:
+            self.before = dict(self)
+            self.clear()
+            new = wanted
+        old = self.before
+        if old:
+            known = [p for p in new if p in old]
+            self.update(zip(known, map(old.__getitem__, known)))
+            new = new.difference(known)
+        todo = list(new)
+        self.update(zip(todo, make(todo)))
 
 
 class Tokenizing:
@@ -26,8 +65,8 @@ class Tokenizing:
             self._open_json()
         else:
             raise ValueError(f"no library for {path}")
-        self._ids: dict[str, bytes] = {}
-        self._n: dict[str, int] = {}
+        self._ids = Memo()
+        self._n = Memo()
 
     # sentencepiece -----------------------------------------------------------------
 
@@ -72,6 +111,9 @@ class Tokenizing:
         with open(self.path, encoding="utf-8") as f:
             spec = json.load(f)
         self._cut = self._cut_white if self._drops_white_space(spec) else None
+        self._special = [t["content"] for t in spec.get("added_tokens", [])]
+        if self._cut and self.PATTERN == (spec["pre_tokenizer"].get("pretokenizers") or [spec["pre_tokenizer"]])[0]["pattern"]["Regex"]:
+            self._cut = self._cut_stems
         self._fast = getattr(self._tk, "encode_batch_fast", self._tk.encode_batch)
         suffix = spec["model"].get("end_of_word_suffix")
         self._word_ends = {i for t, i in spec["model"].get("vocab", {}).items() if t.endswith(suffix)} if suffix and self._cut else set()
@@ -89,84 +131,67 @@ class Tokenizing:
         tokens = all(not t["single_word"] and not t["normalized"] and " " not in t["content"] for t in spec.get("added_tokens", []))
         return bool(drops and known and tokens and not spec.get("post_processor"))
 
-    _words = re.compile(r"[^ \n]+")
-    _cut_white = staticmethod(_words.findall)
-    #: Letters whose lower case is one letter again, then maybe signs: the vocabulary's pattern parts the two.
-    _plain = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([!-&(-/:-@\[-`{-~]*)")
+    #: The one pattern for which letters may be told apart from what follows them without the library.
+    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    _chunks = re.compile(r"[^ \n]+").findall
+    #: Beyond Latin letters, and letters whose lower case is not one letter.
+    _far = re.compile("[İɐ-\U0010ffff]").search
+    _stems = re.compile(r"[a-zªµºß-öø-ɏ]+|[^ \na-zªµºß-öø-ɏ]+").findall
     #: Words that go to the library in one string.
     TOGETHER = 256
 
+    def _cut_white(self, text: str) -> list[str]:
+        return self._chunks(text)
+
+    def _cut_stems(self, text: str) -> list[str]:
+        """Lower-cased runs of Latin letters, and runs of anything else but white space.
+
+        Texts with apostrophes (which bind letters), special tokens or other letters
+        are cut at white space only.
+        """
+        if "'" in text or self._far(text) or any(t in text for t in self._special):
+            return self._chunks(text)
+        return self._stems(text.lower())
+
     def _batch_json(self, parts: list[str]) -> list[list[int]]:
-        if self._cut is None:
+        """Ids of parts; plain words go in strings of many, and tokens that end a word part them again."""
+        if self._cut is None or not self._word_ends:
             return [e.ids for e in self._fast(parts, add_special_tokens=False)]
-        words: dict[str, list[int]] = {}
-        rest: dict[str, list[int]] = {}
-        keys = []
-        for p in parts:
-            m = self._plain.fullmatch(p)
-            if m:
-                word, signs = m[1].lower(), m[2]
-                words[word] = []
-                if signs:
-                    rest[signs] = []
-                keys.append((word, signs))
-            else:
-                rest[p] = []
-                keys.append(("", p))
-        if self._word_ends:
-            self._encode_words(words)
-        else:
-            rest |= words
-        todo = list(rest)
-        for k, e in zip(todo, self._fast(todo, add_special_tokens=False)):
-            rest[k] = e.ids
-        if not self._word_ends:
-            words = rest
-        return [words[w] + rest[s] if w and s else words[w] if w else rest[s] for w, s in keys]
-
-    def _encode_words(self, words: dict[str, list[int]]) -> None:
-        """Fills in the ids of plain words, many in one string; tokens that end a word part them again."""
-        todo, ends = list(words), self._word_ends
-        groups = [todo[i : i + self.TOGETHER] for i in range(0, len(todo), self.TOGETHER)]
+        ends = self._word_ends
+        out: dict[str, list[int]] = {}
+        words = [s for s in parts if s.isalpha()]
+        groups = [words[i : i + self.TOGETHER] for i in range(0, len(words), self.TOGETHER)]
         for group, e in zip(groups, self._fast([" ".join(g) for g in groups], add_special_tokens=False)):
             ids = e.ids
             at = [i + 1 for i, t in enumerate(ids) if t in ends]
             if len(at) == len(group):
                 for w, a, b in zip(group, [0, *at], at):
-                    words[w] = ids[a:b]
-            else:
-                for w, x in zip(group, self._fast(group, add_special_tokens=False)):
-                    words[w] = x.ids
+                    out[w] = ids[a:b]
+        left = [s for s in parts if s not in out]
+        out.update(zip(left, (e.ids for e in self._fast(left, add_special_tokens=False))))
+        return [out[s] for s in parts]
 
     # both --------------------------------------------------------------------------
 
-    def _learn(self, known: dict, parts: list[list[str]], keep) -> None:
-        here = set().union(*parts)
-        new = list(here.difference(known))
-        if not new:
-            return
-        if len(known) + len(new) > PARTS:
-            known.clear()
-            new = list(here)
-        known.update(zip(new, map(keep, self._batch(new))))
-
     def count(self, texts: list[str]) -> list[int]:
         """Number of ids of each text."""
         if self._cut is None:
             return [len(x) for x in self._batch(texts)]
-        parts = [self._cut(t) for t in texts]
-        n = self._n
-        self._learn(n, parts, len)
-        return [sum([n[p] for p in ps]) for ps in parts]
+        with _no_gc():
+            parts = [self._cut(t) for t in texts]
+            n = self._n
+            n.learn(set().union(*parts), lambda todo: map(len, self._batch(todo)))
+            return [sum([n[p] for p in ps]) for ps in parts]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         if self._cut is None:
             return [array("I", x).tobytes() for x in self._batch(texts)]
-        parts = [self._cut(t) for t in texts]
-        ids = self._ids
-        self._learn(ids, parts, lambda x: array("I", x).tobytes())
-        return [b"".join([ids[p] for p in ps]) for ps in parts]
+        with _no_gc():
+            parts = [self._cut(t) for t in texts]
+            ids = self._ids
+            ids.learn(set().union(*parts), lambda todo: [array("I", x).tobytes() for x in self._batch(todo)])
+            return [b"".join([ids[p] for p in ps]) for ps in parts]
 
     @staticmethod
     def version(path: str) -> str:
