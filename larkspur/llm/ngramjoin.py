@@ -15,7 +15,7 @@ The number of classes grows with set size; sets near a size limit emit the
 signatures of both sides, so partners always meet under one scheme.
 
 Candidates come in two rounds.  First each sampled signature's sets are compared
-with its least set only, which joins up groups of copies cheaply.  Then, over all
+with one of them only, which joins up groups of copies cheaply.  Then, over all
 signatures, sets of different components are compared, if their sizes and places
 in the prefix leave a link possible.  Both rounds compare full sets.
 """
@@ -45,6 +45,8 @@ GROUP = 1_500_000
 FIRST_LIMIT = 32
 #: Of the signatures, one in so many takes part in the first round.
 SAMPLED = 8
+#: Times that a set of each sampled signature is compared with the others.
+HUB_ROUNDS = 2
 
 _S1, _S2, _S3 = np.uint64(0x8D1F9A3C5B7E2461), np.uint64(0x3C79AC492BA7B653), np.uint64(0x1C69B3F74AC4AE35)
 
@@ -389,36 +391,59 @@ def join_components(docs: DataFrame, k: int = 5, percent: int = 75, frequent: in
     def sized(a, b):
         return (F.least(a, b) * 100 >= F.greatest(a, b) * percent).cast("boolean")
 
-    # round 1: a sample of signatures, everything against the least set of each
-    part = emitted.where(F.pmod(F.xxhash64("sig"), F.lit(SAMPLED)) == 0)
-    least = part.groupBy("sig").agg(F.min("node").alias("u"), F.min_by("n", "node").alias("u_n"), F.count("*").alias("c")).where(F.col("c") > 1)
-    stars = part.join(least, "sig").where((F.col("node") != F.col("u")) & sized(F.col("n"), F.col("u_n"))).select("u", F.col("node").alias("v")).distinct()
-    stars = ws.save(stars, "stars")
-    links = _verify(docs, k, percent, stars, classes, ws)
-    roots = ws.save(components(links, ws), "roots-1")
+    # round 1: a sample of signatures, everything against one set of each: the one whose own
+    # signatures are the most common, which in a group of copies is closest to what they were copied from
+    part = ws.save(emitted.where(F.pmod(F.xxhash64("sig"), F.lit(SAMPLED)) == 0), "sample")
+    size = part.groupBy("sig").agg(F.count("*").alias("c")).where(F.col("c") > 1)
+    common = part.join(size, "sig").groupBy("node").agg(F.sum("c").alias("common"))
+    part = part.join(size, "sig").join(common, "node").select("sig", "node", "n", "common")
+    part = ws.save(part, "ranked")
+    links, stars, roots = None, None, None
+    for turn in range(HUB_ROUNDS):
+        rooted = part.withColumn("root", F.col("node")) if roots is None else part.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        # every round has another order: hubs of what is still apart come up
+        rank = F.struct("common", "node") if turn == 0 else F.struct(F.xxhash64("root", F.lit(turn)), "common", "node")
+        hub = rooted.groupBy("sig").agg(F.max(rank).alias("h"), F.max_by("n", rank).alias("u_n"), F.max_by("root", rank).alias("u_root")).select("sig", F.col("h.node").alias("u"), "u_n", "u_root")
+        new = rooted.join(hub, "sig").where((F.col("root") != F.col("u_root")) & sized(F.col("n"), F.col("u_n")))
+        new = new.select(F.least("u", "node").alias("u"), F.greatest("u", "node").alias("v")).distinct()
+        new = ws.save(new if stars is None else new.join(stars, ["u", "v"], "left_anti"), "stars")
+        got = _verify(docs, k, percent, new, classes, ws)
+        links, stars = (got, new) if links is None else (links.union(got), stars.union(new))
+        roots = ws.save(components(links, ws), "roots-1")
 
     # round 2: all signatures, sets of different components
     t = emitted.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     t = ws.save(t, "rooted")
     ws.drop(emitted)
-    per = t.groupBy("sig", "root").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("rest").alias("rest"))
-    mixed = per.groupBy("sig").agg(F.min("root").alias("a"), F.max("root").alias("b")).where(F.col("a") != F.col("b")).select("sig")
-    per = ws.save(per.join(mixed, "sig", "left_semi"), "mixed")
+    mixed = t.groupBy("sig").agg(F.min("root").alias("a"), F.max("root").alias("b")).where(F.col("a") != F.col("b")).select("sig")
+    # a group's signatures are gathered under the set of each that has most of them in common, so
+    # that two sets meet once a group and not once a signature
+    apart = ws.save(t.join(mixed, "sig", "left_semi"), "apart")
+    size = apart.groupBy("sig").agg(F.count("*").alias("c"))
+    sized_rows = apart.join(size, "sig")
+    common = sized_rows.groupBy("node").agg(F.sum("c").alias("common"))
+    hub = sized_rows.join(common, "node").groupBy("sig").agg(F.max(F.struct("common", "node")).alias("h")).select("sig", F.col("h.node").alias("hub"))
+    under = apart.join(hub, "sig").groupBy("hub", "root", "node").agg(F.max("n").alias("n"), F.max("rest").alias("rest"), F.collect_list("sig").alias("sigs"))
+    under = ws.save(under, "under")
+    per = under.groupBy("hub", "root").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("rest").alias("rest"))
+    per = ws.save(per, "mixed")
     x, y = (per.withColumnsRenamed({"root": f"{s}_root", "least": f"{s}_least", "most": f"{s}_most", "rest": f"{s}_rest"}) for s in "xy")
     # |x & y| >= percent / (100 + percent) * (|x| + |y|), and is at most what either has left
-    met = x.join(y, "sig").where(
+    met = x.join(y, "hub").where(
         (F.col("x_root") < F.col("y_root"))
         & (F.least("x_rest", "y_rest") * (100 + percent) >= percent * (F.col("x_least") + F.col("y_least")))
         & (F.least("x_most", "y_most") * 100 >= percent * F.greatest("x_least", "y_least"))
     )
-    met = met.select("sig", "x_root", "y_root")
-    tx, ty = (t.withColumnsRenamed({"root": f"{s}_root", "node": s, "n": f"{s}_n", "rest": f"{s}_rest"}) for s in "xy")
-    pairs = met.join(tx, ["sig", "x_root"]).join(ty, ["sig", "y_root"]).where(
-        (F.least("x_rest", "y_rest") * (100 + percent) >= percent * (F.col("x_n") + F.col("y_n"))) & sized(F.col("x_n"), F.col("y_n"))
+    met = met.select("hub", "x_root", "y_root")
+    tx, ty = (under.withColumnsRenamed({"root": f"{s}_root", "node": s, "n": f"{s}_n", "rest": f"{s}_rest", "sigs": f"{s}_sigs"}) for s in "xy")
+    pairs = met.join(tx, ["hub", "x_root"]).join(ty, ["hub", "y_root"]).where(
+        (F.least("x_rest", "y_rest") * (100 + percent) >= percent * (F.col("x_n") + F.col("y_n")))
+        & sized(F.col("x_n"), F.col("y_n"))
+        & F.arrays_overlap("x_sigs", "y_sigs")
     )
     pairs = pairs.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct()
     pairs = ws.save(pairs.join(stars, ["u", "v"], "left_anti"), "pairs")
-    ws.drop(t, per, stars)
+    ws.drop(t, apart, under, per)
     more = _verify(docs, k, percent, pairs, classes, ws)
     ws.drop(pairs)
 
