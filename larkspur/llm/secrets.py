@@ -86,22 +86,26 @@ def _weak(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[str, int,
 def link_parts(text: str, base: list[tuple[str, int, int]], scope: int) -> list[tuple[str, int, int]]:
     """Weak parts that a complementary part accompanies within ``scope`` code points.
 
-    Complementary: an identifier for a secret, a secret for an identifier, and
-    for an endpoint an identifier or a secret.  Support comes from base spans or,
-    for weak secrets and identifiers, from each other; endpoints alone support
-    nothing.  A scope ends at a blank line.
+    Complementary: an identifier for a secret, a secret for an identifier, weak
+    ones supporting each other; and for an endpoint an identifier or a secret that
+    is reported itself.  Endpoints support nothing.  A scope ends at a blank line.
     """
     weak = _weak(text, base)
     if not weak:
         return []
     walls = [m.start() for m in re.finditer(r"\n[ \t]*\n", text)]
-    at: dict[str, list[tuple[int, int]]] = {"secret": [], "id": []}
-    for k, s, e in base + weak:
-        if ROLE[k] in at:
-            at[ROLE[k]].append((s, e))
+    found = _supported([w for w in weak if ROLE[w[0]] != "place"], base + weak, walls, len(text), scope)
+    return found + _supported([w for w in weak if ROLE[w[0]] == "place"], base + found, walls, len(text), scope)
+
+
+_WANTS = {"secret": ("id",), "id": ("secret",), "place": ("id", "secret")}
+
+
+def _supported(asked: list[tuple[str, int, int]], parts: list[tuple[str, int, int]], walls: list[int], size: int, scope: int) -> list[tuple[str, int, int]]:
+    """Interval join: the asked spans with a part of a wanted role inside the scope around them."""
     reach = {}
-    for role, spans in at.items():
-        spans.sort()
+    for role in ("secret", "id"):
+        spans = sorted((s, e) for k, s, e in parts if ROLE[k] == role)
         top: list[int] = []
         for _, e in spans:
             top.append(max(e, top[-1]) if top else e)
@@ -110,7 +114,7 @@ def link_parts(text: str, base: list[tuple[str, int, int]], scope: int) -> list[
     def near(role: str, s: int, e: int) -> bool:
         w = bisect.bisect_right(walls, s)
         lo = max(s - scope, walls[w - 1] if w else 0)
-        hi = min(e + scope, walls[w] if w < len(walls) else len(text))
+        hi = min(e + scope, walls[w] if w < len(walls) else size)
         starts, spans, top = reach[role]
         j = bisect.bisect_left(starts, hi) - 1  # spans that start before the scope ends
         while j >= 0 and top[j] > lo:
@@ -120,8 +124,7 @@ def link_parts(text: str, base: list[tuple[str, int, int]], scope: int) -> list[
             j -= 1
         return False
 
-    wants = {"secret": ("id",), "id": ("secret",), "place": ("id", "secret")}
-    return [(k, s, e) for k, s, e in weak if any(near(r, s, e) for r in wants[ROLE[k]])]
+    return [(k, s, e) for k, s, e in asked if any(near(r, s, e) for r in _WANTS[ROLE[k]])]
 
 
 def all_spans(text: str, scope: int = 256) -> list[tuple[str, int, int]]:
