@@ -24,8 +24,8 @@ PRIOR = 100
 
 #: Bounds of the labelled sample that the classifier is fitted on: rows of each
 #: class, and characters of a row.  Scoring knows no such bounds.
-SAMPLE_TOXIC = 4000
-SAMPLE_CLEAN = 6000
+SAMPLE_TOXIC = 2500
+SAMPLE_CLEAN = 3500
 SAMPLE_CHARS = 65_536
 
 _LESS, _MORE, _GAP = ord("<"), ord(">"), ord(" ")
@@ -88,24 +88,31 @@ class SubwordSoftmax:
         self.bias = np.zeros(2, dtype=np.float32)
         self.shift = 0.0  # log-odds of the classes in all labels less those in the sample
 
-    def fit(self, texts: list[str], labels: list[int], epochs: int = 10, batch: int = 64, rate: float = 0.8, seed: int = 5) -> SubwordSoftmax:
-        """Minimises cross-entropy by mini-batches with a step size per n-gram."""
+    def fit(self, texts: list[str], labels: list[int], epochs: int = 10, steps: int = 1500, batch: int = 64, rate: float = 0.8, seed: int = 5) -> SubwordSoftmax:
+        """Minimises cross-entropy by mini-batches with a step size per n-gram.
+
+        A small sample is passed over more often, until ``steps`` batches are done.
+        """
+        # a few large arrays rather than one pair a text: they go back to the system afterwards
         feats = []
         for lo in range(0, len(texts), 64):
             keys, at = ngram_buckets(texts[lo : lo + 64])
-            for a, b in zip(at[:-1], at[1:]):
-                k, n = np.unique(keys[a:b], return_counts=True)
-                feats.append((k, (n / (b - a + PRIOR)).astype(np.float32)))
+            part = [np.unique(keys[a:b], return_counts=True) for a, b in zip(at[:-1], at[1:])]
+            k = np.concatenate([x for x, _ in part])
+            n = np.concatenate([x for _, x in part]).astype(np.uint32)
+            ends = np.cumsum([len(x) for x, _ in part])
+            for (x, _), end, size in zip(part, ends, np.diff(at)):
+                feats.append((k[end - len(x) : end], n[end - len(x) : end], float(size + PRIOR)))
         y = np.array(labels, dtype=np.int64)
         rng = np.random.Generator(np.random.PCG64(seed))
         g_rows = np.full(len(self.table), 1e-8, dtype=np.float32)
         g_weight, g_bias = np.full_like(self.weight, 1e-8), np.full_like(self.bias, 1e-8)
-        for _ in range(epochs):
+        for _ in range(max(epochs, -(-steps * batch // max(1, len(feats))))):
             order = rng.permutation(len(feats))
             for lo in range(0, len(order), batch):
                 rows = order[lo : lo + batch]
                 keys = np.concatenate([feats[r][0] for r in rows])
-                share = np.concatenate([feats[r][1] for r in rows])
+                share = np.concatenate([(feats[r][1] / feats[r][2]).astype(np.float32) for r in rows])
                 sizes = np.array([len(feats[r][0]) for r in rows])
                 owner = np.repeat(np.arange(len(rows)), sizes)
                 uniq, place = np.unique(keys, return_inverse=True)
@@ -177,7 +184,7 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5) -> SubwordSoftmax:
         for c, most in ((1, SAMPLE_TOXIC), (0, SAMPLE_CLEAN))
     ]
     short = docs.where((F.length("text") <= SAMPLE_CHARS) & F.col("text").isNotNull()).select("doc_id", "text")
-    rows = short.join(F.broadcast(drawn[0].unionByName(drawn[1])), "doc_id")  # at most 2 * (4000 + 6000) keys
+    rows = short.join(F.broadcast(drawn[0].unionByName(drawn[1])), "doc_id")  # at most 2 * (2500 + 3500) keys
     picks = []
     for c, most in ((1, SAMPLE_TOXIC), (0, SAMPLE_CLEAN)):
         picks.append(rows.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(most))
