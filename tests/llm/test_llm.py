@@ -431,22 +431,23 @@ def test_binary_code_bounds_hold():
 
 def test_toxicity(spark):
     rng = random.Random(9)
-    vocab = ["".join(rng.choice("aeioubcdrstln") for _ in range(rng.randint(3, 9))) for _ in range(800)]
-    bad = ["idiot", "moron", "scum"]
+    vocab = ["".join(rng.choice("aeioubcdrstlnmpgv") for _ in range(rng.randint(4, 11))) for _ in range(6000)]
     texts, labels = [], []
-    for i in range(900):
-        w = [rng.choice(vocab) for _ in range(rng.randint(20, 120))]
+    for i in range(1600):
+        w = [rng.choice(vocab) for _ in range(rng.randint(20, 60))]
         toxic = i % 4 == 0
-        for _ in range(max(1, len(w) // 25) if toxic else 0):
-            w.insert(rng.randrange(len(w)), rng.choice(bad))
+        for bad in rng.sample(["idiot", "moron", "scum"], rng.randint(1, 3)) if toxic else ():
+            w.insert(rng.randrange(len(w)), bad)
         texts.append(" ".join(w))
         labels.append((i, int(toxic)))
     df = docs_of(spark, [*texts, None, "", "an idiiot and a moronn"])
     model = toxicity.fit(df, spark.createDataFrame([*labels, (None, 1), (5, None), (99999, 1)], "doc_id long, toxic int"))
     out = {r["doc_id"]: r["toxicity"] for r in toxicity.score(df, model).collect()}
     held = [(i, y) for i, y in labels if zlib.crc32(str(i).encode()) % 5 == 0]
-    assert np.mean([(out[i] >= 0.5) == y for i, y in held]) > 0.9
-    assert out[900] == out[901] < 0.5 < out[902]
+    # 320 toxic texts to learn from: measured 0.886 (0.727 for always clean), recall 0.63
+    assert np.mean([(out[i] >= 0.5) == y for i, y in held]) > 0.86
+    assert np.mean([out[i] >= 0.5 for i, y in held if y]) > 0.55
+    assert out[1600] == out[1601] < 0.5 < out[1602]
     assert toxicity.score(df.limit(0), model).columns[-1] == "toxicity"
     none = toxicity.fit(df, spark.createDataFrame([], "doc_id long, toxic int"))
     assert all(r["toxicity"] < 0.5 for r in toxicity.score(df, none).collect())
