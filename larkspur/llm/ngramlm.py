@@ -37,8 +37,8 @@ DISCOUNT = 0.75
 ADD = 0.1
 END = np.uint64(0)
 #: Entries in one file of a level, and distinct keys that a task holds before it hands counts on.
-SHARD = 8_000_000
-FLUSH = 3_000_000
+SHARD = 1_500_000
+FLUSH = 2_000_000
 GROUP = 1_000_000
 
 _U = np.uint64
@@ -394,9 +394,14 @@ def _files(rows: DataFrame, by: str, folder: str, n: int, write) -> list[dict]:
 
 
 def _codebook(values: DataFrame, column: str) -> list[float]:
-    """At most 256 levels: quantiles of the values over all entries."""
-    got = values.agg(F.percentile_approx(column, F.array(*[F.lit(i / 255) for i in range(256)]), F.lit(2000)).alias("q")).first()["q"]
-    return sorted(set(got or [1.0]))
+    """At most 256 levels: half are quantiles of the values, half even steps of their logarithm.
+
+    The quantiles fit where most values are, the steps bound the error everywhere.
+    """
+    got = values.agg(F.percentile_approx(column, F.array(*[F.lit(i / 127) for i in range(128)]), F.lit(2000)).alias("q"), F.min(column).alias("lo"), F.max(column).alias("hi")).first()
+    if got["lo"] is None:
+        return [1.0]
+    return sorted({*got["q"], *np.geomspace(got["lo"], got["hi"], 127).tolist()})
 
 
 def _code(x: np.ndarray, book: np.ndarray) -> np.ndarray:
@@ -447,7 +452,8 @@ def _add_level(spec: dict, order: int, entries: DataFrame, contexts: int, span:
     whole = by_context.repartitionByRange(max(shards, 8), "context").select("key", "n").mapInArrow(values, "p double, w double")
     whole = ws.save(whole, f"smoothed-{order}")
     prob = _codebook(whole.where(~F.isnan("p")), "p")
-    back = _codebook(whole.where(~F.isnan("w")), "w")
+    # contexts without successors weigh exactly 1
+    back = sorted({*_codebook(whole.where(~F.isnan("w")), "w"), 1.0})
     ws.drop(whole)
     folder = ws.folder(f"trie-{order}")
     prob_a, back_a = np.array(prob), np.array(back)
@@ -468,7 +474,6 @@ def _add_level(spec: dict, order: int, entries: DataFrame, contexts: int, span:
         return {"lo": lo, "n": len(key), "uri": uri}
 
     spec[f"level{order}"] = _files(by_context, "context", folder, n, write)
-    # contexts without successors inside a file's range weigh 1: keep that level exact
     spec[f"prob{order}"], spec[f"back{order}"], spec[f"span{order}"] = prob, back, span
     ws.drop(entries)
 
