@@ -29,8 +29,10 @@ from .eliasfano import EliasFano
 from .textkernel import hash_words, utf8_parts
 from .workspace import Workspace, text_slices
 
-#: Bigrams and trigrams below these counts are pruned; their mass goes to the lower order.
+#: Bigrams and trigrams below these counts are pruned unless the caller says otherwise; their mass goes to the lower order.
 LEAST_COUNT = {2: 2, 3: 2}
+#: Counts that keep every bigram and trigram of the training texts.
+WHOLE = {2: 1, 3: 1}
 #: Subtracted from each kept count (interpolated absolute discounting).
 DISCOUNT = 0.75
 #: Additive constant of the unigram model, which has one word more for all unseen ones.
@@ -299,7 +301,7 @@ class Trie:
     """The model as workers see it: levels that exist so far, and totals."""
 
     def __init__(self, spec: dict):
-        self.total, self.distinct = spec["total"], spec["distinct"]
+        self.total, self.distinct, self.least = spec["total"], spec["distinct"], spec["least"]
         self.words = Words(spec["words"])
         self.levels = {k: Level(spec[f"level{k}"], spec[f"span{k}"], np.array(spec[f"prob{k}"]), np.array(spec[f"back{k}"])) for k in (2, 3) if f"level{k}" in spec}
 
@@ -325,7 +327,7 @@ class Trie:
         start[at[:-1]] = True
         if 2 in self.levels:
             two = np.full(m, -1, dtype=np.int64)
-            ok = np.flatnonzero((ids[1:] >= 0) & (ids[:-1] >= 0) & ~start[1:] & (n[1:] >= LEAST_COUNT[2]) & (n[:-1] >= LEAST_COUNT[2])) + 1
+            ok = np.flatnonzero((ids[1:] >= 0) & (ids[:-1] >= 0) & ~start[1:] & (n[1:] >= self.least) & (n[:-1] >= self.least)) + 1
             two[ok] = self._once(self.levels[2], ids[ok - 1], ids[ok])
             out["two"] = two
             # a trigram needs both bigrams; its place is that of the second among the middle word's
@@ -478,8 +480,11 @@ def _add_level(spec: dict, order: int, entries: DataFrame, contexts: int, span:
     ws.drop(entries)
 
 
-def train(docs: DataFrame, ws: Workspace, order: int = 3) -> dict:
-    """Builds the trie of ``docs(doc_id, text)`` and returns its description: paths and totals."""
+def train(docs: DataFrame, ws: Workspace, order: int = 3, least: dict[int, int] = LEAST_COUNT) -> dict:
+    """Builds the trie of ``docs(doc_id, text)`` and returns its description: paths and totals.
+
+    N-grams of order k below the count ``least[k]`` are left out.
+    """
 
     def word_keys(b):
         return token_stream(b.column(1))[0]
@@ -497,7 +502,7 @@ def train(docs: DataFrame, ws: Workspace, order: int = 3) -> dict:
         _put(uri, _ef("k", key.astype(_U) - _U(lo)) | {"n": cnt.astype(np.uint32) if cnt.max() < 1 << 32 else cnt})
         return {"lo": lo, "n": len(key), "uri": uri}
 
-    spec: dict = {"path": ws.path, "total": int(total), "distinct": int(distinct)}
+    spec: dict = {"path": ws.path, "total": int(total), "distinct": int(distinct), "least": least[2]}
     spec["words"] = _files(words, "key", folder, int(distinct), write_words)
     ws.drop(words)
     if not total or order < 2:
@@ -514,10 +519,10 @@ def train(docs: DataFrame, ws: Workspace, order: int = 3) -> dict:
         ids, n = ids[back], n[back]
         start = np.zeros(len(stream), dtype=bool)
         start[at[:-1]] = True
-        ok = np.flatnonzero(~start[1:] & (n[1:] >= LEAST_COUNT[2]) & (n[:-1] >= LEAST_COUNT[2])) + 1
+        ok = np.flatnonzero(~start[1:] & (n[1:] >= least[2]) & (n[:-1] >= least[2])) + 1
         return (ids[ok - 1] * np.int64(distinct) + ids[ok]).astype(_U)
 
-    _add_level(spec, 2, _tally(texts, bigram_keys, bits2, groups, LEAST_COUNT[2]), int(distinct), int(distinct), ws)
+    _add_level(spec, 2, _tally(texts, bigram_keys, bits2, groups, least[2]), int(distinct), int(distinct), ws)
     n2 = sum(s["n"] for s in spec["level2"])
     if not n2 or order < 3:
         return spec
@@ -531,7 +536,7 @@ def train(docs: DataFrame, ws: Workspace, order: int = 3) -> dict:
         got = Trie.open(two).lookup(stream, at)
         return (got["context"] * np.int64(span3) + got["place"]).astype(_U)
 
-    _add_level(spec, 3, _tally(texts, trigram_keys, bits3, groups, LEAST_COUNT[3]), n2, span3, ws)
+    _add_level(spec, 3, _tally(texts, trigram_keys, bits3, groups, least[3]), n2, span3, ws)
     return spec
 
 
@@ -560,13 +565,13 @@ def score(docs: DataFrame, spec: dict) -> DataFrame:
     return docs.select("doc_id", "text", "held_out").mapInArrow(run, SCORES)
 
 
-def train_and_score(docs: DataFrame, folds: int = 10, order: int = 3) -> DataFrame:
+def train_and_score(docs: DataFrame, folds: int = 10, order: int = 3, least: dict[int, int] = LEAST_COUNT) -> DataFrame:
     """Trains on the rows outside fold 0 of crc32(doc_id) and scores all rows.
 
-    A null doc_id is never held out.
+    A null doc_id is never held out.  ``least`` is as for ``train``.
     """
     ws = Workspace(docs.sparkSession, "ngramlm")
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == 0, F.lit(False))
     rows = docs.select("doc_id", "text", held.alias("held_out"))
-    spec = train(rows.where(~F.col("held_out")), ws, order)
+    spec = train(rows.where(~F.col("held_out")), ws, order, least)
     return score(rows, spec)

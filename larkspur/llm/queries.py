@@ -108,7 +108,7 @@ def op3_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngramlm.train_and_score(_docs(spark, sf_dir), folds=10)
+    return ngramlm.train_and_score(_docs(spark, sf_dir), folds=10, least=ngramlm.WHOLE)
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -263,6 +263,31 @@ def test_language_model(spark):
     assert ngramlm.train_and_score(docs_of(spark, texts).limit(0)).count() == 0
 
 
+def test_registered_language_model_keeps_every_ngram(spark, tmp_path):
+    from larkspur.llm import queries
+
+    texts = templated(120, 8) + ODD + [" ".join(f"only{i}x{j}" for j in range(30)) for i in range(8)]
+    docs_of(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in queries.op4_ngram_lm(spark, str(tmp_path)).collect()}
+    toks = {i: [*words(t), "<end>\n"] for i, t in enumerate(texts)}
+    train = [x for i, x in toks.items() if zlib.crc32(str(i).encode()) % 10]
+    c1, c2, c3 = (collections.Counter(g for x in train for g in zip(*(x[j:] for j in range(k)))) for k in (1, 2, 3))
+    n, v, d = c1.total(), len(c1), ngramlm.DISCOUNT
+    kinds = collections.Counter(g[:-1] for c in (c2, c3) for g in c)
+
+    def p(g):
+        if len(g) == 1:
+            return (c1[g] + 0.1) / (n + 0.1 * (v + 1))
+        total = (c1, c2)[len(g) - 2][g[:-1]]
+        if not total:
+            return p(g[1:])
+        return max(0, (c2, c3)[len(g) - 2][g] - d) / total + (d * kinds[g[:-1]] / total if kinds[g[:-1]] else 1) * p(g[1:])
+
+    for i, x in toks.items():
+        want = sum(math.log10(p(tuple(x[max(0, j - 2) : j + 1]))) for j in range(len(x)))
+        assert abs(got[i]["score"] - want) < 0.05 * len(x), i
+
+
 # 5 -----------------------------------------------------------------------------------
 
 
