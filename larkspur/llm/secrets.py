@@ -25,14 +25,16 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
 BASE_KINDS = ("assign", "access", "hex")
 
-#: Weak parts.  A bare secret is 32 to 128 base64-like characters standing alone,
-#: of mixed kinds and high entropy; a weak identifier is an id-shaped assignment.
-BARE = re.compile(r"(?<![A-Za-z0-9+/_=.-])[A-Za-z0-9+/_-]{32,128}={0,2}(?![A-Za-z0-9+/_=-])")
+#: Weak parts.  A bare secret is a whole run of 32 or more base64-like characters of mixed
+#: kinds and high entropy, also after "=" or "."; a weak identifier is an id-shaped assignment.
+BARE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{32,}+={0,2}+(?![A-Za-z0-9+/_=-])")
 ENDPOINT = re.compile(r"\b(?:https?|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb(?:\+srv)?|redis|amqps?|s3)://[^\s\"'<>]{4,2048}")
 IDENT = re.compile(
     r"""\b(?:user(?:name|_id)?|client_?id|account(?:_?id)?|access_?key(?:_?id)?|login)["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@+-]{3,128})""",
     re.IGNORECASE | re.ASCII,
 )
+#: User and password of an endpoint.
+USERINFO = re.compile(r"(?<=://)[^/?#]+(?=@)")
 WEAK_KINDS = ("bare", "endpoint", "ident")
 KINDS = BASE_KINDS + WEAK_KINDS
 _RANK = {k: i for i, k in enumerate(KINDS)}
@@ -175,19 +177,30 @@ def mask_text(text: str, spans: list[tuple[str, int, int]], mark: str = "[secret
     return "".join([*out, text[at:]]) if out else text
 
 
+def userinfo(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """The user and password parts of the endpoints in ``spans``."""
+    found = [(s, USERINFO.search(text[s:e])) for k, s, e in spans if k == "endpoint"]
+    return [("userinfo", s + m.start(), s + m.end()) for s, m in found if m]
+
+
 def mask(docs: DataFrame, scope: int = 256, kinds: tuple[str, ...] = ("assign", "access", "hex", "bare", "ident")) -> DataFrame:
     """``docs`` with secrets masked in ``text``; every other column and every row stays.
 
+    Of reported endpoints the user and password are masked, whatever ``kinds``.
     ``n_chars``, if there, is set to the new length of changed texts.  Null texts stay null.
     """
     names = docs.columns
     ti = names.index("text")
     ci = names.index("n_chars") if "n_chars" in names else None
 
+    def masked(t):
+        spans = all_spans(t, scope)
+        return mask_text(t, [s for s in spans if s[0] in kinds] + userinfo(t, spans))
+
     def run(batches):
         for b in text_slices(batches):
             before = b.column(ti).to_pylist()
-            after = [t and mask_text(t, [s for s in all_spans(t, scope) if s[0] in kinds]) for t in before]
+            after = [t and masked(t) for t in before]
             cols = list(b.columns)
             cols[ti] = pa.array(after, b.schema.field(ti).type)
             if ci is not None:
