@@ -4,7 +4,7 @@ A vector is represented by its nearest pivots in order.  A block of vectors is
 posted in one inverted file per pivot, with the pivot's place in each vector's
 order; a query adds up the files of its own pivots, which ranks the block by
 Spearman's footrule distance between orders.  The best of the block are reranked
-by exact distance.
+by exact distance, with all that tie with the last of them.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ PIVOTS = 256
 SAMPLE = 1024
 #: A vector is posted for one in so many pivots.
 POSTED = 4
-#: Vectors in a block, and the share of a block that is reranked, at least RERANK_LEAST of it.
+#: Vectors in a block, and the share of a block that is reranked (ties come on top), at least RERANK_LEAST of it.
 BLOCK = 8192
 RERANK = 0.25
 RERANK_LEAST = 400
@@ -143,7 +143,7 @@ def search(vectors: DataFrame, is_query, k: int = 10) -> DataFrame:
                 take = min(len(own), max(RERANK_LEAST, int(np.ceil(len(own) * RERANK))))
                 for i in range(len(ids)):
                     far = files.footrule(near[i])
-                    at = np.argpartition(far, take - 1)[:take] if take < len(own) else np.arange(len(own))
+                    at = np.flatnonzero(far <= np.partition(far, take - 1)[take - 1]) if take < len(own) else np.arange(len(own))
                     at = at[own[at] != ids[i]]
                     d = np.sqrt(((x[at] - vecs[i]) ** 2).sum(axis=1))
                     d, v = np.concatenate([best[i][0], d]), np.concatenate([best[i][1], own[at]])

@@ -437,6 +437,21 @@ def test_nearest_neighbours(spark):
     assert len(few) == 3
 
 
+def test_nearest_neighbours_in_a_block_of_copies(spark):
+    rng = np.random.default_rng(4)
+    n, dim = 6000, 16
+    x = rng.standard_normal((n, dim)) + 2 * rng.standard_normal((8, dim))[rng.integers(0, 8, n)]
+    copies = np.sort(rng.permutation(n)[: n // 3])
+    x[copies] = x[copies[0]]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>").coalesce(1)
+    asked = [int(i) for i in copies[[0, 5, 700, -1]]]
+    got = collections.defaultdict(list)
+    for r in ann.search(df, F.col("vec_id").isin(asked)).collect():
+        got[r["query_id"]].append((r["rank"], r["vec_id"], r["score"]))
+    for q in asked:
+        assert sorted(got[q]) == [(k + 1, v, 0.0) for k, v in enumerate([int(c) for c in copies if c != q][:10])]
+
+
 def test_vector_near_duplicates(spark):
     rows, bad = vectors()
     df = spark.createDataFrame(rows + bad, "vec_id long, embedding array<double>, label int").repartition(3)
