@@ -81,13 +81,14 @@ def fill(nodes: DataFrame, parent: list[str], name: str) -> DataFrame:
 
 
 def leaf_budgets(units: DataFrame, mix: Mix) -> DataFrame:
-    """``levels..., avail, given`` of each leaf: its tokens, and the tokens the mixture takes from it."""
+    """``levels..., avail, given, least`` of each leaf: its tokens, the tokens the mixture takes from it, and its epochs at least."""
     names = [n for n, _ in mix.levels]
     leaves = units.groupBy(*names).agg(F.sum("n_tokens").alias("avail"))
     for n in names:
         leaves = leaves.withColumn(f"w_{n}", _weight(mix.weights.get(n, {}), F.col(n)))
     shut = F.greatest(*[(F.col(f"w_{n}") <= 0).cast("int") for n in names]) if len(names) > 1 else (F.col(f"w_{names[0]}") <= 0).cast("int")
-    leaves = leaves.withColumn("floor", F.when(shut == 1, 0).otherwise(F.col("avail") * mix.floor_epochs))
+    leaves = leaves.withColumn("least", F.when(shut == 1, 0).otherwise(mix.floor_epochs))
+    leaves = leaves.withColumn("floor", F.col("avail") * F.col("least"))
     leaves = leaves.withColumn("cap", F.when(shut == 1, 0).otherwise(F.col("avail") * (mix.max_epochs - mix.floor_epochs)))
     total = leaves.agg(F.coalesce(F.sum("avail"), F.lit(0)), F.coalesce(F.sum("floor"), F.lit(0)), F.coalesce(F.sum("cap"), F.lit(0))).first()
     budget = mix.budget if isinstance(mix.budget, int) else total[0] * mix.budget[0] // mix.budget[1]
@@ -98,7 +99,7 @@ def leaf_budgets(units: DataFrame, mix: Mix) -> DataFrame:
         nodes = leaves.groupBy(*path).agg(F.sum("cap").alias("cap"), F.max(f"w_{n}").alias("weight"))
         nodes = nodes.withColumn("budget", F.lit(budget).cast("long")) if above is None else nodes.join(above, path[:-1])
         above = fill(nodes, path[:-1], n).select(*path, F.col("given").alias("budget"))
-    return leaves.join(above, names).select(*names, "avail", (F.col("floor") + F.col("budget")).alias("given"))
+    return leaves.join(above, names).select(*names, "avail", (F.col("floor") + F.col("budget")).alias("given"), "least")
 
 
 def units_of(docs: DataFrame, mix: Mix) -> DataFrame:
@@ -120,13 +121,13 @@ def plan(docs: DataFrame, mix: Mix) -> DataFrame:
     ``epochs`` counts whole epochs, ``prefix_tokens`` the unit's tokens within the
     prefix of the epoch after those, ``copies`` how often the unit is taken (the
     unit that the prefix ends in counts).  Units without tokens are taken where
-    the prefix passes them.  An empty table gives no rows.
+    the prefix passes them; a leaf without any tokens has ``floor_epochs`` epochs.  An empty table gives no rows.
     """
     names = [n for n, _ in mix.levels]
     ws = Workspace(docs.sparkSession, "mixing")
     units = ws.save(units_of(docs, mix), "units")
     leaves = leaf_budgets(units, mix)
-    leaves = leaves.withColumn("epochs", F.expr("CASE WHEN avail = 0 THEN 0 ELSE given DIV avail END").cast("long"))
+    leaves = leaves.withColumn("epochs", F.expr("CASE WHEN avail = 0 THEN least ELSE given DIV avail END").cast("long"))
     leaves = ws.save(leaves.withColumn("prefix", F.col("given") - F.col("epochs") * F.col("avail")).select(*names, "epochs", "prefix"), "leaves")
 
     key = F.md5(F.concat_ws(":", F.lit(mix.seed), F.col("epochs").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))

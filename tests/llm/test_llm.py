@@ -136,6 +136,17 @@ def test_mixing_plan(spark):
     assert mixing.plan(df.limit(0), mix).count() == 0
 
 
+def test_pipeline_mixture_keeps_leaves_without_words(spark):
+    import corpus_pipeline
+
+    rows = [(i, "a b c", "en", f"src{i % 3}", 5) for i in range(12)] + [(20, "", "en", "empty7", 0), (21, None, None, None, 0), (22, " \n", "fr", "blank2", 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.mix_sources(spark, df, "").collect()
+    assert {r["doc_id"] for r in out} == {r[0] for r in rows} and sorted(r["doc_id"] for r in out if r["doc_id"] >= 20) == [20, 21, 22]
+    shut = mixing.Mix(levels=[("source", F.col("source"))], weights={"source": {"empty7": 0}}, floor_epochs=2, max_epochs=3)
+    assert {r["doc_id"]: r["copies"] for r in mixing.plan(df, shut).collect() if r["doc_id"] >= 20} == {20: 0, 21: 2, 22: 2}
+
+
 # 2 -----------------------------------------------------------------------------------
 
 
