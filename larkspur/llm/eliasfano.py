@@ -9,10 +9,25 @@ _SELECT = np.zeros((256, 8), dtype=np.uint8)
 for _b in range(256):
     _at = [i for i in range(8) if _b >> i & 1]
     _SELECT[_b, : len(_at)] = _at
+#: Every so many ones and zeros of the high bits have their position stored.
+STEP = 64
+
+
+def _pick(word: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """Position of the k-th set bit (from 0) of each 64-bit word."""
+    at = np.zeros(len(word), dtype=np.int64)
+    for width in (32, 16, 8):
+        below = np.bitwise_count(word & _U((1 << width) - 1)).astype(np.int64)
+        up = k >= below
+        k = k - below * up
+        move = up * width
+        at += move
+        word = word >> move.astype(_U)
+    return at + _SELECT[(word & _U(255)).astype(np.int64), k]
 
 
 class EliasFano:
-    """A non-decreasing sequence: low bits packed, high bits unary with counts per 512 bits.
+    """A non-decreasing sequence: low bits packed, high bits unary, with sampled positions.
 
     ``arrays`` gives the parts to store, ``EliasFano(*arrays)`` opens them again;
     the parts may be memory maps.
@@ -29,21 +44,22 @@ class EliasFano:
             part = v & _U((1 << low) - 1)
             pos = np.arange(n, dtype=_U) * _U(low)
             w, off = (pos >> _U(6)).astype(np.int64), pos & _U(63)
-            np.bitwise_or.at(words, w, part << off)
-            over = off + _U(low) > _U(64)
-            np.bitwise_or.at(words, w[over] + 1, part[over] >> (_U(64) - off[over]))
+            first = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
+            words[w[first]] = np.bitwise_or.reduceat(part << off, first)
+            over = np.flatnonzero(off + _U(low) > _U(64))  # at most one value runs over the end of a word
+            words[w[over] + 1] |= part[over] >> (_U(64) - off[over])
         high = (v >> _U(low)).astype(np.int64) + np.arange(n)
-        size = (int(high[-1]) + 2 if n else 2) + 511 >> 9 << 9
+        size = (int(high[-1]) + 2 if n else 2) + 127 >> 6 << 6  # a word of zeros at the end
         bits = np.zeros(size, dtype=np.uint8)
         bits[high] = 1
-        packed = np.packbits(bits, bitorder="little").view(_U)
-        ones = np.concatenate([[0], np.cumsum(np.bitwise_count(packed).reshape(-1, 8).sum(axis=1, dtype=np.int64))])
-        return [np.array([n, low], dtype=np.int64), words, packed, ones]
+        zeros = np.flatnonzero(bits == 0)
+        kind = np.int32 if size < 1 << 31 else np.int64
+        return [np.array([n, low], dtype=np.int64), words, np.packbits(bits, bitorder="little").view(_U), high[::STEP].astype(kind), zeros[::STEP].astype(kind)]
 
-    def __init__(self, head, words, packed, ones):
+    def __init__(self, head, words, packed, ones, zeros):
         self.n, self.low = int(head[0]), int(head[1])
-        self.words, self.packed, self.ones = words, packed, ones
-        self.zeros = np.arange(len(ones), dtype=np.int64) * 512 - np.asarray(ones)
+        self.words, self.packed, self.ones, self.zeros = words, packed, ones, zeros
+        self.most = 64 * len(packed) - self.n  # zeros among the high bits: high parts run below that
 
     def _lows(self, i: np.ndarray) -> np.ndarray:
         if not self.low:
@@ -55,52 +71,73 @@ class EliasFano:
 
     def _select(self, k: np.ndarray, bit: int) -> np.ndarray:
         """Position of the k-th (from 0) one or zero."""
-        total = self.ones if bit else self.zeros
-        block = np.searchsorted(total, k, side="right") - 1
-        k = k - total[block]
-        words = self.packed[block[:, None] * 8 + np.arange(8)]
-        if not bit:
-            words = ~words
-        upto = np.cumsum(np.bitwise_count(words), axis=1, dtype=np.int64)
-        w = (upto <= k[:, None]).sum(axis=1)
-        row = np.arange(len(k))
-        k = k - np.where(w > 0, upto[row, np.maximum(w, 1) - 1], 0)
-        part = words[row, w].view(np.uint8).reshape(-1, 8) if len(k) else np.zeros((0, 8), dtype=np.uint8)
-        upto = np.cumsum(np.bitwise_count(part), axis=1, dtype=np.int64)
-        b = (upto <= k[:, None]).sum(axis=1)
-        k = k - np.where(b > 0, upto[row, np.maximum(b, 1) - 1], 0)
-        return block * 512 + w * 64 + b * 8 + _SELECT[part[row, b], k]
+        flip = _U(0) if bit else ~_U(0)
+        pos = (self.ones if bit else self.zeros)[k // STEP].astype(np.int64)
+        k = k % STEP
+        w = pos >> 6
+        word = (self.packed[w] ^ flip) & (~_U(0) << (pos & 63).astype(_U))
+        act = np.arange(len(k))
+        while True:  # on to the word that has it
+            have = np.bitwise_count(word[act]).astype(np.int64)
+            far = k[act] >= have
+            act = act[far]
+            if not len(act):
+                return w * 64 + _pick(word, k)
+            k[act] -= have[far]
+            w[act] += 1
+            word[act] = self.packed[w[act]] ^ flip
 
     def get(self, i: np.ndarray) -> np.ndarray:
         """The i-th values."""
         i = np.asarray(i, dtype=np.int64)
         return (self._select(i, 1) - i).astype(_U) << _U(self.low) | self._lows(i)
 
-    def successor(self, x: np.ndarray) -> np.ndarray:
-        """Index of the first value >= x (n if there is none)."""
-        x = x.astype(_U)
-        most = int(self.zeros[-1])  # zeros in the high bits: high parts run below that
-        h = np.minimum(x >> _U(self.low), _U(most)).astype(np.int64)
-        out = np.full(len(x), self.n, dtype=np.int64)
-        ok = np.flatnonzero(h < most)
-        h, want = h[ok], x[ok] & _U((1 << self.low) - 1)
-        hi = self._select(h, 0) - h
-        lo = np.where(h > 0, self._select(np.maximum(h, 1) - 1, 0) - h + 1, 0)
+    def decode(self) -> np.ndarray:
+        """All values."""
+        high = np.flatnonzero(np.unpackbits(np.asarray(self.packed).view(np.uint8), bitorder="little"))
+        i = np.arange(self.n)
+        return (high - i).astype(_U) << _U(self.low) | self._lows(i)
+
+    def _search(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(index of the first value >= x, end of the values with its high part, low bits of x)."""
+        h = np.minimum(x >> _U(self.low), _U(self.most - 1)).astype(np.int64)
+        want = x & _U((1 << self.low) - 1)
+        start = np.zeros(len(x), dtype=np.int64)
+        some = np.flatnonzero(h)
+        start[some] = self._select(h[some] - 1, 0) + 1
+        # values of this high part: the run of ones that starts here
+        w, off = start >> 6, (start & 63).astype(_U)
+        gap = ~(self.packed[w] >> off | self.packed[np.minimum(w + 1, len(self.packed) - 1)] << (_U(63) - off) << _U(1))
+        run = np.bitwise_count((gap & (~gap + _U(1))) - _U(1)).astype(np.int64)
+        long = np.flatnonzero(run >= 63)
+        run[long] = self._select(h[long], 0) - start[long]
+        lo = start - h
+        end = lo + run
+        hi = end.copy()
         act = np.flatnonzero(lo < hi)
-        while len(act):  # values of one high part, by their low bits
+        while len(act):
             mid = (lo[act] + hi[act]) >> 1
             less = self._lows(mid) < want[act]
             lo[act[less]] = mid[less] + 1
             hi[act[~less]] = mid[~less]
             act = act[lo[act] < hi[act]]
-        out[ok] = np.minimum(lo, self.n)
+        return lo, end, want
+
+    def successor(self, x: np.ndarray) -> np.ndarray:
+        """Index of the first value >= x (n if there is none)."""
+        out = np.full(len(x), self.n, dtype=np.int64)
+        x = x.astype(_U)
+        ok = np.flatnonzero(x >> _U(self.low) < _U(self.most))
+        out[ok] = np.minimum(self._search(x[ok])[0], self.n)
         return out
 
     def find(self, x: np.ndarray) -> np.ndarray:
         """Index of each x, or -1."""
-        at = self.successor(x)
-        hit = np.flatnonzero(at < self.n)
-        out = np.full(len(at), -1, dtype=np.int64)
-        good = hit[self.get(at[hit]) == x.astype(_U)[hit]]
-        out[good] = at[good]
+        out = np.full(len(x), -1, dtype=np.int64)
+        x = x.astype(_U)
+        ok = np.flatnonzero(x >> _U(self.low) < _U(self.most))
+        at, end, want = self._search(x[ok])
+        hit = np.flatnonzero(at < end)
+        hit = hit[self._lows(at[hit]) == want[hit]]
+        out[ok[hit]] = at[hit]
         return out

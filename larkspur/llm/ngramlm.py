@@ -1,24 +1,25 @@
 """N-gram language model in an Elias-Fano trie.
 
 Level 1 holds all words of the training texts by hash.  Levels 2 and 3 hold the
-kept n-grams under their contexts: monotone pointers from a context to its
-successors, successor ids as one monotone sequence, 8-bit codes of smoothed
-probabilities and of back-off weights.  A trigram's last word is not stored as a
-word, but as its place among the successors of the middle word; a query searches
-level 2 for both bigrams, then level 3 for that place under the first bigram.
-
-Levels are files of arrays in the shared folder, split by context range; workers
-map them into memory.  Each level's counts are gathered with the one before it,
-since an n-gram can only pass a count limit if both its parts do.
+n-grams under their contexts: monotone pointers from a context to its successors,
+successor ids as one monotone sequence, 8-bit codes of smoothed probabilities and
+of back-off weights.  A trigram's last word is not stored as a word, but as its
+place among the successors of the middle word; a query searches level 2 for both
+bigrams, then level 3 for that place under the first bigram.
+
+A level is cut into parts, each a range of (context, place), so that about PART
+occurrences fall into one: the counts of the level above say where.  A context
+with more occurrences than that is cut by place.  The texts' n-grams are counted
+by part, and the group that counts a part writes its file; a second job over the
+files adds the codes.  Workers map the files of the shared folder into memory and
+touch what their texts ask for.
 """
 
 from __future__ import annotations
 
-import atexit
 import json
 import os
-import shutil
-import tempfile
+from collections import OrderedDict
 
 import numpy as np
 import pyarrow as pa
@@ -29,25 +30,29 @@ from .eliasfano import EliasFano
 from .textkernel import hash_words, utf8_parts
 from .workspace import Workspace, text_slices
 
-#: Bigrams and trigrams below these counts are pruned unless the caller says otherwise; their mass goes to the lower order.
-LEAST_COUNT = {2: 2, 3: 2}
-#: Counts that keep every bigram and trigram of the training texts.
-WHOLE = {2: 1, 3: 1}
+#: Bigrams and trigrams below these counts are left out, their mass goes to the lower order: every one is kept.
+LEAST_COUNT = {2: 1, 3: 1}
 #: Subtracted from each kept count (interpolated absolute discounting).
 DISCOUNT = 0.75
 #: Additive constant of the unigram model, which has one word more for all unseen ones.
 ADD = 0.1
-END = np.uint64(0)
-#: Entries in one file of a level, and distinct keys that a task holds before it hands counts on.
-SHARD = 1_500_000
-FLUSH = 2_000_000
-GROUP = 1_000_000
+#: Occurrences of a part, as long as there are at most PARTS of them; beyond that, parts grow.
+PART = 1_500_000
+PARTS = 1 << 17
+#: Keys that a task holds before it counts them and hands them on.
+FLUSH = 4_000_000
+#: Files that a worker keeps open, and bytes of those that it had to read whole because they cannot be mapped.
+OPEN_FILES = 4096
+OPEN_BYTES = 256 << 20
+#: Words whose ids a worker remembers (a power of two).
+REMEMBERED = 1 << 20
+SLICE = 8 << 20
 
 _U = np.uint64
 
 
 def token_stream(column) -> tuple[np.ndarray, np.ndarray]:
-    """63-bit keys of the tokens of all texts (words, then one end each), and text offsets."""
+    """63-bit keys of the tokens of all texts (words, then one end each, which has key 0), and text offsets."""
     raw, offsets = utf8_parts(column)
     words, bounds = hash_words(raw, offsets)
     n = len(bounds) - 1
@@ -62,29 +67,22 @@ def token_stream(column) -> tuple[np.ndarray, np.ndarray]:
 # counts ------------------------------------------------------------------------------
 
 
-def _scramble(x: np.ndarray, bits: int, back: bool = False) -> np.ndarray:
-    """A fixed permutation of ``bits``-bit numbers, so that one context's n-grams spread over all groups."""
-    mask, odd, half = _U((1 << bits) - 1), 0x9E3779B97F4A7C15, _U((bits + 1) // 2)
-    if back:
-        x = x ^ (x >> half)
-        return (x * _U(pow(odd, -1, 1 << 64))) & mask
-    x = (x * _U(odd)) & mask
-    return x ^ (x >> half)
+def _tallied(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    keys = np.sort(keys)
+    at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[at], np.diff(np.append(at, len(keys)))
 
 
-def _blobs(keys: np.ndarray, n: np.ndarray, bits: int, groups: int):
-    """(group, bytes) of sorted distinct keys with counts; key gaps at a fixed byte width per blob."""
-    group = (keys >> _U(bits - groups)).astype(np.int64)
-    cut = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])).tolist() + [len(group)]
-    for a, b in zip(cut[:-1], cut[1:]):
-        gaps = np.diff(keys[a:b], prepend=_U(int(group[a]) << (bits - groups)))
-        w = max(1, -(-int(gaps.max()).bit_length() // 8))
-        c = max(1, -(-int(n[a:b].max()).bit_length() // 8))
-        cols = [gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :w], n[a:b].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :c]]
-        yield int(group[a]), bytes([w, c]) + b"".join(np.ascontiguousarray(x.T).tobytes() for x in cols)
+def _pack(keys: np.ndarray, n: np.ndarray, base: int) -> bytes:
+    """Sorted distinct keys from ``base`` on, with counts: key gaps at a fixed byte width, counts at another."""
+    gaps = np.diff(keys, prepend=_U(base))
+    w = max(1, -(-int(gaps.max()).bit_length() // 8))
+    c = max(1, -(-int(n.max()).bit_length() // 8))
+    cols = [gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :w], n.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :c]]
+    return bytes([w, c]) + b"".join(np.ascontiguousarray(x.T).tobytes() for x in cols)
 
 
-def _open_blob(group: int, blob: bytes, bits: int, groups: int) -> tuple[np.ndarray, np.ndarray]:
+def _unpack(blob: bytes, base: int) -> tuple[np.ndarray, np.ndarray]:
     w, c = blob[0], blob[1]
     m = (len(blob) - 2) // (w + c)
     out = []
@@ -92,31 +90,31 @@ def _open_blob(group: int, blob: bytes, bits: int, groups: int) -> tuple[np.ndar
         raw = np.zeros((m, 8), dtype=np.uint8)
         raw[:, :size] = np.frombuffer(blob, dtype=np.uint8, offset=at, count=m * size).reshape(size, m).T
         out.append(raw.view("<u8")[:, 0])
-    return np.cumsum(out[0], dtype=_U) + _U(group << (bits - groups)), out[1]
+    return np.cumsum(out[0], dtype=_U) + _U(base), out[1].astype(np.int64)
 
 
-def _tally(docs: DataFrame, keys_of, bits: int, groups: int, least: int) -> DataFrame:
-    """``key, n`` of all keys with at least ``least`` occurrences; ``keys_of(batch)`` gives a batch's keys."""
+def _by_part(docs: DataFrame, keys_of, cuts: np.ndarray, write) -> list[dict]:
+    """Counts ``keys_of(batch)`` of all batches by part; the one small row that ``write(part, keys, n)`` returns for each.
+
+    ``cuts`` are the first keys of the parts, ascending from 0.
+    """
 
     def gather(batches):
         held, size = [], 0
 
         def flush():
-            k = np.concatenate([x for x, _ in held])
-            n = np.concatenate([x for _, x in held])
-            order = np.argsort(k, kind="stable")
-            k, n = k[order], n[order]
-            at = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
-            got = list(_blobs(k[at], np.add.reduceat(n, at), bits, groups))
-            for i in range(0, len(got), 4096):
-                g, blob = zip(*got[i : i + 4096])
-                yield pa.RecordBatch.from_arrays([pa.array(g, pa.int64()), pa.array(blob, pa.binary())], names=["part", "blob"])
+            keys, n = _tallied(np.concatenate(held))
+            at = np.append(np.searchsorted(keys, cuts), len(keys))
+            some = np.flatnonzero(at[1:] > at[:-1])
+            for i in range(0, len(some), 256):
+                got = some[i : i + 256].tolist()
+                blob = [_pack(keys[at[p] : at[p + 1]], n[at[p] : at[p + 1]], int(cuts[p])) for p in got]
+                yield pa.RecordBatch.from_arrays([pa.array(got, pa.int64()), pa.array(blob, pa.binary())], names=["part", "blob"])
 
         for b in text_slices(batches):
-            k, n = np.unique(_scramble(keys_of(b), bits), return_counts=True)
-            if len(k):
-                held.append((k, n))
-                size += len(k)
+            k = keys_of(b)
+            held.append(k)
+            size += len(k)
             if size >= FLUSH:
                 yield from flush()
                 held, size = [], 0
@@ -124,18 +122,34 @@ def _tally(docs: DataFrame, keys_of, bits: int, groups: int, least: int) -> Data
             yield from flush()
 
     def merge(table):
-        g = table.column("part")[0].as_py()
-        got = [_open_blob(g, x, bits, groups) for x in table.column("blob").to_pylist()]
-        k, n = np.concatenate([x for x, _ in got]), np.concatenate([x for _, x in got]).astype(np.int64)
+        part = table.column("part")[0].as_py()
+        got = [_unpack(x, int(cuts[part])) for x in table.column("blob").to_pylist()]
+        k, n = np.concatenate([x for x, _ in got]), np.concatenate([x for _, x in got])
         order = np.argsort(k, kind="stable")
         k, n = k[order], n[order]
         at = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
-        k, n = k[at], np.add.reduceat(n, at)
-        keep = n >= least
-        return pa.table({"key": pa.array(_scramble(k[keep], bits, back=True).view(np.int64)), "n": pa.array(n[keep])})
+        return pa.table({"info": [json.dumps({"part": part} | write(part, k[at], np.add.reduceat(n, at)))]})
 
     blobs = docs.mapInArrow(gather, "part long, blob binary")
-    return blobs.groupBy("part").applyInArrow(merge, "key long, n long")
+    rows = blobs.groupBy("part").applyInArrow(merge, "info string").collect()  # one row a part
+    return sorted((json.loads(r["info"]) for r in rows), key=lambda x: x["part"])
+
+
+def _cut(n: np.ndarray, most: int) -> list[list[int]]:
+    """[first context, pieces] of ranges of contexts with about ``most`` occurrences; larger contexts stand alone, in pieces."""
+    block = np.cumsum(n) // most
+    big = np.flatnonzero(n > most)
+    first = np.unique(np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1, big, big[big < len(n) - 1] + 1]))
+    return [[int(i), int(max(1, -(-int(n[i]) // most)))] for i in first]
+
+
+def _cuts(parts: list[dict], span: int) -> np.ndarray:
+    """First keys (context * span + place) of the parts of the next level; ``parts`` have ``offset`` and ``cuts``."""
+    out = {0}
+    for p in parts:
+        for i, pieces in p["cuts"]:
+            out.update((p["offset"] + i) * span + j * span // pieces for j in range(pieces))
+    return np.array(sorted(out), dtype=_U)
 
 
 # files -------------------------------------------------------------------------------
@@ -162,32 +176,33 @@ def _put(uri: str, arrays: dict[str, np.ndarray]) -> None:
     files.move(draft, path)
 
 
-_copies: dict[str, str] = {}
+_opened: OrderedDict[str, tuple[dict, int]] = OrderedDict()
+
 
+def _get(uri: str) -> dict[str, np.ndarray]:
+    """The arrays of a file of the shared folder: mapped, or read where the folder is not mounted.
 
-def _local(uri: str) -> str:
-    """A path that can be mapped: the shared file itself, or a worker's copy that goes with the worker."""
+    A worker keeps the files that it used last, within OPEN_FILES and OPEN_BYTES.
+    """
+    if uri in _opened:
+        _opened.move_to_end(uri)
+        return _opened[uri][0]
     if uri.startswith("file:"):
-        return "/" + uri.removeprefix("file:").lstrip("/")
-    if uri not in _copies:
+        raw, size = np.memmap("/" + uri.removeprefix("file:").lstrip("/"), dtype=np.uint8, mode="r"), 0
+    else:
         from pyarrow import fs
 
-        folder = tempfile.mkdtemp(prefix="larkspur-lm-")
-        atexit.register(shutil.rmtree, folder, True)
         files, path = fs.FileSystem.from_uri(uri)
-        _copies[uri] = os.path.join(folder, os.path.basename(path))
-        with files.open_input_stream(path) as src, open(_copies[uri], "wb") as dst:
-            shutil.copyfileobj(src, dst, 1 << 20)
-    return _copies[uri]
-
-
-def _get(uri: str) -> dict[str, np.ndarray]:
-    path = _local(uri)
-    raw = np.memmap(path, dtype=np.uint8, mode="r")
+        with files.open_input_stream(path) as src:
+            raw = np.frombuffer(src.read(), dtype=np.uint8)
+        size = len(raw)
     n = int(raw[:8].view("<u8")[0])
-    head = json.loads(raw[8 : 8 + n].tobytes())
     base = 8 + n
-    return {k: raw[base + at : base + at + size * np.dtype(kind).itemsize].view(kind) for k, (kind, size, at) in head.items()}
+    got = {k: np.asarray(raw[base + at : base + at + size_ * np.dtype(kind).itemsize]).view(kind) for k, (kind, size_, at) in json.loads(raw[8:base].tobytes()).items()}
+    _opened[uri] = (got, size)
+    while len(_opened) > OPEN_FILES or len(_opened) > 1 and sum(s for _, s in _opened.values()) > OPEN_BYTES:
+        _opened.popitem(last=False)
+    return got
 
 
 def _ef(prefix: str, values: np.ndarray) -> dict[str, np.ndarray]:
@@ -195,103 +210,137 @@ def _ef(prefix: str, values: np.ndarray) -> dict[str, np.ndarray]:
 
 
 def _open_ef(arrays: dict[str, np.ndarray], prefix: str) -> EliasFano:
-    return EliasFano(*(arrays[f"{prefix}{i}"] for i in range(4)))
+    return EliasFano(*(arrays[f"{prefix}{i}"] for i in range(5)))
 
 
 class Words:
-    """Level 1: word keys and counts."""
+    """Level 1: word keys and counts, in equal ranges of the key."""
 
-    def __init__(self, shards: list[dict]):
-        self.first = np.array([s["lo"] for s in shards], dtype=_U)
-        self.offset = np.concatenate([[0], np.cumsum([s["n"] for s in shards])]).astype(np.int64)
-        got = [_get(s["uri"]) for s in shards]
-        self.keys = [_open_ef(g, "k") for g in got]
-        self.counts = [g["n"] for g in got]
+    def __init__(self, spec: dict):
+        self.folder, self.parts = spec["folder"], spec["parts"]
+        self.first = np.array(spec["lo"], dtype=_U)
+        self.offset = np.concatenate([[0], np.cumsum(spec["n"])]).astype(np.int64)
+        self.held = np.zeros(REMEMBERED, dtype=_U)  # key 0, the end, is looked up each time
+        self.held_id, self.held_n = np.zeros(REMEMBERED, dtype=np.int64), np.zeros(REMEMBERED, dtype=np.int64)
+
+    def _file(self, s: int) -> dict:
+        return _get(f"{self.folder}/{self.parts[s]:06d}.ef")
 
-    def find(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def find(self, stream: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(id or -1, count) of each key."""
+        if not len(self.parts):
+            return np.full(len(stream), -1, dtype=np.int64), np.zeros(len(stream), dtype=np.int64)
+        slot = (stream & _U(REMEMBERED - 1)).astype(np.int64)
+        ids, n = self.held_id[slot], self.held_n[slot]
+        miss = np.flatnonzero((self.held[slot] != stream) | (stream == 0))
+        if len(miss):
+            key, back = np.unique(stream[miss], return_inverse=True)
+            at, c = self._search(key)
+            ids[miss], n[miss] = at[back], c[back]
+            slot = (key & _U(REMEMBERED - 1)).astype(np.int64)
+            self.held[slot], self.held_id[slot], self.held_n[slot] = key, at, c
+            # of keys that share a slot, one stands there with what is its own
+            wrong = slot[self.held[slot] != key]
+            own = np.searchsorted(key, self.held[wrong])
+            self.held_id[wrong], self.held_n[wrong] = at[own], c[own]
+        return ids, n
+
+    def _search(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         ids, n = np.full(len(key), -1, dtype=np.int64), np.zeros(len(key), dtype=np.int64)
-        if not len(self.keys):
-            return ids, n
-        shard = np.searchsorted(self.first, key, side="right") - 1
-        for s in np.unique(shard[shard >= 0]).tolist():
-            rows = np.flatnonzero(shard == s)
-            at = self.keys[s].find(key[rows] - self.first[s])
-            hit = at >= 0
-            ids[rows[hit]] = at[hit] + self.offset[s]
-            n[rows[hit]] = self.counts[s][at[hit]]
+        bounds = np.append(np.searchsorted(key, self.first), len(key))
+        for s in np.flatnonzero(bounds[1:] > bounds[:-1]).tolist():
+            a, b, got = bounds[s], bounds[s + 1], self._file(s)
+            at = _open_ef(got, "k").find(key[a:b] - self.first[s])
+            hit = np.flatnonzero(at >= 0)
+            ids[a + hit] = at[hit] + self.offset[s]
+            n[a + hit] = got["n"][at[hit]]
         return ids, n
 
     def count_of(self, ids: np.ndarray) -> np.ndarray:
         out = np.zeros(len(ids), dtype=np.int64)
-        shard = np.searchsorted(self.offset, ids, side="right") - 1
-        for s in np.unique(shard).tolist():
-            rows = np.flatnonzero(shard == s)
-            out[rows] = self.counts[s][ids[rows] - self.offset[s]]
+        part = np.searchsorted(self.offset, ids, side="right") - 1
+        for s in np.unique(part).tolist():
+            rows = np.flatnonzero(part == s)
+            out[rows] = self._file(s)["n"][ids[rows] - self.offset[s]]
         return out
 
 
 class Level:
-    """Level 2 or 3: successors of contexts that are numbered from 0."""
-
-    def __init__(self, shards: list[dict], span: int, prob: np.ndarray, back: np.ndarray):
-        self.span, self.prob, self.back = span, prob, back
-        self.lo = np.array([s["lo"] for s in shards], dtype=np.int64)
-        self.offset = np.concatenate([[0], np.cumsum([s["n"] for s in shards])]).astype(np.int64)
-        self.n = int(self.offset[-1])
-        self.got = [_get(s["uri"]) for s in shards]
-        self.keys = [_open_ef(g, "k") for g in self.got]
-        self.ptr = [_open_ef(g, "p") for g in self.got]
-
-    def _by_shard(self, context: np.ndarray):
-        if not len(self.keys) or not len(context):
-            return
-        shard = np.searchsorted(self.lo, context, side="right") - 1
-        for s in np.unique(shard[shard >= 0]).tolist():
-            rows = np.flatnonzero(shard == s)
-            c = context[rows] - self.lo[s]
-            inside = c < self.ptr[s].n - 1
-            yield s, rows[inside], c[inside]
-
-    def find(self, context: np.ndarray, place: np.ndarray) -> np.ndarray:
-        """Number of the entry ``place`` under ``context``, or -1."""
-        out = np.full(len(context), -1, dtype=np.int64)
-        for s, rows, c in self._by_shard(context):
-            at = self.keys[s].find(c.astype(_U) * _U(self.span) + place[rows].astype(_U))
+    """Level 2 or 3: successors of contexts that are numbered from 0.
+
+    Entries are numbered in the order of their keys, context * span + place.
+    """
+
+    def __init__(self, spec: dict):
+        self.folder, self.parts, self.span = spec["folder"], spec["parts"], spec["span"]
+        # keys of a part count from lo; between its end and the next part's lo there are no entries, but
+        # what begins there is looked up in the next part, which may hold the rest of a context
+        self.lo = np.array(spec["lo"], dtype=_U)
+        self.start = np.array([0, *spec["hi"][:-1]], dtype=_U)
+        self.offset = np.concatenate([[0], np.cumsum(spec["n"])]).astype(np.int64)
+        self.prob, self.back = np.array(spec["prob"]), np.array(spec["back"])
+
+    def file(self, s: int, kind: str = "ef") -> dict:
+        return _get(f"{self.folder}/{self.parts[s]:06d}.{kind}")
+
+    def _runs(self, at: np.ndarray):
+        """(part, slice) of sorted part numbers; rows before the first part are left out."""
+        bounds = np.searchsorted(at, np.arange(len(self.parts) + 1))
+        for s in np.flatnonzero(bounds[1:] > bounds[:-1]).tolist():
+            yield s, slice(bounds[s], bounds[s + 1])
+
+    def _part_of(self, keys: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.start, keys, side="right") - 1
+
+    def _part_of_entry(self, entry: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.offset, entry, side="right") - 1
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Number of the entry of each of the sorted keys, or -1."""
+        out = np.full(len(keys), -1, dtype=np.int64)
+        keys = keys.astype(_U)
+        for s, rows in self._runs(self._part_of(keys)):
+            at = _open_ef(self.file(s), "k").find(keys[rows] - self.lo[s])
             out[rows] = np.where(at >= 0, at + self.offset[s], -1)
         return out
 
     def first(self, context: np.ndarray) -> np.ndarray:
-        """Number of the first successor of each context."""
-        out = np.full(len(context), -1, dtype=np.int64)
-        for s, rows, c in self._by_shard(context):
-            out[rows] = self.ptr[s].get(c).astype(np.int64) + self.offset[s]
+        """Number of the first successor of each of the sorted contexts."""
+        out = np.zeros(len(context), dtype=np.int64)
+        for s, rows in self._runs(self._part_of(context.astype(_U) * _U(self.span))):
+            got = _open_ef(self.file(s), "p")
+            c = context[rows] - int(self.lo[s]) // self.span
+            out[rows] = got.get(np.clip(c, 0, got.n - 1)).astype(np.int64) + self.offset[s]
         return out
 
     def backoff(self, context: np.ndarray) -> np.ndarray:
-        """Weight of the lower order under each context; 1 where the context has no successors."""
+        """Weight of the lower order under each of the sorted contexts; 1 where the context has no successors."""
         out = np.ones(len(context))
-        for s, rows, c in self._by_shard(context):
-            out[rows] = self.back[self.got[s]["b"][c]]
-        return out
-
-    def _of(self, name: str, entry: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(entry), dtype=np.int64)
-        shard = np.searchsorted(self.offset, entry, side="right") - 1
-        for s in np.unique(shard).tolist():
-            rows = np.flatnonzero(shard == s)
-            at = entry[rows] - self.offset[s]
-            out[rows] = (self.keys[s].get(at) % _U(self.span)).astype(np.int64) if name == "place" else self.got[s][name][at]
+        for s, rows in self._runs(self._part_of(context.astype(_U) * _U(self.span))):
+            b = self.file(s, "q")["b"]
+            c = context[rows] - int(self.lo[s]) // self.span
+            inside = (c >= 0) & (c < len(b))
+            out[rows] = np.where(inside, self.back[b[np.where(inside, c, 0)]], 1.0)
         return out
 
     def probability(self, entry: np.ndarray) -> np.ndarray:
-        return self.prob[self._of("q", entry)]
-
-    def count(self, entry: np.ndarray) -> np.ndarray:
-        return self._of("n", entry)
-
-    def place(self, entry: np.ndarray) -> np.ndarray:
-        return self._of("place", entry)
+        """Of entries in any order."""
+        code = np.zeros(len(entry), dtype=np.uint8)
+        part = self._part_of_entry(entry)
+        for s in np.flatnonzero(np.bincount(part, minlength=len(self.parts))).tolist():
+            rows = np.flatnonzero(part == s)
+            code[rows] = self.file(s, "q")["q"][entry[rows] - self.offset[s]]
+        return self.prob[code]
+
+    def entries(self, entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, count) of sorted entries."""
+        place, n = np.zeros(len(entry), dtype=np.int64), np.zeros(len(entry), dtype=np.int64)
+        for s, rows in self._runs(self._part_of_entry(entry)):
+            i = entry[rows] - self.offset[s]
+            key = _open_ef(self.file(s), "k").get(i) + self.lo[s]
+            upto = _open_ef(self.file(s, "n"), "c")
+            place[rows], n[rows] = (key % _U(self.span)).astype(np.int64), upto.get(i + 1) - upto.get(i)
+        return place, n
 
 
 _models: dict[str, Trie] = {}
@@ -301,9 +350,9 @@ class Trie:
     """The model as workers see it: levels that exist so far, and totals."""
 
     def __init__(self, spec: dict):
-        self.total, self.distinct, self.least = spec["total"], spec["distinct"], spec["least"]
+        self.total, self.distinct = spec["total"], spec["distinct"]
         self.words = Words(spec["words"])
-        self.levels = {k: Level(spec[f"level{k}"], spec[f"span{k}"], np.array(spec[f"prob{k}"]), np.array(spec[f"back{k}"])) for k in (2, 3) if f"level{k}" in spec}
+        self.levels = {k: Level(spec[f"level{k}"]) for k in (2, 3) if f"level{k}" in spec}
 
     @staticmethod
     def open(spec: dict) -> Trie:
@@ -316,36 +365,34 @@ class Trie:
     def unigram(self, n: np.ndarray) -> np.ndarray:
         return (n + ADD) / (self.total + ADD * (self.distinct + 1))
 
+    def bigrams(self, stream: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids and counts of all tokens; places in the stream of tokens with two known words, and their bigrams' keys."""
+        ids, n = self.words.find(stream)
+        inner = np.ones(len(stream), dtype=bool)
+        inner[at[:-1]] = False
+        ok = np.flatnonzero(inner[1:] & (ids[1:] >= 0) & (ids[:-1] >= 0)) + 1
+        return ids, n, ok, ids[ok - 1] * np.int64(self.distinct) + ids[ok]
+
     def lookup(self, stream: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
-        """Ids and counts of tokens; entries of the bigrams and trigrams that end at each."""
-        uniq, back = np.unique(stream, return_inverse=True)
-        ids, n = self.words.find(uniq)
-        ids, n = ids[back], n[back]
-        m = len(stream)
-        out = {"ids": ids, "n": n}
-        start = np.zeros(m, dtype=bool)
-        start[at[:-1]] = True
+        """Ids and counts of tokens; entries of the bigrams and trigrams that end at each (-1: none)."""
+        ids, n, ok, key = self.bigrams(stream, at)
+        out = {"ids": ids, "n": n, "two": np.full(len(stream), -1, dtype=np.int64)}
         if 2 in self.levels:
-            two = np.full(m, -1, dtype=np.int64)
-            ok = np.flatnonzero((ids[1:] >= 0) & (ids[:-1] >= 0) & ~start[1:] & (n[1:] >= self.least) & (n[:-1] >= self.least)) + 1
-            two[ok] = self._once(self.levels[2], ids[ok - 1], ids[ok])
-            out["two"] = two
+            two = out["two"]
+            uniq, back = np.unique(key, return_inverse=True)
+            two[ok] = self.levels[2].find(uniq)[back]
             # a trigram needs both bigrams; its place is that of the second among the middle word's
             both = np.flatnonzero((two[1:] >= 0) & (two[:-1] >= 0)) + 1
-            mid, inv = np.unique(ids[both - 1], return_inverse=True)
-            out["both"], out["context"] = both, two[both - 1]
-            out["place"] = two[both] - self.levels[2].first(mid)[inv]
+            mid, back = np.unique(ids[both - 1], return_inverse=True)
+            place = two[both] - self.levels[2].first(mid)[back]
+            out["both"], out["key"] = both, (two[both - 1], place)
         if 3 in self.levels:
-            three = np.full(m, -1, dtype=np.int64)
-            three[both] = self._once(self.levels[3], out["context"], out["place"])
-            out["three"] = three
+            out["three"] = np.full(len(stream), -1, dtype=np.int64)
+            context, place = out["key"]
+            uniq, back = np.unique(context * np.int64(self.levels[3].span) + place, return_inverse=True)
+            out["three"][out["both"]] = self.levels[3].find(uniq)[back]
         return out
 
-    @staticmethod
-    def _once(level: Level, context: np.ndarray, place: np.ndarray) -> np.ndarray:
-        code, back = np.unique(context * np.int64(level.span) + place, return_inverse=True)
-        return level.find(code // level.span, code % level.span)[back]
-
     def score(self, stream: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
         """Per text: tokens, known tokens, base score and model score (log10)."""
         got = self.lookup(stream, at)
@@ -358,13 +405,13 @@ class Trie:
             if k not in self.levels:
                 continue
             level, entry = self.levels[k], got[name]
-            context = got["ids"][inner - 1] if k == 2 else got["two"][inner - 1]
-            weight = np.ones(len(inner))
+            hit = np.flatnonzero(entry >= 0)
+            # only what has no entry of this order is weighed down
+            lack = inner[entry[inner] < 0]
+            context = got["ids"][lack - 1] if k == 2 else got["two"][lack - 1]
             some = np.flatnonzero(context >= 0)
             uniq, back = np.unique(context[some], return_inverse=True)
-            weight[some] = level.backoff(uniq)[back]
-            p[inner] = np.where(entry[inner] >= 0, 0.0, weight * p[inner])
-            hit = np.flatnonzero(entry >= 0)
+            p[lack[some]] *= level.backoff(uniq)[back]
             p[hit] = level.probability(entry[hit])
         sums = [np.add.reduceat(np.concatenate([x, [0.0]]), at[:-1]) if len(at) > 1 else np.zeros(0) for x in (np.log10(p1), np.log10(p), (got["n"] > 0).astype(float))]
         return {"n_tokens": np.diff(at), "n_known": sums[2].astype(np.int64), "base": sums[0], "model": sums[1]}
@@ -373,170 +420,149 @@ class Trie:
 # building ----------------------------------------------------------------------------
 
 
-def _groups_for(n: int) -> int:
-    return min(20, max(4, (max(1, n) // GROUP).bit_length()))
+def _steps(least: float) -> list[float]:
+    """256 values in even steps of the logarithm from ``least`` to 1: codes are off by half a step at most."""
+    return np.geomspace(min(least, 0.5), 1.0, 256).tolist()
 
 
-def _files(rows: DataFrame, by: str, folder: str, n: int, write) -> list[dict]:
-    """Writes sorted ranges of ``rows``, one file a task; one small row per file comes back."""
+def _code(x: np.ndarray, book: np.ndarray) -> np.ndarray:
+    low = np.log(book[0])
+    return np.clip(np.rint((np.log(x) - low) / -low * 255), 0, 255).astype(np.uint8)
 
-    def run(batches):
-        held = [b for b in batches if b.num_rows]
-        if not held:
-            return
-        t = pa.Table.from_batches(held)
-        cols = [t.column(i).to_numpy() for i in range(2)]
-        info = write(cols[0], cols[1], folder)
-        yield pa.RecordBatch.from_pylist([{"info": json.dumps(info)}])
 
-    shards = max(1, -(-n // SHARD))
-    dealt = rows.repartitionByRange(shards, by).sortWithinPartitions("key")
-    got = [json.loads(r["info"]) for r in dealt.select("key", "n").mapInArrow(run, "info string").collect()]
-    return sorted(got, key=lambda s: s["lo"])
+def _kept(context: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct contexts, where each begins, and its counts less the discounts."""
+    first = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
+    return context[first], first, np.add.reduceat(n - DISCOUNT, first)
 
 
-def _codebook(values: DataFrame, column: str) -> list[float]:
-    """At most 256 levels: half are quantiles of the values, half even steps of their logarithm.
+def _add_level(spec: dict, order: int, texts: DataFrame, keys_of, contexts: int, span: int, above: list[dict], most: int, least: int, ws: Workspace) -> list[dict]:
+    """Adds a level of ``contexts`` contexts to ``spec``; returns its parts.
 
-    The quantiles fit where most values are, the steps bound the error everywhere.
+    ``above`` are the parts of the level of the contexts, ``most`` the largest count there.
     """
-    got = values.agg(F.percentile_approx(column, F.array(*[F.lit(i / 127) for i in range(128)]), F.lit(2000)).alias("q"), F.min(column).alias("lo"), F.max(column).alias("hi")).first()
-    if got["lo"] is None:
-        return [1.0]
-    return sorted({*got["q"], *np.geomspace(got["lo"], got["hi"], 127).tolist()})
-
+    if contexts * span >= 1 << 63:
+        raise ValueError(f"{contexts} contexts with {span} places each are too many for 63-bit keys: train on a part of the texts")
+    folder, cuts, end = ws.folder(f"trie-{order}"), _cuts(above, span), contexts * span
+    bound = [*cuts.tolist(), end]
+    size = _part_size(spec["total"])
 
-def _code(x: np.ndarray, book: np.ndarray) -> np.ndarray:
-    """Nearest level of a sorted codebook."""
-    at = np.clip(np.searchsorted(book, x), 1, max(1, len(book) - 1))
-    at = np.minimum(at, len(book) - 1)
-    low = np.maximum(at - 1, 0)
-    return np.where(np.abs(book[low] - x) <= np.abs(book[at] - x), low, at).astype(np.uint8)
-
-
-def _smooth(key: np.ndarray, n: np.ndarray, span: int, trie: Trie, order: int):
-    """(context, place, probability, contexts, weight) of sorted entries of whole contexts."""
-    context, place = key // span, key % span
-    uniq, first, size = np.unique(context, return_index=True, return_counts=True)
-    kept = np.add.reduceat(n - DISCOUNT, first)
-    if order == 2:
-        total = trie.words.count_of(uniq)
-        lower = trie.unigram(trie.words.count_of(place))
-    else:
-        level = trie.levels[2]
-        total = level.count(uniq)
-        lower = level.probability(level.first(level.place(uniq)).repeat(size) + place)
-    weight = np.clip((total - kept) / total, 1e-12, 1.0)
-    p = (n - DISCOUNT) / total.repeat(size) + weight.repeat(size) * lower
-    return context, place, np.minimum(p, 1.0), uniq, weight
-
-
-def _add_level(spec: dict, order: int, entries: DataFrame, contexts: int, span: int, ws: Workspace) -> None:
-    """Adds a level from ``entries(key, n)``, key = context * span + place."""
-    entries = ws.save(entries, f"level-{order}")
-    n = entries.count()
-    by_context = entries.withColumn("context", F.expr(f"key DIV {span}L"))
+    def write(part, key, n):
+        keep = n >= least
+        key, n = key[keep], n[keep]
+        if not len(key):
+            return {"n": 0}
+        lo = bound[part] // span
+        context = (key // _U(span)).astype(np.int64)
+        uniq, first, kept = _kept(context, n)
+        types = np.diff(np.append(first, len(key)))
+        ptr = np.searchsorted(context, np.arange(lo, (bound[part + 1] - 1) // span + 2))
+        uri = f"{folder}/{part:06d}"
+        _put(f"{uri}.ef", _ef("k", key - _U(bound[part])) | _ef("p", ptr))
+        _put(f"{uri}.n", _ef("c", np.concatenate([[0], np.cumsum(n)])))
+        # contexts at either end may go on in other parts
+        ends = {int(uniq[i]): [float(kept[i]), int(types[i])] for i in (0, len(uniq) - 1)}
+        return {"n": len(key), "most": int(n.max()), "types": int(types.max()), "ends": list(ends.items()), "cuts": _cut(n, size) if order == 2 else []}
+
+    found = [p for p in _by_part(texts, keys_of, cuts, write) if p["n"]]
+    offset, across = 0, {}
+    for p in found:
+        p["offset"] = offset
+        offset += p["n"]
+        for c, (kept, types) in p["ends"]:
+            have = across.get(c, (0.0, 0))
+            across[c] = (have[0] + kept, have[1] + types)
+    if not found:
+        return []
     before = dict(spec)
-
-    def smooth(table):
-        trie = Trie.open(before)
-        key, cnt = table.column("key").to_numpy(), table.column("n").to_numpy()
-        order_ = np.argsort(key, kind="stable")
-        _, _, p, uniq, weight = _smooth(key[order_], cnt[order_], span, trie, order)
-        return pa.table({"p": pa.array(np.concatenate([p, np.full(len(uniq), np.nan)])), "w": pa.array(np.concatenate([np.full(len(p), np.nan), weight]))})
-
-    def values(batches):
-        held = [b for b in batches if b.num_rows]
-        if held:
-            yield from smooth(pa.Table.from_batches(held)).to_batches()
-
-    shards = max(1, -(-n // SHARD))
-    whole = by_context.repartitionByRange(max(shards, 8), "context").select("key", "n").mapInArrow(values, "p double, w double")
-    whole = ws.save(whole, f"smoothed-{order}")
-    prob = _codebook(whole.where(~F.isnan("p")), "p")
-    # contexts without successors weigh exactly 1
-    back = sorted({*_codebook(whole.where(~F.isnan("w")), "w"), 1.0})
-    ws.drop(whole)
-    folder = ws.folder(f"trie-{order}")
-    prob_a, back_a = np.array(prob), np.array(back)
-
-    def write(key, cnt, folder):
-        trie = Trie.open(before)
-        context, place, p, uniq, weight = _smooth(key, cnt, span, trie, order)
-        lo, hi = int(context[0]), int(context[-1]) + 1
-        w = np.full(hi - lo, 1.0)
-        w[uniq - lo] = weight
-        codes = _code(w, back_a)
-        ptr = np.searchsorted(context, np.arange(lo, hi + 1))
-        uri = f"{folder}/{lo:020d}.ef"
-        arrays = _ef("k", (context - lo).astype(_U) * _U(span) + place.astype(_U)) | _ef("p", ptr) | {"q": _code(p, prob_a), "b": codes}
-        if order == 2:
-            arrays["n"] = cnt.astype(np.uint32) if cnt.max() < 1 << 32 else cnt
-        _put(uri, arrays)
-        return {"lo": lo, "n": len(key), "uri": uri}
-
-    spec[f"level{order}"] = _files(by_context, "context", folder, n, write)
-    spec[f"prob{order}"], spec[f"back{order}"], spec[f"span{order}"] = prob, back, span
-    ws.drop(entries)
+    level = {"folder": folder, "span": span, "parts": [p["part"] for p in found], "n": [p["n"] for p in found]}
+    level |= {"lo": [bound[p["part"]] for p in found], "hi": [bound[p["part"] + 1] for p in found]}
+    level["prob"], level["back"] = _steps((least - DISCOUNT) / most), _steps(min(least - DISCOUNT, DISCOUNT) / most)
+    rows = [(i, [c for c, _ in p["ends"]], [across[c][0] for c, _ in p["ends"]]) for i, p in enumerate(found)]
+
+    def finish(batches):
+        trie, here = Trie.open(before), Level(level)
+        for b in batches:
+            for r in b.to_pylist():
+                s = r["part"]
+                key = _open_ef(here.file(s), "k").decode() + here.lo[s]
+                n = np.diff(_open_ef(here.file(s, "n"), "c").decode().astype(np.int64))
+                context, place = (key // _U(span)).astype(np.int64), (key % _U(span)).astype(np.int64)
+                uniq, first, kept = _kept(context, n)
+                for c, whole in zip(r["ends"], r["kept"]):
+                    kept[np.searchsorted(uniq, c)] = whole
+                run = np.diff(np.append(first, len(key)))
+                if order == 2:
+                    total = trie.words.count_of(uniq)
+                    lower = trie.unigram(trie.words.count_of(place))
+                else:
+                    word, total = trie.levels[2].entries(uniq)
+                    mid, back = np.unique(word, return_inverse=True)
+                    lower = trie.levels[2].probability(trie.levels[2].first(mid)[back].repeat(run) + place)
+                weight = np.clip((total - kept) / total, here.back[0], 1.0)
+                p = (n - DISCOUNT) / total.repeat(run) + weight.repeat(run) * lower
+                lo, hi = level["lo"][s] // span, (level["hi"][s] - 1) // span + 1
+                codes = np.full(hi - lo, 255, dtype=np.uint8)  # contexts without successors weigh 1
+                codes[uniq - lo] = _code(weight, here.back)
+                _put(f"{folder}/{here.parts[s]:06d}.q", {"q": _code(np.minimum(p, 1.0), here.prob), "b": codes})
+                yield pa.RecordBatch.from_pylist([{"part": s}])
+
+    # one row a part: the list is as long as the level has files
+    made = ws.spark.createDataFrame(rows, "part long, ends array<long>, kept array<double>")
+    made.repartitionByRange(min(len(rows), 4096), "part").mapInArrow(finish, "part long").count()
+    spec[f"level{order}"] = level
+    most_types = max([*(p["types"] for p in found), *(t for _, t in across.values())])
+    return [p | {"most_types": most_types} for p in found]
+
+
+def _part_size(total: int) -> int:
+    return max(PART, -(-total // PARTS))
 
 
 def train(docs: DataFrame, ws: Workspace, order: int = 3, least: dict[int, int] = LEAST_COUNT) -> dict:
-    """Builds the trie of ``docs(doc_id, text)`` and returns its description: paths and totals.
+    """Builds the trie of ``docs(doc_id, text)`` and returns its description: folders, parts and totals.
 
-    N-grams of order k below the count ``least[k]`` are left out.
+    N-grams of order k below the count ``least[k]`` are left out.  Refuses texts
+    whose contexts and places do not fit 63 bits together.
     """
 
-    def word_keys(b):
-        return token_stream(b.column(1))[0]
-
     texts = docs.select("doc_id", "text")
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    groups = _groups_for(size // 6)
-    words = ws.save(_tally(texts, word_keys, 63, groups, 1), "words")
-    total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    most = _part_size(size // 4)
+    bits = max(2, min(17, int(size // 4 // most).bit_length()))
     folder = ws.folder("trie-1")
 
-    def write_words(key, cnt, folder):
-        lo = int(key[0])
-        uri = f"{folder}/{lo:020d}.ef"
-        _put(uri, _ef("k", key.astype(_U) - _U(lo)) | {"n": cnt.astype(np.uint32) if cnt.max() < 1 << 32 else cnt})
-        return {"lo": lo, "n": len(key), "uri": uri}
-
-    spec: dict = {"path": ws.path, "total": int(total), "distinct": int(distinct), "least": least[2]}
-    spec["words"] = _files(words, "key", folder, int(distinct), write_words)
-    ws.drop(words)
+    def write_words(part, key, n):
+        _put(f"{folder}/{part:06d}.ef", _ef("k", key - _U(part << (63 - bits))) | {"n": n.astype(np.uint32) if n.max() < 1 << 32 else n})
+        return {"n": len(key), "total": int(n.sum()), "most": int(n.max()), "cuts": _cut(n, most)}
+
+    cuts = np.arange(1 << bits, dtype=_U) << _U(63 - bits)
+    parts = _by_part(texts, lambda b: token_stream(b.column(1))[0], cuts, write_words)
+    total, distinct = sum(p["total"] for p in parts), sum(p["n"] for p in parts)
+    for i, p in enumerate(parts):
+        p["offset"] = sum(x["n"] for x in parts[:i])
+    spec: dict = {"path": ws.path, "total": total, "distinct": distinct}
+    spec["words"] = {"folder": folder, "parts": [p["part"] for p in parts], "n": [p["n"] for p in parts], "lo": [int(cuts[p["part"]]) for p in parts]}
     if not total or order < 2:
         return spec
 
     base = dict(spec)
-    bits2 = max(24, (int(distinct) ** 2).bit_length())
 
     def bigram_keys(b):
-        got = Trie.open(base)
-        stream, at = token_stream(b.column(1))
-        uniq, back = np.unique(stream, return_inverse=True)
-        ids, n = got.words.find(uniq)
-        ids, n = ids[back], n[back]
-        start = np.zeros(len(stream), dtype=bool)
-        start[at[:-1]] = True
-        ok = np.flatnonzero(~start[1:] & (n[1:] >= least[2]) & (n[:-1] >= least[2])) + 1
-        return (ids[ok - 1] * np.int64(distinct) + ids[ok]).astype(_U)
+        return Trie.open(base).bigrams(*token_stream(b.column(1)))[3].astype(_U)
 
-    _add_level(spec, 2, _tally(texts, bigram_keys, bits2, groups, least[2]), int(distinct), int(distinct), ws)
-    n2 = sum(s["n"] for s in spec["level2"])
-    if not n2 or order < 3:
+    two = _add_level(spec, 2, texts, bigram_keys, distinct, distinct, parts, max(p["most"] for p in parts), least[2], ws)
+    if not two or order < 3:
         return spec
 
-    two = dict(spec)
-    span3 = int(distinct)  # places are below the number of successors, which is at most that
-    bits3 = max(24, (n2 * span3).bit_length())
+    upto2, span = dict(spec), two[0]["most_types"]  # places are below the number of successors
 
     def trigram_keys(b):
-        stream, at = token_stream(b.column(1))
-        got = Trie.open(two).lookup(stream, at)
-        return (got["context"] * np.int64(span3) + got["place"]).astype(_U)
+        context, place = Trie.open(upto2).lookup(*token_stream(b.column(1)))["key"]
+        return (context * np.int64(span) + place).astype(_U)
 
-    _add_level(spec, 3, _tally(texts, trigram_keys, bits3, groups, least[3]), n2, span3, ws)
+    n2 = two[-1]["offset"] + two[-1]["n"]
+    _add_level(spec, 3, texts, trigram_keys, n2, span, two, max(p["most"] for p in two), least[3], ws)
     return spec
 
 
@@ -553,7 +579,7 @@ def score(docs: DataFrame, spec: dict) -> DataFrame:
 
     def run(batches):
         trie = Trie.open(spec)
-        for b in text_slices(batches):
+        for b in text_slices(batches, SLICE):
             stream, at = token_stream(b.column(1))
             s = trie.score(stream, at)
             n = len(at) - 1

@@ -237,14 +237,17 @@ def test_elias_fano():
         assert (e.successor(q) == np.searchsorted(v, q)).all()
 
 
-def test_language_model(spark):
-    texts = templated(300, 8) + ODD
-    got = {r["doc_id"]: r for r in ngramlm.train_and_score(docs_of(spark, texts)).collect()}
+@pytest.mark.parametrize("part, least", [(1_500_000, 1), (1_500_000, 2), (40, 1), (40, 2)])
+def test_language_model(spark, monkeypatch, part, least):
+    monkeypatch.setattr(ngramlm, "PART", part)
+    # one word that half of all tokens are, before few words: its contexts are cut into parts, some without entries
+    texts = templated(300, 8) + ODD + ["big " * 30 + "end", "big one big two " * 9] * 12
+    got = {r["doc_id"]: r for r in ngramlm.train_and_score(docs_of(spark, texts), least={2: least, 3: least}).collect()}
     toks = {i: [*words(t), "<end>\n"] for i, t in enumerate(texts)}
     train = {i: x for i, x in toks.items() if zlib.crc32(str(i).encode()) % 10}
     c1 = collections.Counter(w for x in train.values() for w in x)
-    c2 = {k: v for k, v in collections.Counter(p for x in train.values() for p in zip(x, x[1:])).items() if v >= 2}
-    c3 = {k: v for k, v in collections.Counter(p for x in train.values() for p in zip(x, x[1:], x[2:])).items() if v >= 2}
+    c2 = {k: v for k, v in collections.Counter(p for x in train.values() for p in zip(x, x[1:])).items() if v >= least}
+    c3 = {k: v for k, v in collections.Counter(p for x in train.values() for p in zip(x, x[1:], x[2:])).items() if v >= least}
     n, v, d = sum(c1.values()), len(c1), ngramlm.DISCOUNT
     k2, k3 = collections.Counter(), collections.Counter()
     for k, c in c2.items():
