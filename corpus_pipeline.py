@@ -8,7 +8,6 @@ last return the columns of ``documents``.  A table without rows passes through.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from larkspur.llm import mixing, ngramjoin, pieces, queries, secrets, toxicity
 from larkspur.llm.workspace import Workspace
@@ -20,7 +19,7 @@ TOXIC = 0.5
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents that the toxicity classifier puts at 0.5 or more."""
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), folds=5)
-    return toxicity.score(docs, model).where(F.col("toxicity") < TOXIC).drop("toxicity")
+    return toxicity.keep_clean(docs, model, TOXIC)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -28,6 +28,11 @@ def _hang(edges: DataFrame, larger: bool) -> DataFrame:
     return out.where(F.col("u") != F.col("v")).distinct()
 
 
+def _state(edges: DataFrame):
+    """Number and hash sum of the edges: equal when a round changed nothing."""
+    return edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("h")).first()
+
+
 def components(edges: DataFrame, ws: Workspace) -> DataFrame:
     """``node, root`` of every node with an edge in ``edges(u, v)``; root is the least node of its component.
 
@@ -36,14 +41,14 @@ def components(edges: DataFrame, ws: Workspace) -> DataFrame:
     """
     e = edges.where(F.col("u") != F.col("v")).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     e = ws.save(e, "edges")
+    a = _state(e)
     while True:
         # after the large star u > v holds again, since a neighbour hangs on something no larger
         big = ws.save(_hang(e, larger=True), "large-star")
         new = ws.save(_hang(big, larger=False), "small-star")
         ws.drop(big)
-        a, b = (x.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("h")).first() for x in (e, new))
         ws.drop(e)
-        e = new
+        e, (a, b) = new, (_state(new), a)
         if a == b:
             break
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .workspace import Workspace
+from .workspace import Workspace, unused
 
 WORDS = r"[^\x20\x09-\x0D]+"
 #: Digits of the order key that form a bucket: 16**3 per leaf, whatever the leaf's size.
@@ -156,11 +156,13 @@ def plan(docs: DataFrame, mix: Mix) -> DataFrame:
 
 
 def apply(docs: DataFrame, mix: Mix) -> DataFrame:
-    """``docs`` with every row as often as the mixture takes its unit; same columns."""
+    """``docs`` with every row as often as the mixture takes its unit; same columns, whatever their names."""
     names = [n for n, _ in mix.levels]
-    chosen = plan(docs, mix).where(F.col("copies") > 0).select(F.col("doc_id").alias("m_id"), *[F.col(n).alias(f"m_{n}") for n in names], "copies")
-    on = docs["doc_id"].cast("long").eqNullSafe(F.col("m_id"))
-    for n, c in mix.levels:
-        on = on & (F.coalesce(c.cast("string"), F.lit("")) == F.col(f"m_{n}"))
+    m_id, m_copies, m_copy, *m_names = unused(docs, "m_id", "m_copies", "m_copy", *[f"m_{n}" for n in names])
+    chosen = plan(docs, mix).where(F.col("copies") > 0)
+    chosen = chosen.select(F.col("doc_id").alias(m_id), F.col("copies").alias(m_copies), *[F.col(n).alias(m) for n, m in zip(names, m_names)])
+    on = docs["doc_id"].cast("long").eqNullSafe(F.col(m_id))
+    for (_, c), m in zip(mix.levels, m_names):
+        on = on & (F.coalesce(c.cast("string"), F.lit("")) == F.col(m))
     taken = docs.join(chosen.hint("shuffle_hash"), on)
-    return taken.withColumn("m_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*[taken[c] for c in docs.columns])
+    return taken.withColumn(m_copy, F.explode(F.sequence(F.lit(1), F.col(m_copies)))).drop(m_id, m_copies, m_copy, *m_names)

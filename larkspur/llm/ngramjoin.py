@@ -22,14 +22,17 @@ in the prefix leave a link possible.  Both rounds compare full sets.
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .components import components
 from .textkernel import mix, shingle_sets
-from .workspace import Workspace, text_slices
+from .workspace import Workspace, text_slices, unused
 
 TOKEN_BITS = 48
 #: A shingle in more sets than this is frequent, unless more than LISTED are: then the limit doubles.
@@ -39,7 +42,7 @@ LISTED = 2_000_000
 SEEN_BITS = 27
 WANTED_BITS = 24
 #: Shingles that a task counts before it hands them on, and about how many a counting group gets.
-FLUSH = 4_000_000
+FLUSH = 2_000_000
 GROUP = 1_500_000
 #: Sets below the first limit use frequent shingles singly; limits go up fourfold, with limit / 2 classes.
 FIRST_LIMIT = 32
@@ -89,16 +92,16 @@ def sets_of(docs: DataFrame, k: int) -> DataFrame:
 def _pack_counts(tokens: np.ndarray, bits: int):
     """(part, blob) of sorted distinct tokens with counts; blobs hold gaps at a fixed byte width."""
     tokens.sort()
-    at = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
-    n = np.minimum(np.diff(np.append(at, len(tokens))), 255).astype(np.uint8)
-    tokens = tokens[at]
-    part = (tokens >> np.uint64(TOKEN_BITS - bits)).astype(np.int64)
-    cut = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])).tolist() + [len(part)]
-    for a, b in zip(cut[:-1], cut[1:]):
-        gaps = np.diff(tokens[a:b], prepend=np.uint64(int(part[a]) << (TOKEN_BITS - bits)))
+    starts = np.arange(1 << bits, dtype=np.uint64) << np.uint64(TOKEN_BITS - bits)
+    cut = np.append(np.searchsorted(tokens, starts), len(tokens))
+    for part in np.flatnonzero(cut[1:] > cut[:-1]).tolist():  # a part at a time: scratch arrays stay small
+        own = tokens[cut[part] : cut[part + 1]]
+        at = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+        n = np.minimum(np.diff(np.append(at, len(own))), 255).astype(np.uint8)
+        gaps = np.diff(own[at], prepend=starts[part])
         width = max(1, -(-int(gaps.max()).bit_length() // 8))
         raw = gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
-        yield int(part[a]), bytes([width]) + n[a:b].tobytes() + np.ascontiguousarray(raw.T).tobytes()
+        yield part, bytes([width]) + n.tobytes() + np.ascontiguousarray(raw.T).tobytes()
 
 
 def _unpack_counts(part: int, bits: int, blob: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -117,9 +120,10 @@ def _counts(docs: DataFrame, k: int, bits: int, frequent: int) -> DataFrame:
         held, size, met = [], 0, set()
 
         def flush():
-            got = list(_pack_counts(np.concatenate(held), bits))
-            for i in range(0, len(got), 4096):
-                part, blob = zip(*got[i : i + 4096])
+            tokens = np.concatenate(held)
+            held.clear()
+            for got in itertools.batched(_pack_counts(tokens, bits), 1024):
+                part, blob = zip(*got)
                 yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(blob, pa.binary())], names=["part", "blob"])
 
         for b in text_slices(batches):
@@ -131,7 +135,7 @@ def _counts(docs: DataFrame, k: int, bits: int, frequent: int) -> DataFrame:
                     size += len(s)
             if size >= FLUSH:
                 yield from flush()
-                held, size, met = [], 0, set()
+                size, met = 0, set()
         if size:
             yield from flush()
 
@@ -368,18 +372,10 @@ def _verify(docs: DataFrame, k: int, percent: int, pairs: DataFrame, classes: Da
 # the operator ----------------------------------------------------------------------
 
 
-def join_components(docs: DataFrame, k: int = 5, percent: int = 75, frequent: int = FREQUENT) -> DataFrame:
-    """``doc_id, n_shingles, component_id, class_id`` for every row of ``docs(doc_id, text)``.
-
-    ``class_id`` is the least doc_id with the same set, ``component_id`` the least
-    one reachable by links.  A null or wordless text has no shingles, links with
-    nothing and has its own doc_id for both.  Repeated rows repeat; a null doc_id
-    takes part but is never the least unless no other is there.  An empty table
-    gives no rows; other columns are not read.
-    """
+def _joined(docs: DataFrame, k: int, percent: int, frequent: int, ws: Workspace) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, n_shingles, node`` of every row, and ``node, class_id, component_id, root`` of every set."""
     spark = docs.sparkSession
-    ws = Workspace(spark, "ngramjoin")
-    docs = docs.select("doc_id", "text")
+    docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text")
     rows = ws.save(sets_of(docs, k), "sets-of")
     some = rows.where(F.col("n_shingles") > 0)
     classes = ws.save(some.groupBy("node").agg(F.min("doc_id").alias("rep")), "classes")
@@ -450,19 +446,61 @@ def join_components(docs: DataFrame, k: int = 5, percent: int = 75, frequent: in
     roots = ws.save(components(links.union(more), ws), "roots")
     named = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = ws.save(named.join(least, "root").select("node", F.col("rep").alias("class_id"), "component_id"), "named")
+    named = ws.save(named.join(least, "root").select("node", F.col("rep").alias("class_id"), "component_id", "root"), "named")
     ws.drop(links, more, classes)
-    out = some.join(named, "node").select("doc_id", "n_shingles", "component_id", "class_id")
+    return rows, named
+
+
+def join_components(docs: DataFrame, k: int = 5, percent: int = 75, frequent: int = FREQUENT) -> DataFrame:
+    """``doc_id, n_shingles, component_id, class_id`` for every row of ``docs(doc_id, text)``.
+
+    ``class_id`` is the least doc_id with the same set, ``component_id`` the least
+    one reachable by links.  A null or wordless text has no shingles, links with
+    nothing and has its own doc_id for both.  Repeated rows repeat; a null doc_id
+    takes part but is never the least unless no other is there.  An empty table
+    gives no rows; other columns are not read.
+    """
+    rows, named = _joined(docs, k, percent, frequent, Workspace(docs.sparkSession, "ngramjoin"))
+    out = rows.where(F.col("n_shingles") > 0).join(named, "node").select("doc_id", "n_shingles", "component_id", "class_id")
     none = rows.where(F.col("n_shingles") == 0)
     return out.union(none.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id")))
 
 
-def keep_one(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
-    """``docs`` with one document of each component, the one with the least doc_id; texts without words stay.
+def keep_one(docs: DataFrame, k: int = 5, percent: int = 75, frequent: int = FREQUENT) -> DataFrame:
+    """``docs`` with one row of each component: the one with the least doc_id (null counts as the largest).
 
-    Same columns.  Rows that share a doc_id are one document and stay or go together.
+    Rows without words, null texts included, all stay.  Same columns, whatever
+    their names.  Of rows with the same doc_id and the same set, the one whose
+    text sorts first stays; rows that agree in that too differ in other columns at
+    most, and any of them stays.
     """
-    found = join_components(docs, k, percent)
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("k_id")).distinct()
-    kept = docs.join(keep.hint("shuffle_hash"), docs["doc_id"].cast("long").eqNullSafe(F.col("k_id")), "left_semi")
-    return kept
+    rows, named = _joined(docs, k, percent, frequent, Workspace(docs.sparkSession, "ngramjoin"))
+    node, n, c_node, c_id, times, l_node, l_text = unused(docs, "k_node", "k_n", "c_node", "c_id", "k_times", "l_node", "l_text")
+    rank = F.struct(F.col("class_id").isNull(), "class_id", "node")
+    chosen = named.groupBy("root").agg(F.min(rank).alias("c")).select("c.class_id", "c.node")
+    # most often a set is there once under its doc_id; only the others have to be told apart
+    count = rows.where(F.col("n_shingles") > 0).groupBy("node", F.col("doc_id").alias("r_id")).agg(F.count("*").alias("times"))
+    chosen = chosen.join(count, "node").where(F.col("class_id").eqNullSafe(F.col("r_id")))
+    chosen = chosen.select(F.col("node").alias(c_node), F.col("class_id").alias(c_id), F.col("times").alias(times))
+    tagged = _tagged(docs, k, node, n)
+    mine = (F.col(node) == F.col(c_node)) & tagged["doc_id"].cast("long").eqNullSafe(F.col(c_id))
+    marked = tagged.join(chosen.hint("shuffle_hash"), mine, "left")
+    out = marked.where((F.col(n) == 0) | (F.col(times) == 1))
+    if chosen.where(F.col(times) > 1).take(1):
+        same = marked.where(F.col(times) > 1)
+        least = same.groupBy(F.col(node).alias(l_node)).agg(F.min("text").alias(l_text))
+        same = same.join(least, (F.col(node) == F.col(l_node)) & (same["text"] == F.col(l_text)), "left_semi")
+        out = out.unionByName(same.dropDuplicates([node]))
+    return out.drop(node, n, c_node, c_id, times)
+
+
+def _tagged(docs: DataFrame, k: int, node: str, n: str) -> DataFrame:
+    """``docs`` with the fingerprint and the size of each text's set; empty sets have numbers that spread them out."""
+    ti = docs.columns.index("text")
+
+    def run(batches):
+        for b in text_slices(batches):
+            got = [(fingerprint(s) if len(s) else i, len(s)) for i, s in enumerate(shingle_sets(b.column(ti), k))]
+            yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array([x[i] for x in got], pa.int64()) for i in (0, 1))], names=[*b.schema.names, node, n])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(node, LongType()), StructField(n, LongType())]))

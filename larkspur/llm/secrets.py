@@ -28,9 +28,9 @@ BASE_KINDS = ("assign", "access", "hex")
 #: Weak parts.  A bare secret is a whole run of 32 or more base64-like characters of mixed
 #: kinds and high entropy, also after "=" or "."; a weak identifier is an id-shaped assignment.
 BARE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{32,}+={0,2}+(?![A-Za-z0-9+/_=-])")
-ENDPOINT = re.compile(r"\b(?:https?|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb(?:\+srv)?|redis|amqps?|s3)://[^\s\"'<>]{4,2048}")
+ENDPOINT = re.compile(r"\b(?:https?|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb(?:\+srv)?|redis|amqps?|s3)://[^\s\"'<>]{4,}")
 IDENT = re.compile(
-    r"""\b(?:user(?:name|_id)?|client_?id|account(?:_?id)?|access_?key(?:_?id)?|login)["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@+-]{3,128})""",
+    r"""\b(?:user(?:name|_id)?|client_?id|account(?:_?id)?|access_?key(?:_?id)?|login)["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@+-]{3,})""",
     re.IGNORECASE | re.ASCII,
 )
 #: User and password of an endpoint.

@@ -63,6 +63,18 @@ class Workspace:
                 _remove(self.spark, at)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores behind it as it takes to differ from every column of ``df``."""
+    have = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in have:
+            n += "_"
+        have.add(n.lower())
+        out.append(n)
+    return out
+
+
 def documents_of(docs: DataFrame) -> DataFrame:
     """The two columns that every text operator reads; extra columns never matter."""
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
