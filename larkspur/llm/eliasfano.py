@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 
 _U = np.uint64
@@ -9,8 +11,9 @@ _SELECT = np.zeros((256, 8), dtype=np.uint8)
 for _b in range(256):
     _at = [i for i in range(8) if _b >> i & 1]
     _SELECT[_b, : len(_at)] = _at
-#: Every so many ones and zeros of the high bits have their position stored.
+#: Every so many ones and zeros of the high bits have their position stored; ones are also summed up per so many words.
 STEP = 64
+BLOCK = 8
 
 
 def _pick(word: np.ndarray, k: np.ndarray) -> np.ndarray:
@@ -27,7 +30,7 @@ def _pick(word: np.ndarray, k: np.ndarray) -> np.ndarray:
 
 
 class EliasFano:
-    """A non-decreasing sequence: low bits packed, high bits unary, with sampled positions.
+    """A non-decreasing sequence: low bits packed, high bits unary, with sampled positions and sums.
 
     ``arrays`` gives the parts to store, ``EliasFano(*arrays)`` opens them again;
     the parts may be memory maps.
@@ -49,16 +52,17 @@ class EliasFano:
             over = np.flatnonzero(off + _U(low) > _U(64))  # at most one value runs over the end of a word
             words[w[over] + 1] |= part[over] >> (_U(64) - off[over])
         high = (v >> _U(low)).astype(np.int64) + np.arange(n)
-        size = (int(high[-1]) + 2 if n else 2) + 127 >> 6 << 6  # a word of zeros at the end
+        size = (int(high[-1]) + 2 if n else 2) + 64 * BLOCK + 63 >> 9 << 9  # whole blocks, zeros at the end
         bits = np.zeros(size, dtype=np.uint8)
         bits[high] = 1
         zeros = np.flatnonzero(bits == 0)
         kind = np.int32 if size < 1 << 31 else np.int64
-        return [np.array([n, low], dtype=np.int64), words, np.packbits(bits, bitorder="little").view(_U), high[::STEP].astype(kind), zeros[::STEP].astype(kind)]
+        sums = np.searchsorted(high, np.arange(0, size, 64 * BLOCK))
+        return [np.array([n, low], dtype=np.int64), words, np.packbits(bits, bitorder="little").view(_U), high[::STEP].astype(kind), zeros[::STEP].astype(kind), sums.astype(kind)]
 
-    def __init__(self, head, words, packed, ones, zeros):
+    def __init__(self, head, words, packed, ones, zeros, sums):
         self.n, self.low = int(head[0]), int(head[1])
-        self.words, self.packed, self.ones, self.zeros = words, packed, ones, zeros
+        self.words, self.packed, self.ones, self.zeros, self.sums = words, packed, ones, zeros, sums
         self.most = 64 * len(packed) - self.n  # zeros among the high bits: high parts run below that
 
     def _lows(self, i: np.ndarray) -> np.ndarray:
@@ -73,18 +77,23 @@ class EliasFano:
         """Position of the k-th (from 0) one or zero."""
         flip = _U(0) if bit else ~_U(0)
         pos = (self.ones if bit else self.zeros)[k // STEP].astype(np.int64)
-        k = k % STEP
+        whole, k = k, k % STEP
         w = pos >> 6
         word = (self.packed[w] ^ flip) & (~_U(0) << (pos & 63).astype(_U))
         act = np.arange(len(k))
-        while True:  # on to the word that has it
+        for step in itertools.count():  # on to the word that has it
             have = np.bitwise_count(word[act]).astype(np.int64)
             far = k[act] >= have
             act = act[far]
             if not len(act):
                 return w * 64 + _pick(word, k)
-            k[act] -= have[far]
-            w[act] += 1
+            if step == BLOCK:  # a long run of the other kind: the sums tell the block
+                upto = self.sums if bit else np.arange(len(self.sums)) * 64 * BLOCK - self.sums
+                block = np.searchsorted(upto, whole[act], side="right") - 1
+                k[act], w[act] = whole[act] - upto[block], block * BLOCK
+            else:
+                k[act] -= have[far]
+                w[act] += 1
             word[act] = self.packed[w[act]] ^ flip
 
     def get(self, i: np.ndarray) -> np.ndarray:
@@ -110,7 +119,8 @@ class EliasFano:
         gap = ~(self.packed[w] >> off | self.packed[np.minimum(w + 1, len(self.packed) - 1)] << (_U(63) - off) << _U(1))
         run = np.bitwise_count((gap & (~gap + _U(1))) - _U(1)).astype(np.int64)
         long = np.flatnonzero(run >= 63)
-        run[long] = self._select(h[long], 0) - start[long]
+        if len(long):
+            run[long] = self._select(h[long], 0) - start[long]
         lo = start - h
         end = lo + run
         hi = end.copy()

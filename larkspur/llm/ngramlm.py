@@ -7,6 +7,11 @@ of back-off weights.  A trigram's last word is not stored as a word, but as its
 place among the successors of the middle word; a query searches level 2 for both
 bigrams, then level 3 for that place under the first bigram.
 
+Successors are stored relative to their context: with a pointer a, r successors and
+places below s, the successor at place p is a * s + p * r.  That rises over all
+contexts, and as words are numbered by hash, each high part has about one value,
+whether a context has two successors or a hundred thousand.
+
 A level is cut into parts, each a range of (context, place), so that about PART
 occurrences fall into one: the counts of the level above say where.  A context
 with more occurrences than that is cut by place.  The texts' n-grams are counted
@@ -37,7 +42,7 @@ DISCOUNT = 0.75
 #: Additive constant of the unigram model, which has one word more for all unseen ones.
 ADD = 0.1
 #: Occurrences of a part, as long as there are at most PARTS of them; beyond that, parts grow.
-PART = 1_500_000
+PART = 3_000_000
 PARTS = 1 << 17
 #: Keys that a task holds before it counts them and hands them on.
 FLUSH = 4_000_000
@@ -68,7 +73,7 @@ def token_stream(column) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _tallied(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    keys = np.sort(keys)
+    keys.sort()
     at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     return keys[at], np.diff(np.append(at, len(keys)))
 
@@ -103,7 +108,9 @@ def _by_part(docs: DataFrame, keys_of, cuts: np.ndarray, write) -> list[dict]:
         held, size = [], 0
 
         def flush():
-            keys, n = _tallied(np.concatenate(held))
+            keys = np.concatenate(held)
+            held.clear()
+            keys, n = _tallied(keys)
             at = np.append(np.searchsorted(keys, cuts), len(keys))
             some = np.flatnonzero(at[1:] > at[:-1])
             for i in range(0, len(some), 256):
@@ -111,13 +118,13 @@ def _by_part(docs: DataFrame, keys_of, cuts: np.ndarray, write) -> list[dict]:
                 blob = [_pack(keys[at[p] : at[p + 1]], n[at[p] : at[p + 1]], int(cuts[p])) for p in got]
                 yield pa.RecordBatch.from_arrays([pa.array(got, pa.int64()), pa.array(blob, pa.binary())], names=["part", "blob"])
 
-        for b in text_slices(batches):
+        for b in text_slices(batches, SLICE):
             k = keys_of(b)
             held.append(k)
             size += len(k)
             if size >= FLUSH:
                 yield from flush()
-                held, size = [], 0
+                size = 0
         if size:
             yield from flush()
 
@@ -210,7 +217,7 @@ def _ef(prefix: str, values: np.ndarray) -> dict[str, np.ndarray]:
 
 
 def _open_ef(arrays: dict[str, np.ndarray], prefix: str) -> EliasFano:
-    return EliasFano(*(arrays[f"{prefix}{i}"] for i in range(5)))
+    return EliasFano(*(arrays[f"{prefix}{i}"] for i in range(6)))
 
 
 class Words:
@@ -277,6 +284,7 @@ class Level:
         # what begins there is looked up in the next part, which may hold the rest of a context
         self.lo = np.array(spec["lo"], dtype=_U)
         self.start = np.array([0, *spec["hi"][:-1]], dtype=_U)
+        self.hi = np.array(spec["hi"], dtype=_U)
         self.offset = np.concatenate([[0], np.cumsum(spec["n"])]).astype(np.int64)
         self.prob, self.back = np.array(spec["prob"]), np.array(spec["back"])
 
@@ -289,6 +297,21 @@ class Level:
         for s in np.flatnonzero(bounds[1:] > bounds[:-1]).tolist():
             yield s, slice(bounds[s], bounds[s + 1])
 
+    def places(self, s: int) -> tuple[int, int]:
+        """First place and number of places of a part: all, unless it is a piece of one context."""
+        return _places(int(self.lo[s]), int(self.hi[s]), self.span)
+
+    def _bounds(self, s: int, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pointers to the first successor and past the last, in the part, of sorted contexts."""
+        ptr = _open_ef(self.file(s), "p")
+        c = context - int(self.lo[s]) // self.span
+        fresh = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]])) if len(c) else np.zeros(0, dtype=np.int64)
+        c = c[fresh]
+        a, b = (ptr.get(np.clip(c + i, 0, ptr.n - 1)).astype(np.int64) for i in (0, 1))
+        inside = (c >= 0) & (c < ptr.n - 1)
+        times = np.diff(np.append(fresh, len(context)))
+        return a.repeat(times), np.where(inside, b, a).repeat(times)
+
     def _part_of(self, keys: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.start, keys, side="right") - 1
 
@@ -300,17 +323,20 @@ class Level:
         out = np.full(len(keys), -1, dtype=np.int64)
         keys = keys.astype(_U)
         for s, rows in self._runs(self._part_of(keys)):
-            at = _open_ef(self.file(s), "k").find(keys[rows] - self.lo[s])
-            out[rows] = np.where(at >= 0, at + self.offset[s], -1)
+            context = (keys[rows] // _U(self.span)).astype(np.int64)
+            first, size = self.places(s)
+            place = (keys[rows] - context.astype(_U) * _U(self.span)).astype(np.int64) - first
+            a, b = self._bounds(s, context)
+            some = np.flatnonzero(b > a)
+            at = _open_ef(self.file(s), "k").find(a[some] * size + place[some] * (b - a)[some])
+            out[rows.start + some] = np.where(at >= 0, at + self.offset[s], -1)
         return out
 
     def first(self, context: np.ndarray) -> np.ndarray:
         """Number of the first successor of each of the sorted contexts."""
         out = np.zeros(len(context), dtype=np.int64)
         for s, rows in self._runs(self._part_of(context.astype(_U) * _U(self.span))):
-            got = _open_ef(self.file(s), "p")
-            c = context[rows] - int(self.lo[s]) // self.span
-            out[rows] = got.get(np.clip(c, 0, got.n - 1)).astype(np.int64) + self.offset[s]
+            out[rows] = self._bounds(s, context[rows])[0] + self.offset[s]
         return out
 
     def backoff(self, context: np.ndarray) -> np.ndarray:
@@ -324,11 +350,9 @@ class Level:
         return out
 
     def probability(self, entry: np.ndarray) -> np.ndarray:
-        """Of entries in any order."""
+        """Of sorted entries."""
         code = np.zeros(len(entry), dtype=np.uint8)
-        part = self._part_of_entry(entry)
-        for s in np.flatnonzero(np.bincount(part, minlength=len(self.parts))).tolist():
-            rows = np.flatnonzero(part == s)
+        for s, rows in self._runs(self._part_of_entry(entry)):
             code[rows] = self.file(s, "q")["q"][entry[rows] - self.offset[s]]
         return self.prob[code]
 
@@ -337,11 +361,27 @@ class Level:
         place, n = np.zeros(len(entry), dtype=np.int64), np.zeros(len(entry), dtype=np.int64)
         for s, rows in self._runs(self._part_of_entry(entry)):
             i = entry[rows] - self.offset[s]
-            key = _open_ef(self.file(s), "k").get(i) + self.lo[s]
-            upto = _open_ef(self.file(s, "n"), "c")
-            place[rows], n[rows] = (key % _U(self.span)).astype(np.int64), upto.get(i + 1) - upto.get(i)
+            ptr, upto = _open_ef(self.file(s), "p"), _open_ef(self.file(s, "n"), "c")
+            c = ptr.successor(i + 1) - 1
+            a, b = (ptr.get(c + j).astype(np.int64) for j in (0, 1))
+            first, size = self.places(s)
+            key = _open_ef(self.file(s), "k").get(i).astype(np.int64)
+            place[rows], n[rows] = (key - a * size) // (b - a) + first, upto.get(i + 1) - upto.get(i)
         return place, n
 
+    def decoded(self, s: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(context, place, count) of all entries of a part."""
+        ptr = _open_ef(self.file(s), "p").decode().astype(np.int64)
+        size = np.diff(ptr)
+        context = np.repeat(np.arange(len(size)), size)
+        first, span = self.places(s)
+        place = (_open_ef(self.file(s), "k").decode().astype(np.int64) - ptr[context] * span) // size[context] + first
+        return context + int(self.lo[s]) // self.span, place, np.diff(_open_ef(self.file(s, "n"), "c").decode().astype(np.int64))
+
+
+def _places(lo: int, hi: int, span: int) -> tuple[int, int]:
+    return (lo % span, hi - lo) if lo // span == (hi - 1) // span else (0, span)
+
 
 _models: dict[str, Trie] = {}
 
@@ -374,13 +414,18 @@ class Trie:
         return ids, n, ok, ids[ok - 1] * np.int64(self.distinct) + ids[ok]
 
     def lookup(self, stream: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
-        """Ids and counts of tokens; entries of the bigrams and trigrams that end at each (-1: none)."""
+        """Ids and counts of tokens; entries of the bigrams and trigrams that end at each (-1: none).
+
+        ``found``: per order, the places looked up, the distinct entries in order, and which of them each place has.
+        """
         ids, n, ok, key = self.bigrams(stream, at)
-        out = {"ids": ids, "n": n, "two": np.full(len(stream), -1, dtype=np.int64)}
+        out = {"ids": ids, "n": n, "two": np.full(len(stream), -1, dtype=np.int64), "found": {}}
         if 2 in self.levels:
             two = out["two"]
             uniq, back = np.unique(key, return_inverse=True)
-            two[ok] = self.levels[2].find(uniq)[back]
+            got = self.levels[2].find(uniq)
+            two[ok] = got[back]
+            out["found"][2] = ok, got, back
             # a trigram needs both bigrams; its place is that of the second among the middle word's
             both = np.flatnonzero((two[1:] >= 0) & (two[:-1] >= 0)) + 1
             mid, back = np.unique(ids[both - 1], return_inverse=True)
@@ -390,7 +435,9 @@ class Trie:
             out["three"] = np.full(len(stream), -1, dtype=np.int64)
             context, place = out["key"]
             uniq, back = np.unique(context * np.int64(self.levels[3].span) + place, return_inverse=True)
-            out["three"][out["both"]] = self.levels[3].find(uniq)[back]
+            got = self.levels[3].find(uniq)
+            out["three"][out["both"]] = got[back]
+            out["found"][3] = out["both"], got, back
         return out
 
     def score(self, stream: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
@@ -405,14 +452,17 @@ class Trie:
             if k not in self.levels:
                 continue
             level, entry = self.levels[k], got[name]
-            hit = np.flatnonzero(entry >= 0)
             # only what has no entry of this order is weighed down
             lack = inner[entry[inner] < 0]
             context = got["ids"][lack - 1] if k == 2 else got["two"][lack - 1]
             some = np.flatnonzero(context >= 0)
             uniq, back = np.unique(context[some], return_inverse=True)
             p[lack[some]] *= level.backoff(uniq)[back]
-            p[hit] = level.probability(entry[hit])
+            at_, found, back = got["found"][k]
+            prob = np.zeros(len(found))
+            prob[found >= 0] = level.probability(found[found >= 0])
+            hit = np.flatnonzero(entry[at_] >= 0)
+            p[at_[hit]] = prob[back[hit]]
         sums = [np.add.reduceat(np.concatenate([x, [0.0]]), at[:-1]) if len(at) > 1 else np.zeros(0) for x in (np.log10(p1), np.log10(p), (got["n"] > 0).astype(float))]
         return {"n_tokens": np.diff(at), "n_known": sums[2].astype(np.int64), "base": sums[0], "model": sums[1]}
 
@@ -458,7 +508,9 @@ def _add_level(spec: dict, order: int, texts: DataFrame, keys_of, contexts: int,
         types = np.diff(np.append(first, len(key)))
         ptr = np.searchsorted(context, np.arange(lo, (bound[part + 1] - 1) // span + 2))
         uri = f"{folder}/{part:06d}"
-        _put(f"{uri}.ef", _ef("k", key - _U(bound[part])) | _ef("p", ptr))
+        begin, places = _places(bound[part], bound[part + 1], span)
+        place = (key - context.astype(_U) * _U(span)).astype(np.int64) - begin
+        _put(f"{uri}.ef", _ef("k", np.repeat(first * places, types) + place * np.repeat(types, types)) | _ef("p", ptr))
         _put(f"{uri}.n", _ef("c", np.concatenate([[0], np.cumsum(n)])))
         # contexts at either end may go on in other parts
         ends = {int(uniq[i]): [float(kept[i]), int(types[i])] for i in (0, len(uniq) - 1)}
@@ -485,20 +537,21 @@ def _add_level(spec: dict, order: int, texts: DataFrame, keys_of, contexts: int,
         for b in batches:
             for r in b.to_pylist():
                 s = r["part"]
-                key = _open_ef(here.file(s), "k").decode() + here.lo[s]
-                n = np.diff(_open_ef(here.file(s, "n"), "c").decode().astype(np.int64))
-                context, place = (key // _U(span)).astype(np.int64), (key % _U(span)).astype(np.int64)
+                context, place, n = here.decoded(s)
                 uniq, first, kept = _kept(context, n)
                 for c, whole in zip(r["ends"], r["kept"]):
                     kept[np.searchsorted(uniq, c)] = whole
-                run = np.diff(np.append(first, len(key)))
+                run = np.diff(np.append(first, len(n)))
                 if order == 2:
                     total = trie.words.count_of(uniq)
                     lower = trie.unigram(trie.words.count_of(place))
                 else:
                     word, total = trie.levels[2].entries(uniq)
                     mid, back = np.unique(word, return_inverse=True)
-                    lower = trie.levels[2].probability(trie.levels[2].first(mid)[back].repeat(run) + place)
+                    entry = trie.levels[2].first(mid)[back].repeat(run) + place
+                    order_ = np.argsort(entry)
+                    lower = np.empty(len(entry))
+                    lower[order_] = trie.levels[2].probability(entry[order_])
                 weight = np.clip((total - kept) / total, here.back[0], 1.0)
                 p = (n - DISCOUNT) / total.repeat(run) + weight.repeat(run) * lower
                 lo, hi = level["lo"][s] // span, (level["hi"][s] - 1) // span + 1
