@@ -173,7 +173,6 @@ def _messages(spark, sf_dir) -> DataFrame:
 
 @query("SELECT * FROM (VALUES ('id', 'long', false), ('size', 'string', true), ('tags', 'string', false), ('note', 'string', false), ('kind', 'string', false)) t(name, kind, mixed)")
 def infer_keys(spark, sf_dir):
-    # over the first thousand messages of the order that arrival is given by
     found = infer.infer(infer.parse(_messages(spark, sf_dir)), "seq")
     return spark.createDataFrame([(k.name, k.kind, k.mixed) for k in found], "name string, kind string, mixed boolean")
 
@@ -242,7 +241,31 @@ def partition_transforms(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", transforms.year(t).alias("y"), transforms.month(t).alias("m"), transforms.day(t).alias("d"), transforms.hour(t).alias("h"))
 
 
-@query()
+def _murmur_sql(value: str, source: str) -> str:
+    """Murmur3 of the 8 bytes of a whole number, step by step in 128-bit arithmetic."""
+    m, steps = "4294967296::HUGEINT", [f"s0 AS (SELECT *, 0::HUGEINT AS h, {value}::HUGEINT AS x FROM {source})"]
+
+    def step(expr: str, name: str) -> None:
+        steps.append(f"s{len(steps)} AS (SELECT * EXCLUDE ({name}), {expr} AS {name} FROM s{len(steps) - 1})")
+
+    def rotl(c: str, r: int) -> str:
+        return f"(({c} * {1 << r}) % {m} + {c} // {1 << 32 - r})"
+
+    xor = lambda a, b: f"xor({a}, {b})"
+    steps.append(f"s1 AS (SELECT *, x % {m} AS k, x // {m} AS k2 FROM s0)")
+    for k in ("k", "k2"):
+        step(f"({k} * {0xCC9E2D51}) % {m}", k)
+        step(f"({rotl(k, 15)} * {0x1B873593}) % {m}", k)
+        step(xor("h", k), "h")
+        step(f"({rotl('h', 13)} * 5 + {0xE6546B64}) % {m}", "h")
+    step(xor("h", "8::HUGEINT"), "h")
+    for shift, by in ((16, 0x85EBCA6B), (13, 0xC2B2AE35)):
+        step(f"({xor('h', f'h // {1 << shift}')} * {by}) % {m}", "h")
+    step(xor("h", f"h // {1 << 16}"), "h")
+    return "WITH " + ", ".join(steps) + f" SELECT * FROM s{len(steps) - 1}"
+
+
+@query(f"SELECT event_id, (h % 2147483648 % 16)::BIGINT AS bucket FROM ({_murmur_sql('user_id', 'events')})")
 def partition_bucket(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", transforms.bucket(F.col("user_id"), 16).alias("bucket"))
 
@@ -358,16 +381,18 @@ def schema_evolution_plan(spark, sf_dir):
 
 # catalog ---------------------------------------------------------------------------------
 
+#: Order lines as files: order, line, part and supplier tell them apart.
+FILE_ID = "(((l_orderkey * 8 + l_linenumber) * 2097152 + l_partkey) * 16384 + l_suppkey)"
 CATALOG = {
-    "snapshot": "SELECT o_orderkey AS snapshot_id, o_orderdate AS snapshot_time, o_orderkey % 5 AS schema_version FROM orders WHERE o_orderkey % 3 <> 1",
-    "data_file": "SELECT l_orderkey * 8 + l_linenumber AS data_file_id, l_suppkey % 20 AS table_id, l_orderkey AS begin_snapshot, CASE WHEN l_returnflag = 'R' THEN l_orderkey + l_partkey % 4 END AS end_snapshot, "
-    "concat('d/', cast(l_orderkey AS string), '/', cast(l_linenumber AS string)) AS path, true AS path_is_relative, l_partkey % 200 * 500000 AS file_size_bytes, l_orderkey % 900 + 1 AS record_count, l_partkey % 50 AS partition_id FROM lineitem",
-    "delete_file": "SELECT l_orderkey AS delete_file_id, l_orderkey * 8 + 1 AS data_file_id, l_suppkey % 20 AS table_id, l_orderkey AS begin_snapshot, CASE WHEN l_orderkey % 3 = 0 THEN l_orderkey + 10 END AS end_snapshot, l_partkey * 10 AS file_size_bytes FROM lineitem WHERE l_linenumber = 1 AND l_linestatus = 'F'",
-    "file_partition_value": "SELECT l_orderkey * 8 + l_linenumber AS data_file_id, l_suppkey % 20 AS table_id, i AS partition_key_index, CASE WHEN i = 0 THEN cast(2020 + l_suppkey % 5 AS string) WHEN i = 1 THEN cast(1 + l_partkey % 13 AS string) "
+    "snapshot": "SELECT o_orderkey * 2 AS snapshot_id, o_orderdate AS snapshot_time, o_orderkey % 5 AS schema_version FROM orders",
+    "data_file": f"SELECT {FILE_ID} AS data_file_id, l_suppkey % 20 AS table_id, l_orderkey * 2 - l_partkey % 2 AS begin_snapshot, CASE WHEN l_returnflag = 'R' THEN l_orderkey * 2 + l_partkey % 7 END AS end_snapshot, "
+    "concat('d/', cast(l_orderkey AS string), '/', cast(l_linenumber AS string), '-', cast(l_partkey AS string), '-', cast(l_suppkey AS string)) AS path, true AS path_is_relative, l_partkey % 200 * 500000 AS file_size_bytes, l_orderkey % 900 + 1 AS record_count, l_partkey % 50 AS partition_id FROM lineitem",
+    "delete_file": f"SELECT l_orderkey AS delete_file_id, {FILE_ID} AS data_file_id, l_suppkey % 20 AS table_id, l_orderkey * 2 AS begin_snapshot, CASE WHEN l_orderkey % 3 = 0 THEN l_orderkey * 2 + 10 END AS end_snapshot, l_partkey * 10 AS file_size_bytes FROM lineitem WHERE l_linenumber = 1 AND l_linestatus = 'F'",
+    "file_partition_value": f"SELECT {FILE_ID} AS data_file_id, l_suppkey % 20 AS table_id, i AS partition_key_index, CASE WHEN i = 0 THEN cast(2020 + l_suppkey % 5 AS string) WHEN i = 1 THEN cast(1 + l_partkey % 13 AS string) "
     "WHEN i = 2 THEN cast(1 + l_orderkey % 31 AS string) WHEN l_orderkey % 97 = 0 THEN NULL ELSE cast(l_linenumber * 3 AS string) END AS partition_value FROM lineitem CROSS JOIN (SELECT cast(r_regionkey AS bigint) AS i FROM region WHERE r_regionkey < 4) k WHERE NOT (l_orderkey % 89 = 0 AND i = 2)",
-    "file_column_stats": "SELECT l_orderkey * 8 + l_linenumber AS data_file_id, l_suppkey % 20 AS table_id, cast(l_linenumber AS bigint) AS column_id FROM lineitem",
-    "scheduled": "SELECT CASE WHEN l_orderkey % 10 = 0 THEN NULL ELSE l_orderkey * 8 + l_linenumber END AS data_file_id, CASE WHEN l_linenumber % 2 = 0 THEN concat('s3://lake/d/', cast(l_orderkey % 1000 AS string)) ELSE concat('d/', cast(l_orderkey % 1000 AS string)) END AS path, "
-    "l_linenumber % 2 <> 0 AS path_is_relative FROM lineitem WHERE l_returnflag = 'A'",
+    "file_column_stats": f"SELECT {FILE_ID} AS data_file_id, l_suppkey % 20 AS table_id, cast(l_linenumber AS bigint) AS column_id FROM lineitem",
+    "scheduled": f"SELECT CASE WHEN l_orderkey % 10 = 0 THEN NULL ELSE {FILE_ID} END AS data_file_id, CASE WHEN l_linenumber % 2 = 0 THEN concat('s3://lake/d/', cast(l_orderkey % 1000 AS string)) ELSE concat('d/', cast(l_orderkey % 1000 AS string)) END AS path, "
+    "l_linenumber % 2 <> 0 AS path_is_relative FROM lineitem",
     "lake_table": "SELECT s_suppkey % 20 + 20 * (s_suppkey % 3) AS table_id, cast(s_nationkey AS bigint) AS schema_id, s_name AS table_name, s_suppkey AS begin_snapshot, CASE WHEN s_suppkey % 4 = 0 THEN s_suppkey + 1 END AS end_snapshot FROM supplier",
     "lake_schema": "SELECT cast(n_nationkey AS bigint) AS schema_id, n_name AS schema_name, cast(NULL AS bigint) AS end_snapshot FROM nation",
     "table_stats": "SELECT CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_custkey % 90 END AS table_id, c_custkey AS record_count FROM customer",
@@ -377,7 +402,7 @@ CATALOG = {
 }
 _WITH = "WITH " + ", ".join(f"{n} AS ({s})" for n, s in CATALOG.items()) + "\n"
 _BAND = "CASE WHEN file_size_bytes < 1048576 THEN 'lt_1mib' WHEN file_size_bytes < 10485760 THEN '1_10mib' WHEN file_size_bytes < 67108864 THEN '10_64mib' ELSE 'ge_64mib' END"
-_PARTS = "SELECT data_file_id, table_id, string_agg(partition_value, '/' ORDER BY partition_key_index) AS part FROM file_partition_value GROUP BY ALL"
+_PARTS = "SELECT data_file_id, table_id, string_agg(partition_value, '/' ORDER BY partition_key_index, partition_value) AS part FROM file_partition_value GROUP BY ALL"
 _MERGEABLE = (
     f"SELECT f.table_id, part, {_BAND} AS band, count(*) AS n, sum(file_size_bytes) AS size FROM data_file f LEFT JOIN ({_PARTS}) p USING (data_file_id, table_id) "
     "WHERE f.end_snapshot IS NULL AND file_size_bytes < 67108864 AND NOT EXISTS (SELECT 1 FROM delete_file d WHERE d.data_file_id = f.data_file_id AND d.end_snapshot IS NULL) GROUP BY ALL HAVING count(*) >= 2"
@@ -414,14 +439,15 @@ for _n, _f, _s in (
     ("q_config", metrics.config, "SELECT key, coalesce(scope, 'global') AS scope, scope_id, CASE WHEN lower(value) = 'true' THEN 1 WHEN regexp_matches(value, '^[0-9]+$') THEN try_cast(value AS DOUBLE) END::DOUBLE AS value FROM metadata WHERE key <> 'version'"),
     ("dedup_queue", maintenance.dedup_queue, "SELECT path, min(data_file_id) AS data_file_id, count(*) - 1 AS dropped FROM scheduled GROUP BY path"),
     ("orphan_stats", maintenance.orphan_stats, "SELECT table_id, record_count FROM table_stats s WHERE NOT EXISTS (SELECT 1 FROM lake_table t WHERE t.end_snapshot IS NULL AND t.table_id = s.table_id)"),
-    ("compaction_backlog", maintenance.compaction_backlog, f"SELECT m.table_id, sum(n)::BIGINT AS files, sum(size)::BIGINT AS bytes, count(*) AS groups, table_name FROM (SELECT * FROM ({_MERGEABLE})) m JOIN lake_table t ON t.table_id = m.table_id AND t.end_snapshot IS NULL GROUP BY m.table_id, table_name, t.begin_snapshot"),
+    ("compaction_backlog", maintenance.compaction_backlog, f"SELECT *, row_number() OVER (ORDER BY files DESC, table_name, table_id) AS place FROM (SELECT m.table_id, sum(n)::BIGINT AS files, sum(size)::BIGINT AS bytes, count(*) AS groups, table_name FROM (SELECT * FROM ({_MERGEABLE})) m JOIN lake_table t ON t.table_id = m.table_id AND t.end_snapshot IS NULL GROUP BY m.table_id, table_name, t.begin_snapshot)"),
     ("partition_rot", maintenance.partition_rot, "SELECT data_file_id, v.table_id, bool_or(partition_value IS NULL) AS has_null, count(*) FILTER (partition_value IS NOT NULL) AS values FROM file_partition_value v JOIN (SELECT table_id, max(partition_key_index) + 1 AS w FROM file_partition_value GROUP BY 1) USING (table_id) GROUP BY data_file_id, v.table_id, w HAVING bool_or(partition_value IS NULL) OR count(*) <> w"),
+    ("live_files_by_path", lambda c: maintenance.by_path(c, "d/1%", "^d/[0-9]+/[1-3]-").select("data_file_id", "path"), "SELECT data_file_id, path FROM data_file WHERE end_snapshot IS NULL AND path LIKE 'd/1%' AND regexp_matches(path, '^d/[0-9]+/[1-3]-')"),
     ("droppable_inlined", maintenance.droppable_inlined, "SELECT table_id, schema_version, table_name FROM inlined i WHERE NOT EXISTS (SELECT 1 FROM lake_table t, (SELECT min(snapshot_id) AS lo, max(snapshot_id) AS hi FROM snapshot) WHERE t.table_id = i.table_id AND begin_snapshot <= hi AND (end_snapshot IS NULL OR end_snapshot > lo))"),
     ("keyset_page", lambda c: maintenance.keyset_page(c.inlined, "table_id", "schema_version", (5, 100), 50), "SELECT * FROM inlined WHERE (table_id, schema_version) > (5, 100) ORDER BY table_id, schema_version LIMIT 50"),
 ):
     _catalog_query(_n, _f, _s)
 
-_LISTING = "SELECT concat('s3://lake/d/', cast(l_orderkey % 1000 AS string)) AS path FROM lineitem WHERE l_orderkey % 1000 < 700"
+_LISTING = "SELECT concat('s3://lake/d/', cast(l_orderkey % 700 AS string)) AS path FROM lineitem"
 
 
 def _found(c: Catalog) -> DataFrame:
@@ -452,8 +478,8 @@ _catalog_query(
 _TIER = "CASE WHEN file_size_bytes < 1048576 THEN 'tier0' WHEN file_size_bytes < 10485760 THEN 'tier1' WHEN file_size_bytes < 67108864 THEN 'tier2' END"
 _catalog_query(
     "compaction_tiers", maintenance.compaction_bins,
-    f"SELECT table_id, part AS partition, tier, bin, count(*) AS files, sum(file_size_bytes)::BIGINT AS bytes FROM (SELECT *, floor(coalesce(sum(file_size_bytes) OVER (PARTITION BY table_id, part, tier ORDER BY data_file_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / 134217728)::BIGINT AS bin FROM "
-    f"(SELECT f.table_id, part, data_file_id, file_size_bytes, {_TIER} AS tier FROM data_file f LEFT JOIN ({_PARTS}) USING (data_file_id, table_id) WHERE f.end_snapshot IS NULL AND data_file_id NOT IN (SELECT data_file_id FROM delete_file WHERE end_snapshot IS NULL)) WHERE tier IS NOT NULL) GROUP BY ALL HAVING count(*) >= 2",
+    f"SELECT table_id, part AS partition, tier, bin, count(*) AS files, sum(file_size_bytes)::BIGINT AS bytes FROM (SELECT *, floor(coalesce(sum(file_size_bytes) OVER (PARTITION BY table_id, part, tier ORDER BY data_file_id, path ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / 134217728)::BIGINT AS bin FROM "
+    f"(SELECT f.table_id, part, data_file_id, path, file_size_bytes, {_TIER} AS tier FROM data_file f LEFT JOIN ({_PARTS}) USING (data_file_id, table_id) WHERE f.end_snapshot IS NULL AND data_file_id NOT IN (SELECT data_file_id FROM delete_file WHERE end_snapshot IS NULL)) WHERE tier IS NOT NULL) GROUP BY ALL HAVING count(*) >= 2",
 )
 _catalog_query(
     "droppable_partitions",
@@ -532,7 +558,188 @@ def stream_ingest(spark, sf_dir):
     return t.read().groupBy("event_type").agg(F.count("*").alias("n"))
 
 
+#: Polls of five sets: each names a few of ten values, every ninth one none.
+POLLS = ["user_id % 5 AS set", "cast(floor(event_id / 40) AS bigint) AS seq", "CASE WHEN cast(floor(event_id / 40) AS bigint) % 9 <> 8 THEN event_id % 10 - event_id % 3 END AS value"]
+
+
 @query()
 def include_replay(spark, sf_dir):
-    polls = _events(spark, sf_dir, "cast(floor(event_id / 500) AS bigint) AS seq", "user_id % 6 + CASE WHEN event_id > 4000 THEN 1 ELSE 0 END AS value").distinct()
-    return include.replay(polls, [1, 2, 3], [0], 3)
+    return include.replay(_events(spark, sf_dir, *POLLS), [1, 2, 3], [0], 3)
+
+
+# rules and operators whose result a table shows ------------------------------------------
+
+
+@query(f"SELECT event_id, CASE WHEN committed IS NOT NULL AND error IS NULL AND committed < low THEN low ELSE committed END AS start FROM (SELECT {', '.join(STATE)} FROM events)")
+def stale_offset_recovery_earliest(spark, sf_dir):
+    return _events(spark, sf_dir, *STATE).select("event_id", lag.recovered_offset("earliest").alias("start"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 5 = 1 THEN NULL ELSE event_type END AS value FROM events")
+def frame_decode(spark, sf_dir):
+    """Every other message in a frame of one stored block; of those, some are cut off and give null."""
+    from .sources import frames
+
+    stored = "concat(unhex('04224d18604082'), unhex(lpad(hex(octet_length(event_type)), 2, '0')), unhex('000080'), encode(event_type, 'UTF-8'), unhex('00000000'))"
+    value = f"CASE WHEN event_id % 5 = 0 THEN encode(event_type, 'UTF-8') WHEN event_id % 5 = 1 THEN substring({stored}, 1, 12) ELSE {stored} END AS value"
+    return frames.decode(_events(spark, sf_dir, "event_id", value)).select("event_id", F.decode("value", "UTF-8").alias("value"))
+
+
+@query(f"SELECT event_id, row_number() OVER (PARTITION BY user_id ORDER BY kind ASC NULLS LAST, event_id) AS pos FROM (SELECT event_id, user_id, {MAYBE_TYPE} AS kind FROM events)")
+def presort_written_order(spark, sf_dir):
+    """The order that ``presort`` leaves rows in, inside each write task."""
+    from pyspark.sql import Window
+
+    df = _events(spark, sf_dir, "event_id", "user_id", f"{MAYBE_TYPE} AS kind").repartition("user_id")
+    sorted_ = presort.presort(df, ["kind"], "event_id").withColumn("at", F.monotonically_increasing_id())
+    return sorted_.select("event_id", F.row_number().over(Window.partitionBy("user_id").orderBy("at")).cast("bigint").alias("pos"))
+
+
+_NAN = "CASE event_id % 5 WHEN 0 THEN NULL WHEN 1 THEN cast('NaN' AS double) ELSE value END"
+
+
+@query(f"SELECT event_id, row_number() OVER (PARTITION BY user_id ORDER BY v ASC NULLS LAST, event_id) AS pos FROM (SELECT event_id, user_id, {_NAN} AS v FROM events)")
+def presort_nan_placement(spark, sf_dir):
+    from pyspark.sql import Window
+
+    df = _events(spark, sf_dir, "event_id", "user_id", f"{_NAN} AS v")
+    keys, _ = presort.sort_keys(df, ["v"])
+    return df.select("event_id", F.row_number().over(Window.partitionBy("user_id").orderBy(*keys, "event_id")).cast("bigint").alias("pos"))
+
+
+@query("SELECT event_id, row_number() OVER (PARTITION BY user_id ORDER BY md5(cast(event_id AS string))) AS pos FROM events")
+def presort_uuid_order(spark, sf_dir):
+    from pyspark.sql import Window
+
+    df = coerce.pin(_events(spark, sf_dir, "event_id", "user_id", "upper(md5(cast(event_id AS string))) AS u"), [("u", "uuid")])
+    keys, _ = presort.sort_keys(df, ["u"])
+    return df.select("event_id", F.row_number().over(Window.partitionBy("user_id").orderBy(*keys)).cast("bigint").alias("pos"))
+
+
+@query(f"SELECT event_id, {_HEX} AS u, event_type AS t FROM (SELECT event_id, event_type, md5(cast(event_id AS string)) AS h FROM events)")
+def uuid_text_rewrite(spark, sf_dir):
+    """A table with a live uuid column takes texts, and one with a live text column takes uuids."""
+    df = _events(spark, sf_dir, "event_id", "concat('{', md5(cast(event_id AS string)), '}') AS u", "event_type AS t")
+    target = coerce.pin(df, [("u", "uuid")]).schema
+    return evolve.align(df, target)
+
+
+@query("SELECT event_id, event_type FROM events")
+def unwritable_columns(spark, sf_dir):
+    df = _events(spark, sf_dir, "event_id", "event_type", "user_id AS `bad name`", "1 AS `_sysrow`", f"2 AS `{'x' * 129}`")
+    return evolve.drop_unwritable(df)[0]
+
+
+@query("SELECT event_type, count(*) AS n, 1::BIGINT AS stamps FROM events GROUP BY event_type")
+def insertion_stamp(spark, sf_dir):
+    df = evolve.stamp(_events(spark, sf_dir, "event_type"))
+    return df.groupBy("event_type").agg(F.count("*").alias("n"), F.countDistinct(evolve.STAMP).alias("stamps"))
+
+
+_FLUSH = "event_id, user_id * 1000 AS pending_bytes, event_id % 4 AS records, cast(event_id % 90 AS double) AS elapsed"
+
+
+@query(f"SELECT event_id, CASE WHEN records = 0 THEN NULL WHEN pending_bytes >= 50000 THEN 'size' WHEN elapsed >= 60 THEN 'time' END AS trigger FROM (SELECT {_FLUSH} FROM events)")
+def flush_triggers(spark, sf_dir):
+    return table(spark, sf_dir, "events").selectExpr(*_FLUSH.split(", ")).select("event_id", lag.flush_due(50_000, 60.0).alias("trigger"))
+
+
+@query("SELECT event_id, least(60.0, greatest(0.1, 30.0 - event_id % 100))::DOUBLE AS timeout, event_id % 700 < 480 AS healthy, least(30.0, 0.5 * pow(2, event_id % 9))::DOUBLE AS backoff FROM events")
+def consumer_rules(spark, sf_dir):
+    n = F.col("event_id")
+    return _events(spark, sf_dir, "event_id").select(
+        n, lag.timeout_of(F.lit(30.0) - n % 100).alias("timeout"), lag.is_healthy((n % 700).cast("double")).alias("healthy"), lag.backoff_of(n % 9).alias("backoff")
+    )
+
+
+@query("SELECT event_id, json_extract(t, '$.k')::BIGINT AS k FROM (SELECT event_id, CASE event_id % 6 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 3 THEN NULL ELSE props END AS t FROM events)")
+def variant_declared(spark, sf_dir):
+    """A declared VARIANT column: empty and invalid texts are null."""
+    text = "CASE event_id % 6 WHEN 0 THEN '' WHEN 1 THEN NULL WHEN 3 THEN '{bad' ELSE props END AS t"
+    return _events(spark, sf_dir, "event_id", text).select("event_id", F.try_variant_get(variants.declared(F.col("t")), "$.k", "bigint").alias("k"))
+
+
+_MESSY = "concat('{\"id\":', cast(event_id AS string), CASE event_id % 3 WHEN 0 THEN ',\"v\":1' WHEN 1 THEN ',\"v\":null' ELSE '' END, '}') AS value"
+
+
+@query("SELECT event_id AS seq, event_id AS id, CASE WHEN event_id % 3 = 0 THEN 1::BIGINT END AS v FROM events")
+def first_non_null_type(spark, sf_dir):
+    return infer.convert(_events(spark, sf_dir, "event_id AS seq", _MESSY), "seq")
+
+
+@query("SELECT event_id, date_trunc('hour', ts - INTERVAL 30 DAY) AS cut, date_trunc('day', ts - INTERVAL 7 DAY) AS floor_cut FROM events")
+def retention_cutoffs(spark, sf_dir):
+    """A retention below a week counts as a week."""
+    t = F.col("ts").cast("timestamp")
+    cut = lambda days, grain: maintenance.retention_cutoff(t, days, grain).cast("timestamp_ntz")
+    return table(spark, sf_dir, "events").select("event_id", cut(30, "hour").alias("cut"), cut(2, "day").alias("floor_cut"))
+
+
+@query(
+    "SELECT event_id AS data_file_id, k AS partition_key_index, CASE WHEN k = 0 THEN '2024' WHEN event_id % 4 = 0 THEN NULL ELSE (event_id % 12 + 1)::VARCHAR END AS partition_value "
+    "FROM events CROSS JOIN (VALUES (0::BIGINT), (1::BIGINT)) t(k)"
+)
+def repaired_partition_values(spark, sf_dir):
+    path = "concat('data/year=2024/', CASE WHEN event_id % 4 = 0 THEN 'month=/' ELSE concat('month=', cast(event_id % 12 + 1 AS string), '/') END, 'f.parquet') AS path"
+    return maintenance.repaired_values(_events(spark, sf_dir, "event_id AS data_file_id", path), ["year", "month"])
+
+
+@query("SELECT o_orderkey AS table_id, o_orderdate AS leaf FROM orders JOIN (SELECT user_id, min(ts) AS p FROM events GROUP BY user_id) ON user_id = o_orderkey WHERE o_orderdate < p UNION ALL SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderkey NOT IN (SELECT user_id FROM events)")
+def cursor_guarded_leaves(spark, sf_dir):
+    leaves = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS table_id", "o_orderdate AS leaf")
+    return maintenance.cursor_guard(leaves, table(spark, sf_dir, "events").selectExpr("user_id AS table_id", "ts AS position"))
+
+
+# maintenance that is applied ---------------------------------------------------------------
+
+
+def _lake(spark, rows: DataFrame, spec: str = "", parts: int = 3):
+    """A table that ``rows(event_id, ...)`` went into by several appends."""
+    from .sources.lake import LakeTable
+
+    t = LakeTable(spark, _scratch(spark))
+    t.create(rows.schema, spec=spec)
+    for i in range(parts):
+        t.append(rows.where(F.pmod("event_id", F.lit(parts)) == i), f"part-{i}")
+    return t
+
+
+@query("SELECT event_type, count(*) AS n, sum(user_id)::BIGINT AS users, true AS fewer_files FROM events GROUP BY event_type")
+def compaction_applied(spark, sf_dir):
+    """Appended in parts, merged by partition: the rows stay, the files get fewer."""
+    t = _lake(spark, _events(spark, sf_dir, "event_id", "user_id", "event_type"), "event_type")
+    before = len(t.snapshot().files)
+    maintenance.compact(t)
+    fewer = len(t.snapshot().files) < before
+    return t.read().groupBy("event_type").agg(F.count("*").alias("n"), F.sum("user_id").alias("users")).withColumn("fewer_files", F.lit(fewer))
+
+
+@query("SELECT count(*) AS n, sum(user_id)::BIGINT AS users, true AS gone FROM events")
+def expiry_applied(spark, sf_dir):
+    """After a merge, files that only older snapshots see are deleted; the newest snapshot reads as before."""
+    t = _lake(spark, _events(spark, sf_dir, "event_id", "user_id", "event_type"), "event_type")
+    maintenance.compact(t)
+    dead = maintenance.expire(t)
+    left = {r["path"].rpartition("/data/")[2] for r in maintenance.listing(spark, f"{t.root}/data").select("path").collect()}
+    gone = bool(dead) and not any(p.removeprefix("data/") in left for p in dead)
+    return t.read().agg(F.count("*").alias("n"), F.sum("user_id").alias("users")).withColumn("gone", F.lit(gone))
+
+
+@query("SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n FROM events WHERE ts >= (SELECT date_trunc('day', min(ts)) + INTERVAL 10 DAY FROM events) GROUP BY 1")
+def retention_applied(spark, sf_dir):
+    """Whole day partitions up to the tenth day go in one commit."""
+    events = table(spark, sf_dir, "events").selectExpr("event_id", "cast(ts AS timestamp) AS ts")
+    t = _lake(spark, events, "day(ts)", 2)
+    cut = events.agg((F.date_trunc("day", F.min("ts")) + F.expr("INTERVAL 10 DAY")).alias("c")).first()["c"]
+    maintenance.drop_partitions(t, "ts", cut)
+    return t.read().groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT 1::BIGINT AS strays, count(*) AS n FROM events")
+def cleanup_applied(spark, sf_dir):
+    """A data file that no commit names is found by listing and deleted; committed ones stay."""
+    t = _lake(spark, _events(spark, sf_dir, "event_id", "user_id"), parts=2)
+    spark.range(5).coalesce(1).write.parquet(f"{t.root}/data/stray")
+    found = maintenance.cleanup(t, F.current_timestamp() + F.expr("INTERVAL 1 HOUR"))
+    again = maintenance.cleanup(t, F.current_timestamp() + F.expr("INTERVAL 1 HOUR"))
+    return found.unionByName(again).agg(F.count("*").alias("strays")).crossJoin(t.read().agg(F.count("*").alias("n")))

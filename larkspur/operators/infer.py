@@ -8,7 +8,7 @@ aggregate finds keys and types, one projection builds the columns.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -27,7 +27,8 @@ def parse(rows: DataFrame, value: str = "value") -> DataFrame:
     text = F.col(value).cast("string")
     # the parser stops at the end of the first value, so what follows an object must be blank
     v = F.when(text.rlike(r"^\s*\{(?s:.*)\}\s*$"), F.try_parse_json(text))
-    return rows.withColumn("rec", v).withColumn("rec", F.when(F.expr("schema_of_variant(rec)").startswith("OBJECT"), F.col("rec")))
+    # what parses and stands in braces is an object
+    return rows.withColumn("rec", v)
 
 
 def _kind(schema: Column) -> Column:
@@ -68,9 +69,14 @@ def infer(parsed: DataFrame, seq: str) -> list[Key]:
     return out
 
 
-def _field(name: str) -> Column:
+def _once(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(value)`` with ``value`` computed once, however often ``f`` names it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def _field(rec: Column, name: str) -> Column:
     path = '$["' + name.replace("\\", "\\\\").replace('"', '\\"') + '"]'
-    return F.try_variant_get("rec", path, "variant")
+    return F.try_variant_get(rec, path, "variant")
 
 
 def python_text(v: Column) -> Column:
@@ -101,25 +107,31 @@ def build(parsed: DataFrame, keys: Sequence[Key], json_text: Sequence[str] = ())
     """The typed columns of the parsed records, after all columns but ``rec``.
 
     Columns in ``json_text`` hold every value as JSON text, strings as they are.
+    A record is parsed once a row: it is the one element of an array that the
+    columns are made from.
     """
-    cols = []
-    for k in keys:
-        v = _field(k.name)
-        if k.name in json_text:
-            kind = F.schema_of_variant(v)
-            c = F.when(kind == "STRING", F.try_variant_get(v, "$", "string")).when(kind != "VOID", F.to_json(v))
-        elif k.mixed:
-            c = python_text(v)
-        elif k.kind == "string":
+
+    def typed(k: Key, v: Column) -> Column:
+        if k.name in json_text or k.kind == "string" and not k.mixed:
             kind = F.schema_of_variant(v)
-            c = F.when(kind == "STRING", F.try_variant_get(v, "$", "string")).when(kind != "VOID", F.to_json(v))
-        elif k.kind == "double":
-            c = F.when(F.schema_of_variant(v) == "BOOLEAN", F.try_variant_get(v, "$", "boolean").cast("double")).otherwise(F.try_variant_get(v, "$", "double"))
-        else:
-            c = F.try_variant_get(v, "$", "bigint" if k.kind == "long" else k.kind)
-        cols.append(c.alias(k.name))
+            return F.when(kind == "STRING", F.try_variant_get(v, "$", "string")).when(kind != "VOID", F.to_json(v))
+        if k.mixed:
+            return python_text(v)
+        if k.kind == "double":
+            return F.when(F.schema_of_variant(v) == "BOOLEAN", F.try_variant_get(v, "$", "boolean").cast("double")).otherwise(F.try_variant_get(v, "$", "double"))
+        return F.try_variant_get(v, "$", "bigint" if k.kind == "long" else k.kind)
+
+    def record(rec: Column) -> Column:
+        def column(k: Key) -> Column:
+            return _once(_field(rec, k.name), lambda v: typed(k, v)).alias(k.name)
+
+        return F.struct(*map(column, keys))
+
     kept = [F.col(c) for c in parsed.columns if c != "rec" and c not in {k.name for k in keys}]
-    return parsed.where(F.col("rec").isNotNull()).select(*kept, *cols)
+    if not keys:
+        return parsed.where(F.col("rec").isNotNull()).select(*kept)
+    one = F.filter(F.array("rec"), lambda r: r.isNotNull())
+    return parsed.select(*kept, F.inline(F.transform(one, record)))
 
 
 def convert(rows: DataFrame, seq: str, value: str = "value", json_text: Sequence[str] = ()) -> DataFrame:

@@ -70,9 +70,15 @@ def _ranked(values: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     slot = lambda x: F.floor(x / F.lit(RANK_WIDTH)).cast("long")
     rows = ids.groupBy(slot(F.col("id")).alias("slot")).agg(F.sort_array(F.collect_list("id")).alias("ids"))
     asked = values.select(slot(F.col(column)).alias("slot")).distinct()
-    both = rows.join(asked, "slot", "full_outer")
-    before = Window.orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-    table = both.withColumn("before", F.coalesce(F.sum(F.coalesce(F.size("ids"), F.lit(0))).over(before), F.lit(0)))
+    both = rows.join(asked, "slot", "full_outer").withColumn("n", F.coalesce(F.size("ids"), F.lit(0)))
+    # prefix sums in two steps: inside runs of RANK_WIDTH slots, and over the runs, of which there is one row a million ids
+    both = both.withColumn("run", slot(F.col("slot")))
+    runs = both.groupBy("run").agg(F.sum("n").alias("run_n"))
+    upto = Window.orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select("run", F.coalesce(F.sum("run_n").over(upto), F.lit(0)).alias("run_before"))
+    before = Window.partitionBy("run").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    table = both.withColumn("inner_before", F.coalesce(F.sum("n").over(before), F.lit(0))).join(runs, "run")
+    table = table.select("slot", "ids", (F.col("run_before") + F.col("inner_before")).alias("before"))
     out = values.withColumn("slot", slot(F.col(column))).join(table, "slot", "left")
     inside = F.when(F.col("ids").isNotNull(), F.size(F.filter("ids", lambda x: x < F.col(column)))).otherwise(0)
     return out.withColumn("rank", F.col("before") + inside).drop("slot", "ids", "before")
@@ -92,7 +98,10 @@ def dead_files(c: Catalog, expired: DataFrame) -> DataFrame:
 def compaction_backlog(c: Catalog) -> DataFrame:
     """Tables with partitions of two or more small files, most files first."""
     per = mergeable(c).groupBy("table_id").agg(F.sum("n").cast("long").alias("files"), F.sum("size").cast("long").alias("bytes"), F.count("*").alias("groups"))
-    return per.join(live(c.lake_table).select("table_id", "table_name"), "table_id")
+    named = per.join(live(c.lake_table).select("table_id", "table_name"), "table_id")
+    # one row a table with something to merge: a short list, numbered as a run takes it on
+    order = Window.orderBy(F.desc("files"), "table_name", "table_id")
+    return named.withColumn("place", F.row_number().over(order).cast("long")).orderBy("place")
 
 
 def tier(size: Column) -> Column:
@@ -102,14 +111,18 @@ def tier(size: Column) -> Column:
     return out
 
 
-def compaction_bins(c: Catalog, target: int = TARGET) -> DataFrame:
-    """``table_id, partition, tier, bin, files, bytes``: runs of files that make one output of about ``target``."""
+def binned(c: Catalog, target: int = TARGET) -> DataFrame:
+    """Small live files without live deletes, with ``partition, tier, bin``."""
     deleted = live(c.delete_file).select("data_file_id").distinct()
     files = live(c.data_file).join(deleted, "data_file_id", "left_anti").join(partition_of(c), ["data_file_id", "table_id"], "left")
     files = files.withColumn("tier", tier(F.col("file_size_bytes"))).where(F.col("tier").isNotNull())
-    run = Window.partitionBy("table_id", "partition", "tier").orderBy("data_file_id").rowsBetween(Window.unboundedPreceding, -1)
-    bins = files.withColumn("bin", F.floor(F.coalesce(F.sum("file_size_bytes").over(run), F.lit(0)) / F.lit(target)).cast("long"))
-    out = bins.groupBy("table_id", "partition", "tier", "bin").agg(F.count("*").alias("files"), F.sum("file_size_bytes").cast("long").alias("bytes"))
+    run = Window.partitionBy("table_id", "partition", "tier").orderBy("data_file_id", "path").rowsBetween(Window.unboundedPreceding, -1)
+    return files.withColumn("bin", F.floor(F.coalesce(F.sum("file_size_bytes").over(run), F.lit(0)) / F.lit(target)).cast("long"))
+
+
+def compaction_bins(c: Catalog, target: int = TARGET) -> DataFrame:
+    """``table_id, partition, tier, bin, files, bytes``: runs of files that make one output of about ``target``."""
+    out = binned(c, target).groupBy("table_id", "partition", "tier", "bin").agg(F.count("*").alias("files"), F.sum("file_size_bytes").cast("long").alias("bytes"))
     return out.where(F.col("files") >= 2)
 
 
@@ -138,6 +151,14 @@ def partition_rot(c: Catalog) -> DataFrame:
     return per.where(F.col("has_null") | ~F.col("have").eqNullSafe(want)).select("data_file_id", "table_id", "has_null", F.size("have").cast("long").alias("values"))
 
 
+def by_path(c: Catalog, like: str | None = None, pattern: str | None = None) -> DataFrame:
+    """Live data files whose path fits a LIKE and a regular expression, where given."""
+    files = live(c.data_file)
+    if like is not None:
+        files = files.where(F.col("path").like(like))
+    return files if pattern is None else files.where(F.col("path").rlike(pattern))
+
+
 def repaired_values(paths: DataFrame, names: list[str]) -> DataFrame:
     """Partition values read from ``path`` folders ``name=value``, as ``data_file_id, partition_key_index, partition_value``."""
     found = [F.nullif(F.regexp_extract("path", f"(?:^|/){n}=([^/]*)/", 1), F.lit("")) for n in names]
@@ -214,10 +235,93 @@ class AdvisoryLock:
         os.unlink(self.path)
 
 
-def expire(table, keep_last: int = 1) -> list[str]:
-    """Deletes files of a lake table that only snapshots before the last ``keep_last`` see."""
+# applied to a lake table ---------------------------------------------------------------
+
+
+def expire(table, keep_last: int = 1, batch: int = 256) -> list[str]:
+    """Deletes files of a lake table that only snapshots before the last ``keep_last`` see.
+
+    Files go in batches, whose size halves when one fails and doubles after ten
+    clean ones; one that cannot go even alone is passed over and stays in the log.
+    """
     versions = table.versions()
     oldest = versions[-keep_last:][0]
     gone = [f[0] for f in table.file_rows() if f[2] is not None and f[2] <= oldest]
-    table.delete_files(gone)
-    return gone
+    done, at, size, clean = [], 0, batch, 0
+    while at < len(gone):
+        some = gone[at : at + size]
+        try:
+            table.delete_files(some)
+            failed = False
+        except Exception:  # noqa: BLE001 - whatever the store says, smaller batches find the file
+            failed = True
+        if not failed or len(some) == 1:
+            done += [] if failed else some
+            at += len(some)
+        size, clean = halving(size, failed, clean, batch)
+    return done
+
+
+def drop_partitions(table, column: str, cutoff, cursors: DataFrame | None = None, attempts: int = 5) -> int:
+    """Removes the files of whole day partitions of ``column`` that end by ``cutoff`` in one commit; how many.
+
+    ``cursors(position)``: no partition goes that a reader has not passed.  A
+    partition without a value stays.  Where another writer commits first, the plan
+    is made anew from what is live then.
+    """
+    from datetime import date, timedelta
+
+    from ..operators.partition import parse_spec
+    from ..sources.lake import CommitConflict
+
+    last = cutoff if cursors is None else min([cutoff, *(r[0] for r in cursors.agg(F.min("position")).collect() if r[0] is not None)])
+    for attempt in range(attempts):
+        s = table.snapshot()
+        names = [f.name for f in parse_spec(s.spec)] if s.spec else []
+        if f"{column}_day" not in names:
+            raise ValueError(f"the table is not partitioned by day({column})")
+        i = names.index(f"{column}_day")
+        ends = lambda f: date(1970, 1, 1) + timedelta(days=int(f["values"][i]) + 1)
+        gone = [p for p, f in s.files.items() if f["values"][i] is not None and ends(f) <= last.date()]
+        if not gone:
+            return 0
+        try:
+            table.replace(gone, [])
+            return len(gone)
+        except CommitConflict:
+            if attempt + 1 == attempts:
+                raise
+    return 0
+
+
+def compact(table, target: int = TARGET, budget: int = 1 << 40, outputs: int = 1000) -> int:
+    """Merges the small files of each partition as :func:`compaction_bins` deals them, within a budget; how many outputs."""
+    from .catalog import from_table
+
+    c = from_table(table)
+    plan = within_budget(compaction_bins(c, target), budget, outputs).select("partition", "tier", "bin")
+    plan = plan.withColumnsRenamed({"partition": "p", "tier": "t", "bin": "b"})
+    same = F.col("partition").eqNullSafe(F.col("p")) & (F.col("tier") == F.col("t")) & (F.col("bin") == F.col("b"))
+    files = binned(c, target).join(plan, same, "left_semi")
+    groups = files.groupBy("partition", "tier", "bin").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()  # one row an output, within the budget
+    return table.compact([r["paths"] for r in groups])
+
+
+def listing(spark, root: str) -> DataFrame:
+    """``path, bytes, modified`` of every Parquet file below ``root``; contents are not read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(root)
+    return found.select("path", F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
+
+
+def cleanup(table, older_than: Column) -> DataFrame:
+    """Deletes data files that no commit names and that are older than ``older_than``; returns their paths.
+
+    Executors list, compare and delete: the log's paths are an equality anti-join.
+    """
+    known = table.spark.createDataFrame([(f[0],) for f in table.file_rows()], "path string")
+    inside = F.regexp_extract("path", "/(data/.*)$", 1)
+    stray = listing(table.spark, f"{table.root}/data").where(F.col("modified") < older_than).withColumn("path", inside)
+    stray = stray.join(known, "path", "left_anti").select("path", "bytes")
+    found = table.spark.createDataFrame(stray.collect(), stray.schema)  # one row a stray file
+    table.delete_files([r["path"] for r in found.select("path").toLocalIterator()])
+    return found

@@ -47,8 +47,9 @@ def files_per_band(c: Catalog) -> DataFrame:
 
 
 def partition_of(c: Catalog) -> DataFrame:
-    """``data_file_id, table_id, partition``: values joined by slashes in key order."""
-    joined = F.expr("listagg(partition_value, '/') WITHIN GROUP (ORDER BY partition_key_index)")
+    """``data_file_id, table_id, partition``: values joined by slashes in key order, those of one key by value."""
+    pairs = F.array_sort(F.collect_list(F.when(F.col("partition_value").isNotNull(), F.struct("partition_key_index", "partition_value"))))
+    joined = F.when(F.count("partition_value") > 0, F.array_join(F.transform(pairs, lambda x: x["partition_value"]), "/"))
     return c.file_partition_value.groupBy("data_file_id", "table_id").agg(joined.alias("partition"))
 
 

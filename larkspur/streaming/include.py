@@ -1,9 +1,12 @@
 """A polled allowlist: additions at once, removals after repeated absence, refusals.
 
-A poll is refused as ``empty`` if it names nothing, as ``type_flip`` if its values
-are of another kind, as ``bulk_removal`` if it would end more than
-max(1, managed // 2) values; additions of a bulk refusal still apply.  Pinned
-values never go.
+A value goes when ``polls`` accepted polls in a row lack it; pinned values never go.
+A poll is refused as ``type_flip`` if its values are of another kind than those
+held, as ``empty`` if it names nothing while there is anything that polls govern
+(or nothing is held at all), and as ``bulk_removal`` if it would end more than
+max(1, managed // 2) of several managed values at once.  Managed are the values
+held but for pins that the poll does not name.  A refused poll counts towards no
+removal; the additions of a bulk refusal still apply.
 """
 
 from __future__ import annotations
@@ -35,25 +38,23 @@ class IncludeSet:
         """Takes in one poll; returns ``added, removed, refused``."""
         new = set(values)
         self.last_polled = new | self.pins
-        if not new:
-            return {"added": set(), "removed": set(), "refused": "empty"}
-        if len({type(v) for v in new} | ({self._kind()} if self._kind() else set())) > 1:
+        if len({type(v) for v in new} | ({self._kind()} if new and self._kind() else set())) > 1:
             return {"added": set(), "removed": set(), "refused": "type_flip"}
+        if not new and (self.served - self.pins or not self.pins):
+            return {"added": set(), "removed": set(), "refused": "empty"}
         added = new - self.served
-        managed = self.served - self.pins
-        gone = managed - new
-        if len(gone) > max(1, len(managed) // 2) and len(managed) > 1:
-            if not self.shadow:
-                self.served |= added
-            for v in new:
-                self.absent.pop(v, None)
-            return {"added": added, "removed": set(), "refused": "bulk_removal"}
-        self.absent = {v: self.absent.get(v, 0) + 1 for v in gone}
-        removed = {v for v, n in self.absent.items() if n >= self.polls}
+        missed = {v: self.absent.get(v, 0) + 1 for v in self.served - new - self.pins}
+        removed = {v for v, n in missed.items() if n >= self.polls}
+        kept = (self.served | added | self.pins) - removed
+        if self.served and not kept:
+            return {"added": set(), "removed": set(), "refused": "empty"}
+        managed = self.served - (self.pins - new)
+        bulk = len(managed) > 1 and len(removed) > max(1, len(managed) // 2)
         if not self.shadow:
-            self.served = (self.served | added) - removed
-        for v in removed:
-            self.absent.pop(v, None)
+            self.served = self.served | added | self.pins if bulk else kept
+        if bulk:
+            return {"added": added, "removed": set(), "refused": "bulk_removal"}
+        self.absent = {v: n for v, n in missed.items() if v not in removed}
         return {"added": added, "removed": removed, "refused": None}
 
     def diff(self) -> tuple[int, int]:
@@ -62,21 +63,23 @@ class IncludeSet:
 
 
 def replay(polls, initial: Iterable, pins: Iterable = (), need: int = 3):
-    """``polls(seq, value)`` replayed in order: ``seq, served, added, removed, refused`` per poll.
+    """``polls(set, seq, value)`` replayed in order: ``set, seq, served, added, removed, refused`` per poll.
 
-    The polls of one set are few; they are replayed in one group of their own.
+    A poll that names nothing has one row with a null value.  Each set is a group of
+    its own, with one row a poll and the set's values in a list.
     """
     initial, pins = list(initial), list(pins)
 
-    def run(pdf):
+    def run(key, pdf):
         import pandas as pd
 
         state, out = IncludeSet(initial, pins, need), []
-        for seq, g in pdf.sort_values("seq").groupby("seq"):
-            r = state.poll([int(v) for v in g["value"].dropna()])
-            out.append((seq, len(state.served), len(r["added"]), len(r["removed"]), r["refused"]))
-        return pd.DataFrame(out, columns=["seq", "served", "added", "removed", "refused"])
+        for p in pdf.sort_values("seq").itertuples():
+            r = state.poll([int(v) for v in p.values])
+            out.append((key[0], p.seq, len(state.served), len(r["added"]), len(r["removed"]), r["refused"]))
+        return pd.DataFrame(out, columns=["set", "seq", "served", "added", "removed", "refused"])
 
     from pyspark.sql import functions as F
 
-    return polls.groupBy(F.lit(0).alias("set")).applyInPandas(run, "seq long, served long, added long, removed long, refused string")
+    per = polls.groupBy("set", "seq").agg(F.collect_set("value").alias("values"))
+    return per.groupBy("set").applyInPandas(run, "set long, seq long, served long, added long, removed long, refused string")

@@ -63,6 +63,25 @@ def flush_trigger(pending_bytes: int, records: int, elapsed: float, size: int, i
     return "size" if pending_bytes >= size else "time" if elapsed >= interval else None
 
 
+def flush_due(size: int, interval: float) -> Column:
+    """:func:`flush_trigger` over ``pending_bytes, records, elapsed``."""
+    due = F.when(F.col("pending_bytes") >= size, "size").when(F.col("elapsed") >= interval, "time")
+    return F.when(F.col("records") > 0, due)
+
+
+def timeout_of(remaining: Column) -> Column:
+    return F.least(F.lit(60.0), F.greatest(F.lit(0.1), remaining))
+
+
+def is_healthy(last_poll_age: Column, limit: float = 480.0) -> Column:
+    return last_poll_age < limit
+
+
+def backoff_of(attempt: Column, base: float = 0.5, cap: float = 30.0) -> Column:
+    """:func:`backoff` without jitter."""
+    return F.least(F.lit(cap), F.lit(base) * F.pow(F.lit(2.0), attempt))
+
+
 def final_flush(records: int, permanent_failure: bool) -> str:
     return "none" if not records else "skip" if permanent_failure else "flush"
 

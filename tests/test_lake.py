@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,13 +122,41 @@ def test_include_set():
     for _ in range(2):
         assert not s.poll([1, 2, 3])["removed"]
     assert s.poll([1, 2, 3])["removed"] == {4} and 9 in s.served
-    r = s.poll([7])
-    assert r["refused"] == "bulk_removal" and r["added"] == {7} and {1, 7, 9} <= s.served
+    # absences add up; only what three polls in a row lack would go, and more than half of what is managed may not
+    assert s.poll([7]) == {"added": {7}, "removed": set(), "refused": None} and s.poll([7, 8])["refused"] is None
+    assert s.poll([])["refused"] == "empty"
+    r = s.poll([6])
+    assert r["refused"] == "bulk_removal" and r["added"] == {6} and s.served == {1, 2, 3, 6, 7, 8, 9}
+    # a refused poll charged nothing: the counts stand where they stood, and one absence more is refused anew
+    assert s.absent == {1: 2, 2: 2, 3: 2} and s.poll([6, 7, 8])["removed"] == {1, 2, 3}
+    pair = include.IncludeSet([1, 2], polls=1)
+    assert pair.poll([1])["removed"] == {2} and pair.poll([5])["removed"] == {1}
+    pinned = include.IncludeSet([], pins=[4], polls=1)
+    assert pinned.poll([])["refused"] is None and pinned.served == {4}
+    assert include.IncludeSet([], polls=1).poll([])["refused"] == "empty"
+    # pins that a poll names count as managed, others do not
+    held = include.IncludeSet([1, 2, 3], pins=[10, 11], polls=1)
+    assert held.poll([3, 10, 11])["removed"] == {1, 2}
+    assert include.IncludeSet([1, 2, 3], pins=[10, 11], polls=1).poll([3])["refused"] == "bulk_removal"
     shadow = include.IncludeSet([1], shadow=True)
     shadow.poll([1, 2])
     assert shadow.served == {1} and shadow.diff() == (1, 0)
 
 
+def test_include_replay_equals_polling_by_hand(spark):
+    rng = random.Random(3)
+    rows, want = [], []
+    for key in range(4):
+        state = include.IncludeSet([1, 2, 3], [0], 2)
+        for seq in range(30):
+            polled = sorted(rng.sample(range(8), rng.randint(0, 5)))
+            rows += [(key, seq, v) for v in polled] or [(key, seq, None)]
+            r = state.poll(polled)
+            want.append((key, seq, len(state.served), len(r["added"]), len(r["removed"]), r["refused"]))
+    got = include.replay(spark.createDataFrame(rows, "set long, seq long, value long").repartition(3), [1, 2, 3], [0], 2)
+    assert sorted(map(tuple, got.collect())) == want and {w[-1] for w in want} == {None, "empty", "bulk_removal"}
+
+
 def test_retention_rules(spark):
     leaf = maintenance.leaf_time(F.lit("2024"), F.lit("2"), F.lit("31"), F.lit("1"))
     cut = maintenance.retention_cutoff(F.lit("2024-03-10 05:30:00").cast("timestamp"), 1)
