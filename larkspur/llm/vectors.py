@@ -28,8 +28,3 @@ def unit(x: np.ndarray) -> np.ndarray:
     """Rows scaled to length 1; scaling by the largest component first keeps extreme values finite."""
     x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
-
-
-def most_common_length(rows: DataFrame) -> int:
-    got = rows.groupBy(F.size("vec").alias("n")).agg(F.count("*").alias("c")).orderBy(F.desc("c"), "n").first()
-    return got["n"] if got else 0
