@@ -545,6 +545,89 @@ def test_binary_code_bounds_hold():
 # 10 ----------------------------------------------------------------------------------
 
 
+def naive_grams(text, bits):
+    """Buckets of a text's n-grams, one character at a time."""
+    lane = [int(x) for x in toxicity._LANE[:3]]
+    out = []
+    for w in re.findall("[0-9a-z\u00c0-\u1fff\u2070-\u2fff\u3001-\U0010ffff]+", text.lower()):
+        w = f"<{w}>"
+        for n in toxicity.SIZES:
+            for i in range(len(w) - n + 1):
+                h = 0
+                for c in w[i : i + n]:
+                    h = (h * lane[0] + (ord(c) ^ lane[1]) * lane[2]) % 2**64
+                out.append(int(textkernel.mix(np.array([(h + n) % 2**64], dtype=np.uint64))[0]) >> (64 - bits))
+    return out
+
+
+def test_toxicity_scores_and_gradients_by_force(monkeypatch):
+    texts = ["An idiot, an IDIOT!", "", "ü öäß\u3000x\u2028y", "a b", "word " * 50, "x" * 3000, "\n\n a1\nb2 \n"]
+    keys, at = toxicity.ngram_buckets(texts)
+    for t, a, b in zip(texts, at[:-1], at[1:]):
+        assert sorted(keys[a:b].tolist()) == sorted(naive_grams(t, toxicity.BUCKET_BITS))
+    odds = np.random.default_rng(1).standard_normal(1 << toxicity.BUCKET_BITS).astype(np.float32)
+    got = toxicity.Model(odds, 0.3).score([*texts, None])
+    for t, s in zip([*texts, ""], got):
+        g = naive_grams(t, toxicity.BUCKET_BITS)
+        assert s == pytest.approx(1 / (1 + math.exp(-(sum(float(odds[k]) for k in g) / (len(g) + toxicity.PRIOR) + 0.3))), rel=1e-6)
+
+    monkeypatch.setattr(toxicity, "BUCKET_BITS", 7)
+    m = toxicity.SubwordSoftmax()
+    m.table, m.weight, m.bias = (np.random.default_rng(2).standard_normal(a.shape) for a in (m.table, m.weight, m.bias))
+    keys, at = toxicity.ngram_buckets(texts)
+    y = np.array([1, 0, 0, 1, 0, 1, 1])
+
+    def loss():
+        total = 0.0
+        for a, b, c in zip(at[:-1], at[1:], y):
+            z = m.table[keys[a:b]].sum(axis=0) / (b - a + toxicity.PRIOR) @ m.weight + m.bias
+            total += math.log(np.exp(z - z[c]).sum())
+        return total / len(y)
+
+    bucket, dw, db = m.gradients(keys, np.diff(at), y)
+    de = bucket[:, None] * (m.weight[:, 1] - m.weight[:, 0])
+    for array, grad in ((m.table, de), (m.weight, dw), (m.bias, db)):
+        for i in np.random.default_rng(3).integers(0, array.size, 12):
+            at_i = np.unravel_index(i, array.shape)
+            keep = array[at_i]
+            array[at_i] = keep + 1e-5
+            up = loss()
+            array[at_i] = keep - 1e-5
+            down = loss()
+            array[at_i] = keep
+            assert grad[at_i] == pytest.approx((up - down) / 2e-5, abs=1e-6)
+
+
+def test_repeated_and_null_rows_give_a_row_each(spark):
+    """Null and repeated doc_ids, repeated rows, empty and very long texts, through every text operator."""
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    sp, tk = sentencepiece.SentencePieceProcessor(model_file=PIECES), Tokenizer.from_file(WORDS)
+    rows = [(1, "one two three"), (1, "one two three"), (1, "other"), (None, "null id"), (None, "null id"), (None, None), (2, ""), (2, " \n"), (3, "endless" * 9000), (4, "many words " * 9000), (5, "token = 0123456789abcdef0123")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit("x") for c in ("digest", "n_tokens", "start", "score", "spans", "held_out")}).repartition(3)
+    of = lambda got, *cols: sorted((tuple(r[c] for c in cols) for r in got.collect()), key=repr)
+    want = lambda f: sorted(((i, *f(t or "")) for i, t in rows), key=repr)
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    assert of(pieces.round_trip(df, PIECES), "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == want(lambda t: (len(sp.encode(t)), sha(",".join(map(str, sp.encode(t)))), sha(sp.decode(sp.encode(t)))))
+    assert of(secrets.scan(df), "doc_id", "n_assign", "n_hex") == want(lambda t: (int("token =" in t), int("0123456789abcdef" in t)))
+    ids = lambda t: [*tk.encode(t, add_special_tokens=False).ids, 2]
+    got = idfile.round_trip(df, WORDS, 2)
+    assert of(got, "doc_id", "n_tokens", "ids_crc32") == want(lambda t: (len(ids(t)), zlib.crc32(np.array(ids(t), "<u4").tobytes())))
+    starts = sorted(got.select("start", "n_tokens").collect())
+    assert [r[0] for r in starts] == [0, *np.cumsum([r[1] for r in starts])[:-1].tolist()]
+    assert of(tokencounts.count_tokens(df, PIECES), "doc_id", "n_bytes", "n_tokens") == want(lambda t: (len(t.encode()), len(sp.encode(t))))
+    model = toxicity.Model(np.random.default_rng(1).standard_normal(1 << toxicity.BUCKET_BITS).astype(np.float32), 0.0)
+    assert of(toxicity.score(df, model, "tox"), "doc_id", "tox") == want(lambda t: (float(model.score([t])[0]),))
+    with pytest.raises(ValueError, match="score"):
+        toxicity.score(df, model, "score")
+    lm = ngramlm.train_and_score(df).collect()
+    assert sorted((r["doc_id"], r["n_tokens"]) for r in lm if r["doc_id"] is not None) == sorted((i, len(words(t or "")) + 1) for i, t in rows if i is not None)
+    assert len(lm) == len(rows) and len({(r["score"], r["base_score"]) for r in lm if r["doc_id"] == 1}) == 2
+    for f in (lambda d: pieces.round_trip(d, PIECES), secrets.scan, lambda d: tokencounts.count_tokens(d, PIECES), ngramjoin.join_components):
+        assert f(df.limit(0)).count() == 0
+
+
 def test_toxicity(spark):
     rng = random.Random(9)
     vocab = ["".join(rng.choice("aeioubcdrstlnmpgv") for _ in range(rng.randint(4, 11))) for _ in range(6000)]
@@ -560,9 +643,9 @@ def test_toxicity(spark):
     model = toxicity.fit(df, spark.createDataFrame([*labels, (None, 1), (5, None), (99999, 1)], "doc_id long, toxic int"))
     out = {r["doc_id"]: r["toxicity"] for r in toxicity.score(df, model).collect()}
     held = [(i, y) for i, y in labels if zlib.crc32(str(i).encode()) % 5 == 0]
-    # 320 toxic texts to learn from: measured 0.886 (0.727 for always clean), recall 0.63
-    assert np.mean([(out[i] >= 0.5) == y for i, y in held]) > 0.86
-    assert np.mean([out[i] >= 0.5 for i, y in held if y]) > 0.55
+    # 320 toxic texts to learn from; 0.727 is right for always clean
+    right, caught = np.mean([(out[i] >= 0.5) == y for i, y in held]), np.mean([out[i] >= 0.5 for i, y in held if y])
+    assert right > 0.88 and caught > 0.6, (right, caught)
     assert out[1600] == out[1601] < 0.5 < out[1602]
     assert toxicity.score(df.limit(0), model).columns[-1] == "toxicity"
     none = toxicity.fit(df, spark.createDataFrame([], "doc_id long, toxic int"))
