@@ -421,16 +421,18 @@ def _joined(docs: DataFrame, k: int, percent: int, frequent: int, ws: Workspace)
     hub = sized_rows.join(common, "node").groupBy("sig").agg(F.max(F.struct("common", "node")).alias("h")).select("sig", F.col("h.node").alias("hub"))
     under = apart.join(hub, "sig").groupBy("hub", "root", "node").agg(F.max("n").alias("n"), F.max("rest").alias("rest"), F.collect_list("sig").alias("sigs"))
     under = ws.save(under, "under")
-    per = under.groupBy("hub", "root").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("rest").alias("rest"))
+    per = under.groupBy("hub", "root").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("rest").alias("rest"), F.count("*").alias("sets"))
     per = ws.save(per, "mixed")
-    x, y = (per.withColumnsRenamed({"root": f"{s}_root", "least": f"{s}_least", "most": f"{s}_most", "rest": f"{s}_rest"}) for s in "xy")
+    x, y = (per.withColumnsRenamed({c: f"{s}_{c}" for c in ("root", "least", "most", "rest", "sets")}) for s in "xy")
     # |x & y| >= percent / (100 + percent) * (|x| + |y|), and is at most what either has left
     met = x.join(y, "hub").where(
         (F.col("x_root") < F.col("y_root"))
         & (F.least("x_rest", "y_rest") * (100 + percent) >= percent * (F.col("x_least") + F.col("y_least")))
         & (F.least("x_most", "y_most") * 100 >= percent * F.greatest("x_least", "y_least"))
     )
-    met = met.select("hub", "x_root", "y_root")
+    # the side with fewer sets is spelt out first: a large component's sets then only come up as one side of a candidate
+    few = F.col("x_sets") <= F.col("y_sets")
+    met = met.select("hub", F.when(few, F.col("x_root")).otherwise(F.col("y_root")).alias("x_root"), F.when(few, F.col("y_root")).otherwise(F.col("x_root")).alias("y_root"))
     tx, ty = (under.withColumnsRenamed({"root": f"{s}_root", "node": s, "n": f"{s}_n", "rest": f"{s}_rest", "sigs": f"{s}_sigs"}) for s in "xy")
     pairs = met.join(tx, ["hub", "x_root"]).join(ty, ["hub", "y_root"]).where(
         (F.least("x_rest", "y_rest") * (100 + percent) >= percent * (F.col("x_n") + F.col("y_n")))
