@@ -114,8 +114,9 @@ def tier(size: Column) -> Column:
 def binned(c: Catalog, target: int = TARGET) -> DataFrame:
     """Small live files without live deletes, with ``partition, tier, bin``."""
     deleted = live(c.delete_file).select("data_file_id").distinct()
-    files = live(c.data_file).join(deleted, "data_file_id", "left_anti").join(partition_of(c), ["data_file_id", "table_id"], "left")
+    files = live(c.data_file).join(deleted, "data_file_id", "left_anti")
     files = files.withColumn("tier", tier(F.col("file_size_bytes"))).where(F.col("tier").isNotNull())
+    files = files.join(partition_of(c, files), ["data_file_id", "table_id"], "left")
     run = Window.partitionBy("table_id", "partition", "tier").orderBy("data_file_id", "path").rowsBetween(Window.unboundedPreceding, -1)
     return files.withColumn("bin", F.floor(F.coalesce(F.sum("file_size_bytes").over(run), F.lit(0)) / F.lit(target)).cast("long"))
 

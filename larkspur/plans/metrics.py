@@ -46,18 +46,19 @@ def files_per_band(c: Catalog) -> DataFrame:
     return live(c.data_file).groupBy(band(F.col("file_size_bytes")).alias("band")).agg(F.count("*").alias("count"), _sum("file_size_bytes").alias("bytes"))
 
 
-def partition_of(c: Catalog) -> DataFrame:
-    """``data_file_id, table_id, partition``: values joined by slashes in key order, those of one key by value."""
+def partition_of(c: Catalog, files: DataFrame) -> DataFrame:
+    """``data_file_id, table_id, partition`` of ``files``: values joined by slashes in key order, those of one key by value."""
+    values = c.file_partition_value.join(files.select("data_file_id"), "data_file_id", "left_semi")
     pairs = F.array_sort(F.collect_list(F.when(F.col("partition_value").isNotNull(), F.struct("partition_key_index", "partition_value"))))
     joined = F.when(F.count("partition_value") > 0, F.array_join(F.transform(pairs, lambda x: x["partition_value"]), "/"))
-    return c.file_partition_value.groupBy("data_file_id", "table_id").agg(joined.alias("partition"))
+    return values.groupBy("data_file_id", "table_id").agg(joined.alias("partition"))
 
 
 def mergeable(c: Catalog) -> DataFrame:
     """Live files without live deletes, per table, partition and band below 64 MiB, where there are two or more."""
     deleted = live(c.delete_file).select("data_file_id").distinct()
     files = live(c.data_file).where(F.col("file_size_bytes") < BANDS[2][1]).join(deleted, "data_file_id", "left_anti")
-    files = files.join(partition_of(c), ["data_file_id", "table_id"], "left").withColumn("band", band(F.col("file_size_bytes")))
+    files = files.join(partition_of(c, files), ["data_file_id", "table_id"], "left").withColumn("band", band(F.col("file_size_bytes")))
     groups = files.groupBy("table_id", "partition", "band").agg(F.count("*").alias("n"), F.sum("file_size_bytes").alias("size"))
     return groups.where(F.col("n") >= 2)
 
@@ -97,7 +98,8 @@ def tables(c: Catalog) -> DataFrame:
 
 
 def files_per_partition_top20(c: Catalog) -> DataFrame:
-    named = live(c.data_file).join(partition_of(c), ["data_file_id", "table_id"])
+    files = live(c.data_file)
+    named = files.join(partition_of(c, files), ["data_file_id", "table_id"])
     per = named.groupBy("table_id", "partition").agg(F.count("*").alias("count"))
     return per.orderBy(F.desc("count"), "table_id", "partition").limit(20)
 
