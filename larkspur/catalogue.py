@@ -575,6 +575,38 @@ def stale_offset_recovery_earliest(spark, sf_dir):
     return _events(spark, sf_dir, *STATE).select("event_id", lag.recovered_offset("earliest").alias("start"))
 
 
+@query(
+    f"SELECT event_id, CASE WHEN committed IS NULL OR error IS NOT NULL THEN 'reset' WHEN committed < low THEN 'recovered' ELSE 'committed' END AS kind, "
+    f"CASE WHEN committed >= low AND error IS NULL THEN committed ELSE high END AS start FROM (SELECT {', '.join(STATE)} FROM events)"
+)
+def startup_positions(spark, sf_dir):
+    return _events(spark, sf_dir, *STATE).select("event_id", lag.start_kind("latest").alias("kind"), lag.start_at("latest").alias("start"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 2 = 0 THEN event_id ELSE event_id + 5000000000 END AS n FROM events")
+def promotion_applied(spark, sf_dir):
+    """An int column that long values arrive for is a long column from then on, older files included."""
+    from .sources.lake import LakeTable
+
+    t = LakeTable(spark, _scratch(spark))
+    df = _events(spark, sf_dir, "event_id")
+    t.append(df.where("event_id % 2 = 0").select("event_id", F.col("event_id").cast("int").alias("n")), "a")
+    t.append(df.where("event_id % 2 = 1").select("event_id", (F.col("event_id") + 5_000_000_000).alias("n")), "b")
+    return t.read().select("event_id", "n")
+
+
+@query("SELECT event_id, CASE WHEN event_id % 2 = 0 THEN event_id END AS k FROM events")
+def live_variant_strip(spark, sf_dir):
+    """Texts that arrive under the name of a live VARIANT column are left out; their rows stay."""
+    from .sources.lake import LakeTable
+
+    t = LakeTable(spark, _scratch(spark))
+    df = _events(spark, sf_dir, "event_id")
+    t.append(df.where("event_id % 2 = 0").withColumn("v", F.parse_json(F.concat(F.lit('{"k":'), F.col("event_id").cast("string"), F.lit("}")))), "a")
+    t.append(df.where("event_id % 2 = 1").withColumn("v", F.lit("text")), "b")
+    return t.read().select("event_id", F.try_variant_get("v", "$.k", "bigint").alias("k"))
+
+
 @query("SELECT event_id, CASE WHEN event_id % 5 = 1 THEN NULL ELSE event_type END AS value FROM events")
 def frame_decode(spark, sf_dir):
     """Every other message in a frame of one stored block; of those, some are cut off and give null."""

@@ -36,6 +36,20 @@ def drop_unwritable(df: DataFrame) -> tuple[DataFrame, list[str]]:
     return df.drop(*bad), bad
 
 
+def drop_live_variants(df: DataFrame, live: T.StructType) -> tuple[DataFrame, list[str]]:
+    """``df`` without payload columns that are VARIANT in the table; companions, which are VARIANT themselves, stay."""
+    kinds = {f.name.lower(): f.dataType for f in live}
+    bad = [f.name for f in df.schema if isinstance(kinds.get(f.name.lower()), T.VariantType) and not isinstance(f.dataType, T.VariantType)]
+    return df.drop(*bad), bad
+
+
+def check_nullable_variants(schema: T.StructType) -> None:
+    """A VARIANT column has to take nulls, as invalid texts become null."""
+    bad = [f.name for f in schema if isinstance(f.dataType, T.VariantType) and not f.nullable]
+    if bad:
+        raise ValueError(f"VARIANT columns that refuse nulls: {', '.join(bad)}")
+
+
 def plan(live: T.StructType, batch: T.StructType, allowed=WIDER) -> tuple[T.StructType, list[str], list[str], list[str]]:
     """(evolved schema, added, widened, skipped) names; a change that only narrows is skipped.
 

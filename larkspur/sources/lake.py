@@ -135,6 +135,7 @@ class LakeTable:
             if spec:
                 partition.parse_spec(spec)
             evolve.check_reserved([f.name for f in schema if f.name != evolve.STAMP], "transform")
+            evolve.check_nullable_variants(schema)
             fields = [f for f in schema if f.name != evolve.STAMP] + [T.StructField(evolve.STAMP, T.TimestampType())]
             body = {"table_uuid": str(uuid.uuid4()), "time": time.time(), "schema": T.StructType(fields).jsonValue(), "spec": spec, "sort": list(sort), "options": options or {}}
             self.files.put_new(f"_log/{0:020d}.json", json.dumps(body))
@@ -175,10 +176,13 @@ class LakeTable:
                 raise TableRecreated(self.root)
             if key and key in s.keys:
                 return 0
+            body, _ = evolve.drop_live_variants(df, s.schema)
+            if not body.columns:
+                return 0
             # only what the reader can widen in older files
-            schema, added, widened, _ = evolve.plan(s.schema, df.schema, evolve.PROMOTIONS)
+            schema, added, widened, _ = evolve.plan(s.schema, body.schema, evolve.PROMOTIONS)
             change = {"schema": schema.jsonValue()} if added or widened else {}
-            adds = self._stage(df, schema, s, codec, level)
+            adds = self._stage(body, schema, s, codec, level)
             try:
                 self._commit(s, change | {"add": adds, "key": key})
                 return sum(f["rows"] for f in adds)

@@ -81,8 +81,21 @@ def flush_key(table_uuid: str, query: str, ranges: Sequence[tuple[str, int, int,
     return str(uuid.uuid5(uuid.NAMESPACE_URL, f"{table_uuid}/{query}/{text}"))
 
 
-def write_with_retry(write: Callable[[], int], reset: Callable[[], None], attempts: int = 5, deadline: float = 450.0, sleep=time.sleep, clock=time.monotonic) -> int:
-    """Repeats a write that another writer crossed; anything else, and a passed deadline, fails."""
+class SinkError(Exception):
+    """A failure as a sink knows it: its label, whether repeating is no use, and how long the other side asks to wait."""
+
+    def __init__(self, message: str, label: str = "write_retry", permanent: bool = False, retry_after: float = 0.0):
+        super().__init__(message)
+        self.label, self.permanent, self.retry_after = label, permanent, retry_after
+
+
+def write_with_retry(write: Callable[[], int], reset: Callable[[], None], attempts: int = 5, deadline: float = 450.0, sleep=time.sleep, clock=time.monotonic, failed: dict[str, int] | None = None) -> int:
+    """Repeats a write that another writer crossed or that its sink says may be repeated.
+
+    Permanent errors, all others, and a passed deadline fail.  ``failed`` counts
+    failures by label.  A repeated write carries its key, so one whose answer was
+    lost after it was committed is recognised and writes nothing.
+    """
     start = clock()
     for n in range(attempts):
         try:
@@ -90,9 +103,12 @@ def write_with_retry(write: Callable[[], int], reset: Callable[[], None], attemp
         except TableRecreated:
             reset()
             raise
-        except CommitConflict:
-            wait = lag.backoff(n, jitter=random.random())
-            if n + 1 == attempts or clock() - start + wait > deadline:
+        except (CommitConflict, SinkError) as e:
+            if failed is not None:
+                label = lag.classify(e)
+                failed[label] = failed.get(label, 0) + 1
+            wait = lag.backoff(n, retry_after=getattr(e, "retry_after", 0.0), jitter=random.random())
+            if getattr(e, "permanent", False) or n + 1 == attempts or clock() - start + wait > deadline:
                 raise
             sleep(wait)
     raise AssertionError("unreachable")
@@ -103,7 +119,7 @@ class Counters:
     written: int = 0
     batches: int = 0
     replays: int = 0
-    flushed: dict[str, int] = field(default_factory=dict)
+    failed: dict[str, int] = field(default_factory=dict)
 
 
 def ingest(spark: SparkSession, source: DataFrame, sink: Sink, steps: Steps, checkpoint: str, name: str = "ingest", once: bool = True):
@@ -118,7 +134,7 @@ def ingest(spark: SparkSession, source: DataFrame, sink: Sink, steps: Steps, che
         batch.persist()  # inference reads it, then the write does
         try:
             rows = transform(batch, steps)
-            n = write_with_retry(lambda: sink.write(rows.drop("seq"), f"{name}-{batch_id}"), sink.reset_caches)
+            n = write_with_retry(lambda: sink.write(rows.drop("seq"), f"{name}-{batch_id}"), sink.reset_caches, failed=counts.failed)
             counts.written += n
             counts.batches += 1
             counts.replays += n == 0

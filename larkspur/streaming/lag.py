@@ -31,6 +31,18 @@ def recovered_offset(reset: str) -> Column:
     return F.when(stale, F.col("low" if reset == "earliest" else "high")).otherwise(F.col("committed"))
 
 
+def start_kind(reset: str) -> Column:
+    """Where a start comes from: ``recovered`` (the commit was stale), ``committed``, or ``reset`` (none, or an error)."""
+    known = F.col("committed").isNotNull() & F.col("error").isNull()
+    return F.when(known & (F.col("committed") < F.col("low")), "recovered").when(known, "committed").otherwise("reset")
+
+
+def start_at(reset: str) -> Column:
+    """The position that a reader starts from, which lag is counted from at first."""
+    target = F.col("low" if reset == "earliest" else "high")
+    return F.when(start_kind(reset) == "committed", F.col("committed")).otherwise(target)
+
+
 def lag(reset: str) -> Column:
     """High watermark less the furthest known position; never below 0."""
     start = F.col("low" if reset == "earliest" else "high")

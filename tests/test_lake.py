@@ -1,7 +1,10 @@
+import datetime
+import json
 import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from larkspur.plans import catalog, maintenance, metrics
 from larkspur.sources.lake import CommitConflict, LakeTable, TableRecreated
@@ -163,3 +166,50 @@ def test_retention_rules(spark):
     r = spark.range(1).select(leaf.alias("leaf"), cut.cast("string").alias("cut")).first()
     assert r["leaf"] is None and r["cut"] == "2024-03-03 05:00:00"
     assert maintenance.halving(8, True, 3, 64) == (4, 0) and maintenance.halving(8, False, 9, 64) == (16, 0)
+
+
+def test_retries_wait_as_asked_and_stop_at_permanent_errors():
+    waits, failed, todo = [], {}, [ingest.SinkError("busy", retry_after=7.0), CommitConflict("x"), None]
+
+    def write():
+        e = todo.pop(0)
+        if e:
+            raise e
+        return 5
+
+    assert ingest.write_with_retry(write, lambda: None, sleep=waits.append, failed=failed) == 5
+    assert waits[0] == 7.0 and 1.0 <= waits[1] <= 1.25 and failed == {"write_retry": 1, "commit_contention": 1}
+    todo = [ingest.SinkError("400", label="bad_request", permanent=True)]
+    with pytest.raises(ingest.SinkError):
+        ingest.write_with_retry(write, lambda: None, sleep=waits.append, failed=failed)
+    assert len(waits) == 2 and failed["bad_request"] == 1
+
+
+def test_variant_columns_take_nulls(spark, table):
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", T.VariantType(), False)])
+    with pytest.raises(ValueError, match="v"):
+        table.create(schema)
+
+
+def test_manifest_and_lock(tmp_path):
+    path = f"{tmp_path}/m.json"
+    for leaves in ([{"leaf": 1}], []):
+        maintenance.write_manifest(path, leaves)
+        assert json.load(open(path)) == {"leaves": leaves}
+    with maintenance.AdvisoryLock(f"{tmp_path}/lock"):
+        with pytest.raises(FileExistsError), maintenance.AdvisoryLock(f"{tmp_path}/lock"):
+            pass
+    with maintenance.AdvisoryLock(f"{tmp_path}/lock"):
+        pass
+
+
+def test_partitions_that_a_reader_has_not_passed_stay(spark, table):
+    rows = spark.sql("SELECT id AS event_id, timestamp'2024-01-01 05:00:00' + make_interval(0, 0, 0, cast(id AS int)) AS ts FROM range(6) UNION ALL SELECT 9, NULL")
+    table.create(rows.schema, spec="day(ts)")
+    table.append(rows, "a")
+    cut = datetime.datetime(2024, 1, 5)
+    cursors = spark.sql("SELECT timestamp'2024-01-03 12:00:00' AS position UNION ALL SELECT NULL")
+    assert maintenance.drop_partitions(table, "ts", cut, cursors) == 2
+    assert sorted(r[0] for r in table.read().select("event_id").collect()) == [2, 3, 4, 5, 9]
+    assert maintenance.drop_partitions(table, "ts", cut) == 2 and maintenance.drop_partitions(table, "ts", cut) == 0
+    assert sorted(r[0] for r in table.read().select("event_id").collect()) == [4, 5, 9]
