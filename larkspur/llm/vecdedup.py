@@ -177,12 +177,12 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.93) -> DataFrame:
     ws = Workspace(spark, "vecdedup")
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), "embedding")
     good = usable(rows.where(F.col("label").isNotNull() & F.col("vec_id").isNotNull()))
-    # equal vectors, -0.0 and 0.0 alike, are one node, known by 2 x 64 bits
+    # equal vectors, -0.0 and 0.0 alike, are one node, known by 2 x 64 bits; nodes are numbered as they are written
     same = F.transform("vec", lambda x: x + F.lit(0.0))
-    node = F.concat(*[F.lpad(F.hex(F.xxhash64(F.lit(i), "label", same)), 16, "0") for i in (1, 2)])
-    keyed = ws.save(good.select("vec_id", "label", "vec", node.alias("node")), "vectors")
-    classes = keyed.groupBy("node").agg(F.min("vec_id").alias("rep"), F.count("*").alias("weight"), F.first("label").alias("label"), F.first("vec").alias("vec"))
-    classes = ws.save(classes, "classes")
+    hashes = {f"h{i}": F.xxhash64(F.lit(i), "label", same) for i in (1, 2)}
+    keyed = ws.save(good.select("vec_id", "label", "vec").withColumns(hashes), "vectors")
+    classes = keyed.groupBy(*hashes).agg(F.min("vec_id").alias("rep"), F.count("*").alias("weight"), F.first("label").alias("label"), F.first("vec").alias("vec"))
+    classes = ws.save(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     planes = Hyperplanes.of(max((r["c"] for r in classes.groupBy("label").agg(F.count("*").alias("c")).orderBy(F.desc("c")).limit(1).collect()), default=1), cosine)
     blob = lambda a: pa.array([r.tobytes() for r in np.ascontiguousarray(a)], pa.binary())
 
@@ -202,7 +202,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.93) -> DataFrame:
                     cols += [pa.array(factor.astype(np.float32)), pa.array(step.astype(np.float32)), blob(code), blob(small), blob(keys[:, :tab])]
                     yield pa.RecordBatch.from_arrays(cols, names=["label", "tab", "key", "node", "factor", "step", "code", "small", "keys"])
 
-    entry = "label long, tab long, key long, node string, factor float, step float, code binary, small binary, keys binary"
+    entry = "label long, tab long, key long, node long, factor float, step float, code binary, small binary, keys binary"
     posted = classes.select("node", "label", "vec").mapInArrow(spread, entry)
     bucket = F.xxhash64("label", "tab", "key").alias("bucket")
     posted = ws.save(posted.select(bucket, "tab", "node", "factor", "step", "code", "small", "keys"), "posted")
@@ -230,7 +230,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.93) -> DataFrame:
                     own, node = (side.column(c).take(pa.array(rows)).combine_chunks() for c in ("own", "node"))
                     yield pa.RecordBatch.from_arrays([*(pa.array(np.full(n, x)) for x in (bucket, lo, hi)), own, pa.array(np.full(n, tab)), node], names=[*names, "own", "tab", "node"])
 
-    open_ = ws.save(placed.mapInArrow(sift, "bucket long, lo long, hi long, own long, tab long, node string"), "open")
+    open_ = ws.save(placed.mapInArrow(sift, "bucket long, lo long, hi long, own long, tab long, node long"), "open")
     ws.drop(posted)
     dealt = open_.join(classes.select("node", "weight", "vec"), "node").select(*open_.columns, "weight", "vec").repartition(*names).sortWithinPartitions(*names, "own")
 
@@ -263,14 +263,14 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.93) -> DataFrame:
     def blob_of(column):
         return pa.array([np.asarray(v, dtype=np.float64).tobytes() for v in column.to_pylist()], pa.binary())
 
-    met = ws.save(dealt.mapInArrow(compare, "node string, root string, links long"), "met")
+    met = ws.save(dealt.mapInArrow(compare, "node long, root long, links long"), "met")
     links = met.groupBy("node").agg(F.sum("links").alias("links"))
     roots = components(met.select(F.col("node").alias("u"), F.col("root").alias("v")), ws)
-    named = classes.select("node", "rep", "weight").join(links, "node", "left").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = classes.select(*hashes, "node", "rep", "weight").join(links, "node", "left").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = named.join(least, "root").select("node", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), "component_id")
+    named = named.join(least, "root").select(*hashes, (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), "component_id")
     named = ws.save(named, "named")
-    done = keyed.select("vec_id", "node").join(named, "node").select("vec_id", "n_links", "component_id")
+    done = keyed.select("vec_id", *hashes).join(named, [*hashes]).select("vec_id", "n_links", "component_id")
     # rows that took no part: as many per id as the table has beyond the usable ones
     bad = rows.select("vec_id").groupBy("vec_id").agg(F.count("*").alias("c")).join(
         keyed.groupBy(F.col("vec_id").alias("g_id")).agg(F.count("*").alias("g")), F.col("vec_id") == F.col("g_id"), "left"
