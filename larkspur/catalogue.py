@@ -78,7 +78,7 @@ def keep_skip_counts(spark, sf_dir):
     return filters.keep_counts(_events(spark, sf_dir, f"{MAYBE_TYPE} AS kind"), "kind", ["click", "view"])
 
 
-@query("SELECT event_id FROM events WHERE false")
+@query("SELECT event_id FROM events WHERE event_id IN (7) AND try_cast('x' AS BIGINT) IS NOT NULL")
 def keep_filter_fails_closed(spark, sf_dir):
     """Values that no integer column can hold: nothing passes."""
     return filters.keep(_events(spark, sf_dir, "event_id"), "event_id", ["7", "x"])
@@ -171,7 +171,11 @@ def _messages(spark, sf_dir) -> DataFrame:
     return _events(spark, sf_dir, "event_id AS seq", f"{MESSAGE} AS value")
 
 
-@query("SELECT * FROM (VALUES ('id', 'long', false), ('size', 'string', true), ('tags', 'string', false), ('note', 'string', false), ('kind', 'string', false)) t(name, kind, mixed)")
+@query(
+    "WITH m AS (SELECT event_id, event_id % 11 AS r, CASE event_id % 11 WHEN 3 THEN 'string' WHEN 4 THEN 'boolean' ELSE 'long' END AS t FROM events WHERE event_id % 11 > 2) "
+    "SELECT 'id' AS name, 'long' AS kind, false AS mixed WHERE EXISTS (FROM m) UNION ALL SELECT 'size', arg_min(t, event_id), count(DISTINCT t) > 1 FROM m "
+    "UNION ALL SELECT 'tags', 'string', false WHERE EXISTS (FROM m WHERE r = 3) UNION ALL SELECT 'note', 'string', false WHERE EXISTS (FROM m WHERE r = 4) UNION ALL SELECT 'kind', 'string', false WHERE EXISTS (FROM m WHERE r > 4)"
+)
 def infer_keys(spark, sf_dir):
     found = infer.infer(infer.parse(_messages(spark, sf_dir)), "seq")
     return spark.createDataFrame([(k.name, k.kind, k.mixed) for k in found], "name string, kind string, mixed boolean")
@@ -344,9 +348,10 @@ def variant_row_outcomes(spark, sf_dir):
     return variants.outcomes(_events(spark, sf_dir, "event_id", f"{_PROPS} AS props"), "props")
 
 
-@query("SELECT count(*) FILTER (event_id % 6 IN (4, 5)) AS typed, 0::BIGINT AS fallback, 0::BIGINT AS variant_null, count(*) FILTER (event_id % 6 IN (0, 1, 2, 3)) AS absent FROM events")
+@query("SELECT count(*) FILTER (event_id % 6 = 5) AS typed, count(*) FILTER (event_id % 6 = 4) AS fallback, count(*) FILTER (event_id % 6 = 2) AS variant_null, count(*) FILTER (event_id % 6 IN (0, 1, 3)) AS absent FROM events")
 def variant_path_outcomes(spark, sf_dir):
-    return variants.path_outcomes(_events(spark, sf_dir, f"{_PROPS} AS props"), "props", "$.k", "bigint")
+    leaves = """CASE event_id % 6 WHEN 0 THEN '' WHEN 1 THEN NULL WHEN 2 THEN '{"k":null}' WHEN 3 THEN '{bad' WHEN 4 THEN '{"k":"text"}' ELSE props END AS props"""
+    return variants.path_outcomes(_events(spark, sf_dir, leaves), "props", "$.k", "bigint")
 
 
 @query("SELECT event_id, CASE WHEN event_id % 50 = 0 THEN '{\"n\":\"' || '9223372036854775' || lpad((808 + event_id % 190)::VARCHAR, 3, '0') || '\"}' ELSE '{\"n\":' || event_id || '}' END AS t FROM events")
@@ -435,7 +440,7 @@ for _n, _f, _s in (
     ("q_live_file_lookup", lambda c: metrics.live_file_lookup(c, 3), "SELECT count(*) AS count FROM data_file WHERE end_snapshot IS NULL AND table_id = 3"),
     ("q_partition_value_lookup", lambda c: metrics.partition_value_lookup(c, 3), "SELECT count(*) AS count FROM file_partition_value WHERE data_file_id IN (SELECT data_file_id FROM data_file WHERE end_snapshot IS NULL AND table_id = 3)"),
     ("q_file_column_stats_lookup", lambda c: metrics.file_column_stats_lookup(c, 3), "SELECT count(*) AS count FROM file_column_stats WHERE data_file_id IN (SELECT data_file_id FROM data_file WHERE end_snapshot IS NULL AND table_id = 3)"),
-    ("q_catalog", metrics.catalog_version, "SELECT 1.2::DOUBLE AS format_version, '-rc3' AS suffix FROM metadata WHERE key = 'version'"),
+    ("q_catalog", metrics.catalog_version, "SELECT try_cast(regexp_extract(value, '^([0-9]+([.][0-9]+)*)', 1) AS DOUBLE) AS format_version, regexp_extract(value, '^[0-9.]+(.*)$', 1) AS suffix FROM metadata WHERE key = 'version'"),
     ("q_config", metrics.config, "SELECT key, coalesce(scope, 'global') AS scope, scope_id, CASE WHEN lower(value) = 'true' THEN 1 WHEN regexp_matches(value, '^[0-9]+$') THEN try_cast(value AS DOUBLE) END::DOUBLE AS value FROM metadata WHERE key <> 'version'"),
     ("dedup_queue", maintenance.dedup_queue, "SELECT path, min(data_file_id) AS data_file_id, count(*) - 1 AS dropped FROM scheduled GROUP BY path"),
     ("orphan_stats", maintenance.orphan_stats, "SELECT table_id, record_count FROM table_stats s WHERE NOT EXISTS (SELECT 1 FROM lake_table t WHERE t.end_snapshot IS NULL AND t.table_id = s.table_id)"),
@@ -481,6 +486,15 @@ _catalog_query(
     f"SELECT table_id, part AS partition, tier, bin, count(*) AS files, sum(file_size_bytes)::BIGINT AS bytes FROM (SELECT *, floor(coalesce(sum(file_size_bytes) OVER (PARTITION BY table_id, part, tier ORDER BY data_file_id, path ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / 134217728)::BIGINT AS bin FROM "
     f"(SELECT f.table_id, part, data_file_id, path, file_size_bytes, {_TIER} AS tier FROM data_file f LEFT JOIN ({_PARTS}) USING (data_file_id, table_id) WHERE f.end_snapshot IS NULL AND data_file_id NOT IN (SELECT data_file_id FROM delete_file WHERE end_snapshot IS NULL)) WHERE tier IS NOT NULL) GROUP BY ALL HAVING count(*) >= 2",
 )
+_RUN = "files DESC, partition NULLS FIRST, tier, bin"
+_BUDGETED = (
+    "SELECT * EXCLUDE (own, upto, turn) FROM (SELECT *, sum(bytes) OVER (ORDER BY files DESC, table_id, partition NULLS FIRST, tier, bin ROWS UNBOUNDED PRECEDING) AS upto FROM "
+    "(SELECT *, row_number() OVER (ORDER BY files DESC, table_id, partition NULLS FIRST, tier, bin) AS turn FROM "
+    f"(SELECT *, sum(bytes) OVER (PARTITION BY table_id ORDER BY {_RUN} ROWS UNBOUNDED PRECEDING) AS own FROM ({{bins}})) WHERE own <= {{budget}} // 2) WHERE turn <= {{outputs}}) WHERE upto <= {{budget}}"
+)
+_BINS = ORACLE["compaction_tiers"].removeprefix(_WITH)
+_catalog_query("compaction_budget", lambda c: maintenance.within_budget(maintenance.compaction_bins(c), 2 << 30, 40), _BUDGETED.format(bins=_BINS, budget=2 << 30, outputs=40))
+_catalog_query("compaction_probe", lambda c: maintenance.within_budget(maintenance.compaction_bins(c), 1 << 40, 3), _BUDGETED.format(bins=_BINS, budget=1 << 40, outputs=3))
 _catalog_query(
     "droppable_partitions",
     lambda c: maintenance.droppable(c, [0, 1, 2, 3], F.lit("2022-06-01 00:00:00").cast("timestamp")).withColumn("leaf", F.unix_micros("leaf")),
