@@ -3,8 +3,9 @@
 ``_log/<20 digits>.json`` holds one commit a file, made by exclusive create, so of
 two writers of one version one fails and looks again.  A commit adds and removes
 files and may change schema, partition spec or sort keys; a snapshot is the fold of
-the commits up to a version.  Commits with a key that the log has are recognised
-and write nothing.
+the commits up to a version.  Every CHECKPOINT commits the fold is written beside
+them, so that a reader opens the newest fold and the commits after it.  Commits with
+a key that the log has are recognised and write nothing.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from pyspark.sql import types as T
 from ..operators import evolve, partition, presort
 
 CODECS = ("zstd", "snappy", "none")
+#: Commits between two checkpoints of the log.
+CHECKPOINT = 50
 
 
 class CommitConflict(Exception):
@@ -43,6 +46,30 @@ class Snapshot:
     metadata_version: int
     options: dict = field(default_factory=dict)
 
+    def after(self, c: dict) -> Snapshot:
+        """This snapshot with a commit on top; dictionaries are taken over, not copied."""
+        self.version = c["version"]
+        if "schema" in c:
+            self.schema, self.metadata_version = T.StructType.fromJson(c["schema"]), c["version"]
+        self.spec, self.sort = c.get("spec", self.spec), tuple(c.get("sort", self.sort))
+        self.options |= c.get("options", {})
+        for f in c.get("remove", []):
+            self.files.pop(f, None)
+        for f in c.get("add", []):
+            self.files[f["path"]] = f | {"begin": c["version"]}
+        if c.get("key"):
+            self.keys[c["key"]] = c["version"]
+        return self
+
+    def to_json(self) -> str:
+        return json.dumps(vars(self) | {"schema": self.schema.jsonValue()})
+
+    @staticmethod
+    def from_json(text: str) -> Snapshot:
+        s = Snapshot(**json.loads(text))
+        s.schema, s.sort = T.StructType.fromJson(s.schema), tuple(s.sort)
+        return s
+
 
 class Files:
     """The few file system calls that the log needs, on whatever Hadoop can open."""
@@ -95,29 +122,31 @@ class LakeTable:
     def versions(self) -> list[int]:
         return [int(n[:20]) for n in self.files.names("_log") if n.endswith(".json")]
 
+    def _commit_at(self, v: int) -> dict:
+        return json.loads(self.files.read(f"_log/{v:020d}.json")) | {"version": v}
+
     def commits(self) -> list[dict]:
-        return [json.loads(self.files.read(f"_log/{v:020d}.json")) | {"version": v} for v in self.versions()]
+        """The whole history, for maintenance; a snapshot does not need it."""
+        return [self._commit_at(v) for v in self.versions()]
 
     def snapshot(self, version: int | None = None) -> Snapshot:
-        s = None
-        for c in self.commits():
-            if version is not None and c["version"] > version:
-                break
-            if s is None:
-                s = Snapshot(0, c["table_uuid"], T.StructType(), "", (), {}, {}, 0)
-            s.version = c["version"]
-            if "schema" in c:
-                s.schema, s.metadata_version = T.StructType.fromJson(c["schema"]), c["version"]
-            s.spec, s.sort = c.get("spec", s.spec), tuple(c.get("sort", s.sort))
-            s.options |= c.get("options", {})
-            for f in c.get("remove", []):
-                s.files.pop(f, None)
-            for f in c.get("add", []):
-                s.files[f["path"]] = f | {"begin": c["version"]}
-            if c.get("key"):
-                s.keys[c["key"]] = c["version"]
-        if s is None:
+        names = self.files.names("_log")
+        upto = [int(n[:20]) for n in names if n.endswith(".json") and (version is None or int(n[:20]) <= version)]
+        if not upto:
             raise FileNotFoundError(f"no table at {self.root}")
+        last = self._commit_at(upto[-1])
+        s = None
+        for n in sorted((n for n in names if n.endswith(".fold") and int(n[:20]) <= upto[-1]), reverse=True):
+            try:
+                s = Snapshot.from_json(self.files.read(f"_log/{n}"))
+            except ValueError:  # still being written: an older one will do
+                continue
+            break
+        if s is None or s.table_uuid != last["table_uuid"]:
+            s = Snapshot(-1, last["table_uuid"], T.StructType(), "", (), {}, {}, 0)
+        for v in upto:
+            if v > s.version:
+                s = s.after(last if v == last["version"] else self._commit_at(v))
         return s
 
     def _commit(self, basis: Snapshot, change: dict) -> int:
@@ -125,6 +154,8 @@ class LakeTable:
         v = basis.version + 1
         if not self.files.put_new(f"_log/{v:020d}.json", json.dumps(body)):
             raise CommitConflict(f"version {v} is taken")
+        if v % CHECKPOINT == 0:
+            self.files.put_new(f"_log/{v:020d}.fold", self.snapshot(v).to_json())
         return v
 
     # DDL ---------------------------------------------------------------------------

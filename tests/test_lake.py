@@ -213,3 +213,21 @@ def test_partitions_that_a_reader_has_not_passed_stay(spark, table):
     assert sorted(r[0] for r in table.read().select("event_id").collect()) == [2, 3, 4, 5, 9]
     assert maintenance.drop_partitions(table, "ts", cut) == 2 and maintenance.drop_partitions(table, "ts", cut) == 0
     assert sorted(r[0] for r in table.read().select("event_id").collect()) == [4, 5, 9]
+
+
+def test_checkpoints_of_the_log_give_the_same_snapshots(spark, table, monkeypatch):
+    from larkspur.sources import lake
+
+    monkeypatch.setattr(lake, "CHECKPOINT", 3)
+    table.create(T.StructType([T.StructField("n", T.LongType())]), sort=("n",))
+    for i in range(7):
+        table.append(spark.range(i, i + 1).select(F.col("id").alias("n"), *([F.lit("x").alias("extra")] if i == 4 else [])), f"k{i}")
+    folds = [n for n in table.files.names("_log") if n.endswith(".fold")]
+    with_folds = [table.snapshot(v) for v in range(8)]
+    table.files.fs.create(table.files.path("_log/00000000000000000007.fold"), True).close()  # a broken one is passed over
+    assert table.snapshot(7) == with_folds[7] and len(folds) == 2
+    for n in [*folds, "00000000000000000007.fold"]:
+        table.files.delete(f"_log/{n}")
+    assert [table.snapshot(v) for v in range(8)] == with_folds
+    assert table.append(spark.range(1).select(F.col("id").alias("n")), "k3") == 0
+    assert sorted(r["n"] for r in table.read().collect()) == list(range(7)) and sorted(r["n"] for r in table.read(3).collect()) == [0, 1, 2]
