@@ -760,6 +760,55 @@ def compaction_applied(spark, sf_dir):
     return t.read().groupBy("event_type").agg(F.count("*").alias("n"), F.sum("user_id").alias("users")).withColumn("fewer_files", F.lit(fewer))
 
 
+def _log(spark, sf_dir) -> str:
+    """The events as a log of eight partitions in segments of 50 messages."""
+    from .sources import messages
+
+    root = _scratch(spark)
+    messages.append(_events(spark, sf_dir, *OFFSETS, "cast(event_id AS string) AS value"), root, "events", segment=50)
+    return root
+
+
+@query("SELECT 'events' AS topic, (event_id % 8)::INT AS partition, floor(event_id / 8)::BIGINT AS \"offset\", event_id::VARCHAR AS value FROM events WHERE event_id % 8 % 3 = 2")
+def message_log_read(spark, sf_dir):
+    """The messages of one of three replicas, with the offsets they were written at."""
+    from .sources import messages
+
+    return messages.read(spark, _log(spark, sf_dir), "events", replicas=3, ordinal=2)
+
+
+@query(f'SELECT topic, partition, min("offset") AS low, max("offset") + 1 AS high FROM ({_OFF}) GROUP BY topic, partition')
+def message_log_watermarks(spark, sf_dir):
+    from .sources import messages
+
+    return messages.watermarks(messages.read(spark, _log(spark, sf_dir), "events"))
+
+
+@query("SELECT (event_id % 8)::INT AS partition, count(*) AS n FROM events WHERE floor(event_id / 8) >= CASE WHEN event_id % 8 < 5 THEN event_id % 8 * 20 ELSE 0 END GROUP BY 1")
+def message_log_from_positions(spark, sf_dir):
+    """Partitions 0 to 4 have committed positions, the others start at their first message."""
+    from .sources import messages
+
+    starts = spark.range(5).select(F.col("id").cast("int").alias("partition"), (F.col("id") * 20).alias("start"))
+    log = messages.read(spark, _log(spark, sf_dir), "events")
+    return messages.from_positions(log, starts).groupBy("partition").agg(F.count("*").alias("n"))
+
+
+@query("SELECT (event_id % 8)::INT AS partition, count(*) AS n, sum(event_id)::BIGINT AS total FROM events GROUP BY 1")
+def message_log_stream(spark, sf_dir):
+    """The log as a stream into a lake table, every segment once."""
+    from .sources import messages
+    from .sources.lake import LakeTable
+    from .streaming.ingest import LakeSink, Steps, ingest
+
+    root = _log(spark, sf_dir)
+    log = messages.read(spark, root, "events", stream=True)
+    text = log.selectExpr("offset * 8 + partition AS seq", "to_json(struct(partition, cast(value AS bigint) AS id)) AS value")
+    t = LakeTable(spark, f"{root}/table")
+    ingest(spark, text, LakeSink(t), Steps(), f"{root}/checkpoint", name=f"log_{root[-8:]}")
+    return t.read().groupBy(F.col("partition").cast("int").alias("partition")).agg(F.count("*").alias("n"), F.sum("id").alias("total"))
+
+
 @query("SELECT count(*) AS n, sum(user_id)::BIGINT AS users, true AS gone FROM events")
 def expiry_applied(spark, sf_dir):
     """After a merge, files that only older snapshots see are deleted; the newest snapshot reads as before."""
