@@ -26,7 +26,7 @@ SIZES = (3, 4, 5, 6)
 BUCKET_BITS = 18
 DIM = 4
 #: Neutral n-grams that every average holds besides the text's own, so that few words do not decide alone.
-PRIOR = 20
+PRIOR = 400
 
 _LESS, _MORE = ord("<"), ord(">")
 _rng = np.random.Generator(np.random.PCG64(0x70C5))
