@@ -32,7 +32,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from .components import components
 from .textkernel import mix, shingle_sets
-from .workspace import Workspace, text_slices, unused
+from .workspace import Workspace, release_shuffles, text_slices, unused
 
 TOKEN_BITS = 48
 #: A shingle in more sets than this is frequent, unless more than LISTED are: then the limit doubles.
@@ -364,7 +364,7 @@ def _verify(docs: DataFrame, k: int, percent: int, pairs: DataFrame, classes: Da
 
     both = pairs.join(sets.withColumnsRenamed({"node": "u", "tokens": "x"}), "u").join(sets.withColumnsRenamed({"node": "v", "tokens": "y"}), "v")
     out = ws.save(both.select("u", "v", "x", "y").mapInArrow(compare, "u long, v long").distinct(), "links")
-    wanted.unpersist()
+    wanted.destroy()
     ws.drop(keys, sets)
     return out
 
@@ -382,7 +382,8 @@ def _joined(docs: DataFrame, k: int, percent: int, frequent: int, ws: Workspace)
     total = some.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
     shared = spark.sparkContext.broadcast(_statistics(docs, k, total, frequent, ws))
     emitted = ws.save(_emit(docs, k, percent, shared).distinct(), "signatures")
-    shared.unpersist()
+    shared.destroy()
+    release_shuffles(spark)
 
     def sized(a, b):
         return (F.least(a, b) * 100 >= F.greatest(a, b) * percent).cast("boolean")
@@ -406,11 +407,13 @@ def _joined(docs: DataFrame, k: int, percent: int, frequent: int, ws: Workspace)
         got = _verify(docs, k, percent, new, classes, ws)
         links, stars = (got, new) if links is None else (links.union(got), stars.union(new))
         roots = ws.save(components(links, ws), "roots-1")
+        release_shuffles(spark)
 
     # round 2: all signatures, sets of different components
     t = emitted.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     t = ws.save(t, "rooted")
-    ws.drop(emitted)
+    ws.drop(emitted, part)
+    release_shuffles(spark)
     mixed = t.groupBy("sig").agg(F.min("root").alias("a"), F.max("root").alias("b")).where(F.col("a") != F.col("b")).select("sig")
     # a group's signatures are gathered under the set of each that has most of them in common, so
     # that two sets meet once a group and not once a signature
@@ -442,6 +445,7 @@ def _joined(docs: DataFrame, k: int, percent: int, frequent: int, ws: Workspace)
     pairs = pairs.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct()
     pairs = ws.save(pairs.join(stars, ["u", "v"], "left_anti"), "pairs")
     ws.drop(t, apart, under, per)
+    release_shuffles(spark)
     more = _verify(docs, k, percent, pairs, classes, ws)
     ws.drop(pairs)
 
