@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, idfile, mixing, ngramjoin, ngramlm, pieces, secrets, tokencounts, toxicity, vecdedup
+from . import ann, fim, idfile, mixing, ngramjoin, ngramlm, pieces, secrets, sourceaudit, suffixdedup, tokencounts, toxicity, vecdedup
 from .workspace import documents_of
 
 
@@ -148,6 +148,53 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdedup.dedup(_docs(spark, sf_dir)).drop("spans")
+
+
+def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sourceaudit.audit(spark.read.parquet(f"{sf_dir}/documents.parquet").select("text", "lang", "source"))
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+OP12_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+w AS (SELECT r, lang, source, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+c AS (SELECT w.lang, w.source, w.term, count(*)::HUGEINT AS n FROM w JOIN kept k ON w.lang = k.lang AND w.term = k.term GROUP BY w.lang, w.source, w.term),
+sizes AS (SELECT lang, count(*)::HUGEINT AS v FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+totals AS (SELECT g.lang, g.source, coalesce(sum(c.n), 0)::HUGEINT AS total FROM g LEFT JOIN c ON g.lang = c.lang AND g.source = c.source GROUP BY g.lang, g.source),
+p AS (SELECT t.lang, t.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (t.total + s.v) AS p
+  FROM totals t JOIN kept k ON t.lang = k.lang JOIN sizes s ON t.lang = s.lang LEFT JOIN c ON c.lang = t.lang AND c.source = t.source AND c.term = k.term),
+whole AS (SELECT c.lang, c.term, sum(c.n)::HUGEINT AS n FROM c GROUP BY c.lang, c.term),
+alls AS (SELECT lang, sum(n)::HUGEINT AS total FROM whole GROUP BY lang),
+q AS (SELECT w.lang, w.term, 1 + (1000000000::HUGEINT * (w.n + 1)) // (a.total + s.v) AS q FROM whole w JOIN alls a ON w.lang = a.lang JOIN sizes s ON w.lang = s.lang),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p)::BIGINT AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+none AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, 0::BIGINT AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source WHERE a.lang NOT IN (SELECT lang FROM sizes)),
+terms AS (SELECT p.lang, p.source, 'term' AS part, p.term AS item, ((p.p - q.q) * (p.p - q.q) // q.q)::BIGINT AS value FROM p JOIN q ON p.lang = q.lang AND p.term = q.term WHERE p.n > 0 AND p.p > q.q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM (SELECT * FROM pairs UNION ALL SELECT * FROM none UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200"""
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.fill_in_middle(_docs(spark, sf_dir), keep_text=False)
+
+
+OP13_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || doc_id::VARCHAR) AS x FROM documents),
+h AS (SELECT doc_id, text, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS lines,
+    ('0x' || substr(x, 1, 8))::BIGINT AS h1, ('0x' || substr(x, 9, 8))::BIGINT AS h2, ('0x' || substr(x, 17, 8))::BIGINT AS h3, ('0x' || substr(x, 25, 8))::BIGINT AS h4 FROM d),
+f AS (SELECT *, len(lines)::BIGINT AS n, least(h1 % (len(lines) + 1), h2 % (len(lines) + 1)) AS a, greatest(h1 % (len(lines) + 1), h2 % (len(lines) + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100 THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, coalesce(array_to_string(lines[1:a], ''), '') AS pre, coalesce(array_to_string(lines[a + 1:b], ''), '') AS mid, coalesce(array_to_string(lines[b + 1:], ''), '') AS suf FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END::BIGINT AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END::BIGINT AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+  sha256(CASE form WHEN 'plain' THEN text ELSE pre || mid || suf END) AS restored_sha256
+FROM p"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -159,6 +206,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_permutation_ann": op8_permutation_ann,
     "op9_vector_near_dups": op9_vector_near_dups,
     "op10_toxicity": op10_toxicity,
+    "op11_suffix_dedup": op11_suffix_dedup,
+    "op12_source_audit": op12_source_audit,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_mix_sources": OP1_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_mix_sources": OP1_SQL, "op12_source_audit": OP12_SQL, "op13_fill_in_middle": OP13_SQL}
