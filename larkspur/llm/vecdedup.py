@@ -24,12 +24,14 @@ from .vectors import unit, usable
 from .workspace import Workspace
 
 #: Standard deviations that the confidence bound of an estimate spans.
-CONFIDENCE = 4.0
+CONFIDENCE = 5.0
 #: Independent rotations per code: a code has this many bits per dimension.
 ROTATIONS = 2
 #: Expected vectors of one bucket, and the chance that a pair at the threshold meets in none.
-BUCKET = 32
-MISS = 0.005
+BUCKET = 128
+MISS = 1e-6
+#: Vectors whose projections are computed at a time.
+PROJECTED = 1024
 #: Vectors of a bucket that one comparison block holds; larger buckets are compared block by block.
 BLOCK = 2048
 
@@ -190,17 +192,19 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.93) -> DataFrame:
         for b in batches:
             lens = np.array([len(v) for v in b.column(2).to_pylist()]) if b.num_rows else np.zeros(0, dtype=int)
             for dim in np.unique(lens).tolist():
-                part = b.filter(pa.array(lens == dim))
-                x = part.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim).astype(np.float64)
-                u = unit(x)
-                keys = planes.keys(u)
-                code, factor = encode(u)
-                small, step = rounded(u)
-                n = len(u)
-                for tab in range(planes.tables):  # vectors of other lengths have other keys
-                    cols = [part.column(1), pa.array(np.full(n, tab)), pa.array(keys[:, tab].astype(np.int64) + (dim << 32)), part.column(0)]
-                    cols += [pa.array(factor.astype(np.float32)), pa.array(step.astype(np.float32)), blob(code), blob(small), blob(keys[:, :tab])]
-                    yield pa.RecordBatch.from_arrays(cols, names=["label", "tab", "key", "node", "factor", "step", "code", "small", "keys"])
+                same_size = b.filter(pa.array(lens == dim))
+                for at in range(0, same_size.num_rows, PROJECTED):
+                    part = same_size.slice(at, PROJECTED)
+                    u = unit(part.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim).astype(np.float64))
+                    keys = planes.keys(u)
+                    code, factor = encode(u)
+                    small, step = rounded(u)
+                    n = len(u)
+                    codes, smalls = blob(code), blob(small)
+                    for tab in range(planes.tables):  # vectors of other lengths have other keys
+                        cols = [part.column(1), pa.array(np.full(n, tab)), pa.array(keys[:, tab].astype(np.int64) + (dim << 32)), part.column(0)]
+                        cols += [pa.array(factor.astype(np.float32)), pa.array(step.astype(np.float32)), codes, smalls, blob(keys[:, :tab])]
+                        yield pa.RecordBatch.from_arrays(cols, names=["label", "tab", "key", "node", "factor", "step", "code", "small", "keys"])
 
     entry = "label long, tab long, key long, node long, factor float, step float, code binary, small binary, keys binary"
     posted = classes.select("node", "label", "vec").mapInArrow(spread, entry)
