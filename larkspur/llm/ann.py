@@ -25,7 +25,7 @@ SAMPLE = 1024
 POSTED = 4
 #: Expected vectors of a block, and the share of a block that is reranked (ties come on top), at least RERANK_LEAST of it.
 BLOCK = 8192
-RERANK = 0.1
+RERANK = 0.25
 RERANK_LEAST = 200
 #: Queries are sent to the executors in blocks of so many bytes of vectors.
 QUERY_BYTES = 8 << 20
