@@ -38,14 +38,11 @@ def count_tokens(docs: DataFrame, path: str, cache: str | None = None) -> DataFr
     keyed = ws.save(rows.select("doc_id", digest.alias("digest"), F.octet_length("text").cast("long").alias("n_bytes")), "keys")
 
     schema = "digest binary, n_tokens long"
-    first = keyed.groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
+    # one copy of each text, elected before the exchange as well, so that copies do not travel
+    misses = rows.withColumn("digest", digest).groupBy("digest").agg(F.first("text").alias("text"))
     if _exists(spark, known):
-        first = first.join(spark.read.schema(schema).parquet(known).select("digest"), "digest", "left_anti")
-    # the elected copies are few columns and one row a text, so they are the hashed side and texts only stream by
-    elected = first.withColumnsRenamed({"digest": "e_digest", "doc_id": "e_id"}).hint("shuffle_hash")
-    texts = rows.withColumn("digest", digest)
-    misses = texts.join(elected, texts["doc_id"].eqNullSafe(F.col("e_id")) & (texts["digest"] == F.col("e_digest")), "left_semi")
-    _encode(misses, path).dropDuplicates(["digest"]).write.mode("append").parquet(known)
+        misses = misses.join(spark.read.schema(schema).parquet(known).select("digest"), "digest", "left_anti")
+    _encode(misses, path).write.mode("append").parquet(known)
 
     # a cache that two writers appended to may hold a digest twice
     counts = spark.read.schema(schema).parquet(known).groupBy("digest").agg(F.min("n_tokens").alias("n_tokens"))
