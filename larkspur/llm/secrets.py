@@ -33,8 +33,8 @@ IDENT = re.compile(
     r"""\b(?:user(?:name|_id)?|client_?id|account(?:_?id)?|access_?key(?:_?id)?|login)["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@+-]{3,})""",
     re.IGNORECASE | re.ASCII,
 )
-#: User and password of an endpoint.
-USERINFO = re.compile(r"(?<=://)[^/?#]+(?=@)")
+#: User and password of an endpoint: whatever comes before its last "@", as passwords may hold "/", "?" and "#".
+USERINFO = re.compile(r"(?<=://).+(?=@)")
 WEAK_KINDS = ("bare", "endpoint", "ident")
 KINDS = BASE_KINDS + WEAK_KINDS
 _RANK = {k: i for i, k in enumerate(KINDS)}
