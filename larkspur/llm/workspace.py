@@ -7,7 +7,6 @@ only where it is unset (tests, a laptop) a local folder is used instead.
 from __future__ import annotations
 
 import atexit
-import gc
 import os
 import tempfile
 import uuid
@@ -64,15 +63,6 @@ class Workspace:
                 _remove(self.spark, at)
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Has the driver's JVM collect its garbage: shuffle files of queries that are done go with their frames.
-
-    A driver that has little to do may not collect for long, and its queries' files would add up.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def unused(df: DataFrame, *names: str) -> list[str]:
     """The names, each with as many underscores behind it as it takes to differ from every column of ``df``."""
     have = {c.lower() for c in df.columns}
