@@ -137,6 +137,10 @@ def audit(docs: DataFrame) -> DataFrame:
         return _compare(key, left, right)
 
     found = terms.groupBy("lang", "deal").cogroup(totals.groupBy("t_lang", "t_deal")).applyInArrow(run, "lang string, source string, part string, item string, value long")
-    found = found.groupBy("lang", "source", "part", "item").agg(F.sum("value").alias("value"))
+    found = ws.save(found, "found")
     order = Window.partitionBy("lang", "source", "part").orderBy(F.desc("value"), "item")
-    return found.withColumn("rank", F.row_number().over(order)).where((F.col("part") == "pair") | (F.col("rank") <= TOP))
+    pairs = found.where(F.col("part") == "pair").groupBy("lang", "source", "part", "item").agg(F.sum("value").alias("value"))
+    pairs = pairs.withColumn("rank", F.row_number().over(order))
+    # a term is in one deal: tasks leave out what is beyond the top before rows meet
+    terms = found.where(F.col("part") == "term").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= TOP)
+    return pairs.unionByName(terms)
