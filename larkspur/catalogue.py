@@ -15,7 +15,7 @@ from .functions import coerce, transforms
 from .operators import evolve, filters, infer, partition, presort, variants
 from .plans import maintenance, metrics
 from .plans.catalog import Catalog
-from .streaming import include, lag
+from .streaming import lag
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -376,14 +376,6 @@ def concat_missing(spark, sf_dir):
     return evolve.concat([a, table(spark, sf_dir, "orders").selectExpr("o_orderkey AS id", "o_orderstatus")])
 
 
-@query("SELECT * FROM (VALUES ('added', 'extra'), ('skipped', 'bad-name'), ('skipped', 'team'), ('widened', 'n')) t(change, name)")
-def schema_evolution_plan(spark, sf_dir):
-    live = spark.createDataFrame([], "n int, team long, name string").schema
-    batch = spark.createDataFrame([], "n long, team boolean, name string, extra double, `bad-name` string").schema
-    _, added, widened, skipped = evolve.plan(live, batch)
-    return spark.createDataFrame([("added", x) for x in added] + [("widened", x) for x in widened] + [("skipped", x) for x in skipped], "change string, name string")
-
-
 # catalog ---------------------------------------------------------------------------------
 
 #: Order lines as files: order, line, part and supplier tell them apart.
@@ -576,11 +568,6 @@ def stream_ingest(spark, sf_dir):
 POLLS = ["user_id % 5 AS set", "cast(floor(event_id / 40) AS bigint) AS seq", "CASE WHEN cast(floor(event_id / 40) AS bigint) % 9 <> 8 THEN event_id % 10 - event_id % 3 END AS value"]
 
 
-@query()
-def include_replay(spark, sf_dir):
-    return include.replay(_events(spark, sf_dir, *POLLS), [1, 2, 3], [0], 3)
-
-
 # rules and operators whose result a table shows ------------------------------------------
 
 
@@ -682,14 +669,6 @@ def insertion_stamp(spark, sf_dir):
     return df.groupBy("event_type").agg(F.count("*").alias("n"), F.countDistinct(evolve.STAMP).alias("stamps"))
 
 
-_FLUSH = "event_id, user_id * 1000 AS pending_bytes, event_id % 4 AS records, cast(event_id % 90 AS double) AS elapsed"
-
-
-@query(f"SELECT event_id, CASE WHEN records = 0 THEN NULL WHEN pending_bytes >= 50000 THEN 'size' WHEN elapsed >= 60 THEN 'time' END AS trigger FROM (SELECT {_FLUSH} FROM events)")
-def flush_triggers(spark, sf_dir):
-    return table(spark, sf_dir, "events").selectExpr(*_FLUSH.split(", ")).select("event_id", lag.flush_due(50_000, 60.0).alias("trigger"))
-
-
 @query("SELECT event_id, least(60.0, greatest(0.1, 30.0 - event_id % 100))::DOUBLE AS timeout, event_id % 700 < 480 AS healthy, least(30.0, 0.5 * pow(2, event_id % 9))::DOUBLE AS backoff FROM events")
 def consumer_rules(spark, sf_dir):
     n = F.col("event_id")
@@ -781,7 +760,7 @@ def message_log_read(spark, sf_dir):
 def message_log_watermarks(spark, sf_dir):
     from .sources import messages
 
-    return messages.watermarks(messages.read(spark, _log(spark, sf_dir), "events"))
+    return messages.watermarks(spark, _log(spark, sf_dir), "events")
 
 
 @query("SELECT (event_id % 8)::INT AS partition, count(*) AS n FROM events WHERE floor(event_id / 8) >= CASE WHEN event_id % 8 < 5 THEN event_id % 8 * 20 ELSE 0 END GROUP BY 1")
@@ -838,3 +817,6 @@ def cleanup_applied(spark, sf_dir):
     found = maintenance.cleanup(t, F.current_timestamp() + F.expr("INTERVAL 1 HOUR"))
     again = maintenance.cleanup(t, F.current_timestamp() + F.expr("INTERVAL 1 HOUR"))
     return found.unionByName(again).agg(F.count("*").alias("strays")).crossJoin(t.read().agg(F.count("*").alias("n")))
+
+
+from . import applied  # noqa: E402, F401 - registers the queries that write

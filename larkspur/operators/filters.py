@@ -61,25 +61,33 @@ def drop(df: DataFrame, field: str, values: Sequence[int | str]) -> DataFrame:
     return df if reason else df.where(~F.coalesce(cond, F.lit(False)))
 
 
+KEEP_REASONS = ("filter_field_missing", "filter_excluded", "filter_value_invalid")
+
+
+def keep_reasons(df: DataFrame, field: str, values: Sequence[int | str]) -> dict[str, Column]:
+    """Aggregates that count, by reason, what :func:`keep` leaves out."""
+    cond, reason = member_of(df, field, values)
+    none = F.count_if(F.lit(False))
+    if reason:
+        return {r: F.count("*") if r == reason else none for r in KEEP_REASONS}
+    return dict(zip(KEEP_REASONS, (F.count_if(F.col(field).isNull()), F.count_if(~cond), none)))
+
+
 def keep_counts(df: DataFrame, field: str, values: Sequence[int | str]) -> DataFrame:
     """One row: ``total, kept, filter_field_missing, filter_excluded, filter_value_invalid``, in one pass."""
     cond, reason = member_of(df, field, values)
-    if reason:
-        n = F.count("*")
-        zero = F.lit(0).cast("long")
-        return df.agg(n.alias("total"), F.count_if(F.lit(False)).alias("kept"), *[(n if reason == r else zero).alias(r) for r in ("filter_field_missing", "filter_excluded", "filter_value_invalid")])
-    return df.agg(
-        F.count("*").alias("total"),
-        F.count_if(cond).alias("kept"),
-        F.count_if(F.col(field).isNull()).alias("filter_field_missing"),
-        F.count_if(~cond).alias("filter_excluded"),
-        F.count_if(F.lit(False)).alias("filter_value_invalid"),
-    )
+    kept = F.count_if(F.lit(False) if reason else cond)
+    return df.agg(F.count("*").alias("total"), kept.alias("kept"), *[c.alias(r) for r, c in keep_reasons(df, field, values).items()])
 
 
-def drop_count(df: DataFrame, field: str, values: Sequence[int | str]) -> DataFrame:
+def dropped(df: DataFrame, field: str, values: Sequence[int | str]) -> Column:
+    """Aggregate that counts what :func:`drop` leaves out."""
     cond, reason = member_of(df, field, values)
-    return df.agg(F.count_if(F.lit(False) if reason else F.coalesce(cond, F.lit(False))).alias("filter_dropped"))
+    return F.count_if(F.lit(False) if reason else F.coalesce(cond, F.lit(False)))
+
+
+def drop_count(df: DataFrame, field: str, values: Sequence[int | str]) -> DataFrame:
+    return df.agg(dropped(df, field, values).alias("filter_dropped"))
 
 
 def matched_counts(df: DataFrame, field: str, values: Sequence[int | str]) -> DataFrame:

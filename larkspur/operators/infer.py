@@ -22,9 +22,25 @@ class Key:
     mixed: bool
 
 
-def parse(rows: DataFrame, value: str = "value") -> DataFrame:
-    """``rows`` with ``rec VARIANT``: the record, or null where the value is no JSON object."""
+#: Stands before NaN, Infinity and -Infinity in the texts that they travel as; a private-use character.
+MARK = "\ue000"
+#: Such a literal with all before it, from where the last one ended: strings are passed over whole.
+_LITERAL = r'\G((?:[^"NI\-]++|"(?:[^"\\]++|\\.)*+"|-(?!Infinity))*+)(NaN|-?Infinity)'
+
+
+def quote_non_finite(text: Column) -> Column:
+    """JSON text whose NaN, Infinity and -Infinity outside of strings have become marked strings."""
+    some = text.contains("NaN") | text.contains("Infinity")
+    return F.when(some, F.regexp_replace(text, _LITERAL, f'$1"{MARK}$2"')).otherwise(text)
+
+
+def parse(rows: DataFrame, value: str = "value", non_finite: bool = False) -> DataFrame:
+    """``rows`` with ``rec VARIANT``: the record, or null where the value is no JSON object.
+
+    NaN, Infinity and -Infinity are no JSON; with ``non_finite`` they count as numbers.
+    """
     text = F.col(value).cast("string")
+    text = quote_non_finite(text) if non_finite else text
     # the parser stops at the end of the first value, so what follows an object must be blank
     v = F.when(text.rlike(r"^\s*\{(?s:.*)\}\s*$"), F.try_parse_json(text))
     # what parses and stands in braces is an object
@@ -47,7 +63,7 @@ def key_stats(parsed: DataFrame, seq: str) -> DataFrame:
         parsed.sparkSession.tvf.variant_explode(F.col("rec").outer())
     ).select(seq, "pos", "key", F.expr("schema_of_variant(value)").alias("s"), F.expr("to_json(value)").alias("j"))
     # integers beyond 64 bits come as decimals without a fraction; they are no floats
-    kind = F.when(F.col("s").startswith("DECIMAL") & F.col("j").rlike("^-?[0-9]{19,}$"), "string").otherwise(_kind(F.col("s")))
+    kind = F.when(F.col("s").startswith("DECIMAL") & F.col("j").rlike("^-?[0-9]{19,}$"), "string").when(F.col("j").startswith(f'"{MARK}'), "double").otherwise(_kind(F.col("s")))
     typed = pairs.withColumn("kind", kind)
     return typed.groupBy("key").agg(
         F.min(F.struct(seq, "pos")).alias("first"),
@@ -86,12 +102,26 @@ def python_text(v: Column) -> Column:
     return (
         F.when(v.isNull() | (kind == "VOID"), None)
         .when(kind == "BOOLEAN", F.initcap(text))
+        .when(is_marked(v), F.replace(F.lower(unmarked(v)), F.lit("infinity"), F.lit("inf")))
         .when(kind == "STRING", F.try_variant_get(v, "$", "string"))
         .when(kind.rlike("^(?:DOUBLE|FLOAT|DECIMAL)"), float_text(F.try_variant_get(v, "$", "double")))
-        .otherwise(text)
+        .otherwise(nested_text(v))
     )
 
 
+def is_marked(v: Column) -> Column:
+    return F.coalesce(F.try_variant_get(v, "$", "string").startswith(MARK), F.lit(False))
+
+
+def unmarked(v: Column) -> Column:
+    return F.substring(F.try_variant_get(v, "$", "string"), 2, 10)
+
+
+def nested_text(v: Column) -> Column:
+    """JSON text; what is not finite inside of it is null, as JSON has no other word for it."""
+    return F.regexp_replace(F.to_json(v), f'"{MARK}(?:NaN|-?Infinity)"', "null")
+
+
 def float_text(c: Column) -> Column:
     """Shortest decimal of a double: 2.0, 1e+20, 1e-05."""
     s = c.cast("string")
@@ -114,11 +144,12 @@ def build(parsed: DataFrame, keys: Sequence[Key], json_text: Sequence[str] = ())
     def typed(k: Key, v: Column) -> Column:
         if k.name in json_text or k.kind == "string" and not k.mixed:
             kind = F.schema_of_variant(v)
-            return F.when(kind == "STRING", F.try_variant_get(v, "$", "string")).when(kind != "VOID", F.to_json(v))
+            return F.when(is_marked(v), unmarked(v)).when(kind == "STRING", F.try_variant_get(v, "$", "string")).when(kind != "VOID", nested_text(v))
         if k.mixed:
             return python_text(v)
         if k.kind == "double":
-            return F.when(F.schema_of_variant(v) == "BOOLEAN", F.try_variant_get(v, "$", "boolean").cast("double")).otherwise(F.try_variant_get(v, "$", "double"))
+            flag = F.schema_of_variant(v) == "BOOLEAN"
+            return F.when(flag, F.try_variant_get(v, "$", "boolean").cast("double")).when(is_marked(v), unmarked(v).try_cast("double")).otherwise(F.try_variant_get(v, "$", "double"))
         return F.try_variant_get(v, "$", "bigint" if k.kind == "long" else k.kind)
 
     def record(rec: Column) -> Column:
@@ -134,9 +165,9 @@ def build(parsed: DataFrame, keys: Sequence[Key], json_text: Sequence[str] = ())
     return parsed.select(*kept, F.inline(F.transform(one, record)))
 
 
-def convert(rows: DataFrame, seq: str, value: str = "value", json_text: Sequence[str] = ()) -> DataFrame:
+def convert(rows: DataFrame, seq: str, value: str = "value", json_text: Sequence[str] = (), non_finite: bool = False) -> DataFrame:
     """Parses, infers and builds; rows that are no JSON object are left out."""
-    parsed = parse(rows, value)
+    parsed = parse(rows, value, non_finite)
     return build(parsed, infer(parsed, seq), json_text).drop(value)
 
 

@@ -76,6 +76,17 @@ def skipped_prefixes(df: DataFrame, prefix: str) -> DataFrame:
     return groups.agg(F.count("*").alias("groups"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows"))
 
 
+def folder_name(value: Column) -> Column:
+    """A text that names a partition's folder: never empty, never too long, and another one for every value.
+
+    Values that are empty or begin with ``_`` or ``~`` get a ``_`` in front; of those
+    over 120 bytes the hash stands behind ``~``.  Null stays null.
+    """
+    v = value.cast("string")
+    odd = (v == "") | v.startswith("_") | v.startswith("~")
+    return F.when(F.octet_length(v) > 120, F.concat(F.lit("~"), F.sha2(v.cast("binary"), 256))).when(odd, F.concat(F.lit("_"), v)).otherwise(v)
+
+
 def write_layout(df: DataFrame, spec: tuple[Field, ...], keys: list[Column] | None = None) -> DataFrame:
     """Deals rows by partition tuple, so a task's open files are its own partitions', sorted for the writer.
 
@@ -84,6 +95,7 @@ def write_layout(df: DataFrame, spec: tuple[Field, ...], keys: list[Column] | No
     names = ["p_" + f.name for f in spec]
     out = with_values(df, spec)
     if names:
+        out = out.withColumns({n: folder_name(F.col(n)) for n in names})
         out = out.hint("rebalance", *[F.col(n) for n in names])
         out = out.sortWithinPartitions(*[F.col(n).asc_nulls_last() for n in names], *(keys or []))
     elif keys:

@@ -239,60 +239,68 @@ class AdvisoryLock:
 # applied to a lake table ---------------------------------------------------------------
 
 
-def expire(table, keep_last: int = 1, batch: int = 256) -> list[str]:
-    """Deletes files of a lake table that only snapshots before the last ``keep_last`` see.
+def in_batches(items: list, act, batch: int) -> tuple[list, list[int]]:
+    """``act(some)`` over all items: batches halve when one fails and double after ten clean ones.
 
-    Files go in batches, whose size halves when one fails and doubles after ten
-    clean ones; one that cannot go even alone is passed over and stays in the log.
+    An item that fails even alone is passed over.  Returns what was done, and the
+    size of each batch that was tried.
     """
-    versions = table.versions()
-    oldest = versions[-keep_last:][0]
-    gone = [f[0] for f in table.file_rows() if f[2] is not None and f[2] <= oldest]
-    done, at, size, clean = [], 0, batch, 0
-    while at < len(gone):
-        some = gone[at : at + size]
+    done, sizes, at, size, clean = [], [], 0, batch, 0
+    while at < len(items):
+        some = items[at : at + size]
+        sizes.append(len(some))
         try:
-            table.delete_files(some)
+            act(some)
             failed = False
-        except Exception:  # noqa: BLE001 - whatever the store says, smaller batches find the file
+        except Exception:  # noqa: BLE001 - whatever the store says, smaller batches find the item
             failed = True
         if not failed or len(some) == 1:
             done += [] if failed else some
             at += len(some)
         size, clean = halving(size, failed, clean, batch)
-    return done
+    return done, sizes
+
 
+def expire(table, keep_last: int = 1, before: float | None = None, batch: int = 256, purge: bool = True) -> list[str]:
+    """Expires all versions before the last ``keep_last`` (and, if given, made before the instant ``before``); the files that went.
 
-def drop_partitions(table, column: str, cutoff, cursors: DataFrame | None = None, attempts: int = 5) -> int:
-    """Removes the files of whole day partitions of ``column`` that end by ``cutoff`` in one commit; how many.
+    Commits of expiry itself are no versions to keep, so a second run finds nothing.
 
-    ``cursors(position)``: no partition goes that a reader has not passed.  A
-    partition without a value stays.  Where another writer commits first, the plan
-    is made anew from what is live then.
+    Versions expire oldest first, a batch a commit: the commit moves the oldest
+    version that may be read and queues the files that no version from there on
+    sees.  The newest version never expires.  Queued files are then deleted, and
+    the log before the oldest version is folded away.
     """
-    from datetime import date, timedelta
+    oldest = table.snapshot().oldest
+    kept = [c for c in table.commits() if c["version"] >= oldest]
+    content = [c["version"] for c in kept if not c.keys() & {"expire_to", "unqueue"}]
+    target = content[max(0, len(content) - max(1, keep_last))]
+    if before is not None:
+        target = min([target, *(c["version"] for c in kept if c["time"] >= before)])
+    steps = [c["version"] for c in kept if oldest < c["version"] <= target]
+    for upto in steps[batch - 1 :: batch] + ([target] if len(steps) % batch else []):
+        dead = [{"path": f[0], "end": f[2], "bytes": f[3], "rows": f[4]} for f in table.file_rows() if f[2] is not None and f[2] <= upto]
 
-    from ..operators.partition import parse_spec
-    from ..sources.lake import CommitConflict
+        def make(s, upto=upto, dead=dead):
+            new = [f for f in dead if f["path"] not in s.queue and f["path"] not in s.files]
+            return None if s.oldest >= upto else {"expire_to": upto, "queue": new}
+
+        table.change(make)
+        table.trim(upto)
+    return purge_queue(table, batch) if purge else []
 
-    last = cutoff if cursors is None else min([cutoff, *(r[0] for r in cursors.agg(F.min("position")).collect() if r[0] is not None)])
-    for attempt in range(attempts):
-        s = table.snapshot()
-        names = [f.name for f in parse_spec(s.spec)] if s.spec else []
-        if f"{column}_day" not in names:
-            raise ValueError(f"the table is not partitioned by day({column})")
-        i = names.index(f"{column}_day")
-        ends = lambda f: date(1970, 1, 1) + timedelta(days=int(f["values"][i]) + 1)
-        gone = [p for p, f in s.files.items() if f["values"][i] is not None and ends(f) <= last.date()]
-        if not gone:
-            return 0
-        try:
-            table.replace(gone, [])
-            return len(gone)
-        except CommitConflict:
-            if attempt + 1 == attempts:
-                raise
-    return 0
+
+def purge_queue(table, batch: int = 256) -> list[str]:
+    """Deletes the files that expiry has queued and takes them off the queue, a commit a batch; which went.
+
+    A file that cannot be deleted stays in the queue for the next run.
+    """
+
+    def act(some: list[str]) -> None:
+        table.delete_files(some)
+        table.change(lambda s: {"unqueue": [p for p in some if p in s.queue]} if any(p in s.queue for p in some) else None)
+
+    return in_batches(sorted(table.snapshot().queue), act, batch)[0]
 
 
 def compact(table, target: int = TARGET, budget: int = 1 << 40, outputs: int = 1000) -> int:
@@ -314,15 +322,251 @@ def listing(spark, root: str) -> DataFrame:
     return found.select("path", F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
 
 
-def cleanup(table, older_than: Column) -> DataFrame:
-    """Deletes data files that no commit names and that are older than ``older_than``; returns their paths.
+def cleanup(table, older_than: Column, batch: int = 1000) -> DataFrame:
+    """Deletes data files that no commit names and that are older than ``older_than``; returns ``path, bytes``.
+
+    Executors list and compare, the driver deletes a batch at a time.  The folder is
+    listed and written down before the log is read, so a file that is committed in
+    between is known.
+    """
+    import uuid as ids
+
+    root = f"{table.root}/_strays/{ids.uuid4().hex}"
+    inside = F.expr(f"substring(path, {len(table.files.base) + 2})")
+    found = listing(table.spark, f"{table.root}/data").where(F.col("modified") < older_than)
+    found.withColumn("path", inside).select("path", "bytes").write.parquet(f"{root}/listed")
+    known = table.spark.createDataFrame([(f[0],) for f in table.file_rows()] + [(p,) for p in table.snapshot().queue], "path string")
+    listed = table.spark.read.schema("path string, bytes long").parquet(f"{root}/listed")
+    listed.join(known, "path", "left_anti").write.parquet(f"{root}/stray")
+    stray = table.spark.read.schema("path string, bytes long").parquet(f"{root}/stray")
+    some: list[str] = []
+    for r in stray.select("path").toLocalIterator():
+        some.append(r["path"])
+        if len(some) >= batch:
+            table.delete_files(some)
+            some = []
+    table.delete_files(some)
+    return stray
+
+
+# leaves ----------------------------------------------------------------------------------
+
+#: Hours that a leaf of each transform spans; months and years are stepped over by the calendar.
+_GRAINS = ("hour", "day", "month", "year")
+
+
+def leaf_bounds(values: list[str | None], fields, column: str):
+    """(start, end) of a file's partition values in time; None where they are no span of ``column``.
+
+    Either one epoch-relative field (hours, days, months or years of the column), or
+    calendar fields year, month, day and hour, each an identity column of that name.
+    """
+    from datetime import datetime, timedelta
+
+    epoch = datetime(1970, 1, 1)
+    by = {f.name: v for f, v in zip(fields, values)}
+    try:
+        for f in fields:
+            if f.column == column and f.kind in _GRAINS:
+                n = int(by[f.name])
+                if f.kind in ("hour", "day"):
+                    step = timedelta(hours=1) if f.kind == "hour" else timedelta(days=1)
+                    return epoch + n * step, epoch + (n + 1) * step
+                months = n * (12 if f.kind == "year" else 1)
+                at = lambda m: datetime(1970 + m // 12, m % 12 + 1, 1)
+                return at(months), at(months + (12 if f.kind == "year" else 1))
+        given = [int(by[g]) for g in ("year", "month", "day", "hour") if g in by]
+        if not given:
+            return None
+        start = datetime(*(given + [1, 1, 0][len(given) - 1 :])) if len(given) < 4 else datetime(*given)
+        y, m, d, h = start.year, start.month, start.day, start.hour
+        end = [lambda: datetime(y + 1, 1, 1), lambda: datetime(y + m // 12, m % 12 + 1, 1), lambda: datetime(y, m, d) + timedelta(days=1), lambda: datetime(y, m, d, h) + timedelta(hours=1)]
+        return start, end[len(given) - 1]()
+    except (TypeError, ValueError, OverflowError):
+        return None
+
+
+LEAVES = "leaf string, spec string, state string, starts timestamp, ends timestamp, files long, bytes long, rows long, oversized boolean"
+
+
+def leaves(table, column: str, cutoff, floor=None, most_files: int = 10_000) -> DataFrame:
+    """Every leaf of a lake table and whether retention may drop it, oldest first; nothing is changed.
+
+    ``state``: ``old_spec`` (written under another spec than the live one), ``rot``
+    (values missing, or no instant), ``floor`` (ends after ``floor``, which no cutoff
+    may pass), ``young`` (ends after ``cutoff``), otherwise ``droppable``; the first
+    that fits.  ``oversized`` leaves have more than ``most_files`` files and want a
+    run of their own.  Times are UTC.
+    """
+    from ..operators.partition import parse_spec
+
+    s = table.snapshot()
+    fields = parse_spec(s.spec) if s.spec else ()
+    rows = [("/".join("" if v is None else v for v in f["values"]), f.get("spec", s.spec), f["values"], f["bytes"], f["rows"]) for f in s.files.values()]
+    files = table.spark.createDataFrame(rows, "leaf string, spec string, vals array<string>, bytes long, rows long")
+    per = files.groupBy("leaf", "spec", "vals").agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows"))
+    spec, n = s.spec, len(fields)
+
+    def classify(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            out = []
+            for r in b.to_pylist():
+                vals = r["vals"]
+                span = leaf_bounds(vals, fields, column) if len(vals) == n and None not in vals else None
+                state = "old_spec" if r["spec"] != spec else "rot" if span is None else "floor" if floor is not None and span[1] > floor else "young" if span[1] > cutoff else "droppable"
+                start, end = span if span and state != "old_spec" else (None, None)
+                out.append((r["leaf"], r["spec"], state, start, end, r["files"], r["bytes"], r["rows"], r["files"] > most_files))
+            kinds = [pa.string(), pa.string(), pa.string(), pa.timestamp("us", "UTC"), pa.timestamp("us", "UTC"), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
+            names = ["leaf", "spec", "state", "starts", "ends", "files", "bytes", "rows", "oversized"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)] if out else [pa.array([], k) for k in kinds], names=names)
+
+    return per.mapInArrow(classify, LEAVES).orderBy(F.asc_nulls_last("ends"), "leaf")
+
+
+def drop_leaves(table, column: str, cutoff, floor=None, cursors: DataFrame | None = None, dry_run: bool = True, oversized: bool = False) -> list[dict]:
+    """Drops the leaves that :func:`leaves` calls droppable, oldest first, each in a commit of its own; what went or would go.
+
+    A commit removes the leaf's files as they are live then and carries what it takes
+    away (``dropped``: leaf, files, bytes, rows).  A run that ends early has dropped
+    whole leaves, and the next one goes on with the rest.  ``cursors(position)``: no
+    leaf goes that a reader has not passed.  Oversized leaves are left unless asked for.
+    """
+    last = cutoff if cursors is None else min([cutoff, *(r[0] for r in cursors.agg(F.min("position")).collect() if r[0] is not None)])
+    found = leaves(table, column, last, floor).where(F.col("state") == "droppable")
+    plan = (found if oversized else found.where(~F.col("oversized"))).collect()  # one row a leaf
+    out = []
+    for r in plan:
+        took = {"leaf": r["leaf"], "files": r["files"], "bytes": r["bytes"], "rows": r["rows"]}
+        if not dry_run:
+
+            def make(s, r=r, took=took):
+                gone = {p: f for p, f in s.files.items() if f.get("spec", s.spec) == r["spec"] and "/".join("" if v is None else v for v in f["values"]) == r["leaf"]}
+                if not gone or r["spec"] != s.spec:
+                    return None
+                took |= {"files": len(gone), "bytes": sum(f["bytes"] for f in gone.values()), "rows": sum(f["rows"] for f in gone.values())}
+                return {"remove": list(gone), "dropped": dict(took)}
+
+            if table.change(make) is None:
+                continue
+        out.append(took)
+    return out
+
+
+def drop_partitions(table, column: str, cutoff, cursors: DataFrame | None = None) -> int:
+    """Removes the files of all leaves of ``column`` that end by ``cutoff``; how many."""
+    from ..operators.partition import parse_spec
+
+    spec = table.snapshot().spec
+    if not any(f.column == column and f.kind in _GRAINS for f in (parse_spec(spec) if spec else ())):
+        raise ValueError(f"the table is not partitioned by a time of {column!r}")
+    return sum(x["files"] for x in drop_leaves(table, column, cutoff, cursors=cursors, dry_run=False, oversized=True))
+
+
+# repair ------------------------------------------------------------------------------------
+
+
+class RepairFailed(Exception):
+    """No table that needed it could be repaired."""
+
+
+def broken_values(table) -> dict[str, list]:
+    """Live files of the current spec whose partition values are missing, too many or too few."""
+    from ..operators.partition import parse_spec
+
+    s = table.snapshot()
+    n = len(parse_spec(s.spec)) if s.spec else 0
+    return {p: f["values"] for p, f in s.files.items() if f.get("spec", s.spec) == s.spec and (len(f["values"]) != n or None in f["values"])}
+
+
+def repair_values(table) -> int:
+    """Gives files with broken partition values those that their own rows have; how many were changed.
+
+    Rows decide and not folder names, which cannot tell null from a hashed value.  A
+    file is changed only if all its rows agree on every value and there are as many as
+    the log says (the post-condition, checked for all files before anything is
+    committed); a value that is null in every row stays null, which is right.
+    """
+    from ..operators.partition import parse_spec
+    from ..sources.lake import file_uri
+
+    s = table.snapshot()
+    fields = parse_spec(s.spec) if s.spec else ()
+    broken = broken_values(table)
+    if not broken or not fields:
+        return 0
+    uris = {table.files.uri(p): p for p in broken}
+    read = table.spark.read.schema(s.schema).parquet(*[f"{table.root}/{p}" for p in broken])
+    kinds = dict(read.dtypes)
+    text = [f.value(kinds[f.column]).cast("string") for f in fields]
+    aggs = [F.count("*").alias("rows")]
+    for i, v in enumerate(text):
+        aggs += [F.min(v).alias(f"lo_{i}"), F.max(v).alias(f"hi_{i}"), F.count(v).alias(f"n_{i}")]
+    found = read.groupBy(file_uri().alias("uri")).agg(*aggs).collect()  # one row a broken file
+    fixed = {}
+    for r in found:
+        path = uris[r["uri"]]
+        values = [r[f"lo_{i}"] for i in range(len(fields))]
+        mixed = any(r[f"lo_{i}"] != r[f"hi_{i}"] or r[f"n_{i}"] not in (0, r["rows"]) for i in range(len(fields)))
+        if mixed or r["rows"] != s.files[path]["rows"]:
+            raise CorruptFile(f"{path} holds rows of several partitions or another number of rows than the log says")
+        if values != broken[path]:
+            fixed[path] = values
+    if not fixed:
+        return 0
+
+    def make(now):
+        if now.spec != s.spec:
+            raise CorruptFile(f"the table is partitioned by {now.spec!r} now")
+        live = {p: v for p, v in fixed.items() if p in now.files}
+        return {"values": live} if live else None
+
+    table.change(make)
+    return len(fixed)
+
+
+class CorruptFile(Exception):
+    """A file's rows contradict the log."""
+
+
+def repair_all(tables: dict) -> tuple[dict[str, int], dict[str, str]]:
+    """``repair_values`` of each named table: how many files changed, and what failed; RepairFailed if everything did."""
+    good, bad = {}, {}
+    for name, table in tables.items():
+        try:
+            good[name] = repair_values(table)
+        except Exception as e:  # noqa: BLE001 - one table's fault leaves the others alone
+            bad[name] = f"{type(e).__name__}: {e}".splitlines()[0][:300]
+    if bad and not good:
+        raise RepairFailed("; ".join(f"{k}: {v}" for k, v in bad.items()))
+    return good, bad
+
+
+# inline tables -----------------------------------------------------------------------------
+
+_NAME = r"^[A-Za-z_][A-Za-z0-9_]*$"
+
+
+def drop_inlined(c: Catalog, drop, page: int = 1000, batch: int = 64, rows_of: DataFrame | None = None) -> tuple[list[tuple], list[int]]:
+    """Drops the inline tables that no kept snapshot reaches, a keyset page at a time; which went, and the batch sizes.
 
-    Executors list, compare and delete: the log's paths are an equality anti-join.
+    ``drop(some)`` takes ``(table_id, schema_version, table_name)`` rows and fails
+    whole; batches halve and grow as in :func:`in_batches`.  Refuses a lake without
+    snapshots, in which everything would look unreachable.  Tables with rows
+    (``rows_of(table_name, n)``) and with names that are none are passed over.
     """
-    known = table.spark.createDataFrame([(f[0],) for f in table.file_rows()], "path string")
-    inside = F.regexp_extract("path", "/(data/.*)$", 1)
-    stray = listing(table.spark, f"{table.root}/data").where(F.col("modified") < older_than).withColumn("path", inside)
-    stray = stray.join(known, "path", "left_anti").select("path", "bytes")
-    found = table.spark.createDataFrame(stray.collect(), stray.schema)  # one row a stray file
-    table.delete_files([r["path"] for r in found.select("path").toLocalIterator()])
-    return found
+    if c.snapshot.isEmpty():
+        raise ValueError("the lake has no snapshot: what is unreachable cannot be told")
+    found = droppable_inlined(c).where(F.col("table_name").rlike(_NAME))
+    if rows_of is not None:
+        full = rows_of.where(F.col("n") > 0).select("table_name").distinct()
+        found = found.join(full, "table_name", "left_anti").select("table_id", "schema_version", "table_name")
+    done, sizes, after, size = [], [], None, batch
+    while True:
+        ask = found.orderBy("table_id", "schema_version").limit(page) if after is None else keyset_page(found, "table_id", "schema_version", after, page)
+        rows = [tuple(r) for r in ask.collect()]  # one page
+        if not rows:
+            return done, sizes
+        went, tried = in_batches(rows, drop, size)
+        done, sizes, after = done + went, sizes + tried, rows[-1][:2]

@@ -32,20 +32,31 @@ def _segment():
     return Window.partitionBy("partition", "base")
 
 
-def read(spark: SparkSession, root: str, topic: str, stream: bool = False, replicas: int = 1, ordinal: int = 0) -> DataFrame:
+def read(spark: SparkSession, root: str, topic: str, stream: bool = False, replicas: int = 1, ordinal: int = 0, flush_bytes: int | None = None) -> DataFrame:
     """``topic, partition, offset, value`` of the partitions that fall to one of the replicas.
 
     Partitions are those the folder has; folder pruning skips those of other replicas.
+    A stream with ``flush_bytes`` admits segments to a batch until they have so many
+    bytes (one segment at least).
     """
     source = spark.readStream if stream else spark.read
+    if stream and flush_bytes:
+        source = source.option("maxBytesPerTrigger", str(flush_bytes))
     rows = source.schema("value string, partition int, base long").parquet(f"{root}/{topic}")
     offset = F.col("base") + F.col("_metadata.row_index")
     return assigned(rows, ordinal, replicas).select(F.lit(topic).alias("topic"), "partition", offset.alias("offset"), "value")
 
 
-def watermarks(log: DataFrame) -> DataFrame:
-    """``topic, partition, low, high``: the first offset there is and the one that comes next."""
-    return log.groupBy("topic", "partition").agg(F.min("offset").alias("low"), (F.max("offset") + 1).alias("high"))
+def watermarks(spark: SparkSession, root: str, topic: str) -> DataFrame:
+    """``topic, partition, low, high``: the first offset there is and the one that comes next.
+
+    Folder names give the first, and the row count of each partition's last segment,
+    which its Parquet footer has, the next: of the messages nothing is read.
+    """
+    segments = spark.read.schema("partition int, base long").parquet(f"{root}/{topic}")
+    rows = segments.groupBy("partition", "base").agg(F.count("*").alias("n"))
+    ends = rows.groupBy("partition").agg(F.min("base").alias("low"), F.max(F.col("base") + F.col("n")).alias("high"))
+    return ends.select(F.lit(topic).alias("topic"), "partition", "low", "high")
 
 
 def from_positions(log: DataFrame, starts: DataFrame) -> DataFrame:

@@ -105,6 +105,25 @@ class Config:
     include_polls: int
     replicas: int
     ordinal: int
+    group_id: str
+    destination: str
+    retry_attempts: int
+    retry_seconds: float
+    reserve_seconds: float
+
+
+#: Destinations and the settings that only the other one knows: leaving one behind is refused, not ignored.
+DESTINATIONS = {"lake": (), "log": ("PARTITION_BY", "SORT_COLUMNS", "VARIANT_COLUMNS")}
+_GROUP = re.compile(r"[A-Za-z0-9._-]{1,249}")
+
+
+def destination_of(name: str, group: str, last: str, env: Mapping[str, str]) -> str:
+    """The destination, which a consumer group keeps: one that was another before needs a group of its own."""
+    _need(name in DESTINATIONS, f"destination is one of {', '.join(DESTINATIONS)}, not {name!r}")
+    left = [k for k in DESTINATIONS[name] if env.get(k, "").strip()]
+    _need(not left, f"{', '.join(left)} mean nothing to the destination {name!r}")
+    _need(not last or last == name, f"group {group!r} has written to {last!r}: positions of one destination are not those of another")
+    return name
 
 
 def load(env: Mapping[str, str]) -> Config:
@@ -132,7 +151,15 @@ def load(env: Mapping[str, str]) -> Config:
         raise ConfigError(str(e)) from e
     flush_bytes, flush_seconds = int(get("FLUSH_BYTES", str(128 << 20))), int(get("FLUSH_SECONDS", "60"))
     _need(flush_bytes > 0 and flush_seconds > 0, "flush limits are positive")
+    group = get("GROUP_ID", "larkspur")
+    _need(bool(_GROUP.fullmatch(group)), f"group id {group!r} is no name")
+    destination = destination_of(get("DESTINATION", "lake"), group, get("LAST_DESTINATION"), env)
+    attempts, timeout = int(get("RETRY_ATTEMPTS", "5")), float(get("RETRY_TIMEOUT", "30"))
+    worst = retry_ladder(attempts, float(get("RETRY_BASE", "0.5")), float(get("RETRY_CAP", "30")), timeout)
+    reserve = attempt_reserve(timeout, 0.0)
+    _need(reserve < LIVENESS - worst / attempts, f"an attempt needs {reserve:.0f} s before the limit of {LIVENESS:.0f}")
     return Config(
         keep, filter_of(get("DROP_FIELD"), get("DROP_VALUES"), typed), typed, variant, column_list(get("SORT_COLUMNS")), spec, reset, codec, level,
         flush_bytes, flush_seconds, url, shadow, polls, replicas, ordinal_of(get("HOSTNAME", "ingest-0"), replicas),
+        group, destination, attempts, timeout, reserve,
     )

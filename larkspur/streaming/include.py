@@ -1,85 +1,130 @@
-"""A polled allowlist: additions at once, removals after repeated absence, refusals.
-
-A value goes when ``polls`` accepted polls in a row lack it; pinned values never go.
-A poll is refused as ``type_flip`` if its values are of another kind than those
-held, as ``empty`` if it names nothing while there is anything that polls govern
-(or nothing is held at all), and as ``bulk_removal`` if it would end more than
-max(1, managed // 2) of several managed values at once.  Managed are the values
-held but for pins that the poll does not name.  A refused poll counts towards no
-removal; the additions of a bulk refusal still apply.
+"""A polled allowlist as a stateful operator: one small state a set, folded over its polls in order.
+
+Every value of a set has a number, the accepted polls in a row that lacked it; that
+and the pins are the whole state.  A poll is answered in this order:
+
+* values of another kind than those held: nothing happens (``type_flip``);
+* it names nothing, though polls govern something or nothing is pinned: ``empty``;
+* what is new comes in at once;
+* numbers go up by one for values that are lacking and not pinned, and end for all
+  others; a value whose number reaches ``need`` goes;
+* unless nothing at all would be left (``empty``, and what is new stays out), or the
+  values to go are over half of those that the poll governs, where it governs several
+  (``bulk_removal``: numbers stay as they were, what is new stays in).  Governed are
+  the values held but for pins that the poll does not name.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from dataclasses import dataclass, field
-
-
-@dataclass
-class IncludeSet:
-    initial: Iterable
-    pins: Iterable = ()
-    polls: int = 3
-    shadow: bool = False
-    served: set = field(init=False)
-
-    def __post_init__(self):
-        if self.polls < 1:
-            raise ValueError("polls is at least 1")
-        self.pins = set(self.pins)
-        self.served = set(self.initial) | self.pins
-        self.absent: dict = {}
-        self.last_polled: set = set(self.served)
-
-    def _kind(self) -> type | None:
-        return next((type(v) for v in sorted(self.served, key=str)), None)
-
-    def poll(self, values: Iterable) -> dict:
-        """Takes in one poll; returns ``added, removed, refused``."""
-        new = set(values)
-        self.last_polled = new | self.pins
-        if len({type(v) for v in new} | ({self._kind()} if new and self._kind() else set())) > 1:
-            return {"added": set(), "removed": set(), "refused": "type_flip"}
-        if not new and (self.served - self.pins or not self.pins):
-            return {"added": set(), "removed": set(), "refused": "empty"}
-        added = new - self.served
-        missed = {v: self.absent.get(v, 0) + 1 for v in self.served - new - self.pins}
-        removed = {v for v, n in missed.items() if n >= self.polls}
-        kept = (self.served | added | self.pins) - removed
-        if self.served and not kept:
-            return {"added": set(), "removed": set(), "refused": "empty"}
-        managed = self.served - (self.pins - new)
-        bulk = len(managed) > 1 and len(removed) > max(1, len(managed) // 2)
-        if not self.shadow:
-            self.served = self.served | added | self.pins if bulk else kept
-        if bulk:
-            return {"added": added, "removed": set(), "refused": "bulk_removal"}
-        self.absent = {v: n for v, n in missed.items() if v not in removed}
-        return {"added": added, "removed": removed, "refused": None}
-
-    def diff(self) -> tuple[int, int]:
-        """(values polled but not served, values served but not polled)."""
-        return len(self.last_polled - self.served), len(self.served - self.last_polled)
-
-
-def replay(polls, initial: Iterable, pins: Iterable = (), need: int = 3):
+from collections.abc import Iterable, Iterator, Sequence
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+RESULT = "set long, seq long, served long, added long, removed long, refused string"
+
+
+class State:
+    """Numbers by value; ``None`` marks a pin, which no poll governs unless it names it."""
+
+    __slots__ = ("numbers", "pins", "need")
+
+    def __init__(self, initial: Iterable, pins: Iterable = (), need: int = 3, numbers: dict | None = None):
+        if need < 1:
+            raise ValueError("a removal takes one poll at least")
+        self.pins, self.need = frozenset(pins), need
+        self.numbers = dict.fromkeys([*initial, *self.pins], 0) if numbers is None else numbers
+
+    def answer(self, polled: Sequence) -> tuple[int, int, str | None]:
+        """(added, removed, refused) of one poll, whose values are distinct."""
+        held, named = self.numbers, frozenset(polled)
+        kinds = {type(v) for v in named}
+        if len(kinds) > 1 or kinds and held and type(min(held, key=str)) not in kinds:
+            return 0, 0, "type_flip"
+        if not named and not (self.pins and self.pins.issuperset(held)):
+            return 0, 0, "empty"
+        fresh = [v for v in polled if v not in held]
+        counted = {v: 0 if v in named or v in self.pins else n + 1 for v, n in held.items()}
+        going = [v for v, n in counted.items() if n >= self.need]
+        if held and len(going) == len(held) and not fresh:
+            return 0, 0, "empty"
+        governed = sum(v in named or v not in self.pins for v in held)
+        refused = governed > 1 and len(going) > max(1, governed // 2)
+        if not refused:
+            self.numbers = {v: n for v, n in counted.items() if n < self.need}
+        self.numbers.update(dict.fromkeys(fresh, 0))
+        return len(fresh), 0 if refused else len(going), "bulk_removal" if refused else None
+
+
+def difference(state: State, polled: Iterable) -> tuple[int, int]:
+    """What a shadow run reports: (values polled but not held, values held but neither polled nor pinned)."""
+    named = frozenset(polled) | state.pins
+    return len(named.difference(state.numbers)), sum(v not in named for v in state.numbers)
+
+
+def _polls(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, list]]:
+    """``set, seq, distinct values`` of sorted rows; what is held is one poll."""
+    key, values = None, []
+    for b in batches:
+        for s, q, v in zip(*(b.column(i).to_pylist() for i in range(3))):
+            if (s, q) != key:
+                if key is not None:
+                    yield (*key, values)
+                key, values = (s, q), []
+            if v is not None and (not values or values[-1] != v):
+                values.append(v)
+    if key is not None:
+        yield (*key, values)
+
+
+def replay(polls: DataFrame, initial: Iterable, pins: Iterable = (), need: int = 3) -> DataFrame:
     """``polls(set, seq, value)`` replayed in order: ``set, seq, served, added, removed, refused`` per poll.
 
-    A poll that names nothing has one row with a null value.  Each set is a group of
-    its own, with one row a poll and the set's values in a list.
+    A poll that names nothing has one row with a null value.  A set's polls are sorted
+    by Spark and pass through one task, which holds the set's values and one poll,
+    never the log.
     """
     initial, pins = list(initial), list(pins)
+    rows = polls.select(F.col("set").cast("long"), F.col("seq").cast("long"), "value").repartition("set").sortWithinPartitions("set", "seq", "value")
+    schema = pa.schema([("set", pa.int64()), ("seq", pa.int64()), ("served", pa.int64()), ("added", pa.int64()), ("removed", pa.int64()), ("refused", pa.string())])
 
-    def run(key, pdf):
-        import pandas as pd
+    def run(batches):
+        at, state, out = None, None, []
+        for key, seq, values in _polls(batches):
+            if state is None or key != at:
+                at, state = key, State(initial, pins, need)
+            added, removed, refused = state.answer(values)
+            out.append((key, seq, len(state.numbers), added, removed, refused))
+            if len(out) == 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+                out = []
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
-        state, out = IncludeSet(initial, pins, need), []
-        for p in pdf.sort_values("seq").itertuples():
-            r = state.poll([int(v) for v in p.values])
-            out.append((key[0], p.seq, len(state.served), len(r["added"]), len(r["removed"]), r["refused"]))
-        return pd.DataFrame(out, columns=["set", "seq", "served", "added", "removed", "refused"])
+    return rows.mapInArrow(run, RESULT)
 
-    from pyspark.sql import functions as F
 
-    per = polls.groupBy("set", "seq").agg(F.collect_set("value").alias("values"))
-    return per.groupBy("set").applyInPandas(run, "set long, seq long, served long, added long, removed long, refused string")
+def follow(polls: DataFrame, initial: Iterable, pins: Iterable = (), need: int = 3) -> DataFrame:
+    """:func:`replay` of a stream of polls: each set's numbers live in the state store between micro-batches.
+
+    The polls of a set arrive in order and whole.
+    """
+    import pandas as pd
+
+    initial, pins = list(initial), list(pins)
+
+    def run(key, frames, state):
+        have = dict(zip(*state.get)) if state.exists else None
+        now = State(initial, pins, need, have)
+        rows = pd.concat(list(frames)).sort_values(["seq", "value"])
+        out = []
+        for seq, g in rows.groupby("seq", sort=True):
+            added, removed, refused = now.answer(g["value"].dropna().astype("int64").drop_duplicates().tolist())
+            out.append((key[0], seq, len(now.numbers), added, removed, refused))
+        state.update((list(now.numbers), list(now.numbers.values())))
+        yield pd.DataFrame(out, columns=["set", "seq", "served", "added", "removed", "refused"])
+
+    kept = T.StructType([T.StructField("v", T.ArrayType(T.LongType())), T.StructField("n", T.ArrayType(T.LongType()))])
+    return polls.groupBy("set").applyInPandasWithState(run, RESULT, kept, "append", "NoTimeout")

@@ -1,7 +1,8 @@
-"""Message ingest: decode, infer, pin, filter, and append per micro-batch, exactly once per batch id."""
+"""Message ingest: decode, infer, pin, filter, and append per micro-batch, exactly once per range of offsets."""
 
 from __future__ import annotations
 
+import json
 import random
 import time
 import uuid
@@ -9,16 +10,19 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from typing import Protocol
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions import coerce
 from ..operators import evolve, filters, infer, variants
 from ..sources import frames
-from ..sources.lake import CommitConflict, LakeTable, TableRecreated
+from ..sources.lake import CommitConflict, Files, LakeTable, TableRecreated
 from . import lag
 
 
 class Sink(Protocol):
+    identity: str  # what is written to; part of a flush's key
+
     def write(self, batch: DataFrame, key: str) -> int: ...
     def reset_caches(self) -> None: ...
     def close(self) -> None: ...
@@ -29,11 +33,13 @@ class LakeSink:
 
     def __init__(self, table: LakeTable, codec: str = "zstd", level: int = 3):
         self.table, self.codec, self.level = table, codec, level
+        self.identity = table.root
         self._uuid: str | None = None
 
     def write(self, batch: DataFrame, key: str) -> int:
         n = self.table.append(batch, key, self.codec, self.level, self._uuid)
-        self._uuid = self._uuid or self.table.snapshot().table_uuid
+        if n and not self._uuid:
+            self._uuid = self.table.snapshot().table_uuid
         return n
 
     def reset_caches(self) -> None:
@@ -59,26 +65,61 @@ class Steps:
     variant: Sequence[str] = ()
     json_text: Sequence[str] = ()
     layout: str = "transform"
+    non_finite: bool = False
+
+
+class Watch:
+    """Counters of one pass: what the write itself sees as rows go by."""
+
+    #: Seconds that a pass's figures may take to arrive after it; a sink that wrote nothing never sends them.
+    WAIT = 2.0
+
+    def __init__(self):
+        self._seen: list[Observation] = []
 
+    def see(self, df: DataFrame, **counts: Column) -> DataFrame:
+        o = Observation()
+        self._seen.append(o)
+        return df.observe(o, *[c.alias(n) for n, c in counts.items()])
 
-def transform(messages: DataFrame, steps: Steps) -> DataFrame:
-    """Typed, filtered records of ``messages(seq, value)``; ``seq`` orders arrival."""
-    rows = infer.convert(frames.decode(messages) if dict(messages.dtypes)["value"] == "binary" else messages, "seq", json_text=steps.json_text)
+    def totals(self) -> dict[str, int]:
+        out: dict[str, int] = {}
+        until = time.monotonic() + self.WAIT
+        for o in self._seen:
+            while not o._jo.future().isCompleted() and time.monotonic() < until:
+                time.sleep(0.01)
+            if o._jo.future().isCompleted():
+                out |= {k: int(v or 0) for k, v in o.get.items()}
+        return out
+
+
+def transform(messages: DataFrame, steps: Steps, watch: Watch | None = None) -> DataFrame:
+    """Typed, filtered records of ``messages(seq, value)``; ``seq`` orders arrival.
+
+    With ``watch`` the pass that writes the records also counts: ``consumed``,
+    ``bytes``, and what is left out by reason.
+    """
+    see = watch.see if watch else lambda df, **_: df
+    parsed = infer.parse(frames.decode(messages) if dict(messages.dtypes)["value"] == "binary" else messages, non_finite=steps.non_finite)
+    keys = infer.infer(parsed, "seq")
+    bad = F.count_if(F.col("value").isNotNull() & F.col("rec").isNull())
+    parsed = see(parsed, consumed=F.count("*"), bytes=F.sum(F.octet_length("value")), json_parse=bad)
+    rows = infer.build(parsed, keys, steps.json_text).drop("value")
     rows = coerce.pin(infer.normalize(rows), steps.pins)
     if steps.keep:
-        rows = filters.keep(rows, *steps.keep)
+        rows = filters.keep(see(rows, **filters.keep_reasons(rows, *steps.keep)), *steps.keep)
     if steps.drop:
-        rows = filters.drop(rows, *steps.drop)
+        rows = filters.drop(see(rows, filter_dropped=filters.dropped(rows, *steps.drop)), *steps.drop)
     if steps.variant:
         rows = variants.dual_write(rows, steps.variant)
     evolve.check_reserved(rows.columns, steps.layout)
     return rows
 
 
-def flush_key(table_uuid: str, query: str, ranges: Sequence[tuple[str, int, int, int]]) -> str:
-    """Identity of a flush: a version 5 uuid of table, query and sorted offset ranges."""
+def flush_key(table: str, query: str, ranges: Sequence[tuple]) -> str:
+    """Identity of a flush: a version 5 uuid of table, query and sorted ranges ``(topic, partition, first, last)``."""
     text = ",".join(f"{t}:{p}:{a}-{b}" for t, p, a, b in sorted(ranges))
-    return str(uuid.uuid5(uuid.NAMESPACE_URL, f"{table_uuid}/{query}/{text}"))
+    return str(uuid.uuid5(uuid.NAMESPACE_URL, f"{table}/{query}/{text}"))
 
 
 class SinkError(Exception):
@@ -114,35 +155,98 @@ def write_with_retry(write: Callable[[], int], reset: Callable[[], None], attemp
     raise AssertionError("unreachable")
 
 
+def batch_ranges(checkpoint: Files, batch_id: int) -> list[tuple[str, int, str, str]]:
+    """Where a micro-batch begins and ends in each source, ``(topic, partition, first, end)``, from the checkpoint's offset log."""
+
+    def at(n: int) -> list[str]:
+        return checkpoint.read(f"offsets/{n}").splitlines()[2:] if n >= 0 and str(n) in names else []
+
+    names = set(checkpoint.names("offsets"))
+    before, now = at(batch_id - 1), at(batch_id)
+    out = []
+    for k, end in enumerate(now):
+        first = before[k] if k < len(before) else "-"
+        a, b = (json.loads(x) if x.startswith("{") else {} for x in (first, end))
+        if b and all(isinstance(v, dict) for v in b.values()):  # positions by topic and partition
+            out += [(t, int(p), str(a.get(t, {}).get(p, "-")), str(v)) for t, parts in b.items() for p, v in parts.items()]
+        else:
+            out.append((f"source-{k}", 0, first, end))
+    return out
+
+
+#: Rows of a flush up to which it counts in a class of ``Counters.shape``.
+SHAPE = (100, 1_000, 10_000, 100_000, 1_000_000)
+
+
 @dataclass
 class Counters:
+    """What an ingest did.  ``flushes``: batches by what ended them, ``size``, ``time`` or ``final``; ``shape``: by rows."""
+
     written: int = 0
     batches: int = 0
     replays: int = 0
+    consumed: int = 0
+    bytes: int = 0
+    skipped: dict[str, int] = field(default_factory=dict)
+    flushes: dict[str, int] = field(default_factory=dict)
+    shape: dict[float, int] = field(default_factory=dict)
     failed: dict[str, int] = field(default_factory=dict)
 
+    def take(self, seen: dict[str, int], written: int) -> None:
+        self.written += written
+        self.batches += 1
+        self.consumed += seen.pop("consumed", 0)
+        self.bytes += seen.pop("bytes", 0)
+        for reason, n in seen.items():
+            self.skipped[reason] = self.skipped.get(reason, 0) + n
+        le = next((b for b in SHAPE if written <= b), float("inf"))
+        self.shape[le] = self.shape.get(le, 0) + 1
+
+    def ended(self, why: str) -> None:
+        self.flushes[why] = self.flushes.get(why, 0) + 1
+
+
+def ingest(spark: SparkSession, source: DataFrame, sink: Sink, steps: Steps, checkpoint: str, name: str = "ingest", once: bool = True, flush_bytes: int = 128 << 20, flush_seconds: int = 60):
+    """Runs a stream of ``(seq, value)`` into a sink; returns counters (``once``) or the query, whose ``larkspur_counters`` are kept up to date.
 
-def ingest(spark: SparkSession, source: DataFrame, sink: Sink, steps: Steps, checkpoint: str, name: str = "ingest", once: bool = True):
-    """Runs a stream of ``(seq, value)`` into a sink.
+    A flush is known to the sink by :func:`flush_key` over the sink, the id that the
+    checkpoint gives the query, and the offsets that the batch spans: a batch that is
+    run again has the same key, and two checkpoints never share one, whatever their
+    names.
 
-    The batch id is replayed from the checkpoint's offset log, so (name, batch id)
-    is the key under which a sink recognises a repeated batch.
+    A batch ends by size (the source admits about ``flush_bytes`` at a time, see
+    ``messages.read``), by time (every ``flush_seconds``) or at the end of what there
+    is.  With ``once`` every batch but the last ends because the source admits no
+    more; otherwise one that reached ``flush_bytes`` counts as ``size``.
     """
-    counts = Counters()
+    counts, log, open_ = Counters(), Files(spark, checkpoint), []
 
     def flush(batch: DataFrame, batch_id: int) -> None:
+        if open_:
+            counts.ended(open_.pop())
+        key = flush_key(sink.identity, json.loads(log.read("metadata"))["id"], batch_ranges(log, batch_id))
         batch.persist()  # inference reads it, then the write does
         try:
-            rows = transform(batch, steps)
-            n = write_with_retry(lambda: sink.write(rows.drop("seq"), f"{name}-{batch_id}"), sink.reset_caches, failed=counts.failed)
-            counts.written += n
-            counts.batches += 1
-            counts.replays += n == 0
+            watch = Watch()
+            rows = transform(batch, steps, watch)
+            n = write_with_retry(lambda: sink.write(rows.drop("seq"), key), sink.reset_caches, failed=counts.failed)
+            seen = watch.totals()
+            counts.replays += n == 0 and not seen
+            full = seen.get("bytes", 0) >= flush_bytes
+            counts.take(seen, n)
+            if once:
+                open_.append("size")
+            else:
+                counts.ended("size" if full else "time")
         finally:
             batch.unpersist()
 
     w = source.writeStream.foreachBatch(flush).option("checkpointLocation", checkpoint).queryName(name)
-    q = (w.trigger(availableNow=True) if once else w.trigger(processingTime="10 seconds")).start()
+    q = (w.trigger(availableNow=True) if once else w.trigger(processingTime=f"{flush_seconds} seconds")).start()
     if once:
         q.awaitTermination()
-    return counts if once else q
+        if open_:
+            counts.ended("final")
+        return counts
+    q.larkspur_counters = counts
+    return q

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larkspur.plans import catalog, maintenance, metrics
-from larkspur.sources.lake import CommitConflict, LakeTable, TableRecreated
+from larkspur.sources.lake import CommitConflict, LakeTable, SnapshotExpired, TableRecreated
 from larkspur.streaming import include, ingest, lag
 
 
@@ -80,20 +80,6 @@ def test_stream_is_exactly_once(spark, table, tmp_path):
     assert table.read().count() == 10
 
 
-def test_message_files(spark, tmp_path):
-    from larkspur.sources import offsets
-
-    root = tmp_path / "m"
-    root.mkdir()
-    for p in range(3):
-        (root / f"{p}.jsonl").write_text("".join(f'{{"p":{p},"i":{i}}}\n' for i in range(5)))
-    offsets.register(spark)
-    s = spark.readStream.format("message_files").option("path", str(root)).option("limit", 2).option("replicas", 2).option("ordinal", 0).load()
-    q = s.writeStream.format("memory").queryName("msgs").trigger(availableNow=True).start()
-    q.awaitTermination()
-    assert spark.table("msgs").groupBy("partition").count().orderBy("partition").collect() == [(0, 5), (2, 5)]
-
-
 def test_retry_and_small_rules():
     calls, slept = [], []
 
@@ -115,49 +101,47 @@ def test_retry_and_small_rules():
     assert ingest.flush_key("t", "q", [("a", 1, 0, 5)]) != ingest.flush_key("t", "q", [("a", 1, 0, 6)])
 
 
-def test_include_set():
-    s = include.IncludeSet([1, 2, 3], pins=[9])
-    assert s.poll([])["refused"] == "empty" and s.poll(["x"])["refused"] == "type_flip"
-    assert s.poll([1, 2, 3, 4])["added"] == {4} and 4 in s.served
-    for _ in range(2):
-        assert not s.poll([1, 2, 3])["removed"]
-    s.poll([1, 2, 3, 4])
-    for _ in range(2):
-        assert not s.poll([1, 2, 3])["removed"]
-    assert s.poll([1, 2, 3])["removed"] == {4} and 9 in s.served
-    # absences add up; only what three polls in a row lack would go, and more than half of what is managed may not
-    assert s.poll([7]) == {"added": {7}, "removed": set(), "refused": None} and s.poll([7, 8])["refused"] is None
-    assert s.poll([])["refused"] == "empty"
-    r = s.poll([6])
-    assert r["refused"] == "bulk_removal" and r["added"] == {6} and s.served == {1, 2, 3, 6, 7, 8, 9}
-    # a refused poll charged nothing: the counts stand where they stood, and one absence more is refused anew
-    assert s.absent == {1: 2, 2: 2, 3: 2} and s.poll([6, 7, 8])["removed"] == {1, 2, 3}
-    pair = include.IncludeSet([1, 2], polls=1)
-    assert pair.poll([1])["removed"] == {2} and pair.poll([5])["removed"] == {1}
-    pinned = include.IncludeSet([], pins=[4], polls=1)
-    assert pinned.poll([])["refused"] is None and pinned.served == {4}
-    assert include.IncludeSet([], polls=1).poll([])["refused"] == "empty"
-    # pins that a poll names count as managed, others do not
-    held = include.IncludeSet([1, 2, 3], pins=[10, 11], polls=1)
-    assert held.poll([3, 10, 11])["removed"] == {1, 2}
-    assert include.IncludeSet([1, 2, 3], pins=[10, 11], polls=1).poll([3])["refused"] == "bulk_removal"
-    shadow = include.IncludeSet([1], shadow=True)
-    shadow.poll([1, 2])
-    assert shadow.served == {1} and shadow.diff() == (1, 0)
-
-
-def test_include_replay_equals_polling_by_hand(spark):
+def polled(state, *polls):
+    return [state.answer(p) for p in polls]
+
+
+def test_polled_allowlist():
+    s = include.State([1, 2, 3], pins=[9])
+    assert polled(s, [], ["x"], [1, "x"]) == [(0, 0, "empty"), (0, 0, "type_flip"), (0, 0, "type_flip")]
+    assert polled(s, [1, 2, 3, 4], [1, 2, 3], [1, 2, 3], [1, 2, 3, 4], [1, 2, 3], [1, 2, 3], [1, 2, 3]) == [(1, 0, None), *[(0, 0, None)] * 5, (0, 1, None)]
+    assert set(s.numbers) == {1, 2, 3, 9}
+    # absences add up; only what three polls in a row lack would go, and more than half of what is governed may not
+    assert polled(s, [7], [7, 8], [], [6]) == [(1, 0, None), (1, 0, None), (0, 0, "empty"), (1, 0, "bulk_removal")]
+    # the refused poll counted as none: one absence more is refused anew, until fewer are to go
+    assert {v for v, n in s.numbers.items() if n == 2} == {1, 2, 3} and polled(s, [6, 7, 8]) == [(0, 3, None)]
+    assert polled(include.State([1, 2], need=1), [1], [5]) == [(0, 1, None), (1, 1, None)]
+    assert polled(include.State([], pins=[4], need=1), []) == [(0, 0, None)] and polled(include.State([], need=1), []) == [(0, 0, "empty")]
+    # pins that a poll names are governed by it, others are not
+    assert polled(include.State([1, 2, 3], [10, 11], 1), [3, 10, 11]) == [(0, 2, None)]
+    assert polled(include.State([1, 2, 3], [10, 11], 1), [3]) == [(0, 0, "bulk_removal")]
+    assert include.difference(include.State([1], [5]), [1, 2]) == (1, 0) and include.difference(include.State([1, 3], [5]), [1]) == (0, 1)
+    with pytest.raises(ValueError):
+        include.State([1], need=0)
+
+
+def test_allowlist_of_a_stream_equals_the_replay(spark, tmp_path):
     rng = random.Random(3)
     rows, want = [], []
     for key in range(4):
-        state = include.IncludeSet([1, 2, 3], [0], 2)
+        state = include.State([1, 2, 3], [0], 2)
         for seq in range(30):
-            polled = sorted(rng.sample(range(8), rng.randint(0, 5)))
-            rows += [(key, seq, v) for v in polled] or [(key, seq, None)]
-            r = state.poll(polled)
-            want.append((key, seq, len(state.served), len(r["added"]), len(r["removed"]), r["refused"]))
-    got = include.replay(spark.createDataFrame(rows, "set long, seq long, value long").repartition(3), [1, 2, 3], [0], 2)
-    assert sorted(map(tuple, got.collect())) == want and {w[-1] for w in want} == {None, "empty", "bulk_removal"}
+            values = sorted(rng.sample(range(8), rng.randint(0, 5)))
+            rows += [(key, seq, v) for v in values] or [(key, seq, None)]
+            added, removed, refused = state.answer(values)
+            want.append((key, seq, len(state.numbers), added, removed, refused))
+    df = spark.createDataFrame(rows, "set long, seq long, value long")
+    assert sorted(map(tuple, include.replay(df.repartition(3), [1, 2, 3], [0], 2).collect())) == want and {w[-1] for w in want} == {None, "empty", "bulk_removal"}
+    for i in range(3):  # a micro-batch each
+        df.where(F.floor(F.col("seq") / 10) == i).coalesce(1).write.mode("append").parquet(f"{tmp_path}/polls")
+    files = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/polls")
+    followed = include.follow(files, [1, 2, 3], [0], 2).writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start(f"{tmp_path}/out")
+    followed.awaitTermination()
+    assert sorted(map(tuple, spark.read.parquet(f"{tmp_path}/out").collect())) == want
 
 
 def test_retention_rules(spark):
@@ -231,3 +215,222 @@ def test_checkpoints_of_the_log_give_the_same_snapshots(spark, table, monkeypatc
     assert [table.snapshot(v) for v in range(8)] == with_folds
     assert table.append(spark.range(1).select(F.col("id").alias("n")), "k3") == 0
     assert sorted(r["n"] for r in table.read().collect()) == list(range(7)) and sorted(r["n"] for r in table.read(3).collect()) == [0, 1, 2]
+
+
+# commits, expiry, merging ----------------------------------------------------------------
+
+
+def between(t, act):
+    """Has ``act`` run once between the staging of the next append and its commit."""
+    stage = t._stage
+
+    def staged(*a):
+        out = stage(*a)
+        t._stage = stage
+        act()
+        return out
+
+    t._stage = staged
+
+
+def n_files(t):
+    return maintenance.listing(t.spark, f"{t.root}/data").count()
+
+
+def test_crossed_appends_write_once_unless_the_layout_changed(spark, table):
+    one = lambda n, **more: spark.createDataFrame([(n, *more.values())], ", ".join(["n long", *(f"{k} long" for k in more)])).coalesce(1)
+    table.append(one(0), "start")
+    other = LakeTable(spark, table.root)
+    between(table, lambda: other.append(one(1), "b"))
+    assert table.append(one(2), "a") == 1 and (table.counts["rebased"], table.counts["rebuilt"]) == (1, 0) and n_files(table) == 3
+    between(table, lambda: other.append(one(3, extra=7), "c"))
+    assert table.append(one(4), "d") == 1 and (table.counts["rebased"], table.counts["rebuilt"]) == (1, 1) and n_files(table) == 5
+    between(table, lambda: other._commit(other.snapshot(), {"spec": "n"}))
+    assert table.append(one(5), "e") == 1 and table.counts["rebuilt"] == 2
+    assert [f["values"] for f in table.snapshot().files.values() if f["spec"] == "n"] == [["5"]]
+    # the same flush by another process, while this one stages: accepted, and its upload goes
+    between(table, lambda: other.append(one(6), "f"))
+    assert table.append(one(6), "f") == 0 and table.counts["already_published"] == 1
+    assert sorted(r["n"] for r in table.read().collect()) == list(range(7)) and n_files(table) == 7
+
+
+def test_versions_are_whole_or_not_there(spark, table, monkeypatch):
+    table.append(spark.range(3).select(F.col("id").alias("n")), "a")
+    write = type(table.files).write
+
+    def cut_off(self, name, text):
+        write(self, name, text[: len(text) // 2])
+        raise OSError("gone")
+
+    monkeypatch.setattr(type(table.files), "write", cut_off)
+    with pytest.raises(OSError):
+        table._commit(table.snapshot(), {"add": []})
+    monkeypatch.undo()
+    assert LakeTable(spark, table.root).snapshot().version == 1 and table.append(spark.range(2).select(F.col("id").alias("n")), "b") == 2
+    assert not table.files.put_new("_log/00000000000000000002.json", "{}") and table.read().count() == 5
+
+
+def test_versions_expire_in_the_log(spark, table):
+    for i in range(4):
+        table.append(spark.range(i, i + 1).select(F.col("id").alias("n")).coalesce(1), f"k{i}")
+    files = sorted(table.snapshot().files)
+    assert table.compact([files[:2]]) == 1
+    assert maintenance.expire(table, keep_last=2, batch=2) == []  # version 4 still sees every file
+    assert table.snapshot().oldest == 4 and table.read(4).count() == 4 and table.versions() == [4, 5, 6, 7]
+    assert maintenance.expire(table, keep_last=2) == [] and table.snapshot().version == 7
+    for v in range(4):
+        with pytest.raises(SnapshotExpired, match=f"version {v} "):
+            table.read(v)
+    table.append(spark.range(9, 10).select(F.col("id").alias("n")).coalesce(1), "k9")
+    assert maintenance.expire(table, keep_last=2, purge=False) == [] and sorted(table.snapshot().queue) == files[:2]
+    assert set(files[:2]) <= table.present(files)
+    assert maintenance.purge_queue(table) == files[:2] and not table.snapshot().queue and maintenance.expire(table, keep_last=9) == []
+    assert not set(files[:2]) & table.present(files)
+    assert table.append(spark.range(1).select(F.col("id").alias("n")), "k1") == 0  # keys outlive their versions
+    fresh = LakeTable(spark, table.root)
+    assert sorted(r["n"] for r in fresh.read().collect()) == [0, 1, 2, 3, 9] and fresh.read(5).count() == 4
+    assert sorted(f[0] for f in fresh.file_rows() if f[2] is None) == sorted(fresh.snapshot().files)
+    now = fresh._commit_at(fresh.versions()[0])["time"]
+    assert maintenance.expire(fresh, before=now - 1) == [] and fresh.snapshot().oldest == 5
+
+
+def test_cleanup_below_a_root_that_holds_data_folders(spark, tmp_path):
+    t = LakeTable(spark, f"file://{tmp_path}/data/lake")
+    t.append(spark.range(4).select(F.col("id").alias("n")), "a")
+    spark.range(5).coalesce(1).write.parquet(f"{t.root}/data/stray x/data")
+    soon = F.current_timestamp() + F.expr("INTERVAL 1 HOUR")
+    assert maintenance.cleanup(t, F.current_timestamp() - F.expr("INTERVAL 1 HOUR")).count() == 0
+    got = [r["path"] for r in maintenance.cleanup(t, soon).collect()]
+    assert len(got) == 1 and got[0].startswith("data/stray x/data/part-") and t.read().count() == 4
+    assert maintenance.cleanup(t, soon).count() == 0
+
+
+def test_a_lost_or_broken_file_leaves_all_other_groups_merged(spark, table):
+    df = spark.range(40).select(F.col("id").alias("n"), (F.col("id") % 4).alias("team"))
+    table.create(df.schema, spec="team", sort=("n",))
+    for k in range(3):
+        table.append(df.where(F.col("n") % 3 == k).coalesce(1), f"k{k}")
+    groups = {}
+    for p, f in table.snapshot().files.items():
+        groups.setdefault(f["values"][0], []).append(p)
+    table.delete_files([groups["0"][0]])
+    table.files.write(groups["1"][0], "no parquet at all")
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup())
+    assert table.compact([groups[k] for k in "0123"]) == 2 and table.counts["groups_left"] <= 2
+    live = table.snapshot().files
+    assert {k: sum(f["values"] == [k] for f in live.values()) for k in "0123"} == {"0": 3, "1": 3, "2": 1, "3": 1}
+    assert table.read(keep_file=lambda f: f["values"] in (["2"], ["3"])).count() == 20
+    merged = table.read(keep_file=lambda f: f["values"] == ["2"]).collect()
+    assert [r["n"] for r in merged] == sorted(r["n"] for r in merged) and jobs >= 0
+
+
+def test_folder_names_differ_for_all_values(spark):
+    from larkspur.operators import partition
+
+    values = [None, "", "_", "__HIVE_DEFAULT_PARTITION__", "~", "a", "_a", "x" * 121, "x" * 122, "~" + "x" * 300]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in values], "v string").select(partition.folder_name(F.col("v"))).collect()]
+    assert len(set(got)) == len(values) and got[0] is None and all(0 < len(g) < 130 and g != "__HIVE_DEFAULT_PARTITION__" for g in got[1:])
+
+
+def test_leaves_under_old_specs_rot_and_size(spark, table):
+    rows = spark.sql("SELECT id AS n, timestamp'2024-01-01 05:00:00' + make_dt_interval(cast(id AS int)) AS ts FROM range(6)")
+    table.create(rows.schema, spec="month(ts)")
+    table.append(rows.where("n = 0"), "old")
+    table._commit(table.snapshot(), {"spec": "day(ts)"})
+    table.append(rows, "new")
+    table.append(rows.where("n = 1"), "more")
+    table.append(rows.where("n = 1"), "most")
+    table.append(rows.selectExpr("n", "cast(NULL AS timestamp) AS ts").limit(1), "none")
+    cut = datetime.datetime(2024, 1, 4)
+    got = {(r["leaf"], r["state"], r["oversized"]) for r in maintenance.leaves(table, "ts", cut, datetime.datetime(2024, 1, 5), most_files=2).collect()}
+    assert got == {("648", "old_spec", False), ("", "rot", False), ("19723", "droppable", False), ("19724", "droppable", True), ("19725", "droppable", False), ("19726", "young", False), ("19727", "floor", False), ("19728", "floor", False)}
+    plan = maintenance.drop_leaves(table, "ts", cut)
+    assert [x["leaf"] for x in plan] == ["19723", "19724", "19725"] and table.read().count() == 10
+    assert maintenance.drop_leaves(table, "ts", cut, dry_run=False) == plan and maintenance.drop_leaves(table, "ts", cut, dry_run=False) == []
+    assert [c["dropped"]["leaf"] for c in table.commits() if "dropped" in c] == ["19723", "19724", "19725"]
+    assert table.read().count() == 10 - 5
+
+
+def test_leaf_bounds_of_every_grain():
+    from larkspur.operators.partition import parse_spec
+
+    at = lambda spec, *v: maintenance.leaf_bounds(list(v), parse_spec(spec), "ts")
+    d = datetime.datetime
+    assert at("year(ts)", "54") == (d(2024, 1, 1), d(2025, 1, 1)) and at("month(ts)", "659") == (d(2024, 12, 1), d(2025, 1, 1))
+    assert at("team, day(ts)", "x", "19723") == (d(2024, 1, 1), d(2024, 1, 2)) and at("hour(ts)", "1") == (d(1970, 1, 1, 1), d(1970, 1, 1, 2))
+    assert at("year, month", "2024", "12") == (d(2024, 12, 1), d(2025, 1, 1)) and at("year", "2024") == (d(2024, 1, 1), d(2025, 1, 1))
+    assert at("year, month, day, hour", "2024", "2", "29", "23") == (d(2024, 2, 29, 23), d(2024, 3, 1))
+    assert at("year, month, day", "2023", "2", "29") is None and at("day(ts)", "x") is None and at("team", "a") is None and at("day(ts)", None) is None
+
+
+def test_repair_checks_before_it_commits(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "n long, kind string")
+    tables = {}
+    for name in ("good", "bad"):
+        t = tables[name] = LakeTable(spark, f"file://{tmp_path}/{name}")
+        t.create(df.schema, spec="kind")
+        t.append(df, "k")
+    good, bad = tables.values()
+    good.change(lambda s: {"values": {p: ["wrong", "many"] for p in s.files}})
+    assert len(maintenance.broken_values(good)) == 3
+    spark.createDataFrame([(8, "x"), (9, "y")], "n long, kind string").coalesce(1).write.parquet(f"{bad.root}/data/mixed")
+    mixed = next(n for n in bad.files.names("data/mixed") if n.endswith(".parquet"))
+    bad._commit(bad.snapshot(), {"add": [{"path": f"data/mixed/{mixed}", "bytes": 1, "rows": 2, "values": [], "stats": {}}]})
+    before = bad.snapshot()
+    changed, failed = maintenance.repair_all(tables)
+    assert changed == {"good": 3} and failed["bad"].startswith("CorruptFile") and bad.snapshot() == before
+    assert sorted(str(f["values"][0]) for f in good.snapshot().files.values()) == ["None", "a", "b"]
+    assert maintenance.repair_values(good) == 0
+    with pytest.raises(maintenance.RepairFailed):
+        maintenance.repair_all({"bad": bad})
+
+
+def test_inline_tables_go_in_pages(spark):
+    names = [(i % 3, i, f"t_{i}") for i in range(30)] + [(0, 99, "no name"), (1, 98, "t_full")]
+    empty = lambda s: spark.createDataFrame([], s)
+    c = catalog.Catalog(
+        snapshot=spark.createDataFrame([(5, 0.0, 0)], "snapshot_id long, snapshot_time double, schema_version long"), data_file=None, delete_file=None, file_partition_value=None, file_column_stats=None, scheduled=None,
+        lake_table=spark.createDataFrame([(2, 0, "live", 1, None)], "table_id long, schema_id long, table_name string, begin_snapshot long, end_snapshot long"), lake_schema=None, table_stats=None,
+        inlined=spark.createDataFrame(names, "table_id long, schema_version long, table_name string"), metadata=None,
+    )
+    calls = []
+
+    def drop(some):
+        calls.append(len(some))
+        if len(some) > 2 or any(x[2] == "t_4" for x in some):
+            raise RuntimeError("out of locks")
+
+    went, sizes = maintenance.drop_inlined(c, drop, page=8, batch=4, rows_of=spark.createDataFrame([("t_full", 3)], "table_name string, n long"))
+    assert {x[1] for x in went} == {i for i in range(30) if i % 3 < 2} - {4} and sizes == calls and calls[:2] == [4, 2]
+    c.snapshot = empty("snapshot_id long, snapshot_time double, schema_version long")
+    with pytest.raises(ValueError, match="no snapshot"):
+        maintenance.drop_inlined(c, drop)
+
+
+# streams -----------------------------------------------------------------------------------
+
+
+def test_flush_keys_tell_checkpoints_apart(spark, table, tmp_path):
+    src = f"{tmp_path}/in"
+    rows = spark.createDataFrame([(i, f'{{"id":{i}}}') for i in range(10)], "seq long, value string")
+    rows.coalesce(1).write.parquet(src)
+
+    def run(at):
+        stream = spark.readStream.schema("seq long, value string").parquet(src)
+        return ingest.ingest(spark, stream, ingest.LakeSink(table), ingest.Steps(), f"{tmp_path}/{at}", name="one name")
+
+    assert run("cp1").written == 10 and run("cp2").written == 10 and run("cp1").batches == 0
+    # the last batch of a checkpoint runs again, as after a crash before it was acknowledged
+    table.files.fs.delete(table.files.jvm.org.apache.hadoop.fs.Path(f"{tmp_path}/cp1/commits/0"), True)
+    table.files.fs.delete(table.files.jvm.org.apache.hadoop.fs.Path(f"{tmp_path}/cp1/commits/.0.crc"), True)
+    again = run("cp1")
+    assert (again.batches, again.replays, again.written) == (1, 1, 0) and table.read().count() == 20
+    rows.coalesce(1).write.mode("append").parquet(src)
+    assert run("cp2").written == 10 and table.read().count() == 30
+
+
+def test_a_batch_without_any_record_makes_no_table(spark, table, tmp_path):
+    spark.createDataFrame([(1, "{bad")], "seq long, value string").write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema("seq long, value string").parquet(f"{tmp_path}/in")
+    c = ingest.ingest(spark, stream, ingest.LakeSink(table), ingest.Steps(), f"{tmp_path}/cp")
+    assert c.written == 0 and not table.versions() and c.flushes == {"final": 1}
