@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from .catalogue import _LISTING, _WITH, MAYBE_TYPE, OFFSETS, POLLS, _events, _lake, _scratch, catalog, query, table
 from .functions import macros
 from .operators import infer
-from .plans import maintenance
+from .plans import maintenance, upkeep
 from .sources import messages
 from .sources.lake import LakeTable, SnapshotExpired
-from .streaming import include
+from .streaming import gauges, include
 from .streaming.ingest import LakeSink, Steps, ingest
 
 # a polled allowlist, in SQL by recursion over the polls -----------------------------------
@@ -296,3 +296,46 @@ def inlined_dropped(spark, sf_dir):
     grown = len(sizes) < 12 or max(sizes[2:]) > sizes[1]
     row = (len(went), sizes[1] == sizes[0] // 2 if len(sizes) > 1 else True, grown)
     return spark.createDataFrame([row], "dropped long, halved boolean, grown boolean")
+
+
+@query("SELECT 'missing' AS finding, 1::BIGINT AS n, count(*) AS rows FROM events UNION ALL SELECT 'stray', 1, count(*) FROM events UNION ALL SELECT 'values', 1, count(*) FROM events UNION ALL SELECT 'queued_gone', 1, count(*) FROM events")
+def fsck_findings(spark, sf_dir):
+    """A table with one fault of each kind, checked, mended as far as a run can, and read where it is whole."""
+    df = _events(spark, sf_dir, "event_id", "event_id % 2 AS half")
+    t = _lake(spark, df, "half", 3)
+    maintenance.compact(t)
+    maintenance.expire(t, purge=False)
+    t.delete_files([min(t.snapshot().queue)])
+    spark.range(3).coalesce(1).write.parquet(f"{t.root}/data/stray")
+    first = min(t.snapshot().files)
+    t.change(lambda s: {"values": {first: []}})
+    lost = {"path": "data/none.parquet", "bytes": 1, "rows": 0, "values": ["0"], "stats": {}}
+    t.change(lambda s: {"add": [lost]})
+    soon = F.current_timestamp() + F.expr("INTERVAL 1 HOUR")
+    found = upkeep.fsck(t, soon, dry_run=False)
+    left = {r["finding"] for r in upkeep.findings(t).collect()}
+    rows = t.read(keep_file=lambda f: f["path"] != lost["path"]).count() if left == {"missing"} and t.snapshot().files[first]["values"] else -1
+    return spark.createDataFrame([(k, n, rows) for k, n in found.items()], "finding string, n long, rows long")
+
+
+@query("SELECT count(*) AS n, 5::BIGINT AS steps, true AS whole FROM events")
+def maintenance_run(spark, sf_dir):
+    """All steps of upkeep in one run, after which nothing is found and all rows are there."""
+    t = _lake(spark, _events(spark, sf_dir, "event_id", "user_id", "event_type"), "event_type", 4)
+    done = upkeep.maintain(t, keep_last=2, older_than=F.current_timestamp() + F.expr("INTERVAL 1 HOUR"))
+    whole = all(error is None for _, _, error in done) and upkeep.findings(t).isEmpty()
+    return t.read().agg(F.count("*").alias("n")).select("n", F.lit(len(done)).cast("long").alias("steps"), F.lit(whole).alias("whole"))
+
+
+_PARTS = "SELECT (event_id % 8)::INT AS p, floor(event_id / 8)::BIGINT AS o FROM events"
+
+
+@query(
+    f"SELECT 'consumer_lag' AS metric, p::VARCHAR AS partition, (max(o) + 1 - CASE WHEN p < 5 THEN p * 20 ELSE min(o) END)::DOUBLE AS value FROM ({_PARTS}) GROUP BY p "
+    f"UNION ALL SELECT DISTINCT 'last_committed_offset', p::VARCHAR, (p * 20 - 1)::DOUBLE FROM ({_PARTS}) WHERE p < 5"
+)
+def position_gauges(spark, sf_dir):
+    """Lag and committed offset of each partition of a message log; three partitions have no position yet."""
+    marks = messages.watermarks(spark, _id_log(spark, sf_dir), "events")
+    done = spark.range(5).select(F.col("id").cast("int").alias("partition"), (F.col("id") * 20).alias("position"))
+    return gauges.positions(marks, done).select("metric", F.col("labels")["partition"].alias("partition"), "value")

@@ -43,6 +43,24 @@ def drop_live_variants(df: DataFrame, live: T.StructType) -> tuple[DataFrame, li
     return df.drop(*bad), bad
 
 
+def drop_companions(df: DataFrame, live: T.StructType) -> tuple[DataFrame, list[str]]:
+    """``df`` without VARIANT columns that the table has as another type: their text alone is written."""
+    kinds = {f.name.lower(): f.dataType for f in live}
+    bad = [f.name for f in df.schema if isinstance(f.dataType, T.VariantType) and not isinstance(kinds.get(f.name.lower(), f.dataType), T.VariantType)]
+    return df.drop(*bad), bad
+
+
+def storable(kind: T.DataType) -> bool:
+    """Whether a file can hold the type, at any depth."""
+    if isinstance(kind, T.StructType):
+        return bool(kind.fields) and all(storable(f.dataType) for f in kind)
+    if isinstance(kind, T.ArrayType):
+        return storable(kind.elementType)
+    if isinstance(kind, T.MapType):
+        return storable(kind.keyType) and storable(kind.valueType)
+    return not isinstance(kind, (T.NullType, T.CalendarIntervalType))
+
+
 def check_nullable_variants(schema: T.StructType) -> None:
     """A VARIANT column has to take nulls, as invalid texts become null."""
     bad = [f.name for f in schema if isinstance(f.dataType, T.VariantType) and not f.nullable]
@@ -53,7 +71,8 @@ def check_nullable_variants(schema: T.StructType) -> None:
 def plan(live: T.StructType, batch: T.StructType, allowed=WIDER) -> tuple[T.StructType, list[str], list[str], list[str]]:
     """(evolved schema, added, widened, skipped) names; a change that only narrows is skipped.
 
-    Unsafe new names are skipped, names are compared without case.
+    New columns are judged one by one: unsafe names and types that no file can hold
+    are skipped and leave the others alone.  Names are compared without case.
     """
     fields = {f.name.lower(): f for f in live}
     added, widened, skipped = [], [], []
@@ -61,7 +80,7 @@ def plan(live: T.StructType, batch: T.StructType, allowed=WIDER) -> tuple[T.Stru
         have = fields.get(f.name.lower())
         kind = f.dataType.typeName()
         if have is None:
-            if not SAFE.fullmatch(f.name):
+            if not SAFE.fullmatch(f.name) or not storable(f.dataType):
                 skipped.append(f.name)
                 continue
             fields[f.name.lower()] = T.StructField(f.name, f.dataType, True, f.metadata)

@@ -1,6 +1,6 @@
 """Maintenance plans: expiry, orphans, repair, compaction, retention, all as DataFrames.
 
-Plans only read.  Whoever applies one gives its rows to the lake table's commits.
+The plans in the first part only read; the second part applies them to a lake table.
 """
 
 from __future__ import annotations
@@ -90,9 +90,10 @@ def dead_files(c: Catalog, expired: DataFrame) -> DataFrame:
     retained = c.snapshot.join(gone, "snapshot_id", "left_anti").select(F.col("snapshot_id").alias("id"))
     files = c.data_file.where(F.col("end_snapshot").isNotNull())
     files = files.join(gone.withColumnRenamed("snapshot_id", "end_snapshot"), "end_snapshot", "left_semi")
-    a = _ranked(files.select("data_file_id", "begin_snapshot", "end_snapshot"), "begin_snapshot", retained).withColumnRenamed("rank", "rank_begin")
-    b = _ranked(a, "end_snapshot", retained)
-    return b.where(F.col("rank_begin") == F.col("rank")).select("data_file_id", "begin_snapshot", "end_snapshot")
+    # both ends of a file are ranked in one pass; it is dead if they have the same rank
+    files = files.select("data_file_id", "begin_snapshot", "end_snapshot", F.explode(F.array("begin_snapshot", "end_snapshot")).alias("at"))
+    ranked = _ranked(files, "at", retained).groupBy("data_file_id", "begin_snapshot", "end_snapshot").agg(F.min("rank").alias("lo"), F.max("rank").alias("hi"))
+    return ranked.where(F.col("lo") == F.col("hi")).select("data_file_id", "begin_snapshot", "end_snapshot")
 
 
 def compaction_backlog(c: Catalog) -> DataFrame:

@@ -178,6 +178,12 @@ class Files:
         return self.fs.delete(self.path(name), True)
 
 
+def summary(adds: list[dict], codec: str, note: str) -> str:
+    """One line on a batch, the same for the same batch: rows, files, partitions, bytes, codec, and where it came from."""
+    parts = len({tuple(f["values"]) for f in adds if f["values"]})
+    return f"{sum(f['rows'] for f in adds)} rows in {len(adds)} files of {parts} partitions, {codec}" + (f"; {note}" if note else "")
+
+
 class LakeTable:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -304,11 +310,18 @@ class LakeTable:
 
     # write -------------------------------------------------------------------------
 
-    def append(self, df: DataFrame, key: str | None = None, codec: str = "zstd", level: int = 3, table_uuid: str | None = None, attempts: int = 5) -> int:
-        """Appends a batch, evolving the schema by widening; returns the rows written (0 for a replay)."""
+    def append(self, df: DataFrame, key: str | None = None, codec: str = "zstd", level: int = 3, table_uuid: str | None = None, attempts: int = 5, note: str = "") -> int:
+        """Appends a batch, evolving the schema by widening; returns the rows written (0 for a replay).
+
+        The commit's message says what the batch was, with ``note`` behind it.
+        """
         if codec not in CODECS or (codec == "zstd" and not 1 <= level <= 9):
             raise ValueError(f"codec is one of {CODECS}, zstd levels are 1 to 9")
-        df, _ = evolve.drop_unwritable(df)
+        df, unsafe = evolve.drop_unwritable(df)
+        unstorable = [f.name for f in df.schema if not evolve.storable(f.dataType)]
+        df = df.drop(*unstorable)
+        self.counts["unsafe_field_name"] += len(unsafe)
+        self.counts["columns_skipped"] += len(unstorable)
         if not df.columns:
             return 0
         evolve.check_reserved(df.columns, "transform")
@@ -324,7 +337,8 @@ class LakeTable:
                 self.delete_files([f["path"] for f in adds])
                 self.counts["already_published"] += 1
                 return 0
-            if basis and s.metadata_version > basis.version:  # layout changed in between: what is staged has the old one
+            # layout changed in between, or history that would tell has expired: what is staged may have the old one
+            if basis and (s.metadata_version > basis.version or basis.version < s.oldest):
                 self.delete_files([f["path"] for f in adds])
                 basis = None
                 self.counts["rebuilt"] += 1
@@ -332,14 +346,18 @@ class LakeTable:
                 self.counts["rebased"] += 1
             if basis is None:
                 body, _ = evolve.drop_live_variants(df, s.schema)
+                body, texts_only = evolve.drop_companions(body, s.schema)
+                self.counts["companion_degraded"] += len(texts_only)
                 if not body.columns:
                     return 0
                 # only what the reader can widen in older files
-                schema, added, widened, _ = evolve.plan(s.schema, body.schema, evolve.PROMOTIONS)
+                schema, added, widened, skipped = evolve.plan(s.schema, body.schema, evolve.PROMOTIONS)
+                self.counts["columns_skipped"] += len(skipped)
                 change = {"schema": schema.jsonValue()} if added or widened else {}
                 adds, basis = self._stage(body, schema, s, codec, level), s
             try:
-                self._commit(s, change | {"add": adds, "key": key})
+                self._commit(s, change | {"add": adds, "key": key, "message": summary(adds, f"{codec}-{level}" if codec == "zstd" else codec, note)})
+                self.counts["files"] += len(adds)
                 return sum(f["rows"] for f in adds)
             except CommitConflict:
                 if attempt + 1 == attempts:
@@ -352,7 +370,9 @@ class LakeTable:
         """Writes Parquet files, hive folders by partition value, and describes them from their own rows."""
         spec = partition.parse_spec(s.spec) if s.spec else ()
         body = evolve.align(evolve.stamp(df), schema)
-        keys, _ = presort.sort_keys(body, s.sort)
+        keys, unsorted = presort.sort_keys(body, s.sort)
+        if unsorted:
+            self.counts[f"sort_skipped_{unsorted}"] += 1
         laid = partition.write_layout(body, spec, keys)
         folder = f"data/{uuid.uuid4().hex}"
         names = ["p_" + f.name for f in spec]

@@ -23,7 +23,7 @@ from . import lag
 class Sink(Protocol):
     identity: str  # what is written to; part of a flush's key
 
-    def write(self, batch: DataFrame, key: str) -> int: ...
+    def write(self, batch: DataFrame, key: str, note: str = "") -> int: ...
     def reset_caches(self) -> None: ...
     def close(self) -> None: ...
 
@@ -36,8 +36,19 @@ class LakeSink:
         self.identity = table.root
         self._uuid: str | None = None
 
-    def write(self, batch: DataFrame, key: str) -> int:
-        n = self.table.append(batch, key, self.codec, self.level, self._uuid)
+    @property
+    def counts(self) -> dict[str, int]:
+        return dict(self.table.counts)
+
+    def write(self, batch: DataFrame, key: str, note: str = "") -> int:
+        try:
+            n = self.table.append(batch, key, self.codec, self.level, self._uuid, note=note)
+        except Exception as e:  # noqa: BLE001 - what a VARIANT cannot hold is no reason to lose the batch
+            companions = [f.name for f in batch.schema if f.dataType.typeName() == "variant"]
+            if not companions or "VARIANT" not in str(e):
+                raise
+            self.table.counts["variant_fallback"] += 1
+            n = self.table.append(batch.drop(*companions), key, self.codec, self.level, self._uuid, note=note)
         if n and not self._uuid:
             self._uuid = self.table.snapshot().table_uuid
         return n
@@ -174,6 +185,19 @@ def batch_ranges(checkpoint: Files, batch_id: int) -> list[tuple[str, int, str,
     return out
 
 
+def ranges_text(ranges: Sequence[tuple], limit: int = 2000) -> str:
+    """Offset ranges by topic, at most ``limit`` characters of them and how many more there are."""
+    by_topic: dict[str, list[str]] = {}
+    for topic, part, first, last in sorted(ranges, key=lambda r: (r[0], r[1])):
+        by_topic.setdefault(topic, []).append(f"{part} from {first} to {last}")
+    out = []
+    for topic, texts in by_topic.items():
+        kept = [t for k, t in enumerate(texts) if sum(map(len, texts[: k + 1])) + 2 * k <= limit]
+        more = len(texts) - len(kept)
+        out.append(f"{topic}: " + ", ".join(kept) + (f" and {more} more" if more else ""))
+    return "; ".join(out)
+
+
 #: Rows of a flush up to which it counts in a class of ``Counters.shape``.
 SHAPE = (100, 1_000, 10_000, 100_000, 1_000_000)
 
@@ -191,6 +215,12 @@ class Counters:
     flushes: dict[str, int] = field(default_factory=dict)
     shape: dict[float, int] = field(default_factory=dict)
     failed: dict[str, int] = field(default_factory=dict)
+    sink: dict[str, int] = field(default_factory=dict)
+    beat: float = field(default_factory=time.monotonic)
+
+    def healthy(self, limit: float = 480.0) -> bool:
+        """Whether a batch has ended within the limit."""
+        return lag.healthy(time.monotonic() - self.beat, limit)
 
     def take(self, seen: dict[str, int], written: int) -> None:
         self.written += written
@@ -224,16 +254,18 @@ def ingest(spark: SparkSession, source: DataFrame, sink: Sink, steps: Steps, che
     def flush(batch: DataFrame, batch_id: int) -> None:
         if open_:
             counts.ended(open_.pop())
-        key = flush_key(sink.identity, json.loads(log.read("metadata"))["id"], batch_ranges(log, batch_id))
+        ranges = batch_ranges(log, batch_id)
+        key = flush_key(sink.identity, json.loads(log.read("metadata"))["id"], ranges)
         batch.persist()  # inference reads it, then the write does
         try:
             watch = Watch()
             rows = transform(batch, steps, watch)
-            n = write_with_retry(lambda: sink.write(rows.drop("seq"), key), sink.reset_caches, failed=counts.failed)
+            n = write_with_retry(lambda: sink.write(rows.drop("seq"), key, ranges_text(ranges)), sink.reset_caches, failed=counts.failed)
             seen = watch.totals()
             counts.replays += n == 0 and not seen
             full = seen.get("bytes", 0) >= flush_bytes
             counts.take(seen, n)
+            counts.sink, counts.beat = getattr(sink, "counts", {}), time.monotonic()
             if once:
                 open_.append("size")
             else:
@@ -249,4 +281,11 @@ def ingest(spark: SparkSession, source: DataFrame, sink: Sink, steps: Steps, che
             counts.ended("final")
         return counts
     q.larkspur_counters = counts
+    q.larkspur_rest = lambda: ingest(spark, source, sink, steps, checkpoint, name, True, flush_bytes, flush_seconds)
     return q
+
+
+def finish(query, failed_for_good: bool = False) -> Counters | None:
+    """Ends a running ingest; what its source still has is flushed by a last run, unless the sink has failed for good."""
+    query.stop()
+    return query.larkspur_rest() if lag.final_flush(1, failed_for_good) == "flush" else None

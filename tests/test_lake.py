@@ -1,14 +1,15 @@
 import datetime
 import json
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larkspur.plans import catalog, maintenance, metrics
+from larkspur.plans import catalog, maintenance, metrics, upkeep
 from larkspur.sources.lake import CommitConflict, LakeTable, SnapshotExpired, TableRecreated
-from larkspur.streaming import include, ingest, lag
+from larkspur.streaming import gauges, include, ingest, lag
 
 
 @pytest.fixture
@@ -434,3 +435,141 @@ def test_a_batch_without_any_record_makes_no_table(spark, table, tmp_path):
     stream = spark.readStream.schema("seq long, value string").parquet(f"{tmp_path}/in")
     c = ingest.ingest(spark, stream, ingest.LakeSink(table), ingest.Steps(), f"{tmp_path}/cp")
     assert c.written == 0 and not table.versions() and c.flushes == {"final": 1}
+
+
+# upkeep, gauges, pushing -------------------------------------------------------------------
+
+
+def test_upkeep_holds_one_lock_and_drains_the_queue(spark, table):
+    for i in range(3):
+        table.append(spark.range(i, i + 1).select(F.col("id").alias("n")).coalesce(1), f"k{i}")
+    with upkeep.TableLock(table):
+        with pytest.raises(upkeep.Busy):
+            upkeep.maintain(table)
+    with upkeep.TableLock(table, stale=-1.0):  # of a run that died
+        with upkeep.TableLock(table, stale=-1.0) as other, other:
+            pass
+    first = sorted(table.snapshot().files)
+    table.compact([first])
+    maintenance.expire(table, purge=False)
+    assert sorted(table.snapshot().queue) == first
+    table.delete_files(first[:1])
+    assert upkeep.drain(table) == {"healed": 1, "purged": 2} and upkeep.findings(table).isEmpty()
+    live = list(table.snapshot().files)
+    table.change(lambda s: {"queue": [{"path": "data/none"}]})
+    table.delete_files(live)
+    with pytest.raises(upkeep.NotDrained):
+        upkeep.drain(table)
+    assert {tuple(r) for r in upkeep.findings(table).collect()} == {("missing", live[0]), ("queued_gone", "data/none")}
+    steps = {name: error for name, _, error in upkeep.maintain(table, only=("drain", "fold"))}
+    assert steps["drain"].startswith("NotDrained") and steps["fold"] is None
+
+
+def test_columns_that_cannot_be_stored_leave_the_others(spark, table):
+    df = spark.sql("SELECT 1 AS n, NULL AS nothing, make_interval(1) AS span, struct(NULL AS x) AS deep, 'a' AS t, 2 AS `bad name`")
+    assert table.append(df, "k") == 1 and table.read().columns == ["n", "t", "_inserted_at"]
+    assert table.counts["unsafe_field_name"] == 1 and table.counts["columns_skipped"] == 3
+    assert table._commit_at(1)["message"] == "1 rows in 1 files of 0 partitions, zstd-3"
+
+
+def test_companions_degrade_to_their_text(spark, table, monkeypatch):
+    rows = spark.sql("SELECT 1 AS n, '{}' AS props, 'no variant' AS props_variant")
+    table.append(rows, "a")
+    batch = spark.sql("""SELECT 2 AS n, '{"k":1}' AS props, parse_json('{"k":1}') AS props_variant""")
+    assert table.append(batch, "b") == 1 and table.counts["companion_degraded"] == 1
+    assert {tuple(r) for r in table.read().select("n", "props", "props_variant").collect()} == {(1, "{}", "no variant"), (2, '{"k":1}', None)}
+    other = LakeTable(spark, f"{table.root}-2")
+    sink, append = ingest.LakeSink(other), other.append
+
+    def refuse(df, *a, **k):
+        if "v_variant" in df.columns:
+            raise RuntimeError("[VARIANT_SIZE_LIMIT] too large")
+        return append(df, *a, **k)
+
+    monkeypatch.setattr(other, "append", refuse)
+    assert sink.write(spark.sql("SELECT 'x' AS v, parse_json('1') AS v_variant"), "k", "from here") == 1 and sink.counts["variant_fallback"] == 1
+    assert other.read().columns == ["v", "_inserted_at"] and other._commit_at(1)["message"].endswith("; from here")
+    with pytest.raises(RuntimeError):
+        monkeypatch.setattr(other, "append", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("else")))
+        sink.write(spark.sql("SELECT parse_json('1') AS v_variant"), "k2")
+
+
+def test_ranges_are_told_up_to_a_limit():
+    ranges = [("b", 1, 0, 5), ("a", 2, "-", "7"), ("a", 0, 3, 4)]
+    assert ingest.ranges_text(ranges) == "a: 0 from 3 to 4, 2 from - to 7; b: 1 from 0 to 5"
+    many = ingest.ranges_text([("t", p, 0, 9) for p in range(500)], 200)
+    assert many.endswith("more") and len(many) < 240 and int(many.split()[-2]) + many.count("from") == 500
+
+
+def test_counters_and_metrics_are_pushed(spark):
+    import http.server
+    import threading
+
+    c = ingest.Counters(written=3, batches=1)
+    c.take({"consumed": 5, "bytes": 70, "json_parse": 2}, 3)
+    c.ended("final")
+    text = {r["line"] for r in metrics.exposition(gauges.counters(spark, c)).collect()}
+    assert {"written_total 6.0", 'skipped_total{reason="json_parse"} 2.0', 'flushes_total{trigger="final"} 1.0', "healthy 1.0"} <= text
+    got = []
+
+    class Gateway(http.server.BaseHTTPRequestHandler):
+        def do_PUT(self):
+            got.append(self.rfile.read(int(self.headers["Content-Length"])).decode())
+            self.send_response(500 if self.path == "/bad" else 202)
+            self.end_headers()
+
+        def log_message(self, *_):
+            pass
+
+    server = http.server.HTTPServer(("127.0.0.1", 0), Gateway)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    url = f"http://127.0.0.1:{server.server_port}"
+    assert metrics.push(metrics.exposition(gauges.counters(spark, c)), f"{url}/metrics/job/x") == 202 and set(got[0].splitlines()) == text
+    with pytest.raises(OSError):
+        metrics.push(metrics.exposition(gauges.counters(spark, c)), f"{url}/bad")
+    server.shutdown()
+
+
+def test_user_metrics_win_over_built_in_ones(spark, table):
+    table.append(spark.range(3).select(F.col("id").alias("n")).coalesce(1), "k")
+    c = catalog.from_table(table)
+    queries = metrics.merge([{"name": "data_files", "sql": "SELECT count(*) AS n FROM data_file"}, {"name": "own", "sql": "SELECT 7 AS n", "interval_minutes": 5}], ["catalog"])
+    assert "catalog" not in queries and queries["own"](c).first()["n"] == 7 and queries["data_files"](c).columns == ["n"]
+    for bad in ({"name": "Own", "sql": "x"}, {"name": "a", "sql": "x", "interval_minutes": True}, {"name": "a", "sql": "x", "interval_minutes": 0}, {"name": "a"}):
+        with pytest.raises(ValueError):
+            metrics.merge([bad])
+
+
+def test_catalog_of_a_trimmed_log(spark, table):
+    for i in range(4):
+        table.append(spark.range(i + 1).select(F.col("id").alias("n")).coalesce(1), f"k{i}")
+    old = sorted(table.snapshot().files)
+    table.compact([old[:2]])
+    maintenance.expire(table, keep_last=2, purge=False)
+    c = catalog.from_table(table)
+    rows = {(r["path"], r["begin_snapshot"], r["end_snapshot"]) for r in c.data_file.collect()}
+    assert rows == {(f[0], f[1], f[2]) for f in table.file_rows()} and len(rows) == 5
+    assert metrics.data_files(c).first()["rows"] == 10 and c.table_stats.first()["record_count"] == 10
+
+
+def test_a_running_ingest_is_finished_with_a_final_flush(spark, table, tmp_path):
+    rows = spark.createDataFrame([(i, f'{{"id":{i}}}') for i in range(10)], "seq long, value string")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema("seq long, value string").parquet(f"{tmp_path}/in")
+    q = ingest.ingest(spark, stream, ingest.LakeSink(table), ingest.Steps(), f"{tmp_path}/cp", name="running", once=False, flush_seconds=3600)
+    c, until = q.larkspur_counters, time.monotonic() + 60
+    while not c.flushes and time.monotonic() < until:
+        time.sleep(0.1)
+    assert c.written == 10 and c.flushes == {"time": 1} and c.healthy() and not c.healthy(-1.0)
+    rows.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    rest = ingest.finish(q)
+    assert not q.isActive and rest.flushes == {"final": 1} and rest.written == 10 and table.read().count() == 20
+
+
+def test_groups_and_destinations():
+    from larkspur.streaming import config
+
+    assert config.load({"GROUP_ID": "g-1", "LAST_DESTINATION": "lake"}).destination == "lake"
+    for bad in ({"GROUP_ID": "a b"}, {"DESTINATION": "none"}, {"DESTINATION": "log", "PARTITION_BY": "a"}, {"LAST_DESTINATION": "log"}, {"RETRY_ATTEMPTS": "50"}):
+        with pytest.raises(config.ConfigError):
+            config.load(bad)
