@@ -592,8 +592,9 @@ def train(docs: DataFrame, ws: Workspace, order: int = 3, least: dict[int, int]
     cuts = np.arange(1 << bits, dtype=_U) << _U(63 - bits)
     parts = _by_part(texts, lambda b: token_stream(b.column(1))[0], cuts, write_words)
     total, distinct = sum(p["total"] for p in parts), sum(p["n"] for p in parts)
-    for i, p in enumerate(parts):
-        p["offset"] = sum(x["n"] for x in parts[:i])
+    before = 0
+    for p in parts:
+        p["offset"], before = before, before + p["n"]
     spec: dict = {"path": ws.path, "total": total, "distinct": distinct}
     spec["words"] = {"folder": folder, "parts": [p["part"] for p in parts], "n": [p["n"] for p in parts], "lo": [int(cuts[p["part"]]) for p in parts]}
     if not total or order < 2:
