@@ -12,7 +12,7 @@ from .operators import infer
 from .plans import maintenance, upkeep
 from .sources import messages
 from .sources.lake import LakeTable, SnapshotExpired
-from .streaming import gauges, include
+from .streaming import config, gauges, include, service
 from .streaming.ingest import LakeSink, Steps, ingest
 
 # a polled allowlist, in SQL by recursion over the polls -----------------------------------
@@ -205,6 +205,69 @@ def non_finite_messages(spark, sf_dir):
     return rows.select("seq", F.when(~nan, F.col("ratio")).alias("ratio"), nan.alias("is_nan"), "text", "note")
 
 
+# services by their settings ----------------------------------------------------------------
+
+_SERVED = "concat('{\"id\":', cast(event_id AS string), ',\"u\":\"', cast(user_id AS string), '\",\"kind\":\"', event_type, '\",\"tags\":{\"k\":', cast(event_id % 3 AS string), '},\"note\":', CASE WHEN event_id % 4 = 0 THEN '\"{bad\"' ELSE concat('[', cast(event_id % 4 AS string), ']') END, '}') AS value"
+
+
+def _served_log(spark, sf_dir, where: str = "true") -> str:
+    root = _scratch(spark)
+    messages.append(_events(spark, sf_dir, *OFFSETS, "event_id", _SERVED).where(where), root, "events", segment=50)
+    return root
+
+
+@query(
+    "SELECT event_type AS kind, count(*) AS n, sum(user_id)::BIGINT AS users, sum(event_id % 3)::BIGINT AS tags, (sum(event_id % 4) FILTER (event_id % 4 > 0))::BIGINT AS notes, true AS laid_out "
+    "FROM events WHERE event_type IN ('click', 'view', 'error') AND event_id % 8 <> 3 AND NOT (user_id = 7) GROUP BY 1"
+)
+def service_from_settings(spark, sf_dir):
+    """Two replicas of a group, from settings alone: pinned, kept by static and polled values, filtered, with VARIANTs, partitioned and sorted.
+
+    A partition that no replica has any more (its folder is gone) is missing in the table.
+    """
+    root = _served_log(spark, sf_dir, "event_id % 8 <> 3")
+    spark.range(1).selectExpr("'[\"view\", \"error\"]' AS value").coalesce(1).write.text(f"{root}/polled")
+    env = {
+        "KEEP_FIELD": "kind", "KEEP_VALUES": "click", "INCLUDE_URL": f"{root}/polled", "DROP_FIELD": "u", "DROP_VALUES": "7", "TYPED_COLUMNS": "u:bigint", "VARIANT_COLUMNS": "tags",
+        "DECLARED_VARIANTS": "note", "PARTITION_BY": "kind", "SORT_COLUMNS": "u", "GROUP_ID": "readers", "REPLICAS": "2",
+    }
+    for host in ("ingest-0", "ingest-1", "ingest-0"):
+        service.run(spark, config.load(env | {"HOSTNAME": host}), root, "events", f"{root}/table", f"{root}/state")
+    t = LakeTable(spark, f"{root}/table")
+    s = t.snapshot()
+    laid_out = s.spec == "kind" and s.sort == ("u",) and all(len(f["values"]) == 1 for f in s.files.values())
+    note = F.try_variant_get("note", "$[0]", "bigint")
+    out = t.read().groupBy("kind").agg(F.count("*").alias("n"), F.sum("u").alias("users"), F.sum(F.try_variant_get("tags_variant", "$.k", "bigint")).alias("tags"), F.sum(note).alias("notes"))
+    return out.withColumn("laid_out", F.lit(laid_out))
+
+
+@query("SELECT count(*) AS n, sum(event_id)::BIGINT AS ids, 0::BIGINT AS before FROM events WHERE event_id >= (SELECT (max(event_id) // 16) * 8 FROM events)")
+def service_from_latest(spark, sf_dir):
+    """A group that starts at the end of the log gets what comes after, and keeps its place whatever it is told later."""
+    half = _events(spark, sf_dir, "event_id").agg(F.max("event_id")).first()[0] // 16 * 8
+    root = _served_log(spark, sf_dir, f"event_id < {half}")
+    go = lambda reset: service.run(spark, config.load({"OFFSET_RESET": reset}), root, "events", f"{root}/table", f"{root}/state")
+    before = go("latest").written
+    messages.append(_events(spark, sf_dir, *OFFSETS, "event_id", _SERVED).where(f"event_id >= {half}"), root, "events", segment=50)
+    go("latest")
+    go("earliest")
+    return LakeTable(spark, f"{root}/table").read().agg(F.count("*").alias("n"), F.sum("id").alias("ids")).withColumn("before", F.lit(before).cast("long"))
+
+
+@query("SELECT event_type AS kind, count(*) AS n, sum(event_id)::BIGINT AS ids, true AS whole FROM events WHERE event_type <> 'error' GROUP BY 1")
+def service_to_log(spark, sf_dir):
+    """From one log to another, filtered: a group that runs again adds nothing, and offsets have no gaps."""
+    root = _served_log(spark, sf_dir)
+    c = config.load({"DESTINATION": "log", "GROUP_ID": "relay", "DROP_FIELD": "kind", "DROP_VALUES": "error", "FLUSH_BYTES": str(_quarter(spark, root))})
+    for _ in range(2):
+        service.run(spark, c, root, "events", f"{root}/kept", f"{root}/state")
+    kept = messages.read(spark, root, "kept")
+    gaps = kept.groupBy("partition").agg((F.max("offset") + 1 - F.count("*")).alias("gap"), (F.count("*") - F.count_distinct("offset")).alias("twice"))
+    whole = gaps.where("gap <> 0 OR twice <> 0").isEmpty()
+    rows = kept.select(F.from_json("value", "kind string, id long").alias("r")).groupBy("r.kind").agg(F.count("*").alias("n"), F.sum("r.id").alias("ids"))
+    return rows.withColumn("whole", F.lit(whole))
+
+
 # maintenance -------------------------------------------------------------------------------
 
 

@@ -44,6 +44,21 @@ def column_list(text: str) -> tuple[str, ...]:
     return names
 
 
+def word(text: str, known: tuple[str, ...], what: str) -> str:
+    _need(text in known, f"{what} is one of {', '.join(known)}, not {text!r}")
+    return text
+
+
+def seconds(text: str, what: str) -> float:
+    """A positive number of seconds."""
+    try:
+        got = float(text)
+    except ValueError:
+        got = 0.0
+    _need(0 < got < float("inf"), f"{what} is a positive number of seconds, not {text!r}")
+    return got
+
+
 def typed_columns(text: str) -> tuple[tuple[str, str], ...]:
     """``col:type`` pairs; the same pair twice is one, two types of a column are refused."""
     out: dict[str, str] = {}
@@ -110,10 +125,19 @@ class Config:
     retry_attempts: int
     retry_seconds: float
     reserve_seconds: float
+    include_every: float
+    include_startup: float
+    include_timeout: float
+    include_header: str
+    include_token: str
+    declared: tuple[str, ...]
+    on_invalid: str
+    non_finite: bool
+    partition_by: str
 
 
 #: Destinations and the settings that only the other one knows: leaving one behind is refused, not ignored.
-DESTINATIONS = {"lake": (), "log": ("PARTITION_BY", "SORT_COLUMNS", "VARIANT_COLUMNS")}
+DESTINATIONS = {"lake": (), "log": ("PARTITION_BY", "SORT_COLUMNS", "VARIANT_COLUMNS", "DECLARED_VARIANTS")}
 _GROUP = re.compile(r"[A-Za-z0-9._-]{1,249}")
 
 
@@ -130,8 +154,11 @@ def load(env: Mapping[str, str]) -> Config:
     """A configuration of upper-case settings; every rule that is broken stops the start."""
     get = lambda k, d="": env.get(k, d).strip()
     typed = typed_columns(get("TYPED_COLUMNS"))
-    keep = filter_of(get("KEEP_FIELD"), get("KEEP_VALUES"), typed)
-    variant = column_list(get("VARIANT_COLUMNS"))
+    url, shadow, polls = get("INCLUDE_URL"), boolean(get("INCLUDE_SHADOW", "false")), int(get("INCLUDE_POLLS", "3"))
+    polled_only = bool(url and get("KEEP_FIELD")) and not (shadow or get("KEEP_VALUES"))  # all values come from the URL
+    keep = (column_list(get("KEEP_FIELD"))[0], ()) if polled_only else filter_of(get("KEEP_FIELD"), get("KEEP_VALUES"), typed)
+    variant, declared = column_list(get("VARIANT_COLUMNS")), column_list(get("DECLARED_VARIANTS"))
+    _need(not set(variant) & set(declared), "a column is a declared VARIANT or has a companion, not both")
     _need(not any(v.lower().endswith(SUFFIX) for v in variant), f"variant columns must not end in {SUFFIX}")
     reset, codec = get("OFFSET_RESET", "earliest"), get("CODEC", "zstd")
     _need(reset in ("earliest", "latest"), f"offset reset is earliest or latest, not {reset!r}")
@@ -139,7 +166,6 @@ def load(env: Mapping[str, str]) -> Config:
     _need(codec == "zstd" or not get("CODEC_LEVEL"), "only zstd has levels")
     level = int(get("CODEC_LEVEL", "3") or 3)
     _need(1 <= level <= 9, "zstd levels are 1 to 9")
-    url, shadow, polls = get("INCLUDE_URL"), boolean(get("INCLUDE_SHADOW", "false")), int(get("INCLUDE_POLLS", "3"))
     _need(not url or keep is not None, "a polled include set needs the keep filter")
     _need(bool(url) or not (shadow or get("INCLUDE_HEADER") or get("INCLUDE_TOKEN")), "include settings need a URL")
     _need(bool(get("INCLUDE_HEADER")) == bool(get("INCLUDE_TOKEN")), "header and token go together")
@@ -162,4 +188,6 @@ def load(env: Mapping[str, str]) -> Config:
         keep, filter_of(get("DROP_FIELD"), get("DROP_VALUES"), typed), typed, variant, column_list(get("SORT_COLUMNS")), spec, reset, codec, level,
         flush_bytes, flush_seconds, url, shadow, polls, replicas, ordinal_of(get("HOSTNAME", "ingest-0"), replicas),
         group, destination, attempts, timeout, reserve,
+        seconds(get("INCLUDE_EVERY", "60"), "INCLUDE_EVERY"), seconds(get("INCLUDE_STARTUP", "60"), "INCLUDE_STARTUP"), seconds(get("INCLUDE_TIMEOUT", "10"), "INCLUDE_TIMEOUT"),
+        get("INCLUDE_HEADER"), get("INCLUDE_TOKEN"), declared, word(get("ON_INVALID", "null"), ("null", "raise"), "ON_INVALID"), boolean(get("NON_FINITE", "false")), get("PARTITION_BY"),
     )

@@ -31,7 +31,7 @@ def positions(log: DataFrame, done: DataFrame, reset: str = "earliest") -> DataF
 def counters(spark: SparkSession, c: Counters) -> DataFrame:
     """What an ingest has counted so far, one row a counter."""
     rows = [(f"{k}_total", {}, float(getattr(c, k))) for k in ("consumed", "written", "batches", "replays", "bytes")]
-    for name, label, of in (("skipped_total", "reason", c.skipped), ("flushes_total", "trigger", c.flushes), ("errors_total", "type", c.failed), ("sink_total", "what", c.sink), ("flush_rows_bucket", "le", c.shape)):
+    for name, label, of in (("skipped_total", "reason", c.skipped), ("flushes_total", "trigger", c.flushes), ("errors_total", "type", c.failed), ("sink_total", "what", c.sink), ("include_total", "what", c.include), ("flush_rows_bucket", "le", c.shape)):
         rows += [(name, {label: str(k)}, float(v)) for k, v in of.items()]
     rows.append(("healthy", {}, float(c.healthy())))
     return spark.createDataFrame(rows, SAMPLE)

@@ -16,7 +16,10 @@ and the pins are the whole state.  A poll is answered in this order:
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+import json
+import time
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -128,3 +131,88 @@ def follow(polls: DataFrame, initial: Iterable, pins: Iterable = (), need: int =
 
     kept = T.StructType([T.StructField("v", T.ArrayType(T.LongType())), T.StructField("n", T.ArrayType(T.LongType()))])
     return polls.groupBy("set").applyInPandasWithState(run, RESULT, kept, "append", "NoTimeout")
+
+
+# in a running ingest ---------------------------------------------------------------------
+
+#: Longest answer that is taken: the values become a condition of every batch's plan.
+MOST_BYTES = 4 << 20
+
+
+class NoValues(Exception):
+    """The endpoint named no usable values in the time that a start may take."""
+
+
+def values_of(body: str) -> list:
+    """The distinct values of a JSON array, all whole numbers or all texts; ValueError for anything else."""
+    if len(body) > MOST_BYTES:
+        raise ValueError(f"an answer of over {MOST_BYTES} bytes")
+    got = json.loads(body)
+    if not isinstance(got, list) or {type(v) for v in got} - {int} and {type(v) for v in got} - {str}:
+        raise ValueError("not an array of whole numbers or of texts")
+    return list(dict.fromkeys(got))
+
+
+def fetcher(spark, url: str, header: str = "", token: str = "", timeout: float = 10.0) -> Callable[[], str]:
+    """What reads the body behind a URL: over HTTP, or a text file wherever Spark reads."""
+
+    def http() -> str:
+        import urllib.request
+
+        ask = urllib.request.Request(url, headers={header: token} if header else {})
+        with urllib.request.urlopen(ask, timeout=timeout) as answer:
+            return answer.read(MOST_BYTES + 1).decode()
+
+    def file() -> str:
+        row = spark.read.text(url, wholetext=True).where(F.octet_length("value") <= MOST_BYTES).first()
+        if row is None:
+            raise ValueError("no file, or one that is too long")
+        return row["value"]
+
+    return http if url.startswith(("http://", "https://")) else file
+
+
+class Allowlist:
+    """The values that a running ingest keeps: static ones, and those that an endpoint names.
+
+    Static values are pins.  ``values`` is asked once a batch and polls when ``every``
+    seconds have passed; what a poll may change is :class:`State`'s.  A poll that fails
+    changes nothing and is counted.  The first one has to succeed within ``startup``
+    seconds, or there is no start: without it, rows that only the endpoint names would
+    be left out for good.  With ``shadow`` the static values are served, nothing waits
+    for the endpoint, and ``gap`` says how far its answer is from them.
+    """
+
+    def __init__(self, static: Iterable, fetch: Callable[[], str] | None = None, need: int = 3, shadow: bool = False, every: float = 60.0, startup: float = 60.0, clock=time.monotonic, sleep=time.sleep):
+        self.static, self.fetch, self.shadow, self.every, self.clock = list(static), fetch, shadow, every, clock
+        self.state, self.counts = State(self.static, self.static, need), Counter()
+        self.gap: tuple[int, int] | None = None
+        self._asked: float | None = None
+        if fetch and not shadow:
+            end, wait = clock() + startup, 0.5
+            while not self._poll():
+                if clock() + wait > end:
+                    raise NoValues(f"no usable answer within {startup:g} s")
+                sleep(wait)
+                wait = min(10.0, 2 * wait)
+
+    def _poll(self) -> bool:
+        self._asked = self.clock()
+        try:
+            polled = values_of(self.fetch())
+        except Exception:  # noqa: BLE001 - an endpoint that is down or talks nonsense is no reason to drop what is held
+            self.counts["failed"] += 1
+            return False
+        if self.shadow:
+            self.gap = difference(State(self.static, (), self.state.need), polled)
+            self.counts["compared"] += 1
+            return True
+        added, removed, refused = self.state.answer(polled)
+        self.counts.update(added=added, removed=removed)
+        self.counts[refused or "accepted"] += 1
+        return refused in (None, "bulk_removal") or bool(self.state.numbers) and refused == "empty"
+
+    def values(self) -> list:
+        if self.fetch and (self._asked is None or self.clock() - self._asked >= self.every):
+            self._poll()
+        return self.static if self.shadow else list(self.state.numbers)

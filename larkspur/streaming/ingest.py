@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 from ..functions import coerce
 from ..operators import evolve, filters, infer, variants
-from ..sources import frames
+from ..sources import frames, messages
 from ..sources.lake import CommitConflict, Files, LakeTable, TableRecreated
 from . import lag
+from .config import FLUSH_DEADLINE, attempt_reserve
 
 
 class Sink(Protocol):
@@ -29,22 +30,38 @@ class Sink(Protocol):
 
 
 class LakeSink:
-    """Appends to a lake table; knows the table it started with."""
+    """Appends to a lake table; knows the table it started with.
 
-    def __init__(self, table: LakeTable, codec: str = "zstd", level: int = 3):
-        self.table, self.codec, self.level = table, codec, level
+    ``spec`` and ``sort`` are what the table is created with, or what one that is
+    there gets before the first batch; another spec than the table's is refused.
+    """
+
+    def __init__(self, table: LakeTable, codec: str = "zstd", level: int = 3, spec: str = "", sort: Sequence[str] = ()):
+        self.table, self.codec, self.level, self.spec, self.sort = table, codec, level, spec, tuple(sort)
         self.identity = table.root
         self._uuid: str | None = None
+        self._laid_out = not (spec or sort)
+
+    def _lay_out(self, batch: DataFrame) -> None:
+        fit, _ = evolve.drop_unwritable(batch)
+        fit = fit.drop(*[f.name for f in fit.schema if not evolve.storable(f.dataType)])
+        if fit.columns:
+            self.table.create(fit.schema, self.spec, self.sort)
+            if self.sort:
+                self.table.ensure_sort(self.sort)
+            self._laid_out = True
 
     @property
     def counts(self) -> dict[str, int]:
         return dict(self.table.counts)
 
     def write(self, batch: DataFrame, key: str, note: str = "") -> int:
+        if not self._laid_out:
+            self._lay_out(batch)
         try:
             n = self.table.append(batch, key, self.codec, self.level, self._uuid, note=note)
         except Exception as e:  # noqa: BLE001 - what a VARIANT cannot hold is no reason to lose the batch
-            companions = [f.name for f in batch.schema if f.dataType.typeName() == "variant"]
+            companions = [f.name for f in batch.schema if f.dataType.typeName() == "variant" and f.name.endswith(variants.SUFFIX)]
             if not companions or "VARIANT" not in str(e):
                 raise
             self.table.counts["variant_fallback"] += 1
@@ -55,15 +72,41 @@ class LakeSink:
 
     def reset_caches(self) -> None:
         self._uuid = None
+        self._laid_out = not (self.spec or self.sort)
+
+    def close(self) -> None:
+        pass
+
+
+class LogSink:
+    """Hands records on as JSON texts to a topic of a message log; columns that are null are left out."""
+
+    def __init__(self, log: messages.Producer):
+        self.log, self.identity, self.counts = log, log.home, {"already_published": 0}
+
+    def write(self, batch: DataFrame, key: str, note: str = "") -> int:
+        if not batch.columns:
+            return 0
+        n = self.log.append(batch.select(F.to_json(F.struct(*batch.columns)).alias("value")), key)
+        self.counts["already_published"] += not n
+        return n
+
+    def reset_caches(self) -> None:
+        pass
 
     def close(self) -> None:
         pass
 
 
 def make_sink(destination: str, **settings) -> Sink:
-    if destination != "lake":
-        raise ValueError(f"unknown destination {destination!r}")
-    return LakeSink(LakeTable(settings["spark"], settings["root"]), settings.get("codec", "zstd"), settings.get("level", 3))
+    """The sink of a destination: ``lake`` writes to the table at ``root``, ``log`` to the topic of that name below its parent."""
+    spark, root = settings["spark"], settings["root"].rstrip("/")
+    if destination == "lake":
+        return LakeSink(LakeTable(spark, root), **{k: settings[k] for k in ("codec", "level", "spec", "sort") if k in settings})
+    if destination == "log":
+        parent, _, topic = root.rpartition("/")
+        return LogSink(messages.Producer(spark, parent, topic, settings.get("partitions", 8)))
+    raise ValueError(f"unknown destination {destination!r}")
 
 
 @dataclass(frozen=True)
@@ -77,6 +120,8 @@ class Steps:
     json_text: Sequence[str] = ()
     layout: str = "transform"
     non_finite: bool = False
+    declared: Sequence[str] = ()
+    on_invalid: str = "null"
 
 
 class Watch:
@@ -115,12 +160,15 @@ def transform(messages: DataFrame, steps: Steps, watch: Watch | None = None) ->
     keys = infer.infer(parsed, "seq")
     bad = F.count_if(F.col("value").isNotNull() & F.col("rec").isNull())
     parsed = see(parsed, consumed=F.count("*"), bytes=F.sum(F.octet_length("value")), json_parse=bad)
-    rows = infer.build(parsed, keys, steps.json_text).drop("value")
+    rows = infer.build(parsed, keys, [*steps.json_text, *steps.declared]).drop("value")
     rows = coerce.pin(infer.normalize(rows), steps.pins)
     if steps.keep:
         rows = filters.keep(see(rows, **filters.keep_reasons(rows, *steps.keep)), *steps.keep)
     if steps.drop:
         rows = filters.drop(see(rows, filter_dropped=filters.dropped(rows, *steps.drop)), *steps.drop)
+    here = [n for n in steps.declared if n in rows.columns]
+    if here:
+        rows = rows.withColumns({n: variants.declared(F.col(n).cast("string"), steps.on_invalid) for n in here})
     if steps.variant:
         rows = variants.dual_write(rows, steps.variant)
     evolve.check_reserved(rows.columns, steps.layout)
@@ -141,15 +189,17 @@ class SinkError(Exception):
         self.label, self.permanent, self.retry_after = label, permanent, retry_after
 
 
-def write_with_retry(write: Callable[[], int], reset: Callable[[], None], attempts: int = 5, deadline: float = 450.0, sleep=time.sleep, clock=time.monotonic, failed: dict[str, int] | None = None) -> int:
+def write_with_retry(write: Callable[[], int], reset: Callable[[], None], attempts: int = 5, deadline: float = FLUSH_DEADLINE, sleep=time.sleep, clock=time.monotonic, failed: dict[str, int] | None = None, timeout: float = 0.0) -> int:
     """Repeats a write that another writer crossed or that its sink says may be repeated.
 
-    Permanent errors, all others, and a passed deadline fail.  ``failed`` counts
-    failures by label.  A repeated write carries its key, so one whose answer was
+    Permanent errors, all others, and a passed deadline fail; with the ``timeout`` of an
+    attempt, so does a deadline that another one might pass, going by how long the
+    last one took.  ``failed`` counts failures by label.  A repeated write carries its key, so one whose answer was
     lost after it was committed is recognised and writes nothing.
     """
     start = clock()
     for n in range(attempts):
+        began = clock()
         try:
             return write()
         except TableRecreated:
@@ -160,7 +210,8 @@ def write_with_retry(write: Callable[[], int], reset: Callable[[], None], attemp
                 label = lag.classify(e)
                 failed[label] = failed.get(label, 0) + 1
             wait = lag.backoff(n, retry_after=getattr(e, "retry_after", 0.0), jitter=random.random())
-            if getattr(e, "permanent", False) or n + 1 == attempts or clock() - start + wait > deadline:
+            reserve = attempt_reserve(timeout, clock() - began) if timeout else 0.0
+            if getattr(e, "permanent", False) or n + 1 == attempts or clock() - start + wait + reserve > deadline:
                 raise
             sleep(wait)
     raise AssertionError("unreachable")
@@ -216,6 +267,7 @@ class Counters:
     shape: dict[float, int] = field(default_factory=dict)
     failed: dict[str, int] = field(default_factory=dict)
     sink: dict[str, int] = field(default_factory=dict)
+    include: dict[str, int] = field(default_factory=dict)
     beat: float = field(default_factory=time.monotonic)
 
     def healthy(self, limit: float = 480.0) -> bool:
@@ -236,7 +288,7 @@ class Counters:
         self.flushes[why] = self.flushes.get(why, 0) + 1
 
 
-def ingest(spark: SparkSession, source: DataFrame, sink: Sink, steps: Steps, checkpoint: str, name: str = "ingest", once: bool = True, flush_bytes: int = 128 << 20, flush_seconds: int = 60):
+def ingest(spark: SparkSession, source: DataFrame, sink: Sink, steps: Steps | Callable[[], Steps], checkpoint: str, name: str = "ingest", once: bool = True, flush_bytes: int = 128 << 20, flush_seconds: int = 60, attempts: int = 5, timeout: float = 0.0):
     """Runs a stream of ``(seq, value)`` into a sink; returns counters (``once``) or the query, whose ``larkspur_counters`` are kept up to date.
 
     A flush is known to the sink by :func:`flush_key` over the sink, the id that the
@@ -246,7 +298,7 @@ def ingest(spark: SparkSession, source: DataFrame, sink: Sink, steps: Steps, che
 
     A batch ends by size (the source admits about ``flush_bytes`` at a time, see
     ``messages.read``), by time (every ``flush_seconds``) or at the end of what there
-    is.  With ``once`` every batch but the last ends because the source admits no
+    is.  ``steps`` that are a function are asked for anew by every batch.  With ``once`` every batch but the last ends because the source admits no
     more; otherwise one that reached ``flush_bytes`` counts as ``size``.
     """
     counts, log, open_ = Counters(), Files(spark, checkpoint), []
@@ -259,8 +311,8 @@ def ingest(spark: SparkSession, source: DataFrame, sink: Sink, steps: Steps, che
         batch.persist()  # inference reads it, then the write does
         try:
             watch = Watch()
-            rows = transform(batch, steps, watch)
-            n = write_with_retry(lambda: sink.write(rows.drop("seq"), key, ranges_text(ranges)), sink.reset_caches, failed=counts.failed)
+            rows = transform(batch, steps() if callable(steps) else steps, watch)
+            n = write_with_retry(lambda: sink.write(rows.drop("seq"), key, ranges_text(ranges)), sink.reset_caches, attempts, failed=counts.failed, timeout=timeout)
             seen = watch.totals()
             counts.replays += n == 0 and not seen
             full = seen.get("bytes", 0) >= flush_bytes
@@ -281,7 +333,7 @@ def ingest(spark: SparkSession, source: DataFrame, sink: Sink, steps: Steps, che
             counts.ended("final")
         return counts
     q.larkspur_counters = counts
-    q.larkspur_rest = lambda: ingest(spark, source, sink, steps, checkpoint, name, True, flush_bytes, flush_seconds)
+    q.larkspur_rest = lambda: ingest(spark, source, sink, steps, checkpoint, name, True, flush_bytes, flush_seconds, attempts, timeout)
     return q
 
 
