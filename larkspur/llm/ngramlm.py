@@ -14,7 +14,9 @@ whether a context has two successors or a hundred thousand.
 
 A level is cut into parts, each a range of (context, place), so that about PART
 occurrences fall into one: the counts of the level above say where.  A context
-with more occurrences than that is cut by place.  The texts' n-grams are counted
+with more occurrences than that is cut by place.  Keys count from the beginning of
+their part, and parts are small enough for them, so that nothing bounds how many
+contexts and places a level has.  The texts' n-grams are counted
 by part, and the group that counts a part writes its file; a second job over the
 files adds the codes.  Workers map the files of the shared folder into memory and
 touch what their texts ask for.
@@ -44,6 +46,8 @@ ADD = 0.1
 #: Occurrences of a part, as long as there are at most PARTS of them; beyond that, parts grow.
 PART = 3_000_000
 PARTS = 1 << 17
+#: What a part's occurrences times its places stay below, so that its keys and successors are whole numbers of 63 bits.
+KEYS = 1 << 61
 #: Keys that a task holds before it counts them and hands them on.
 FLUSH = 4_000_000
 #: Files that a worker keeps open, and bytes of those that it had to read whole because they cannot be mapped.
@@ -78,16 +82,16 @@ def _tallied(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[at], np.diff(np.append(at, len(keys)))
 
 
-def _pack(keys: np.ndarray, n: np.ndarray, base: int) -> bytes:
-    """Sorted distinct keys from ``base`` on, with counts: key gaps at a fixed byte width, counts at another."""
-    gaps = np.diff(keys, prepend=_U(base))
+def _pack(keys: np.ndarray, n: np.ndarray) -> bytes:
+    """Sorted distinct keys with counts: key gaps at a fixed byte width, counts at another."""
+    gaps = np.diff(keys, prepend=_U(0))
     w = max(1, -(-int(gaps.max()).bit_length() // 8))
     c = max(1, -(-int(n.max()).bit_length() // 8))
     cols = [gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :w], n.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :c]]
     return bytes([w, c]) + b"".join(np.ascontiguousarray(x.T).tobytes() for x in cols)
 
 
-def _unpack(blob: bytes, base: int) -> tuple[np.ndarray, np.ndarray]:
+def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     w, c = blob[0], blob[1]
     m = (len(blob) - 2) // (w + c)
     out = []
@@ -95,33 +99,31 @@ def _unpack(blob: bytes, base: int) -> tuple[np.ndarray, np.ndarray]:
         raw = np.zeros((m, 8), dtype=np.uint8)
         raw[:, :size] = np.frombuffer(blob, dtype=np.uint8, offset=at, count=m * size).reshape(size, m).T
         out.append(raw.view("<u8")[:, 0])
-    return np.cumsum(out[0], dtype=_U) + _U(base), out[1].astype(np.int64)
+    return np.cumsum(out[0], dtype=_U), out[1].astype(np.int64)
 
 
-def _by_part(docs: DataFrame, keys_of, cuts: np.ndarray, write) -> list[dict]:
-    """Counts ``keys_of(batch)`` of all batches by part; the one small row that ``write(part, keys, n)`` returns for each.
-
-    ``cuts`` are the first keys of the parts, ascending from 0.
-    """
+def _by_part(docs: DataFrame, keys_of, write) -> list[dict]:
+    """Counts what ``keys_of(batch)`` gives, parts (int32) and keys in them, for all batches; the one small row that ``write(part, keys, n)`` returns for each part."""
 
     def gather(batches):
         held, size = [], 0
 
         def flush():
-            keys = np.concatenate(held)
+            part, keys = (np.concatenate([h[i] for h in held]) for i in (0, 1))
             held.clear()
-            keys, n = _tallied(keys)
-            at = np.append(np.searchsorted(keys, cuts), len(keys))
-            some = np.flatnonzero(at[1:] > at[:-1])
-            for i in range(0, len(some), 256):
-                got = some[i : i + 256].tolist()
-                blob = [_pack(keys[at[p] : at[p + 1]], n[at[p] : at[p + 1]], int(cuts[p])) for p in got]
+            order = _part_order(part)
+            part, keys = part[order], keys[order]
+            at = np.append(np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])), len(part))
+            for i in range(0, len(at) - 1, 256):
+                runs = [slice(a, b) for a, b in zip(at[i : i + 256], at[i + 1 : i + 257])]
+                got, blob = [int(part[r.start]) for r in runs], [_pack(*_tallied(keys[r])) for r in runs]
                 yield pa.RecordBatch.from_arrays([pa.array(got, pa.int64()), pa.array(blob, pa.binary())], names=["part", "blob"])
 
         for b in text_slices(batches, SLICE):
-            k = keys_of(b)
-            held.append(k)
-            size += len(k)
+            part, keys = keys_of(b)
+            if len(keys):
+                held.append((part, keys))
+            size += len(keys)
             if size >= FLUSH:
                 yield from flush()
                 size = 0
@@ -130,7 +132,7 @@ def _by_part(docs: DataFrame, keys_of, cuts: np.ndarray, write) -> list[dict]:
 
     def merge(table):
         part = table.column("part")[0].as_py()
-        got = [_unpack(x, int(cuts[part])) for x in table.column("blob").to_pylist()]
+        got = [_unpack(x) for x in table.column("blob").to_pylist()]
         k, n = np.concatenate([x for x, _ in got]), np.concatenate([x for _, x in got])
         order = np.argsort(k, kind="stable")
         k, n = k[order], n[order]
@@ -142,6 +144,18 @@ def _by_part(docs: DataFrame, keys_of, cuts: np.ndarray, write) -> list[dict]:
     return sorted((json.loads(r["info"]) for r in rows), key=lambda x: x["part"])
 
 
+def _part_order(part: np.ndarray) -> np.ndarray:
+    """What sorts part numbers, by their halves of 16 bits, which numpy sorts by radix."""
+    order = np.argsort((part & 0xFFFF).astype(np.uint16), kind="stable")
+    high = part >> 16
+    return order[np.argsort(high[order].astype(np.uint16), kind="stable")] if high.any() else order
+
+
+def _most(total: int, span: int) -> int:
+    """Occurrences that a part should have at most in a level with ``span`` places."""
+    return max(1, min(_part_size(total), KEYS // max(1, span) // 2))
+
+
 def _cut(n: np.ndarray, most: int) -> list[list[int]]:
     """[first context, pieces] of ranges of contexts with about ``most`` occurrences; larger contexts stand alone, in pieces."""
     block = np.cumsum(n) // most
@@ -150,13 +164,50 @@ def _cut(n: np.ndarray, most: int) -> list[list[int]]:
     return [[int(i), int(max(1, -(-int(n[i]) // most)))] for i in first]
 
 
-def _cuts(parts: list[dict], span: int) -> np.ndarray:
-    """First keys (context * span + place) of the parts of the next level; ``parts`` have ``offset`` and ``cuts``."""
-    out = {0}
-    for p in parts:
-        for i, pieces in p["cuts"]:
-            out.update((p["offset"] + i) * span + j * span // pieces for j in range(pieces))
-    return np.array(sorted(out), dtype=_U)
+class Layout:
+    """How the (context, place) of a level are cut into parts; a part is a range of contexts or a range of one context's places.
+
+    ``above`` are the parts of the level of the contexts, with ``offset`` and ``cuts``.
+    """
+
+    def __init__(self, above: list[dict], contexts: int, span: int):
+        cuts = {(0, 0)}
+        for p in above:
+            for i, pieces in p["cuts"]:
+                cuts.update((p["offset"] + i, j * span // pieces) for j in range(pieces))
+        cuts = sorted(cuts)
+        lo, hi = np.array(cuts, dtype=np.int64), np.array([*cuts[1:], (contexts, 0)], dtype=np.int64)
+        self.c0, self.p0 = lo[:, 0], lo[:, 1]
+        self.end_c, self.end_p = hi[:, 0], hi[:, 1]
+        piece = self.end_p > 0
+        self.c1 = self.end_c + piece
+        self.size = np.where(piece, self.end_p, span) - self.p0
+
+    def keys(self, context: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Part of each, and its key there."""
+        part = _last_cut(self.c0, self.p0, context, place)
+        return part.astype(np.int32), ((context - self.c0[part]) * self.size[part] + place - self.p0[part]).astype(_U)
+
+
+def _last_cut(c: np.ndarray, p: np.ndarray, context: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Number of the last of the sorted cuts (c, p) that is not behind each (context, place)."""
+    at = np.searchsorted(c, context, side="right") - 1
+    behind = np.flatnonzero((c[at] == context) & (p[at] > place))
+    for last in np.unique(at[behind]).tolist():  # contexts in pieces: only the largest are
+        rows = behind[at[behind] == last]
+        first = int(np.searchsorted(c, c[last]))
+        at[rows] = first - 1 + np.searchsorted(p[first : last + 1], place[rows], side="right")
+    return at
+
+
+def _distinct(context: np.ndarray, place: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct (context, place) in order, and which of them each one is."""
+    values = None
+    if len(context) and (int(context.max()) + 1) * span > KEYS:  # contexts by their rank among those that are here
+        values, context = np.unique(context, return_inverse=True)
+    uniq, back = np.unique(context * np.int64(span) + place, return_inverse=True)
+    c, p = np.divmod(uniq, np.int64(span))
+    return c if values is None else values[c], p, back
 
 
 # files -------------------------------------------------------------------------------
@@ -275,16 +326,15 @@ class Words:
 class Level:
     """Level 2 or 3: successors of contexts that are numbered from 0.
 
-    Entries are numbered in the order of their keys, context * span + place.
+    Entries are numbered in the order of their contexts and places.
     """
 
     def __init__(self, spec: dict):
         self.folder, self.parts, self.span = spec["folder"], spec["parts"], spec["span"]
-        # keys of a part count from lo; between its end and the next part's lo there are no entries, but
-        # what begins there is looked up in the next part, which may hold the rest of a context
-        self.lo = np.array(spec["lo"], dtype=_U)
-        self.start = np.array([0, *spec["hi"][:-1]], dtype=_U)
-        self.hi = np.array(spec["hi"], dtype=_U)
+        # a part has the contexts from c0 to c1 and ``size`` places from p0; between its end and the next part there
+        # are no entries, but what begins there is looked up in the next part, which may hold the rest of a context
+        self.c0, self.p0, self.size = spec["c0"], spec["p0"], spec["size"]
+        self.start = [np.array([0, *spec[k][:-1]], dtype=np.int64) for k in ("end_c", "end_p")]
         self.offset = np.concatenate([[0], np.cumsum(spec["n"])]).astype(np.int64)
         self.prob, self.back = np.array(spec["prob"]), np.array(spec["back"])
 
@@ -297,14 +347,10 @@ class Level:
         for s in np.flatnonzero(bounds[1:] > bounds[:-1]).tolist():
             yield s, slice(bounds[s], bounds[s + 1])
 
-    def places(self, s: int) -> tuple[int, int]:
-        """First place and number of places of a part: all, unless it is a piece of one context."""
-        return _places(int(self.lo[s]), int(self.hi[s]), self.span)
-
     def _bounds(self, s: int, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pointers to the first successor and past the last, in the part, of sorted contexts."""
         ptr = _open_ef(self.file(s), "p")
-        c = context - int(self.lo[s]) // self.span
+        c = context - self.c0[s]
         fresh = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]])) if len(c) else np.zeros(0, dtype=np.int64)
         c = c[fresh]
         a, b = (ptr.get(np.clip(c + i, 0, ptr.n - 1)).astype(np.int64) for i in (0, 1))
@@ -312,39 +358,37 @@ class Level:
         times = np.diff(np.append(fresh, len(context)))
         return a.repeat(times), np.where(inside, b, a).repeat(times)
 
-    def _part_of(self, keys: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.start, keys, side="right") - 1
+    def _part_of(self, context: np.ndarray, place: np.ndarray | None = None) -> np.ndarray:
+        return _last_cut(*self.start, context, np.zeros(len(context), dtype=np.int64) if place is None else place)
 
     def _part_of_entry(self, entry: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.offset, entry, side="right") - 1
 
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """Number of the entry of each of the sorted keys, or -1."""
-        out = np.full(len(keys), -1, dtype=np.int64)
-        keys = keys.astype(_U)
-        for s, rows in self._runs(self._part_of(keys)):
-            context = (keys[rows] // _U(self.span)).astype(np.int64)
-            first, size = self.places(s)
-            place = (keys[rows] - context.astype(_U) * _U(self.span)).astype(np.int64) - first
-            a, b = self._bounds(s, context)
-            some = np.flatnonzero(b > a)
-            at = _open_ef(self.file(s), "k").find(a[some] * size + place[some] * (b - a)[some])
+    def find(self, context: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Number of the entry of each of the sorted (context, place), or -1."""
+        out = np.full(len(context), -1, dtype=np.int64)
+        for s, rows in self._runs(self._part_of(context, place)):
+            a, b = self._bounds(s, context[rows])
+            here = place[rows] - self.p0[s]
+            # a context's successors in another part are none of this one's
+            some = np.flatnonzero((b > a) & (here >= 0) & (here < self.size[s]))
+            at = _open_ef(self.file(s), "k").find(a[some] * self.size[s] + here[some] * (b - a)[some])
             out[rows.start + some] = np.where(at >= 0, at + self.offset[s], -1)
         return out
 
     def first(self, context: np.ndarray) -> np.ndarray:
         """Number of the first successor of each of the sorted contexts."""
         out = np.zeros(len(context), dtype=np.int64)
-        for s, rows in self._runs(self._part_of(context.astype(_U) * _U(self.span))):
+        for s, rows in self._runs(self._part_of(context)):
             out[rows] = self._bounds(s, context[rows])[0] + self.offset[s]
         return out
 
     def backoff(self, context: np.ndarray) -> np.ndarray:
         """Weight of the lower order under each of the sorted contexts; 1 where the context has no successors."""
         out = np.ones(len(context))
-        for s, rows in self._runs(self._part_of(context.astype(_U) * _U(self.span))):
+        for s, rows in self._runs(self._part_of(context)):
             b = self.file(s, "q")["b"]
-            c = context[rows] - int(self.lo[s]) // self.span
+            c = context[rows] - self.c0[s]
             inside = (c >= 0) & (c < len(b))
             out[rows] = np.where(inside, self.back[b[np.where(inside, c, 0)]], 1.0)
         return out
@@ -364,9 +408,8 @@ class Level:
             ptr, upto = _open_ef(self.file(s), "p"), _open_ef(self.file(s, "n"), "c")
             c = ptr.successor(i + 1) - 1
             a, b = (ptr.get(c + j).astype(np.int64) for j in (0, 1))
-            first, size = self.places(s)
             key = _open_ef(self.file(s), "k").get(i).astype(np.int64)
-            place[rows], n[rows] = (key - a * size) // (b - a) + first, upto.get(i + 1) - upto.get(i)
+            place[rows], n[rows] = (key - a * self.size[s]) // (b - a) + self.p0[s], upto.get(i + 1) - upto.get(i)
         return place, n
 
     def decoded(self, s: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -374,13 +417,8 @@ class Level:
         ptr = _open_ef(self.file(s), "p").decode().astype(np.int64)
         size = np.diff(ptr)
         context = np.repeat(np.arange(len(size)), size)
-        first, span = self.places(s)
-        place = (_open_ef(self.file(s), "k").decode().astype(np.int64) - ptr[context] * span) // size[context] + first
-        return context + int(self.lo[s]) // self.span, place, np.diff(_open_ef(self.file(s, "n"), "c").decode().astype(np.int64))
-
-
-def _places(lo: int, hi: int, span: int) -> tuple[int, int]:
-    return (lo % span, hi - lo) if lo // span == (hi - 1) // span else (0, span)
+        place = (_open_ef(self.file(s), "k").decode().astype(np.int64) - ptr[context] * self.size[s]) // size[context] + self.p0[s]
+        return context + self.c0[s], place, np.diff(_open_ef(self.file(s, "n"), "c").decode().astype(np.int64))
 
 
 _models: dict[str, Trie] = {}
@@ -405,37 +443,36 @@ class Trie:
     def unigram(self, n: np.ndarray) -> np.ndarray:
         return (n + ADD) / (self.total + ADD * (self.distinct + 1))
 
-    def bigrams(self, stream: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Ids and counts of all tokens; places in the stream of tokens with two known words, and their bigrams' keys."""
+    def bigrams(self, stream: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids and counts of all tokens; where in the stream a known word follows one of the same text."""
         ids, n = self.words.find(stream)
         inner = np.ones(len(stream), dtype=bool)
         inner[at[:-1]] = False
         ok = np.flatnonzero(inner[1:] & (ids[1:] >= 0) & (ids[:-1] >= 0)) + 1
-        return ids, n, ok, ids[ok - 1] * np.int64(self.distinct) + ids[ok]
+        return ids, n, ok
 
     def lookup(self, stream: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
         """Ids and counts of tokens; entries of the bigrams and trigrams that end at each (-1: none).
 
         ``found``: per order, the places looked up, the distinct entries in order, and which of them each place has.
         """
-        ids, n, ok, key = self.bigrams(stream, at)
+        ids, n, ok = self.bigrams(stream, at)
         out = {"ids": ids, "n": n, "two": np.full(len(stream), -1, dtype=np.int64), "found": {}}
         if 2 in self.levels:
             two = out["two"]
-            uniq, back = np.unique(key, return_inverse=True)
-            got = self.levels[2].find(uniq)
+            *pairs, back = _distinct(ids[ok - 1], ids[ok], self.distinct)
+            got = self.levels[2].find(*pairs)
             two[ok] = got[back]
             out["found"][2] = ok, got, back
             # a trigram needs both bigrams; its place is that of the second among the middle word's
             both = np.flatnonzero((two[1:] >= 0) & (two[:-1] >= 0)) + 1
             mid, back = np.unique(ids[both - 1], return_inverse=True)
             place = two[both] - self.levels[2].first(mid)[back]
-            out["both"], out["key"] = both, (two[both - 1], place)
+            out["both"], out["pairs"] = both, (two[both - 1], place)
         if 3 in self.levels:
             out["three"] = np.full(len(stream), -1, dtype=np.int64)
-            context, place = out["key"]
-            uniq, back = np.unique(context * np.int64(self.levels[3].span) + place, return_inverse=True)
-            got = self.levels[3].find(uniq)
+            *pairs, back = _distinct(*out["pairs"], self.levels[3].span)
+            got = self.levels[3].find(*pairs)
             out["three"][out["both"]] = got[back]
             out["found"][3] = out["both"], got, back
         return out
@@ -486,37 +523,35 @@ def _kept(context: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return context[first], first, np.add.reduceat(n - DISCOUNT, first)
 
 
-def _add_level(spec: dict, order: int, texts: DataFrame, keys_of, contexts: int, span: int, above: list[dict], most: int, least: int, ws: Workspace) -> list[dict]:
+def _add_level(spec: dict, order: int, texts: DataFrame, pairs_of, contexts: int, span: int, above: list[dict], most: int, least: int, ws: Workspace) -> list[dict]:
     """Adds a level of ``contexts`` contexts to ``spec``; returns its parts.
 
-    ``above`` are the parts of the level of the contexts, ``most`` the largest count there.
+    ``pairs_of(batch)`` gives contexts and places, ``above`` are the parts of the
+    level of the contexts, ``most`` the largest count there.
     """
-    if contexts * span >= 1 << 63:
-        raise ValueError(f"{contexts} contexts with {span} places each are too many for 63-bit keys: train on a part of the texts")
-    folder, cuts, end = ws.folder(f"trie-{order}"), _cuts(above, span), contexts * span
-    bound = [*cuts.tolist(), end]
-    size = _part_size(spec["total"])
+    folder, cut = ws.folder(f"trie-{order}"), Layout(above, contexts, span)
+
+    def keys_of(b):
+        return cut.keys(*pairs_of(b))
 
     def write(part, key, n):
         keep = n >= least
-        key, n = key[keep], n[keep]
+        key, n = key[keep].astype(np.int64), n[keep]
         if not len(key):
             return {"n": 0}
-        lo = bound[part] // span
-        context = (key // _U(span)).astype(np.int64)
+        lo, hi, size = cut.c0[part], cut.c1[part], cut.size[part]
+        context, place = np.divmod(key, size)
+        context += lo
         uniq, first, kept = _kept(context, n)
         types = np.diff(np.append(first, len(key)))
-        ptr = np.searchsorted(context, np.arange(lo, (bound[part + 1] - 1) // span + 2))
         uri = f"{folder}/{part:06d}"
-        begin, places = _places(bound[part], bound[part + 1], span)
-        place = (key - context.astype(_U) * _U(span)).astype(np.int64) - begin
-        _put(f"{uri}.ef", _ef("k", np.repeat(first * places, types) + place * np.repeat(types, types)) | _ef("p", ptr))
+        _put(f"{uri}.ef", _ef("k", np.repeat(first * size, types) + place * np.repeat(types, types)) | _ef("p", np.searchsorted(context, np.arange(lo, hi + 1))))
         _put(f"{uri}.n", _ef("c", np.concatenate([[0], np.cumsum(n)])))
         # contexts at either end may go on in other parts
         ends = {int(uniq[i]): [float(kept[i]), int(types[i])] for i in (0, len(uniq) - 1)}
-        return {"n": len(key), "most": int(n.max()), "types": int(types.max()), "ends": list(ends.items()), "cuts": _cut(n, size) if order == 2 else []}
+        return {"n": len(key), "most": int(n.max()), "types": int(types.max()), "ends": list(ends.items())}
 
-    found = [p for p in _by_part(texts, keys_of, cuts, write) if p["n"]]
+    found = [p for p in _by_part(texts, keys_of, write) if p["n"]]
     offset, across = 0, {}
     for p in found:
         p["offset"] = offset
@@ -528,8 +563,10 @@ def _add_level(spec: dict, order: int, texts: DataFrame, keys_of, contexts: int,
         return []
     before = dict(spec)
     level = {"folder": folder, "span": span, "parts": [p["part"] for p in found], "n": [p["n"] for p in found]}
-    level |= {"lo": [bound[p["part"]] for p in found], "hi": [bound[p["part"] + 1] for p in found]}
+    level |= {k: getattr(cut, k)[level["parts"]].tolist() for k in ("c0", "c1", "p0", "size", "end_c", "end_p")}
     level["prob"], level["back"] = _steps((least - DISCOUNT) / most), _steps(min(least - DISCOUNT, DISCOUNT) / most)
+    most_types = max([*(p["types"] for p in found), *(t for _, t in across.values())])
+    next_most = _most(spec["total"], most_types)
     rows = [(i, [c for c, _ in p["ends"]], [across[c][0] for c, _ in p["ends"]]) for i, p in enumerate(found)]
 
     def finish(batches):
@@ -554,18 +591,39 @@ def _add_level(spec: dict, order: int, texts: DataFrame, keys_of, contexts: int,
                     lower[order_] = trie.levels[2].probability(entry[order_])
                 weight = np.clip((total - kept) / total, here.back[0], 1.0)
                 p = (n - DISCOUNT) / total.repeat(run) + weight.repeat(run) * lower
-                lo, hi = level["lo"][s] // span, (level["hi"][s] - 1) // span + 1
-                codes = np.full(hi - lo, 255, dtype=np.uint8)  # contexts without successors weigh 1
+                lo = level["c0"][s]
+                codes = np.full(level["c1"][s] - lo, 255, dtype=np.uint8)  # contexts without successors weigh 1
                 codes[uniq - lo] = _code(weight, here.back)
                 _put(f"{folder}/{here.parts[s]:06d}.q", {"q": _code(np.minimum(p, 1.0), here.prob), "b": codes})
-                yield pa.RecordBatch.from_pylist([{"part": s}])
+                yield _cuts_row(s, n if order == 2 else None, next_most)
 
     # one row a part: the list is as long as the level has files
     made = ws.spark.createDataFrame(rows, "part long, ends array<long>, kept array<double>")
-    made.repartitionByRange(min(len(rows), 4096), "part").mapInArrow(finish, "part long").count()
+    cuts = dict(made.repartitionByRange(min(len(rows), 4096), "part").mapInArrow(finish, CUTS).collect())
     spec[f"level{order}"] = level
-    most_types = max([*(p["types"] for p in found), *(t for _, t in across.values())])
-    return [p | {"most_types": most_types} for p in found]
+    return [p | {"most_types": most_types, "cuts": json.loads(cuts[i])} for i, p in enumerate(found)]
+
+
+CUTS = "part long, cuts string"
+
+
+def _cuts_row(part: int, n: np.ndarray | None, most: int) -> pa.RecordBatch:
+    """Where the next level is cut below the entries of a part, which have the counts ``n``."""
+    return pa.RecordBatch.from_pylist([{"part": part, "cuts": json.dumps([] if n is None else _cut(n, most))}], schema=pa.schema([("part", pa.int64()), ("cuts", pa.string())]))
+
+
+def _word_cuts(spec: dict, ws: Workspace) -> dict[int, list]:
+    """``_cut`` of every part of level 1."""
+    most, folder = _most(spec["total"], spec["distinct"]), spec["words"]["folder"]
+
+    def run(batches):
+        for b in batches:
+            for part in b.column(0).to_pylist():
+                yield _cuts_row(part, _get(f"{folder}/{part:06d}.ef")["n"].astype(np.int64), most)
+
+    parts = spec["words"]["parts"]
+    made = ws.spark.createDataFrame([(p,) for p in parts], "part long").repartitionByRange(min(len(parts), 4096), "part")
+    return {p: json.loads(text) for p, text in made.mapInArrow(run, CUTS).collect()}  # one row a part
 
 
 def _part_size(total: int) -> int:
@@ -575,10 +633,8 @@ def _part_size(total: int) -> int:
 def train(docs: DataFrame, ws: Workspace, order: int = 3, least: dict[int, int] = LEAST_COUNT) -> dict:
     """Builds the trie of ``docs(doc_id, text)`` and returns its description: folders, parts and totals.
 
-    N-grams of order k below the count ``least[k]`` are left out.  Refuses texts
-    whose contexts and places do not fit 63 bits together.
+    N-grams of order k below the count ``least[k]`` are left out.
     """
-
     texts = docs.select("doc_id", "text")
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     most = _part_size(size // 4)
@@ -586,37 +642,42 @@ def train(docs: DataFrame, ws: Workspace, order: int = 3, least: dict[int, int]
     folder = ws.folder("trie-1")
 
     def write_words(part, key, n):
-        _put(f"{folder}/{part:06d}.ef", _ef("k", key - _U(part << (63 - bits))) | {"n": n.astype(np.uint32) if n.max() < 1 << 32 else n})
-        return {"n": len(key), "total": int(n.sum()), "most": int(n.max()), "cuts": _cut(n, most)}
+        _put(f"{folder}/{part:06d}.ef", _ef("k", key) | {"n": n.astype(np.uint32) if n.max() < 1 << 32 else n})
+        return {"n": len(key), "total": int(n.sum()), "most": int(n.max())}
+
+    def word_keys(b):
+        key = token_stream(b.column(1))[0]
+        part = key >> _U(63 - bits)
+        return part.astype(np.int32), key - (part << _U(63 - bits))
 
-    cuts = np.arange(1 << bits, dtype=_U) << _U(63 - bits)
-    parts = _by_part(texts, lambda b: token_stream(b.column(1))[0], cuts, write_words)
+    parts = _by_part(texts, word_keys, write_words)
     total, distinct = sum(p["total"] for p in parts), sum(p["n"] for p in parts)
     before = 0
     for p in parts:
         p["offset"], before = before, before + p["n"]
     spec: dict = {"path": ws.path, "total": total, "distinct": distinct}
-    spec["words"] = {"folder": folder, "parts": [p["part"] for p in parts], "n": [p["n"] for p in parts], "lo": [int(cuts[p["part"]]) for p in parts]}
+    spec["words"] = {"folder": folder, "parts": [p["part"] for p in parts], "n": [p["n"] for p in parts], "lo": [p["part"] << (63 - bits) for p in parts]}
     if not total or order < 2:
         return spec
 
-    base = dict(spec)
+    base, cuts = dict(spec), _word_cuts(spec, ws)
+    parts = [p | {"cuts": cuts[p["part"]]} for p in parts]
 
-    def bigram_keys(b):
-        return Trie.open(base).bigrams(*token_stream(b.column(1)))[3].astype(_U)
+    def bigrams(b):
+        ids, _, ok = Trie.open(base).bigrams(*token_stream(b.column(1)))
+        return ids[ok - 1], ids[ok]
 
-    two = _add_level(spec, 2, texts, bigram_keys, distinct, distinct, parts, max(p["most"] for p in parts), least[2], ws)
+    two = _add_level(spec, 2, texts, bigrams, distinct, distinct, parts, max(p["most"] for p in parts), least[2], ws)
     if not two or order < 3:
         return spec
 
     upto2, span = dict(spec), two[0]["most_types"]  # places are below the number of successors
 
-    def trigram_keys(b):
-        context, place = Trie.open(upto2).lookup(*token_stream(b.column(1)))["key"]
-        return (context * np.int64(span) + place).astype(_U)
+    def trigrams(b):
+        return Trie.open(upto2).lookup(*token_stream(b.column(1)))["pairs"]
 
     n2 = two[-1]["offset"] + two[-1]["n"]
-    _add_level(spec, 3, texts, trigram_keys, n2, span, two, max(p["most"] for p in two), least[3], ws)
+    _add_level(spec, 3, texts, trigrams, n2, span, two, max(p["most"] for p in two), least[3], ws)
     return spec
 
 

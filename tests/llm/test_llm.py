@@ -1,5 +1,6 @@
 """The text and vector operators on small fixtures, against brute force and the libraries."""
 
+import bisect
 import collections
 import hashlib
 import itertools
@@ -249,9 +250,30 @@ def test_elias_fano():
         assert (e.successor(q) == np.searchsorted(v, q)).all()
 
 
-@pytest.mark.parametrize("part, least", [(1_500_000, 1), (1_500_000, 2), (40, 1), (40, 2)])
-def test_language_model(spark, monkeypatch, part, least):
+def test_keys_of_levels_beyond_64_bits():
+    rng, contexts, span = np.random.default_rng(1), 1 << 45, 1 << 41
+    starts = sorted({0, 5, *rng.integers(0, contexts, 30).tolist()})
+    above = [{"offset": 0, "cuts": [[c, 1] for c in starts]}, {"offset": 7, "cuts": [[0, 5], [1, 1]]}]  # context 7 in five pieces
+    cut = ngramlm.Layout(above, contexts, span)
+    lows = sorted({(c, 0) for c in starts} | {(7, j * span // 5) for j in range(5)} | {(8, 0)})
+    assert list(zip(cut.c0.tolist(), cut.p0.tolist())) == lows and cut.size[lows.index((7, 0)) + 4] == span - 4 * span // 5
+    near = [min(contexts - 1, c + i) for c, _ in lows for i in (0, 1, 99)]
+    pairs = [(c, p) for c in near for p in (0, 1, span // 5 - 1, span // 5, span - 1)] * 2
+    c, p = (np.array(x, dtype=np.int64) for x in zip(*pairs))
+    part, key = cut.keys(c, p)
+    assert part.tolist() == [bisect.bisect_right(lows, x) - 1 for x in pairs]
+    back = [(int(cut.c0[s]) + int(k) // int(cut.size[s]), int(cut.p0[s]) + int(k) % int(cut.size[s])) for s, k in zip(part, key)]
+    assert all(b == x for b, x in zip(back, pairs) if x[0] < lows[1][0] + 1000 or x[0] - lows[bisect.bisect_right(lows, x) - 1][0] < 1000)
+    uc, up, where = ngramlm._distinct(c, p, span)
+    assert list(zip(uc.tolist(), up.tolist())) == sorted(set(pairs)) and [(uc[i], up[i]) for i in where] == pairs
+    order = ngramlm._part_order(np.array([70_000, 3, 70_000, 65_536, 3], dtype=np.int32))
+    assert order.tolist() == [1, 4, 3, 0, 2]
+
+
+@pytest.mark.parametrize("part, least, keys", [(1_500_000, 1, 1 << 61), (1_500_000, 2, 1 << 61), (40, 1, 1 << 61), (40, 2, 1 << 61), (1_500_000, 1, 20_000)])
+def test_language_model(spark, monkeypatch, part, least, keys):
     monkeypatch.setattr(ngramlm, "PART", part)
+    monkeypatch.setattr(ngramlm, "KEYS", keys)
     # one word that half of all tokens are, before few words: its contexts are cut into parts, some without entries
     texts = templated(300, 8) + ODD + ["big " * 30 + "end", "big one big two " * 9] * 12
     got = {r["doc_id"]: r for r in ngramlm.train_and_score(docs_of(spark, texts), least={2: least, 3: least}).collect()}
