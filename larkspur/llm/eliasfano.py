@@ -101,10 +101,32 @@ class EliasFano:
         i = np.asarray(i, dtype=np.int64)
         return (self._select(i, 1) - i).astype(_U) << _U(self.low) | self._lows(i)
 
-    def decode(self) -> np.ndarray:
-        """All values."""
-        high = np.flatnonzero(np.unpackbits(np.asarray(self.packed).view(np.uint8), bitorder="little"))
-        i = np.arange(self.n)
+    def pair(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The i-th values and the ones after them."""
+        at = self._select(i, 1)
+        w = at >> 6
+        word = self.packed[w] & (~_U(0) << (at & 63).astype(_U) << _U(1))
+        act = np.flatnonzero(word == 0)
+        for _ in range(BLOCK):
+            if not len(act):
+                break
+            w[act] += 1
+            word[act] = self.packed[w[act]]
+            act = act[word[act] == 0]
+        after = w * 64 + np.bitwise_count((word & (~word + _U(1))) - _U(1))
+        if len(act):  # a long run of zeros
+            after[act] = self._select(i[act] + 1, 1)
+        return tuple((x - j).astype(_U) << _U(self.low) | self._lows(j) for x, j in ((at, i), (after, i + 1)))
+
+    def decode(self, first: int = 0, end: int | None = None) -> np.ndarray:
+        """The values from ``first`` to before ``end``; all, if neither is given."""
+        end = self.n if end is None else end
+        if end <= first:
+            return np.zeros(0, dtype=_U)
+        a, b = self._select(np.array([first, end - 1]), 1).tolist()
+        bits = np.unpackbits(np.asarray(self.packed[a >> 6 : (b >> 6) + 1]).view(np.uint8), bitorder="little")
+        high = np.flatnonzero(bits[a & 63 : b - (a >> 6 << 6) + 1]) + a
+        i = np.arange(first, end)
         return (high - i).astype(_U) << _U(self.low) | self._lows(i)
 
     def _search(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

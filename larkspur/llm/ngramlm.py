@@ -353,7 +353,7 @@ class Level:
         c = context - self.c0[s]
         fresh = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]])) if len(c) else np.zeros(0, dtype=np.int64)
         c = c[fresh]
-        a, b = (ptr.get(np.clip(c + i, 0, ptr.n - 1)).astype(np.int64) for i in (0, 1))
+        a, b = (x.astype(np.int64) for x in ptr.pair(np.clip(c, 0, ptr.n - 2)))
         inside = (c >= 0) & (c < ptr.n - 1)
         times = np.diff(np.append(fresh, len(context)))
         return a.repeat(times), np.where(inside, b, a).repeat(times)
@@ -364,9 +364,9 @@ class Level:
     def _part_of_entry(self, entry: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.offset, entry, side="right") - 1
 
-    def find(self, context: np.ndarray, place: np.ndarray) -> np.ndarray:
-        """Number of the entry of each of the sorted (context, place), or -1."""
-        out = np.full(len(context), -1, dtype=np.int64)
+    def find(self, context: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Number of the entry of each of the sorted (context, place), or -1; number of its context's first successor."""
+        out, first = np.full(len(context), -1, dtype=np.int64), np.zeros(len(context), dtype=np.int64)
         for s, rows in self._runs(self._part_of(context, place)):
             a, b = self._bounds(s, context[rows])
             here = place[rows] - self.p0[s]
@@ -374,13 +374,16 @@ class Level:
             some = np.flatnonzero((b > a) & (here >= 0) & (here < self.size[s]))
             at = _open_ef(self.file(s), "k").find(a[some] * self.size[s] + here[some] * (b - a)[some])
             out[rows.start + some] = np.where(at >= 0, at + self.offset[s], -1)
-        return out
+            # a part that begins within a context has its later successors only
+            first[rows] = self.first(context[rows]) if self.p0[s] else a + self.offset[s]
+        return out, first
 
     def first(self, context: np.ndarray) -> np.ndarray:
         """Number of the first successor of each of the sorted contexts."""
         out = np.zeros(len(context), dtype=np.int64)
         for s, rows in self._runs(self._part_of(context)):
-            out[rows] = self._bounds(s, context[rows])[0] + self.offset[s]
+            ptr = _open_ef(self.file(s), "p")
+            out[rows] = ptr.get(np.clip(context[rows] - self.c0[s], 0, ptr.n - 1)).astype(np.int64) + self.offset[s]
         return out
 
     def backoff(self, context: np.ndarray) -> np.ndarray:
@@ -394,7 +397,7 @@ class Level:
         return out
 
     def probability(self, entry: np.ndarray) -> np.ndarray:
-        """Of sorted entries."""
+        """Of entries in the order of their parts."""
         code = np.zeros(len(entry), dtype=np.uint8)
         for s, rows in self._runs(self._part_of_entry(entry)):
             code[rows] = self.file(s, "q")["q"][entry[rows] - self.offset[s]]
@@ -405,11 +408,14 @@ class Level:
         place, n = np.zeros(len(entry), dtype=np.int64), np.zeros(len(entry), dtype=np.int64)
         for s, rows in self._runs(self._part_of_entry(entry)):
             i = entry[rows] - self.offset[s]
-            ptr, upto = _open_ef(self.file(s), "p"), _open_ef(self.file(s, "n"), "c")
-            c = ptr.successor(i + 1) - 1
-            a, b = (ptr.get(c + j).astype(np.int64) for j in (0, 1))
-            key = _open_ef(self.file(s), "k").get(i).astype(np.int64)
-            place[rows], n[rows] = (key - a * self.size[s]) // (b - a) + self.p0[s], upto.get(i + 1) - upto.get(i)
+            i0, i1 = int(i[0]), int(i[-1]) + 1
+            ptr, key, upto = (_open_ef(self.file(s, kind), name) for kind, name in (("ef", "p"), ("ef", "k"), ("n", "c")))
+            c0, c1 = (ptr.successor(np.array([i0 + 1, i1])) - 1).tolist()
+            bounds = ptr.decode(c0, c1 + 2).astype(np.int64)
+            c = np.searchsorted(bounds, i, side="right") - 1
+            a, b = bounds[c], bounds[c + 1]
+            place[rows] = (key.decode(i0, i1).astype(np.int64)[i - i0] - a * self.size[s]) // (b - a) + self.p0[s]
+            n[rows] = np.diff(upto.decode(i0, i1 + 1).astype(np.int64))[i - i0]
         return place, n
 
     def decoded(self, s: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -461,18 +467,19 @@ class Trie:
         if 2 in self.levels:
             two = out["two"]
             *pairs, back = _distinct(ids[ok - 1], ids[ok], self.distinct)
-            got = self.levels[2].find(*pairs)
+            got, first = self.levels[2].find(*pairs)
             two[ok] = got[back]
             out["found"][2] = ok, got, back
             # a trigram needs both bigrams; its place is that of the second among the middle word's
             both = np.flatnonzero((two[1:] >= 0) & (two[:-1] >= 0)) + 1
-            mid, back = np.unique(ids[both - 1], return_inverse=True)
-            place = two[both] - self.levels[2].first(mid)[back]
+            begins = np.zeros(len(stream), dtype=np.int64)
+            begins[ok] = first[back]
+            place = two[both] - begins[both]
             out["both"], out["pairs"] = both, (two[both - 1], place)
         if 3 in self.levels:
             out["three"] = np.full(len(stream), -1, dtype=np.int64)
             *pairs, back = _distinct(*out["pairs"], self.levels[3].span)
-            got = self.levels[3].find(*pairs)
+            got, _ = self.levels[3].find(*pairs)
             out["three"][out["both"]] = got[back]
             out["found"][3] = out["both"], got, back
         return out
@@ -586,7 +593,7 @@ def _add_level(spec: dict, order: int, texts: DataFrame, pairs_of, contexts: int
                     word, total = trie.levels[2].entries(uniq)
                     mid, back = np.unique(word, return_inverse=True)
                     entry = trie.levels[2].first(mid)[back].repeat(run) + place
-                    order_ = np.argsort(entry)
+                    order_ = _part_order(trie.levels[2]._part_of_entry(entry))
                     lower = np.empty(len(entry))
                     lower[order_] = trie.levels[2].probability(entry[order_])
                 weight = np.clip((total - kept) / total, here.back[0], 1.0)

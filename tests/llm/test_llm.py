@@ -250,6 +250,19 @@ def test_elias_fano():
         assert (e.successor(q) == np.searchsorted(v, q)).all()
 
 
+def test_elias_fano_pairs_and_ranges():
+    r = np.random.default_rng(5)
+    far = np.concatenate([[0, 0, 5], np.full(200, 9), [10, 4_000_000, 4_000_001], np.sort(r.integers(4_000_001, 9_000_000, 400))])  # long runs of zeros
+    for v in (far, np.arange(500), np.zeros(130, dtype=np.int64), np.sort(r.integers(0, 1 << 45, 3000)), np.array([3, 1 << 50])):
+        e = eliasfano.EliasFano(*eliasfano.EliasFano.arrays(v))
+        i = np.arange(len(v) - 1)
+        a, b = e.pair(i)
+        assert (a == v[:-1]).all() and (b == v[1:]).all()
+        for lo, hi in [(0, len(v)), (1, len(v)), (0, 1), (len(v) - 1, len(v)), (0, 0), *np.sort(r.integers(0, len(v) + 1, (20, 2)), axis=1).tolist()]:
+            assert (e.decode(lo, hi) == v[lo:hi]).all()
+    assert len(eliasfano.EliasFano(*eliasfano.EliasFano.arrays(np.zeros(0, dtype=np.int64))).decode()) == 0
+
+
 def test_keys_of_levels_beyond_64_bits():
     rng, contexts, span = np.random.default_rng(1), 1 << 45, 1 << 41
     starts = sorted({0, 5, *rng.integers(0, contexts, 30).tolist()})
