@@ -120,6 +120,34 @@ def test_transforms_and_bucket(spark):
     assert r["b"] == (1210000089 & 0x7FFFFFFF) % (1 << 30)  # and over "iceberg"
 
 
+def murmur3_bytes(data: bytes) -> int:
+    def scramble(k: int) -> int:
+        k = k * 0xCC9E2D51 & 0xFFFFFFFF
+        k = (k << 15 | k >> 17) & 0xFFFFFFFF
+        return k * 0x1B873593 & 0xFFFFFFFF
+
+    h, whole = 0, len(data) // 4 * 4
+    for i in range(0, whole, 4):
+        h ^= scramble(int.from_bytes(data[i : i + 4], "little"))
+        h = ((h << 13 | h >> 19) & 0xFFFFFFFF) * 5 + 0xE6546B64 & 0xFFFFFFFF
+    if whole < len(data):
+        h ^= scramble(int.from_bytes(data[whole:], "little"))
+    h ^= len(data)
+    h = (h ^ h >> 16) * 0x85EBCA6B & 0xFFFFFFFF
+    h = (h ^ h >> 13) * 0xC2B2AE35 & 0xFFFFFFFF
+    return h ^ h >> 16
+
+
+def test_bucket_of_texts(spark):
+    texts = [None, "", "a", "ab", "abc", "abcd", "abcde", "\x00\x00", "é", "日本語テキスト", "\U0001F600 z", "x" * 1001, "y" * 70_003, *(f"team-{i}" * (i % 5) for i in range(200))]
+    want = [None if x is None else (murmur3_bytes(x.encode()) & 0x7FFFFFFF) % 1000 for x in texts]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, s string")
+    assert [r["b"] for r in df.select("i", transforms.bucket_text(F.col("s"), 1000).alias("b")).orderBy("i").collect()] == want
+    for one in (["é"], [""], []):  # few rows
+        assert transforms.murmur3_texts([x.encode() for x in one]).tolist() == [murmur3_bytes(x.encode()) for x in one]
+    assert df.where("s is null").select(transforms.bucket_text(F.col("s"), 7)).first()[0] is None
+
+
 def test_variants(spark):
     df = spark.createDataFrame([('{"a":18446744073709551615,"s":"9223372036854775999"}',), ("{bad",), ("",), (None,), ("null",)], "p string")
     out = variants.dual_write(df.withColumn("P_variant", F.lit(1)), ["p"], guard=True)
