@@ -449,6 +449,15 @@ class LakeTable:
             out |= {f"{folder}/{n}" for n in self.files.names(folder)}
         return out & set(paths)
 
+    def _dealt(self, s: Snapshot, groups: dict[int, list[str]]) -> tuple[DataFrame, str]:
+        """The rows of the groups' files with the number of their group, and the name of that column."""
+        names = {c.lower() for c in s.schema.names}
+        bin_, path = (next(n for k in range(99) if (n := f"{x}_{k}").lower() not in names) for x in ("bin", "path"))
+        dealt = self.spark.createDataFrame([(self.files.uri(p), i) for i, g in groups.items() for p in g], f"{path} string, {bin_} int")
+        src = self.spark.read.schema(s.schema).option("ignoreMissingFiles", "true").option("ignoreCorruptFiles", "true").parquet(*[f"{self.root}/{p}" for g in groups.values() for p in g])
+        # the row a file goes to the tasks: by estimated sizes, files that compress well would be taken to the driver as rows
+        return src.select("*", file_uri().alias(path)).join(F.broadcast(dealt), path).drop(path), bin_
+
     def compact(self, groups: list[list[str]], codec: str = "zstd") -> int:
         """Merges each group of live files of one partition tuple into a file; how many groups.
 
@@ -462,11 +471,7 @@ class LakeTable:
         whole = {i: g for i, g in enumerate(groups) if g and all(p in s.files and p in here for p in g)}
         if not whole:
             return 0
-        names = {c.lower() for c in s.schema.names}
-        bin_, path = (next(n for k in range(99) if (n := f"{x}_{k}").lower() not in names) for x in ("bin", "path"))
-        dealt = self.spark.createDataFrame([(self.files.uri(p), i) for i, g in whole.items() for p in g], f"{path} string, {bin_} int")
-        src = self.spark.read.schema(s.schema).option("ignoreMissingFiles", "true").option("ignoreCorruptFiles", "true").parquet(*[f"{self.root}/{p}" for g in whole.values() for p in g])
-        rows = src.select("*", file_uri().alias(path)).join(dealt, path).drop(path)
+        rows, bin_ = self._dealt(s, whole)
         keys, _ = presort.sort_keys(rows, s.sort)
         folder = f"data/{uuid.uuid4().hex}"
         rows.repartition(min(len(whole), MERGE_TASKS), bin_).sortWithinPartitions(bin_, *keys).write.option("compression", codec).partitionBy(bin_).parquet(f"{self.root}/{folder}")

@@ -325,6 +325,15 @@ def test_a_lost_or_broken_file_leaves_all_other_groups_merged(spark, table):
     assert [r["n"] for r in merged] == sorted(r["n"] for r in merged) and jobs >= 0
 
 
+def test_merging_never_takes_the_rows_to_the_driver(spark, table):
+    for k in "ab":
+        table.append(spark.range(1000).coalesce(1), k)
+    s = table.snapshot()
+    rows, _ = table._dealt(s, {0: sorted(s.files)})
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "BuildRight" in plan and "BuildLeft" not in plan  # the list of files is built, not the files' rows
+
+
 def test_folder_names_differ_for_all_values(spark):
     from larkspur.operators import partition
 
