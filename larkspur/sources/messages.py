@@ -1,9 +1,9 @@
 """A message log as Parquet segments, read by Spark's own readers wherever the folder is.
 
 ``<root>/<topic>/partition=<p>/base=<first offset>/`` holds one file of ``value``s in
-offset order; a message's offset is the segment's first offset plus its row number.
-Executors list, read and number the messages; a stream takes up new segments as
-they come, and each is a task of its own or several.
+offset order, a run of segments; a message's offset is the run's first offset plus its
+row number.  Executors list, read and number the messages; a stream takes up new files
+as they come, and each is a task of its own or several.
 """
 
 from __future__ import annotations
@@ -18,18 +18,33 @@ from pyspark.sql import functions as F
 from ..streaming.lag import assigned
 
 
+#: Messages that a file has room for, as whole segments; one segment at least.
+FILE_ROWS = 250_000
+#: Files that a partition's batch is cut into at least, as far as it has segments.
+FILES = 4
+
+
 def append(messages: DataFrame, root: str, topic: str, segment: int = 100_000) -> None:
     """Writes ``messages(partition, offset, value)``, offsets without gaps, as segments of ``segment`` offsets.
 
     Segments are whole: a batch begins and ends at multiples of ``segment`` or at the log's end.
+    A file holds a run of segments, so that the number of files goes by the messages and not by
+    how short segments are.
     """
-    base = (F.floor(F.col("offset") / segment) * segment).cast("long")
+    span = segment * _run(messages, segment)
+    base = (F.floor(F.col("offset") / span) * span).cast("long")
     rows = messages.select("partition", base.alias("base"), "offset", "value").repartition("partition", "base")
     first = F.min("offset").over(_segment())
     rows = rows.withColumn("base", first).sortWithinPartitions("partition", "base", "offset")
     rows.select("partition", "base", "value").write.mode("append").partitionBy("partition", "base").parquet(f"{root}/{topic}")
 
 
+def _run(messages: DataFrame, segment: int) -> int:
+    """Segments a file: by the longest partition of the batch, FILES files of it or files of FILE_ROWS."""
+    most = messages.groupBy("partition").agg((F.max("offset") - F.min("offset") + 1).alias("n")).agg(F.max("n")).first()[0] or 0
+    return max(1, min(FILE_ROWS, -(-most // FILES)) // segment)
+
+
 def _segment():
     from pyspark.sql import Window
 

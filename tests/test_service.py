@@ -23,6 +23,16 @@ def root(tmp_path):
     return f"file://{tmp_path}"
 
 
+def test_files_of_a_log_go_by_messages_and_not_by_segments(spark, root):
+    rows = lambda a, b: spark.range(a, b).selectExpr("cast(id % 2 AS int) AS partition", "id div 2 AS offset", "cast(id AS string) AS value")
+    messages.append(rows(0, 2000), root, "in", segment=5)
+    messages.append(rows(2000, 2200), root, "in", segment=5)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(f"{root}/in").count()
+    assert files <= 2 * 2 * (messages.FILES + 1)
+    got = messages.read(spark, root, "in")
+    assert got.count() == 2200 and got.where("offset * 2 + partition <> cast(value AS bigint)").isEmpty()
+
+
 @pytest.mark.parametrize(
     "bad",
     [
