@@ -96,6 +96,31 @@ def test_lz4_frames(spark):
     assert out[3]["value"] in (None, bytearray(b"")) and out[4]["value"] is None
 
 
+def test_broken_frames_leave_no_memory_behind():
+    def resident():
+        with open("/proc/self/statm", encoding="ascii") as f:
+            return int(f.read().split()[1]) * 4096
+
+    broken = lz4_frames.frame(b"click")[:12]
+    assert [frames.open_frame(broken) for _ in range(100)] == [None] * 100
+    before = resident()
+    for _ in range(5000):
+        frames.open_frame(broken)
+    assert resident() - before < 5 << 20
+
+
+def test_frames_are_read_in_steps_and_handed_on_in_runs(spark, monkeypatch):
+    texts = [bytes([65 + i % 7]) * n for i, n in enumerate([0, 1, frames.STEP - 1, frames.STEP, frames.STEP + 1, 3 * frames.STEP, 500_000])]
+    packed = [lz4_frames.frame(t) for t in texts]
+    assert [frames.open_frame(p) for p in packed] == texts
+    monkeypatch.setattr(frames, "MOST", 400_000)
+    assert frames.open_frame(packed[-1]) is None and frames.open_frame(packed[-2]) == texts[-2]
+    monkeypatch.undo()
+    monkeypatch.setattr(frames, "HANDED", 100_000)
+    runs = list(frames._runs(frames.pa.array(packed)))
+    assert [v for _, r in runs for v in r] == texts and len(runs) > 2 and [f for f, _ in runs] == [sum(len(r) for _, r in runs[:i]) for i in range(len(runs))]
+
+
 def test_presort(spark):
     df = spark.createDataFrame([(0, 2.0), (1, None), (2, float("nan")), (3, 2.0)], "seq long, v double").coalesce(1)
     assert column(presort.presort(df, ["v"], "seq"), "seq") == [0, 3, 2, 1]
