@@ -348,16 +348,20 @@ def inlined_dropped(spark, sf_dir):
     """Inline tables dropped in pages; batches halve while the store is short of locks and grow again."""
     c = catalog(spark, sf_dir)
     c.inlined = c.inlined.withColumn("table_name", F.concat(F.lit("t_"), F.col("schema_version").cast("string")))
-    calls: list[int] = []
+    calls = 0
 
     def drop(some: list[tuple]) -> None:
-        calls.append(len(some))
-        if len(calls) == 1:
+        nonlocal calls
+        calls += 1
+        if calls == 1:
             raise RuntimeError("out of locks")
 
-    went, sizes = maintenance.drop_inlined(c, drop, page=400, batch=8)
-    grown = len(sizes) < 12 or max(sizes[2:]) > sizes[1]
-    row = (len(went), sizes[1] == sizes[0] // 2 if len(sizes) > 1 else True, grown)
+    dropped, tried, first, most = 0, 0, [], 0
+    for went, sizes in maintenance.inlined_drops(c, drop, page=400, batch=8):
+        rest = sizes[2 - len(first) :]
+        first += sizes[: 2 - len(first)]
+        dropped, tried, most = dropped + len(went), tried + len(sizes), max([most, *rest])
+    row = (dropped, first[1] == first[0] // 2 if tried > 1 else True, tried < 12 or most > first[1])
     return spark.createDataFrame([row], "dropped long, halved boolean, grown boolean")
 
 

@@ -8,6 +8,8 @@ from __future__ import annotations
 import json
 import os
 import uuid
+from collections.abc import Iterator
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -550,12 +552,26 @@ _NAME = r"^[A-Za-z_][A-Za-z0-9_]*$"
 
 
 def drop_inlined(c: Catalog, drop, page: int = 1000, batch: int = 64, rows_of: DataFrame | None = None) -> tuple[list[tuple], list[int]]:
-    """Drops the inline tables that no kept snapshot reaches, a keyset page at a time; which went, and the batch sizes.
+    """Drops the inline tables that no kept snapshot reaches, a page at a time; which went, and the batch sizes.
+
+    See :func:`inlined_drops`, which keeps no more than a page.
+    """
+    done, sizes = [], []
+    for went, tried in inlined_drops(c, drop, page, batch, rows_of):
+        done += went
+        sizes += tried
+    return done, sizes
+
+
+def inlined_drops(c: Catalog, drop, page: int = 1000, batch: int = 64, rows_of: DataFrame | None = None) -> Iterator[tuple[list[tuple], list[int]]]:
+    """Drops the inline tables that no kept snapshot reaches; after each page, which of it went and the batch sizes.
 
     ``drop(some)`` takes ``(table_id, schema_version, table_name)`` rows and fails
     whole; batches halve and grow as in :func:`in_batches`.  Refuses a lake without
     snapshots, in which everything would look unreachable.  Tables with rows
     (``rows_of(table_name, n)``) and with names that are none are passed over.
+    The tables are found and sorted once, by Spark; pages are cut from its partitions,
+    of which the driver has one at a time.
     """
     if c.snapshot.isEmpty():
         raise ValueError("the lake has no snapshot: what is unreachable cannot be told")
@@ -563,11 +579,6 @@ def drop_inlined(c: Catalog, drop, page: int = 1000, batch: int = 64, rows_of: D
     if rows_of is not None:
         full = rows_of.where(F.col("n") > 0).select("table_name").distinct()
         found = found.join(full, "table_name", "left_anti").select("table_id", "schema_version", "table_name")
-    done, sizes, after, size = [], [], None, batch
-    while True:
-        ask = found.orderBy("table_id", "schema_version").limit(page) if after is None else keyset_page(found, "table_id", "schema_version", after, page)
-        rows = [tuple(r) for r in ask.collect()]  # one page
-        if not rows:
-            return done, sizes
-        went, tried = in_batches(rows, drop, size)
-        done, sizes, after = done + went, sizes + tried, rows[-1][:2]
+    rows = map(tuple, found.orderBy("table_id", "schema_version").toLocalIterator())
+    while some := list(islice(rows, page)):
+        yield in_batches(some, drop, batch)
