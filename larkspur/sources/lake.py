@@ -396,6 +396,9 @@ class LakeTable:
             path = unquote(r["path"])
             rel = path[path.rindex(folder) :]
             out.append({"path": rel, "bytes": r["bytes"], "rows": r["rows"], "values": [r[f"p_{i}"] for i in range(len(spec))], "stats": {c: [r[f"lo_{c}"], r[f"hi_{c}"]] for c in use}})
+        if not spec:  # without folders, the first task of a write makes a file even if it has no row, which no commit would name
+            known = {f["path"] for f in out}
+            self.delete_files([f for n in self.files.names(folder) if n.startswith("part-") and (f := f"{folder}/{n}") not in known])
         return out
 
     # read --------------------------------------------------------------------------
