@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .catalog import MIB, Catalog
-from .metrics import live, mergeable, partition_of, unreachable_inlined
+from .metrics import live, mergeable, unreachable_inlined, with_partition
 
 TIERS = (("tier0", 0, MIB), ("tier1", MIB, 10 * MIB), ("tier2", 10 * MIB, 64 * MIB))
 TARGET = 128 * MIB
@@ -119,7 +119,7 @@ def binned(c: Catalog, target: int = TARGET) -> DataFrame:
     deleted = live(c.delete_file).select("data_file_id").distinct()
     files = live(c.data_file).join(deleted, "data_file_id", "left_anti")
     files = files.withColumn("tier", tier(F.col("file_size_bytes"))).where(F.col("tier").isNotNull())
-    files = files.join(partition_of(c, files), ["data_file_id", "table_id"], "left")
+    files = with_partition(c, files)
     run = Window.partitionBy("table_id", "partition", "tier").orderBy("data_file_id", "path").rowsBetween(Window.unboundedPreceding, -1)
     return files.withColumn("bin", F.floor(F.coalesce(F.sum("file_size_bytes").over(run), F.lit(0)) / F.lit(target)).cast("long"))
 

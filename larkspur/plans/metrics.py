@@ -46,19 +46,30 @@ def files_per_band(c: Catalog) -> DataFrame:
     return live(c.data_file).groupBy(band(F.col("file_size_bytes")).alias("band")).agg(F.count("*").alias("count"), _sum("file_size_bytes").alias("bytes"))
 
 
-def partition_of(c: Catalog, files: DataFrame) -> DataFrame:
-    """``data_file_id, table_id, partition`` of ``files``: values joined by slashes in key order, those of one key by value."""
-    values = c.file_partition_value.join(files.select("data_file_id"), "data_file_id", "left_semi")
-    pairs = F.array_sort(F.collect_list(F.when(F.col("partition_value").isNotNull(), F.struct("partition_key_index", "partition_value"))))
-    joined = F.when(F.count("partition_value") > 0, F.array_join(F.transform(pairs, lambda x: x["partition_value"]), "/"))
-    return values.groupBy("data_file_id", "table_id").agg(joined.alias("partition"))
+def with_partition(c: Catalog, files: DataFrame, how: str = "left") -> DataFrame:
+    """``files`` with ``partition``: its values joined by slashes in key order, those of one key by value.
+
+    Values are dealt out by the file's id alone, which is all that is joined by, so they
+    move once.  With ``how="inner"`` files without any row of values are left out.
+    """
+    values = c.file_partition_value.where(F.col("data_file_id").isNotNull()).repartition("data_file_id")
+    # an inner join, as a semi join would go before the exchange, and then what moves depends on whether the files' ids fit a broadcast
+    values = values.join(files.select("data_file_id").distinct(), "data_file_id")
+    per = values.groupBy("data_file_id").agg(F.collect_list(F.struct("table_id", "partition_key_index", "partition_value")).alias("entries"))
+    named = files.join(per, "data_file_id", how)
+    if how == "inner":
+        named = named.where(F.exists("entries", lambda x: x["table_id"] == F.col("table_id")))
+    own = F.filter("entries", lambda x: (x["table_id"] == F.col("table_id")) & x["partition_value"].isNotNull())
+    # as the one element of an array the values are sorted once, though the text names them twice
+    text = F.transform(F.array(F.array_sort(own)), lambda v: F.when(F.size(v) > 0, F.array_join(F.transform(v, lambda x: x["partition_value"]), "/")))
+    return named.withColumn("partition", F.get(text, F.lit(0))).drop("entries")
 
 
 def mergeable(c: Catalog) -> DataFrame:
     """Live files without live deletes, per table, partition and band below 64 MiB, where there are two or more."""
     deleted = live(c.delete_file).select("data_file_id").distinct()
     files = live(c.data_file).where(F.col("file_size_bytes") < BANDS[2][1]).join(deleted, "data_file_id", "left_anti")
-    files = files.join(partition_of(c, files), ["data_file_id", "table_id"], "left").withColumn("band", band(F.col("file_size_bytes")))
+    files = with_partition(c, files).withColumn("band", band(F.col("file_size_bytes")))
     groups = files.groupBy("table_id", "partition", "band").agg(F.count("*").alias("n"), F.sum("file_size_bytes").alias("size"))
     return groups.where(F.col("n") >= 2)
 
@@ -98,8 +109,7 @@ def tables(c: Catalog) -> DataFrame:
 
 
 def files_per_partition_top20(c: Catalog) -> DataFrame:
-    files = live(c.data_file)
-    named = files.join(partition_of(c, files), ["data_file_id", "table_id"])
+    named = with_partition(c, live(c.data_file), "inner")
     per = named.groupBy("table_id", "partition").agg(F.count("*").alias("count"))
     return per.orderBy(F.desc("count"), "table_id", "partition").limit(20)
 

@@ -605,3 +605,41 @@ def test_groups_and_destinations():
     for bad in ({"GROUP_ID": "a b"}, {"DESTINATION": "none"}, {"DESTINATION": "log", "PARTITION_BY": "a"}, {"LAST_DESTINATION": "log"}, {"RETRY_ATTEMPTS": "50"}):
         with pytest.raises(config.ConfigError):
             config.load(bad)
+
+
+def _catalog_of(spark, table, files: str, values: str):
+    import dataclasses
+
+    return dataclasses.replace(catalog.from_table(table), data_file=spark.sql(files), file_partition_value=spark.sql(values))
+
+
+def test_partition_values_move_once_whether_or_not_the_files_fit_a_broadcast(spark, table):
+    import re
+
+    table.append(spark.createDataFrame([(1,)], "n long"), "k")
+    files = "SELECT id AS data_file_id, id % 3 AS table_id, cast(NULL AS bigint) AS end_snapshot, concat('p', id) AS path, id AS file_size_bytes FROM range(100)"
+    c = _catalog_of(spark, table, files, "SELECT id div 2 AS data_file_id, id div 2 % 3 AS table_id, id % 2 AS partition_key_index, cast(id % 5 AS string) AS partition_value FROM range(200)")
+    for most in ("-1", "10485760"):
+        old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+        try:
+            for df in (metrics.mergeable_files_per_band(c), metrics.files_per_partition_top20(c), maintenance.compaction_bins(c)):
+                keys = re.findall(r"Exchange hashpartitioning\((.*?), \d+\), (\w+)", df._jdf.queryExecution().executedPlan().toString())
+                assert [k for k, why in keys if why == "REPARTITION_BY_COL" and k.startswith("data_file_id")] and not [k for k, _ in keys if "data_file_id" in k and "table_id" in k], keys
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_partitions_of_odd_values(spark, table):
+    """Ids of several tables, values without an id, null and empty values, several values of a key, files without values and files of one id."""
+    table.append(spark.createDataFrame([(1,)], "n long"), "k")
+    files = "SELECT * FROM VALUES (1L, 1L, 'a'), (1L, 2L, 'b'), (2L, 1L, 'c'), (3L, 1L, 'd'), (4L, 1L, 'e'), (NULL, 1L, 'f'), (1L, 1L, 'g'), (5L, 9L, 'h'), (6L, 1L, 'i') AS t(data_file_id, table_id, path)"
+    values = (
+        "SELECT * FROM VALUES (1L, 1L, 1L, 'y'), (1L, 1L, 0L, 'x'), (1L, 2L, 0L, 'z'), (2L, 1L, 0L, NULL), (3L, 1L, 0L, ''), (NULL, 1L, 0L, 'n'), (5L, 1L, 0L, 'other'), "
+        "(6L, 1L, 2L, 'b'), (6L, 1L, 2L, 'a'), (6L, 1L, 1L, NULL), (6L, NULL, 0L, 'no'), (6L, 1L, 10L, 'z') AS t(data_file_id, table_id, partition_key_index, partition_value)"
+    )
+    c = _catalog_of(spark, table, files, values)
+    want = {"a": "x/y", "b": "z", "c": None, "d": "", "e": None, "f": None, "g": "x/y", "h": None, "i": "a/b/z"}
+    assert {r["path"]: r["partition"] for r in metrics.with_partition(c, c.data_file).collect()} == want
+    named = {r["path"]: r["partition"] for r in metrics.with_partition(c, c.data_file, "inner").collect()}
+    assert named == {k: v for k, v in want.items() if k in "abcdgi"}
