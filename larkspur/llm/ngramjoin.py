@@ -41,6 +41,8 @@ LISTED = 2_000_000
 #: Bits of the fixed-size filter of shingles in two sets or more, and of that of documents to compare.
 SEEN_BITS = 27
 WANTED_BITS = 24
+#: Bytes of text that a Python worker hashes at a time; its scratch arrays are many times that.
+SLICE = 1 << 19
 #: Shingles that a task counts before it hands them on, and about how many a counting group gets.
 FLUSH = 2_000_000
 GROUP = 1_500_000
@@ -76,7 +78,7 @@ def sets_of(docs: DataFrame, k: int) -> DataFrame:
     """``doc_id, n_shingles, node`` per row; node is the set's fingerprint."""
 
     def run(batches):
-        for b in text_slices(batches):
+        for b in text_slices(batches, SLICE):
             n, f = [], []
             for s in shingle_sets(b.column(1), k):
                 n.append(len(s))
@@ -126,7 +128,7 @@ def _counts(docs: DataFrame, k: int, bits: int, frequent: int) -> DataFrame:
                 part, blob = zip(*got)
                 yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(blob, pa.binary())], names=["part", "blob"])
 
-        for b in text_slices(batches):
+        for b in text_slices(batches, SLICE):
             for s in shingle_sets(b.column(1), k):
                 f = fingerprint(s)
                 if len(s) and f not in met:  # copies that a task meets count once
@@ -255,7 +257,7 @@ def _emit(docs: DataFrame, k: int, percent: int, shared) -> DataFrame:
     def run(batches):
         seen, frequent, count = shared.value
         met: set[int] = set()
-        for b in text_slices(batches):
+        for b in text_slices(batches, SLICE):
             out = []
             for s in shingle_sets(b.column(1), k):
                 f = fingerprint(s)
@@ -316,7 +318,7 @@ def _packed_sets(docs: DataFrame, k: int, shared) -> DataFrame:
 
     def run(batches):
         wanted = shared.value
-        for b in text_slices(batches):
+        for b in text_slices(batches, SLICE):
             h = _hash_id(_ids(b.column(0)))
             yes = ((wanted[(h >> np.uint64(3)).astype(np.int64)] >> (h & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
             if not yes.any():
@@ -357,10 +359,9 @@ def _verify(docs: DataFrame, k: int, percent: int, pairs: DataFrame, classes: Da
 
     def compare(batches):
         for b in batches:
-            u, v = b.column(0).to_pylist(), b.column(1).to_pylist()
-            yes = [linked(_open_set(x), _open_set(y), percent) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
-            keep = [i for i, ok in enumerate(yes) if ok]
-            yield pa.RecordBatch.from_arrays([pa.array([u[i] for i in keep], pa.int64()), pa.array([v[i] for i in keep], pa.int64())], names=["u", "v"])
+            # a pair at a time: the sets of a whole batch are not held twice
+            yes = [linked(_open_set(x.as_py()), _open_set(y.as_py()), percent) for x, y in zip(b.column(2), b.column(3))]
+            yield b.select([0, 1]).filter(pa.array(yes, pa.bool_()))
 
     both = pairs.join(sets.withColumnsRenamed({"node": "u", "tokens": "x"}), "u").join(sets.withColumnsRenamed({"node": "v", "tokens": "y"}), "v")
     out = ws.save(both.select("u", "v", "x", "y").mapInArrow(compare, "u long, v long").distinct(), "links")
@@ -501,7 +502,7 @@ def _tagged(docs: DataFrame, k: int, node: str, n: str) -> DataFrame:
     ti = docs.columns.index("text")
 
     def run(batches):
-        for b in text_slices(batches):
+        for b in text_slices(batches, SLICE):
             got = [(fingerprint(s) if len(s) else i, len(s)) for i, s in enumerate(shingle_sets(b.column(ti), k))]
             yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array([x[i] for x in got], pa.int64()) for i in (0, 1))], names=[*b.schema.names, node, n])
 

@@ -8,13 +8,16 @@ import json
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
 
 from larkspur.llm import ann, components, eliasfano, idfile, mixing, ngramjoin, ngramlm, pieces, secrets, textkernel, tokencounts, tokenizing, toxicity, vecdedup, workspace  # noqa: E402
 
@@ -726,3 +729,25 @@ def test_pipeline_stages(spark, tmp_path):
     assert set(masked) == {"[secret]"}
     out = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r["doc_id"] for r in out} == kept and json.dumps(out[0].asDict())
+
+
+@pytest.mark.parametrize("step", [lambda d: ngramjoin.sets_of(d, 5), lambda d: ngramjoin._tagged(d, 5, "node", "n")])
+def test_hashing_of_sets_takes_little_memory(monkeypatch, step):
+    monkeypatch.setattr(textkernel, "_powers", {})
+    class Docs:
+        columns, schema = ["doc_id", "text"], T.StructType([])
+
+        def mapInArrow(self, f, schema):
+            return f
+
+    rng = np.random.Generator(np.random.PCG64(11))
+    texts = [" ".join(f"w{i}" for i in rng.integers(0, 50_000, 350)) for _ in range(2_000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    run = step(Docs())
+    tracemalloc.start()
+    try:
+        rows = sum(b.num_rows for b in run(iter([batch])))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == len(texts) and most < 48e6
