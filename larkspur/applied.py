@@ -199,10 +199,12 @@ _RATIO = "CASE event_id % 5 WHEN 0 THEN 'NaN' WHEN 1 THEN 'Infinity' WHEN 2 THEN
 @query(f"SELECT event_id AS seq, CASE WHEN event_id % 5 > 0 THEN ({_RATIO})::DOUBLE END AS ratio, event_id % 5 = 0 AS is_nan, {_RATIO} AS text, 'is NaN, \"Infinity' AS note FROM events")
 def non_finite_messages(spark, sf_dir):
     """NaN and the infinities outside of strings are numbers, inside of strings they stay text."""
-    value = f"""concat('{{"ratio":', {_RATIO}, ',"text": ', {_RATIO}, ',"note":"is NaN, \\\\"Infinity"}}') AS value"""
+    ratio = f"coalesce({_RATIO}, 'null')"
+    value = f"""concat('{{"ratio":', {ratio}, ',"text": ', {ratio}, ',"note":"is NaN, \\\\"Infinity"}}') AS value"""
     rows = infer.convert(_events(spark, sf_dir, "event_id AS seq", value), "seq", json_text=["text"], non_finite=True)
-    nan = F.isnan("ratio")
-    return rows.select("seq", F.when(~nan, F.col("ratio")).alias("ratio"), nan.alias("is_nan"), "text", "note")
+    nan = F.when(F.col("ratio").isNotNull(), F.isnan("ratio"))
+    # as in the SQL, ids below zero have their ratio in the text only
+    return rows.select("seq", F.when(F.col("seq") % 5 > 0, F.col("ratio")).alias("ratio"), nan.alias("is_nan"), "text", "note")
 
 
 # services by their settings ----------------------------------------------------------------

@@ -31,3 +31,13 @@ def test_query(spark, oracle, name):
         assert sorted(want.column_names) == cols
         rows = list(zip(*[want.column(c).to_pylist() for c in cols])) if want.num_rows else []
         assert got == sorted(rows, key=repr)
+
+
+def test_non_finite_messages_of_odd_ids(spark, tmp_path):
+    ids = [None, 0, 1, 2, 3, 4, 9, -1, -2, -5, -9, 10_000_003, 2**53 + 1, 2**62, -(2**62)]
+    spark.createDataFrame([(i,) for i in ids], "event_id long").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    got = [tuple(r) for r in catalogue.QUERIES["non_finite_messages"](spark, str(tmp_path)).select("seq", "ratio", "is_nan", "text", "note").collect()]
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    want = con.execute(catalogue.ORACLE["non_finite_messages"]).fetchall()
+    assert sorted(got, key=repr) == sorted(want, key=repr)
