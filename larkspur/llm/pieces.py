@@ -23,7 +23,7 @@ from .workspace import text_slices
 
 SPACE = "▁"
 #: Entries that a worker keeps of segments, and of token pairs, before it starts anew.
-SEGMENTS = 500_000
+SEGMENTS = 125_000
 PAIRS = 1_000_000
 
 

@@ -751,3 +751,15 @@ def test_hashing_of_sets_takes_little_memory(monkeypatch, step):
     finally:
         tracemalloc.stop()
     assert rows == len(texts) and most < 48e6
+
+
+def test_a_worker_keeps_few_segments():
+    model = pieces.PieceModel(PIECES)
+    texts = [" ".join(f"w{i}" for i in range(k, k + 1_000)) for k in range(0, 200_000, 1_000)]
+    tracemalloc.start()
+    try:
+        sizes = [len(model.encode(t)) for t in texts]
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert min(sizes) > 1_000 and most < 32e6
