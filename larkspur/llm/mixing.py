@@ -80,8 +80,12 @@ def fill(nodes: DataFrame, parent: list[str], name: str) -> DataFrame:
     return t.withColumn("given", given.cast("long")).drop("full", "rest", "open", "share", "left_over", "turn")
 
 
-def leaf_budgets(units: DataFrame, mix: Mix) -> DataFrame:
-    """``levels..., avail, given, least`` of each leaf: its tokens, the tokens the mixture takes from it, and its epochs at least."""
+def leaf_budgets(units: DataFrame, mix: Mix, ws: Workspace) -> DataFrame:
+    """``levels..., avail, given, least`` of each leaf: its tokens, the tokens the mixture takes from it, and its epochs at least.
+
+    Units are added up once, and every level is a query of its own: as one plan the
+    levels repeat each other, and each of its stages has the driver plan all of it again.
+    """
     names = [n for n, _ in mix.levels]
     leaves = units.groupBy(*names).agg(F.sum("n_tokens").alias("avail"))
     for n in names:
@@ -90,6 +94,7 @@ def leaf_budgets(units: DataFrame, mix: Mix) -> DataFrame:
     leaves = leaves.withColumn("least", F.when(shut == 1, 0).otherwise(mix.floor_epochs))
     leaves = leaves.withColumn("floor", F.col("avail") * F.col("least"))
     leaves = leaves.withColumn("cap", F.when(shut == 1, 0).otherwise(F.col("avail") * (mix.max_epochs - mix.floor_epochs)))
+    leaves = ws.save(leaves, "groups")
     total = leaves.agg(F.coalesce(F.sum("avail"), F.lit(0)), F.coalesce(F.sum("floor"), F.lit(0)), F.coalesce(F.sum("cap"), F.lit(0))).first()
     budget = mix.budget if isinstance(mix.budget, int) else total[0] * mix.budget[0] // mix.budget[1]
     budget = max(0, min(budget - total[1], total[2]))
@@ -98,7 +103,7 @@ def leaf_budgets(units: DataFrame, mix: Mix) -> DataFrame:
         path = names[: depth + 1]
         nodes = leaves.groupBy(*path).agg(F.sum("cap").alias("cap"), F.max(f"w_{n}").alias("weight"))
         nodes = nodes.withColumn("budget", F.lit(budget).cast("long")) if above is None else nodes.join(above, path[:-1])
-        above = fill(nodes, path[:-1], n).select(*path, F.col("given").alias("budget"))
+        above = ws.save(fill(nodes, path[:-1], n).select(*path, F.col("given").alias("budget")), f"level-{depth}")
     return leaves.join(above, names).select(*names, "avail", (F.col("floor") + F.col("budget")).alias("given"), "least")
 
 
@@ -126,7 +131,7 @@ def plan(docs: DataFrame, mix: Mix) -> DataFrame:
     names = [n for n, _ in mix.levels]
     ws = Workspace(docs.sparkSession, "mixing")
     units = ws.save(units_of(docs, mix), "units")
-    leaves = leaf_budgets(units, mix)
+    leaves = leaf_budgets(units, mix, ws)
     leaves = leaves.withColumn("epochs", F.expr("CASE WHEN avail = 0 THEN least ELSE given DIV avail END").cast("long"))
     leaves = ws.save(leaves.withColumn("prefix", F.col("given") - F.col("epochs") * F.col("avail")).select(*names, "epochs", "prefix"), "leaves")
 
@@ -135,7 +140,7 @@ def plan(docs: DataFrame, mix: Mix) -> DataFrame:
     # prefix sums in two steps: over a leaf's buckets, then inside the one bucket that the prefix ends in
     sums = placed.groupBy(*names, "bucket").agg(F.sum("n_tokens").alias("in_bucket"))
     run = Window.partitionBy(*names).orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sums = sums.withColumn("start", F.sum("in_bucket").over(run) - F.col("in_bucket"))
+    sums = ws.save(sums.withColumn("start", F.sum("in_bucket").over(run) - F.col("in_bucket")), "buckets")
     t = placed.join(sums, [*names, "bucket"])
     cut = (F.col("start") < F.col("prefix")) & (F.col("start") + F.col("in_bucket") > F.col("prefix"))
     whole = t.where(~cut).withColumn("first", F.when(F.col("start") < F.col("prefix"), F.col("start")))

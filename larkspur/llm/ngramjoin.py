@@ -23,6 +23,7 @@ in the prefix leave a link possible.  Both rounds compare full sets.
 from __future__ import annotations
 
 import itertools
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -156,7 +157,7 @@ def _counts(docs: DataFrame, k: int, bits: int, frequent: int) -> DataFrame:
         return pa.table(
             {
                 "part": pa.array([part], pa.int64()),
-                "seen": pa.array([np.packbits(seen, bitorder="little").tobytes()], pa.binary()),
+                "seen": pa.array([zlib.compress(np.packbits(seen, bitorder="little").tobytes(), 1)], pa.binary()),
                 "tokens": pa.array([_i64(t[often])], pa.list_(pa.int64())),
                 "n": pa.array([n[often]], pa.list_(pa.int64())),
             }
@@ -173,16 +174,16 @@ def _statistics(docs: DataFrame, k: int, total: int, frequent: int, ws: Workspac
     seen = np.zeros(1 << (SEEN_BITS - 3), dtype=np.uint8)  # fixed size, whatever the input
     step = len(seen) >> bits
     for r in table.select("part", "seen").toLocalIterator():
-        seen[r["part"] * step : (r["part"] + 1) * step] = np.frombuffer(r["seen"], dtype=np.uint8)
+        seen[r["part"] * step : (r["part"] + 1) * step] = np.frombuffer(zlib.decompress(r["seen"]), dtype=np.uint8)
     flat = table.select(F.explode(F.arrays_zip("tokens", "n")).alias("x")).select("x.tokens", "x.n")
     sizes = {r["p"]: r["c"] for r in flat.groupBy(F.floor(F.log2(F.col("n") / frequent)).alias("p")).agg(F.count("*").alias("c")).collect()}
     doubled = 0
     while sum(c for p, c in sizes.items() if p >= doubled) > LISTED:
         doubled += 1
     limit = frequent << doubled
-    rows = flat.where(F.col("n") > limit).toPandas()  # at most LISTED rows, by the count above
-    tokens = rows["tokens"].to_numpy(dtype=np.int64).view(np.uint64)
-    n = rows["n"].to_numpy(dtype=np.int64)
+    rows = flat.where(F.col("n") > limit).toArrow()  # at most LISTED rows, by the count above
+    tokens = rows["tokens"].to_numpy().view(np.uint64)
+    n = rows["n"].to_numpy()
     order = np.argsort(tokens)
     ws.drop(table)
     return seen, tokens[order], n[order]
@@ -307,9 +308,9 @@ def _wanted(spark, keys: DataFrame) -> np.ndarray:
             at = np.flatnonzero(packed)
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(packed[at])], names=["at", "word"])
 
-    words = keys.select("rep").mapInArrow(bits, "at long, word long").groupBy("at").agg(F.bit_or("word").alias("word")).toPandas()
+    words = keys.select("rep").mapInArrow(bits, "at long, word long").groupBy("at").agg(F.bit_or("word").alias("word")).toArrow()
     out = np.zeros(1 << (WANTED_BITS - 6), dtype=np.int64)
-    out[words["at"].to_numpy(dtype=np.int64)] = words["word"].to_numpy(dtype=np.int64)
+    out[words["at"].to_numpy()] = words["word"].to_numpy()
     return out.view(np.uint8)
 
 

@@ -140,6 +140,38 @@ def test_mixing_plan(spark):
     assert mixing.plan(df.limit(0), mix).count() == 0
 
 
+def test_mixing_is_planned_in_small_queries(spark, monkeypatch):
+    plans = []
+    save = workspace.Workspace.save
+    monkeypatch.setattr(workspace.Workspace, "save", lambda ws, df, name: plans.append(df) or save(ws, df, name))
+    df = spark.createDataFrame([(i, f"w{i} " * (i % 5), "en" if i % 2 else "fr", f"s{i % 3}") for i in range(40)], "doc_id long, text string, lang string, source string")
+    mix = mixing.Mix(levels=[("lang", F.col("lang")), ("source", F.col("source"))], budget=(5, 4), floor_epochs=1, max_epochs=3)
+    plans.append(mixing.apply(df, mix))
+    # the driver plans a query anew after each of its stages, so what it holds grows with the largest plan
+    windows = [p._jdf.queryExecution().optimizedPlan().toString().count("Window [") for p in plans]
+    assert max(windows) <= 6 and sum(windows) <= 14
+
+
+def test_components_of_stars_need_no_round(spark, monkeypatch):
+    names = []
+    save = workspace.Workspace.save
+    monkeypatch.setattr(workspace.Workspace, "save", lambda ws, df, name: names.append(name) or save(ws, df, name))
+    ws = workspace.Workspace(spark, "stars")
+    stars = spark.createDataFrame([(1, 5), (5, 1), (1, 6), (2, 7), (3, 3), (None, 9)], "u long, v long")
+    assert sorted(map(tuple, components.components(stars, ws).collect())) == [(1, 1), (2, 2), (5, 1), (6, 1), (7, 2)]
+    assert names == ["edges"]
+    assert components.components(stars.limit(0), ws).count() == 0
+    for edges in ([(1, 5), (2, 5)], [(1, 5), (5, 9)], [(4, 9), (9, 2), (2, 7), (8, 7)]):
+        got = dict(map(tuple, components.components(spark.createDataFrame(edges, "u long, v long"), ws).collect()))
+        assert got == dict.fromkeys({x for e in edges for x in e}, min(min(e) for e in edges))
+
+
+def test_shingle_filter_of_few_texts_is_small(spark):
+    ws = workspace.Workspace(spark, "counts")
+    got = ngramjoin._counts(docs_of(spark, ["a b c d e f g"] * 3 + ["a b c d e f h"]), 5, 4, 32)
+    assert sum(len(r["seen"]) for r in ws.save(got, "counts").select("seen").collect()) < 1 << 20
+
+
 def test_pipeline_mixture_keeps_leaves_without_words(spark):
     import corpus_pipeline
 
